@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from tickweave.llm import exact_dedup
+from tickweave.llm import decontam, exact_dedup, licenses, token_ids
 
 QUERIES = {
+    "op1_decontamination": decontam.op1_decontamination,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op9_token_ids": token_ids.op9_token_ids,
+    "op10_license_scans": licenses.op10_license_scans,
 }
 ORACLE_SQL = {
+    "op1_decontamination": decontam.OP1_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
 }
