@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -68,3 +68,13 @@ def annotate(df: DataFrame, name: str, kind: T.StructType, make: Callable[[], Ca
 def cells(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the two columns that the operators read, as doc_id and text."""
     return df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+
+
+def salted_join(rows: DataFrame, groups: DataFrame, key: str, salt: Column, how: str = "inner", salts: int = 16) -> DataFrame:
+    """rows joined with groups, which has one row a key, so that a key with many rows goes to `salts` tasks.
+
+    salt: of rows, a column that differs between the rows of a key.
+    """
+    left = rows.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(salts)).cast("int"))
+    right = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [key, "_salt"], how).drop("_salt")

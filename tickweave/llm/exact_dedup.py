@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import free_name
+from tickweave.llm.common import free_name, salted_join
 from tickweave.plans.session import table
 
 #: Slots of a survivor map; 2^26 bits are 2,048 rows of 4,096 bytes, so at most 8 MB are broadcast at any input size.
@@ -48,7 +48,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", carry
     Rows whose normalised length nobody shares leave after the first step, those whose prefix nobody shares
     after the second; only the rest are hashed in full (SHA-256). Each step is a scan with a partial
     aggregation; what it leaves is a bitmap of fixed size, so no text is shuffled. The last join's keys may be
-    hot (a third of all rows): one side has a row a key, so adaptive execution can split the other.
+    hot (a third of all rows): its rows are salted, and the groups, a row each, stand once for each salt.
 
     Nulls: a null text counts as empty; a null key stays only if its group has no other. Rows with the smallest
     key of a group all stay if the row itself is repeated under one key. An empty table gives an empty result.
@@ -72,7 +72,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", carry
     )
     # rows that left early get a key of their own, so that they don't meet in one partition
     rows = third(base).select("_doc", "_carry", F.coalesce("_full", F.concat(F.lit("~"), F.col("_len").cast("string"), F.lit("~"), F.col("_doc").cast("string"))).alias("_key"))
-    out = rows.join(groups, "_key", "left")
+    out = salted_join(rows, groups, "_key", F.col("_doc"), "left")
     return out.select(
         F.col("_doc").alias("doc"), *(F.col("_carry")[n].alias(n) for n in carry),
         F.coalesce("_keep", "_doc").alias("keep_id"), F.coalesce("_n", F.lit(1)).cast("long").alias("group_size"),
