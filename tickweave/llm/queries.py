@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from tickweave.llm import decontam, exact_dedup, licenses, token_ids
+from tickweave.llm import chat, decontam, exact_dedup, licenses, simhash, token_ids, warc
 
 QUERIES = {
     "op1_decontamination": decontam.op1_decontamination,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_warc": warc.op6_warc,
+    "op7_simhash": simhash.op7_simhash,
+    "op8_chat_formatting": chat.op8_chat_formatting,
     "op9_token_ids": token_ids.op9_token_ids,
     "op10_license_scans": licenses.op10_license_scans,
 }
 ORACLE_SQL = {
     "op1_decontamination": decontam.OP1_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
+    "op6_warc": warc.OP6_SQL,
+    "op8_chat_formatting": chat.OP8_SQL,
 }
