@@ -78,3 +78,29 @@ def salted_join(rows: DataFrame, groups: DataFrame, key: str, salt: Column, how:
     left = rows.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(salts)).cast("int"))
     right = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
+#: Bits of a key map; 2^26 are 2,048 rows of 4,096 bytes, so at most 8 MB are broadcast at any input size.
+MAP_BITS = 1 << 26
+_ROW_BITS = 8 * 4096
+
+
+def bit_rows(slots: DataFrame) -> DataFrame:
+    """_row, _bits (4,096 bytes) of a table with a column slot."""
+    return (
+        slots.select((F.col("slot") / _ROW_BITS).cast("int").alias("_row"), (F.col("slot") % _ROW_BITS).alias("bit"))
+        .groupBy("_row").agg(F.bitmap_construct_agg("bit").alias("_bits"))
+    )
+
+
+def key_map(keys: DataFrame, *key: str) -> DataFrame:
+    """A bitmap of fixed size in which the keys' hashes are set."""
+    return bit_rows(keys.select(F.pmod(F.xxhash64(*key), F.lit(MAP_BITS)).alias("slot")))
+
+
+def in_map(df: DataFrame, maps: DataFrame, flag: str, *key: str) -> DataFrame:
+    """df with a boolean: false if the key isn't in the map; true may be a false alarm, which only costs work."""
+    bit = F.col("_slot") % _ROW_BITS
+    byte = F.conv(F.hex(F.substring("_bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    joined = df.withColumn("_slot", F.pmod(F.xxhash64(*key), F.lit(MAP_BITS))).withColumn("_row", (F.col("_slot") / _ROW_BITS).cast("int")).join(F.broadcast(maps), "_row", "left")
+    return joined.withColumn(flag, F.col("_bits").isNotNull() & (F.getbit(byte, (bit % 8).cast("int")) == 1)).drop("_slot", "_row", "_bits")

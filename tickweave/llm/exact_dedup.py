@@ -5,41 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import free_name, salted_join
+from tickweave.llm.common import free_name, in_map, key_map, salted_join
 from tickweave.plans.session import table
 
-#: Slots of a survivor map; 2^26 bits are 2,048 rows of 4,096 bytes, so at most 8 MB are broadcast at any input size.
-MAP_BITS = 1 << 26
-_ROW_BITS = 8 * 4096
-
-
 def normalised(text: Column) -> Column:
     """Runs of ASCII white space become one space; null counts as empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def _slot(*key: Column) -> Column:
-    return F.pmod(F.xxhash64(*key), F.lit(MAP_BITS))
-
-
 def _repeated(df: DataFrame, *key: str) -> DataFrame:
     """Bitmap rows of the keys that more than one row has."""
-    slot = _slot(*(F.col(k) for k in key))
-    return (
-        df.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
-        .select(slot.alias("slot")).select((F.col("slot") / _ROW_BITS).cast("int").alias("_row"), (F.col("slot") % _ROW_BITS).alias("bit"))
-        .groupBy("_row").agg(F.bitmap_construct_agg("bit").alias("_bits"))
-    )
-
-
-def _marked(df: DataFrame, maps: DataFrame, flag: str, *key: str) -> DataFrame:
-    """df with a boolean: false if no other row has the key (true may be a false alarm: that only costs work)."""
-    slot = _slot(*(F.col(k) for k in key))
-    bit = F.col("_slot") % _ROW_BITS
-    byte = F.conv(F.hex(F.substring("_bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    joined = df.withColumn("_slot", slot).withColumn("_row", (F.col("_slot") / _ROW_BITS).cast("int")).join(F.broadcast(maps), "_row", "left")
-    hit = F.when(F.col("_bits").isNull(), False).otherwise(F.getbit(byte, (bit % 8).cast("int")) == 1)
-    return joined.withColumn(flag, hit).drop("_slot", "_row", "_bits")
+    return key_map(df.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1"), *key)
 
 
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: dict[str, Column] | None = None, prefix: int = 256) -> DataFrame:
@@ -59,12 +35,12 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", carry
     by_length = _repeated(base.select("_len"), "_len")
 
     def second(df):
-        return _marked(df, by_length, "_m1", "_len").withColumn("_pre", F.when(F.col("_m1"), F.xxhash64(F.left("_norm", F.lit(prefix))))).drop("_m1")
+        return in_map(df, by_length, "_m1", "_len").withColumn("_pre", F.when(F.col("_m1"), F.xxhash64(F.left("_norm", F.lit(prefix))))).drop("_m1")
 
     by_prefix = _repeated(second(base.select("_norm", "_len")).filter("_pre is not null").select("_len", "_pre"), "_len", "_pre")
 
     def third(df):
-        return _marked(second(df), by_prefix, "_m2", "_len", "_pre").withColumn("_full", F.when(F.col("_m2") & F.col("_pre").isNotNull(), F.sha2("_norm", 256))).drop("_m2")
+        return in_map(second(df), by_prefix, "_m2", "_len", "_pre").withColumn("_full", F.when(F.col("_m2") & F.col("_pre").isNotNull(), F.sha2("_norm", 256))).drop("_m2")
 
     groups = (
         third(base.select("_doc", "_norm", "_len")).filter("_full is not null")
