@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tickweave.llm import chat, decontam, exact_dedup, licenses, pieces, quality, simhash, token_ids, warc
+from tickweave.llm import chat, decontam, exact_dedup, licenses, pieces, quality, simhash, substrings, token_ids, warc
 
 QUERIES = {
     "op1_decontamination": decontam.op1_decontamination,
     "op2_sentencepiece": pieces.op2_sentencepiece,
+    "op3_suffix_array_dedup": substrings.op3_suffix_array_dedup,
     "op4_quality_classifier": quality.op4_quality_classifier,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_warc": warc.op6_warc,
