@@ -19,10 +19,10 @@ LENGTH = 400
 GRAM = 24
 #: Bits of the map of repeated anchors: 16 MB are broadcast at any input size.
 ANCHOR_BITS = 1 << 27
-#: Text that one suffix array holds.
-SHARD_BYTES = 8 << 20
+#: Text that one suffix array holds; its arrays take some 100 bytes a byte.
+SHARD_BYTES = 2 << 20
 #: Distinct stretches of one anchor that one shard takes; those of an anchor with more are compared by windows, spread over all tasks.
-ANCHOR_ROWS = 8192
+ANCHOR_ROWS = 4096
 
 
 def gram_hashes(raw: np.ndarray, k: int = GRAM) -> np.ndarray:
