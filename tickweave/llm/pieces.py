@@ -56,6 +56,8 @@ class Lattice:
         #: pairs of characters that some piece holds; between any others every segmentation has a boundary
         self.pairs = {p[i : i + 2] for p in names for i in range(len(p) - 1)}
         self.bytes_of = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else b"" if i not in self.score else sp.id_to_piece(i).replace(SPACE, " ").encode() for i in range(size)]
+        self.scores = [self.score.get(i, 0.0) for i in range(size)]
+        self.longest = max(map(len, names))
         self.lengths = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
@@ -103,6 +105,48 @@ class Lattice:
                 heapq.heappush(heap, (-(best[i] + w + g), next(tie), i, g + w, (ids, tail)))
         return out
 
+    def best(self, s: str) -> tuple[tuple[int, ...], float, float]:
+        """Ids and score of the best segmentation, and how much the second best loses.
+
+        The Viterbi scores are exact, so what A* would queue along the best path has its final score when it is
+        queued: the head of the queue is the second best.
+        """
+        t = s.replace(SPACE, "\ufffe").replace(" ", SPACE)
+        n, get, score = len(t), self.table.get, self.scores
+        best, back = [0.0] + [-1e300] * n, [(0, 0)] * (n + 1)
+        for i in range(n):
+            here, alone = best[i], True
+            for j in range(i + 1, n + 1):
+                x = get(t[i:j])
+                if x is None:
+                    break
+                if x >= 0:
+                    v = here + score[x]
+                    if v > best[j]:
+                        best[j], back[j] = v, (i, x)
+                    if j == i + 1:
+                        alone = False
+            if alone:
+                v = here + self.byte_score * len(s[i].encode("utf-8", "surrogatepass"))
+                if v > best[i + 1]:
+                    best[i + 1], back[i + 1] = v, (i, -1)
+        ids, gap, j = [], float("inf"), n
+        while j:
+            i, x = back[j]
+            if x < 0:
+                ids += [self.byte[b] for b in reversed(s[i].encode("utf-8", "surrogatepass"))]
+            else:
+                ids.append(x)
+            for k in range(max(0, j - self.longest), j):
+                if k != i:
+                    y = get(t[k:j], -1)
+                    if y >= 0 and best[j] - best[k] - score[y] < gap:
+                        gap = best[j] - best[k] - score[y]
+            if i != j - 1 and get(t[j - 1], -1) < 0:
+                gap = min(gap, best[j] - best[j - 1] - self.byte_score * len(s[j - 1].encode("utf-8", "surrogatepass")))
+            j = i
+        return tuple(reversed(ids)), best[n], gap
+
     def units(self, chunk: str) -> list[str]:
         """The chunk cut wherever no piece can cross: its segmentations are those of its units, independently."""
         t, pairs, out, a = chunk.replace(SPACE, "￾").replace(" ", SPACE), self.pairs, [], 0
@@ -150,8 +194,8 @@ class Encoder:
         for u in self.lattice.units(" " + chunk):
             hit = known.get(u)
             if hit is None:
-                found = self.lattice.n_best(u, 2)
-                hit = known[u] = (array("i", found[0][1]), found[0][0], found[0][0] - found[1][0] if len(found) > 1 else float("inf"))
+                ids, score, second = self.lattice.best(u)
+                hit = known[u] = (array("i", ids), score, second)
             self.flat.extend(hit[0])
             total += hit[1]
             gap = min(gap, hit[2])
