@@ -57,7 +57,6 @@ class Lattice:
         self.pairs = {p[i : i + 2] for p in names for i in range(len(p) - 1)}
         self.bytes_of = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else b"" if i not in self.score else sp.id_to_piece(i).replace(SPACE, " ").encode() for i in range(size)]
         self.scores = [self.score.get(i, 0.0) for i in range(size)]
-        self.longest = max(map(len, names))
         self.lengths = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
@@ -113,7 +112,7 @@ class Lattice:
         """
         t = s.replace(SPACE, "\ufffe").replace(" ", SPACE)
         n, get, score = len(t), self.table.get, self.scores
-        best, back = [0.0] + [-1e300] * n, [(0, 0)] * (n + 1)
+        best, second, back = [0.0] + [-1e300] * n, [-1e300] * (n + 1), [(0, 0)] * (n + 1)
         for i in range(n):
             here, alone = best[i], True
             for j in range(i + 1, n + 1):
@@ -123,28 +122,29 @@ class Lattice:
                 if x >= 0:
                     v = here + score[x]
                     if v > best[j]:
-                        best[j], back[j] = v, (i, x)
+                        second[j], best[j], back[j] = best[j], v, (i, x)
+                    elif v > second[j]:
+                        second[j] = v
                     if j == i + 1:
                         alone = False
             if alone:
-                v = here + self.byte_score * len(s[i].encode("utf-8", "surrogatepass"))
-                if v > best[i + 1]:
-                    best[i + 1], back[i + 1] = v, (i, -1)
-        ids, gap, j = [], float("inf"), n
+                j, v = i + 1, here + self.byte_score * len(s[i].encode("utf-8", "surrogatepass"))
+                if v > best[j]:
+                    second[j], best[j], back[j] = best[j], v, (i, -1)
+                elif v > second[j]:
+                    second[j] = v
+        ids, gap, j = [], 1e299, n
         while j:
             i, x = back[j]
             if x < 0:
                 ids += [self.byte[b] for b in reversed(s[i].encode("utf-8", "surrogatepass"))]
             else:
                 ids.append(x)
-            for k in range(max(0, j - self.longest), j):
-                if k != i:
-                    y = get(t[k:j], -1)
-                    if y >= 0 and best[j] - best[k] - score[y] < gap:
-                        gap = best[j] - best[k] - score[y]
-            if i != j - 1 and get(t[j - 1], -1) < 0:
-                gap = min(gap, best[j] - best[j - 1] - self.byte_score * len(s[j - 1].encode("utf-8", "surrogatepass")))
+            if best[j] - second[j] < gap:
+                gap = best[j] - second[j]
             j = i
+        if gap > 1e290:
+            gap = float("inf")
         return tuple(reversed(ids)), best[n], gap
 
     def units(self, chunk: str) -> list[str]:
@@ -224,7 +224,7 @@ class Encoder:
 
     def encode(self, text: str, n: int) -> tuple[np.ndarray, list[tuple[float, list[tuple[int, tuple[int, ...]]]]]]:
         """Ids of the best segmentation, and the n best as (score, [(chunk, its ids), ...] unlike the best)."""
-        if len(self.index) > self.most or len(self.known) > self.most:
+        if len(self.index) > self.most or len(self.known) > 2 * self.most:
             self.clear()
         at = np.array(list(map(self.index.__getitem__, self.chunks(text))), dtype=np.int64)
         if not len(at):
