@@ -30,20 +30,20 @@ class ChunkEncoder:
 
     Valid for a vocabulary that lower-cases, drops white space and never joins across it (word_bpe_49k): the ids
     of a text are those of its white-space separated chunks in order. A chunk of Latin letters and marks is
-    taken apart once more. The cache starts anew at `most` chunks, so memory is bounded.
+    taken apart once more. The caches start anew at `most` chunks and twice as many words, so memory is bounded.
     """
 
-    def __init__(self, vocabulary: str, most: int = 400_000):
+    def __init__(self, vocabulary: str, most: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(vocabulary)
         size = self.lib.get_vocab_size()
         self.ends = np.array([(self.lib.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.most = most
-        self.clear()
+        self.most, self.words = most, {}
+        self.forget_chunks()
 
-    def clear(self) -> None:
+    def forget_chunks(self) -> None:
         outer = self
 
         class Index(dict):
@@ -53,7 +53,7 @@ class ChunkEncoder:
                 return i
 
         self.new: list[bytes] = []
-        self.index, self.words = Index(), {}
+        self.index = Index()
         self.flat, self.offsets = array("i"), array("q", [0])
 
     def _learn_words(self, words: list[str]) -> None:
@@ -86,8 +86,10 @@ class ChunkEncoder:
 
     def encode(self, texts: list[bytes | None], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Offsets (one more than texts) and all ids, each text's closed by `end`."""
-        if len(self.index) > self.most or len(self.words) > self.most:
-            self.clear()
+        if len(self.words) > 2 * self.most:
+            self.words = {}
+        if len(self.index) > self.most:
+            self.forget_chunks()
         get = self.index.__getitem__
         seen = [np.array(list(map(get, t.split())), dtype=np.int64) if t else np.zeros(0, np.int64) for t in texts]
         self._learn()
