@@ -1,6 +1,265 @@
-"""Named queries over the driver's tables, with DuckDB SQL that gives the same rows."""
+"""Named queries over the driver's tables, with DuckDB SQL that gives the same rows.
+
+The tables are encoded into messages first, and each query works on the bytes.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tickweave.functions.binary import scaled, scaled_exact
+from tickweave.operators import rest, sbe, schedule, sequence, symbols
+from tickweave.plans.session import fresh_path, table
+from tickweave.sources import framelog
+
+SUBSCRIBED = ["CLICK", "View", "purchase"]
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return add
+
+
+def _lines(spark, d) -> DataFrame:
+    """lineitem with integer prices and quantities."""
+    n = lambda c, k: F.round(F.col(c) * k).cast("bigint")
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", n("l_extendedprice", 100).alias("price"), n("l_quantity", 1).alias("qty"), (F.col("l_returnflag") == "R").cast("int").alias("maker"), "l_linestatus", "l_partkey", "l_suppkey")
+
+
+def trade_frames(spark, d) -> DataFrame:
+    """One trades message for each order, entries in a full order."""
+    entry = F.struct(F.col("l_linenumber").cast("bigint").alias("id"), "price", "qty", F.col("maker").alias("is_buyer_maker"))
+    rows = _lines(spark, d).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    exp = {"price_exp": F.lit(-2), "qty_exp": F.lit(0)}
+    symbol = F.concat(F.lit("SYM"), (F.col("l_orderkey") % 5).cast("string"))
+    return rows.select(F.col("l_orderkey").alias("seq"), sbe.encode(sbe.TRADES, {"event_time_us": F.col("l_orderkey"), "transact_time_us": -F.col("l_orderkey"), **exp}, {"trades": F.col("e")}, symbol).alias("payload"))
+
+
+def depth_frames(spark, d, t: sbe.Template) -> DataFrame:
+    level = F.struct("price", "qty")
+    side = lambda s: F.array_sort(F.collect_list(F.when(F.col("l_linestatus") == s, level)))
+    rows = _lines(spark, d).groupBy("l_orderkey").agg(side("O").alias("b"), side("F").alias("a"))
+    k = F.col("l_orderkey")
+    values = {"event_time_us": k * 1000, "book_update_id": k, "first_update_id": k, "last_update_id": k + 1, "price_exp": F.lit(-2), "qty_exp": F.lit(0)}
+    return rows.select(k.alias("seq"), sbe.encode(t, values, {"bids": F.col("b"), "asks": F.col("a")}, F.lit("book")).alias("payload"))
+
+
+def best_frames(spark, d) -> DataFrame:
+    v = F.round(F.col("value") * 100).cast("bigint")
+    values = {"event_time_us": F.unix_micros(F.col("ts").cast("timestamp")), "book_update_id": F.col("event_id"), "price_exp": F.lit(-2), "qty_exp": F.lit(0), "bid_price": v, "bid_qty": F.col("user_id"), "ask_price": v + 1, "ask_qty": -F.col("user_id")}
+    return table(spark, d, "events").select(F.col("event_id").alias("seq"), "event_type", sbe.encode(sbe.BEST, values, symbol=F.col("event_type")).alias("payload"))
+
+
+_SQL_LINES = "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS id, CAST(round(l_extendedprice * 100) AS BIGINT) AS price, CAST(round(l_quantity) AS BIGINT) AS qty, CAST(l_returnflag = 'R' AS INT) AS is_buyer_maker, l_linestatus FROM lineitem"
+
+
+@query("trades_by_symbol", f"SELECT 'SYM' || (l_orderkey % 5) AS symbol, count(*) AS n_trades, CAST(sum(price * qty) AS BIGINT) AS notional FROM ({_SQL_LINES}) GROUP BY 1")
+def trades_by_symbol(spark, d):
+    frames = trade_frames(spark, d).withColumn("symbol", symbols.match_heuristic(F.col("payload")))
+    t = sbe.decode(frames, sbe.TRADES).select("symbol", F.explode("trades").alias("t"))
+    return t.groupBy("symbol").agg(F.count("*").alias("n_trades"), F.sum(F.col("t.price") * F.col("t.qty")).alias("notional"))
+
+
+@query("trades_decode", f"SELECT l_orderkey AS seq, l_orderkey AS event_time_us, -l_orderkey AS transact_time_us, -2 AS price_exp, id, price, qty, is_buyer_maker, count(*) OVER (PARTITION BY l_orderkey) AS declared FROM ({_SQL_LINES})")
+def trades_decode(spark, d):
+    t = sbe.decode(trade_frames(spark, d), sbe.TRADES)
+    return t.select("seq", "event_time_us", "transact_time_us", "price_exp", F.col("declared_trades").alias("declared"), F.explode("trades").alias("t")).select("*", "t.*").drop("t")
+
+
+@query("trades_first5", f"SELECT l_orderkey AS seq, n > 5 AS has_more, CAST(pos - 1 AS INT) AS pos, price, qty FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY id, price, qty, is_buyer_maker) AS pos, count(*) OVER (PARTITION BY l_orderkey) AS n FROM ({_SQL_LINES})) WHERE pos <= 5")
+def trades_first5(spark, d):
+    return sbe.first_n(sbe.decode(trade_frames(spark, d), sbe.TRADES).select("seq", "declared_trades", "trades"), "trades").select("seq", "has_more", "pos", "entry.price", "entry.qty")
+
+
+@query("bba_decode", "SELECT event_id AS seq, epoch_us(ts) AS event_time_us, event_id AS book_update_id, -2 AS price_exp, 0 AS qty_exp, CAST(round(value * 100) AS BIGINT) AS bid_price, user_id AS bid_qty, CAST(round(value * 100) AS BIGINT) + 1 AS ask_price, -user_id AS ask_qty FROM events")
+def bba_decode(spark, d):
+    return sbe.decode(best_frames(spark, d).drop("event_type"), sbe.BEST).drop("decode_error")
+
+
+def _depth(ids: str) -> str:
+    return f"SELECT l_orderkey AS seq, l_orderkey * 1000 AS event_time_us, {ids}, CASE WHEN l_linestatus = 'O' THEN 'bid' ELSE 'ask' END AS side, price, qty, count(*) OVER (PARTITION BY l_orderkey, l_linestatus) AS declared FROM ({_SQL_LINES})"
+
+
+def _sides(rows: DataFrame, ids: list[str]) -> DataFrame:
+    one = lambda g, s: rows.select("seq", "event_time_us", *ids, F.lit(s).alias("side"), F.col(f"declared_{g}").alias("declared"), F.explode(g).alias("e"))
+    return one("bids", "bid").unionByName(one("asks", "ask")).select("*", "e.price", "e.qty").drop("e")
+
+
+@query("depth_snapshot_decode", _depth("l_orderkey AS book_update_id"))
+def depth_snapshot_decode(spark, d):
+    return _sides(sbe.decode(depth_frames(spark, d, sbe.SNAPSHOT), sbe.SNAPSHOT), ["book_update_id"])
+
+
+@query("depth_diff_decode", _depth("l_orderkey AS first_update_id, l_orderkey + 1 AS last_update_id"))
+def depth_diff_decode(spark, d):
+    return _sides(sbe.decode(depth_frames(spark, d, sbe.DIFF), sbe.DIFF), ["first_update_id", "last_update_id"])
+
+
+@query("fixed_point_scale", "SELECT o_orderkey, m * power(10.0::DOUBLE, -2::DOUBLE) AS price, (m // 100)::VARCHAR || '.' || lpad((m % 100)::VARCHAR, 2, '0') || repeat('0', 16) AS exact FROM (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS m FROM orders)")
+def fixed_point_scale(spark, d):
+    m, e = F.round(F.col("o_totalprice") * 100).cast("bigint"), F.lit(-2)
+    return table(spark, d, "orders").select("o_orderkey", scaled(m, e).alias("price"), scaled_exact(m, e).cast("string").alias("exact"))
+
+
+@query("header_dispatch", "SELECT CASE WHEN event_id % 50 = 0 THEN 'short' ELSE coalesce(list_extract(['trades', 'best_bid_ask', 'depth_snapshot', 'depth_diff'], CAST(event_id % 5 + 1 AS INT)), 'other') END AS kind, count(*) AS n FROM events GROUP BY 1")
+def header_dispatch(spark, d):
+    from tickweave.functions.binary import hex_le
+
+    e = table(spark, d, "events")
+    head = F.concat(hex_le(F.lit(0), 2), hex_le(F.col("event_id") % 5 + 10000, 2), hex_le(F.lit(1), 2), hex_le(F.lit(0), 2))
+    data = F.unhex(F.when(F.col("event_id") % 50 == 0, F.substring(head, 1, 14)).otherwise(head))
+    return e.select(data.alias("payload")).groupBy(sbe.kind(F.col("payload")).alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query("symbol_exact", "SELECT event_id AS seq, CASE WHEN lower(event_type) IN ('click', 'view', 'purchase') THEN lower(event_type) ELSE 'unknown' END AS symbol FROM events")
+def symbol_exact(spark, d):
+    return best_frames(spark, d).select("seq", symbols.match_exact(F.col("payload"), SUBSCRIBED).alias("symbol"))
+
+
+@query("symbol_heuristic", "SELECT event_id AS seq, event_type AS symbol FROM events")
+def symbol_heuristic(spark, d):
+    return best_frames(spark, d).select("seq", symbols.match_heuristic(F.col("payload")).alias("symbol"))
+
+
+@query("symbol_unknown", "SELECT lower(event_type) NOT IN ('click', 'view', 'purchase') AS unknown, count(*) AS n FROM events GROUP BY 1")
+def symbol_unknown(spark, d):
+    return symbols.route(best_frames(spark, d), SUBSCRIBED).groupBy((F.col("symbol") == "unknown").alias("unknown")).agg(F.count("*").alias("n"))
+
+
+@query("frame_validity", "SELECT coalesce(CASE WHEN o_orderkey % 50 < 5 THEN 'format' WHEN o_orderkey % 50 < 9 THEN 'sbe' END, 'good') AS class, count(*) AS n FROM (SELECT o_orderkey FROM orders) GROUP BY 1")
+def frame_validity(spark, d):
+    values = {"event_time_us": F.col("o_orderkey"), "first_update_id": F.col("o_orderkey"), "last_update_id": F.col("o_orderkey"), "price_exp": F.lit(0), "qty_exp": F.lit(0)}
+    none = F.array().cast("array<struct<price:bigint,qty:bigint>>")
+    full = sbe.encode(sbe.DIFF, values, {"bids": none, "asks": none}, F.lit("click"))
+    r = F.col("o_orderkey") % 50
+    tail = F.unhex(F.concat(F.lit("05"), F.hex(F.lit("click").cast("binary"))))
+    cut = F.when(r < 5, F.substring(full, 1, 7)).when(r < 9, F.concat(F.substring(full, 1, 20), tail)).otherwise(full)
+    rows = symbols.route(table(spark, d, "orders").select(cut.alias("payload")), SUBSCRIBED)
+    return rows.groupBy(F.coalesce("error_class", F.lit("good")).alias("class")).agg(F.count("*").alias("n"))
+
+
+def rest_frames(spark, d) -> DataFrame:
+    side = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("l_linestatus") == s, F.struct("l_linenumber", "price", "qty")))), lambda x: F.array(x["price"].cast("string"), x["qty"].cast("string")))
+    rows = _lines(spark, d).groupBy("l_orderkey").agg(side("O").alias("bids"), side("F").alias("asks"))
+    body = F.to_json(F.struct(F.col("l_orderkey").alias("lastUpdateId"), "bids", "asks"))
+    return rows.select(F.col("l_orderkey").alias("seq"), F.when(F.col("l_orderkey") % 10 == 0, F.lit('{"code": -1003, "msg": "limit"}')).when(F.col("l_orderkey") % 10 == 1, F.lit("<html>")).otherwise(body).cast("binary").alias("payload"))
+
+
+@query("rest_decode", f"SELECT l_orderkey AS seq, l_orderkey % 10 <> 1 AS valid, CASE WHEN l_orderkey % 10 > 1 THEN l_orderkey ELSE 0 END AS last_update_id, CAST(CASE WHEN l_orderkey % 10 > 1 THEN count(*) FILTER (l_linestatus = 'O') ELSE 0 END AS INT) AS n_bids, CAST(CASE WHEN l_orderkey % 10 > 1 THEN count(*) FILTER (l_linestatus = 'F') ELSE 0 END AS INT) AS n_asks FROM ({_SQL_LINES}) GROUP BY l_orderkey")
+def rest_decode(spark, d):
+    return rest.decode_rest(rest_frames(spark, d)).select("seq", "valid", F.col("last_update_id").cast("bigint").alias("last_update_id"), "n_bids", "n_asks")
+
+
+@query("rest_first5", f"SELECT l_orderkey AS seq, CAST(pos - 1 AS INT) AS pos, price::VARCHAR AS price, qty::VARCHAR AS qty FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY id, price, qty) AS pos FROM ({_SQL_LINES}) WHERE l_linestatus = 'O' AND l_orderkey % 10 > 1) WHERE pos <= 5")
+def rest_first5(spark, d):
+    return rest.decode_rest(rest_frames(spark, d)).select("seq", F.posexplode(F.slice("bids", 1, 5)).alias("pos", "x")).select("seq", "pos", F.col("x")[0].alias("price"), F.col("x")[1].alias("qty"))
+
+
+def diff_frames(spark, d) -> DataFrame:
+    """A run of updates for each event type, with a message in 97 missing."""
+    from pyspark.sql import Window
+
+    n = F.row_number().over(Window.partitionBy("event_type").orderBy("event_id")).cast("bigint")
+    rows = table(spark, d, "events").withColumn("rn", n).filter("event_id % 97 <> 0")
+    none = F.array().cast("array<struct<price:bigint,qty:bigint>>")
+    values = {"event_time_us": F.col("event_id"), "first_update_id": 3 * F.col("rn") - 2, "last_update_id": 3 * F.col("rn"), "price_exp": F.lit(0), "qty_exp": F.lit(0)}
+    return rows.select(F.col("event_id").alias("seq"), sbe.encode(sbe.DIFF, values, {"bids": none, "asks": none}, F.col("event_type")).alias("payload"))
+
+
+_SQL_DIFFS = "SELECT event_type AS symbol, event_id AS seq, 3 * rn - 2 AS first_u, 3 * rn AS last_u FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn FROM events) WHERE event_id % 97 <> 0"
+
+
+def decoded_diffs(spark, d) -> DataFrame:
+    return sbe.decode(diff_frames(spark, d).withColumn("symbol", symbols.match_heuristic(F.col("payload"))), sbe.DIFF)
+
+
+@query("gap_detect", f"SELECT symbol, seq, first_u, prev_u, prev_u + 1 AS expected_u FROM (SELECT *, lag(last_u) OVER (PARTITION BY symbol ORDER BY seq) AS prev_u FROM ({_SQL_DIFFS})) WHERE first_u <> prev_u + 1")
+def gap_detect(spark, d):
+    return sequence.gaps(decoded_diffs(spark, d))
+
+
+@query("last_update_id", f"SELECT symbol, arg_max(last_u, seq) AS last_update_id FROM ({_SQL_DIFFS}) GROUP BY 1")
+def last_update_id(spark, d):
+    return sequence.last_ids(decoded_diffs(spark, d))
+
+
+@query("throttle_admit", """
+WITH RECURSIVE c AS (SELECT user_id, event_id, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+s AS (SELECT user_id, event_id, t, rn, TRUE AS admitted, CAST(NULL AS BIGINT) AS a, t AS b FROM c WHERE rn = 1
+  UNION ALL
+  SELECT c.user_id, c.event_id, c.t, c.rn, coalesce(s.a <= c.t - 21600000000, TRUE), CASE WHEN coalesce(s.a <= c.t - 21600000000, TRUE) THEN s.b ELSE s.a END, CASE WHEN coalesce(s.a <= c.t - 21600000000, TRUE) THEN c.t ELSE s.b END
+  FROM s JOIN c ON c.user_id = s.user_id AND c.rn = s.rn + 1)
+SELECT user_id, event_id, t, admitted FROM s""")
+def throttle_admit(spark, d):
+    calls = table(spark, d, "events").select("user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
+    return sequence.admit(calls, "user_id", "t", 2, 21_600_000_000, "event_id")
+
+
+@query("rotation_files", "SELECT symbol, seq, '/log/' || symbol || '_' || strftime(max(CAST(ts AS DATE)) OVER (PARTITION BY symbol ORDER BY seq ROWS UNBOUNDED PRECEDING), '%Y%m%d') || '.zst' AS file FROM (SELECT event_type AS symbol, event_id + CASE WHEN event_id % 10 = 0 THEN 500 ELSE 0 END AS s0, event_id, ts, (event_id + CASE WHEN event_id % 10 = 0 THEN 500 ELSE 0 END) * 100000 + event_id AS seq FROM events)")
+def rotation_files(spark, d):
+    late = F.col("event_id") + F.when(F.col("event_id") % 10 == 0, 500).otherwise(0)
+    rows = table(spark, d, "events").select(F.col("event_type").alias("symbol"), "ts", (late * 100000 + F.col("event_id")).alias("seq"))
+    return schedule.rotated(rows, "/log").select("symbol", "seq", "file")
+
+
+def _written(spark, d) -> DataFrame:
+    framelog.register(spark)
+    rows = best_frames(spark, d).withColumn("symbol", symbols.match_heuristic(F.col("payload")))
+    rows = rows.select("symbol", F.lit("20240101").alias("file_date"), (F.col("seq") * 1000 + 7).alias("recv_nanos"), F.when(F.col("seq") % 10 == 0, 82).when(F.col("seq") % 10 == 1, 88).otherwise(83).alias("tag_byte"), "payload")
+    path = fresh_path(spark, "framelog").removeprefix("file://").removeprefix("file:")
+    rows.repartition("symbol", "file_date").sortWithinPartitions("symbol", "file_date", "recv_nanos").write.format("framelog").mode("append").save(path)
+    return spark.read.format("framelog").load(path)
+
+
+@query("framelog_roundtrip", "SELECT event_type AS symbol, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS seq, event_id * 1000 + 7 AS recv_nanos, CASE event_id % 10 WHEN 0 THEN 82 WHEN 1 THEN 88 ELSE 83 END AS tag_byte, event_id AS book_update_id FROM events")
+def framelog_roundtrip(spark, d):
+    rows = _written(spark, d)
+    return sbe.decode(rows.withColumn("symbol", symbols.match_heuristic(F.col("payload"))), sbe.BEST).select("symbol", "seq", "recv_nanos", "tag_byte", "book_update_id")
+
+
+@query("file_counts", "SELECT event_type || '_20240101.zst' AS file, count(*) AS total, count(*) FILTER (event_id % 10 > 1) AS sbe, count(*) FILTER (event_id % 10 = 0) AS rest FROM events GROUP BY 1")
+def file_counts(spark, d):
+    return schedule.file_counts(_written(spark, d)).withColumn("file", F.element_at(F.split("file", "/"), -1))
+
+
+@query("subscription_url", "SELECT string_agg(lower(r_name) || s.t, '/' ORDER BY r_regionkey, s.i) AS path FROM region, (VALUES (0, '@trade'), (1, '@bestBidAsk'), (2, '@depth'), (3, '@depth20')) s(i, t)")
+def subscription_url(spark, d):
+    return schedule.subscription_path(table(spark, d, "region").select("r_regionkey", F.col("r_name").alias("symbol")), "r_regionkey")
+
+
+@query("snapshot_schedule", "SELECT symbol, due FROM (SELECT unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS due FROM events), (SELECT DISTINCT upper(event_type) AS symbol FROM events)")
+def snapshot_schedule(spark, d):
+    e = table(spark, d, "events")
+    return schedule.snapshot_times(e.agg(F.min("ts").alias("start"), F.max("ts").alias("stop")), e.select(F.upper("event_type").alias("symbol")).distinct()).select("symbol", "due")
+
+
+@query("idle_sessions", "SELECT user_id, session, min(ts) AS start, max(ts) AS stop, count(*) AS n FROM (SELECT *, CAST(sum(coalesce(CAST(g > 3600000000 AS INT), 0)) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session FROM (SELECT *, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS g FROM events)) GROUP BY 1, 2")
+def idle_sessions(spark, d):
+    e = table(spark, d, "events").withColumn("t", F.col("ts").cast("timestamp"))
+    out = schedule.idle_sessions(e, "user_id", "t", 3600)
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "stop")})
+
+
+@query("backoff_schedule", "SELECT event_id, base + (event_id % (2 * (base // 4) + 1)) - base // 4 AS delay FROM (SELECT event_id, least(100 * CAST(power(2, least(event_id % 12, 7)) AS BIGINT), 10000) AS base FROM events)")
+def backoff_schedule(spark, d):
+    return table(spark, d, "events").select("event_id", schedule.backoff_ms(F.col("event_id") % 12, F.col("event_id")).alias("delay"))
+
+
+@query("reconnect_failures", "SELECT user_id, event_id, CASE WHEN run > 0 THEN place - 1 ELSE place END AS failures FROM (SELECT *, row_number() OVER (PARTITION BY user_id, run ORDER BY event_id) AS place FROM (SELECT user_id, event_id, sum(CAST(value > 30 AS INT)) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM events))")
+def reconnect_failures(spark, d):
+    out = schedule.failures_in_row(table(spark, d, "events").select("user_id", "event_id", "value"), "user_id", "event_id", "value")
+    return out.select("user_id", "event_id", F.col("failures").cast("bigint").alias("failures"))
+
+
+@query("best_lines", "SELECT event_id AS seq, 'BBA ' || event_type || ' bid=' || (m // 100) || '.' || lpad((m % 100)::VARCHAR, 2, '0') || '0000 ask=' || ((m + 1) // 100) || '.' || lpad(((m + 1) % 100)::VARCHAR, 2, '0') || '0000 t=' || epoch_us(ts) AS line FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS m FROM events)")
+def best_lines(spark, d):
+    rows = sbe.decode(best_frames(spark, d).withColumn("symbol", symbols.match_heuristic(F.col("payload"))), sbe.BEST)
+    return schedule.best_line(rows).select("seq", "line")
