@@ -67,53 +67,53 @@ def kind(data: Column) -> Column:
     h = header(data)
     out = F.when(F.length(data) < 8, "short").when(F.length(data) < 8 + h["block_length"], "other")
     for t in TEMPLATES.values():
-        out = out.when(h["template_id"] == t.id, t.name if t.block else t.name)
+        out = out.when(h["template_id"] == t.id, t.name)
     return out.otherwise("other")
 
 
-def _group(t: Template, data: Column, at: Column) -> tuple[Column, Column, Column, Column]:
-    """declared count, entries read, the entries, and the offset behind them."""
-    n = t.count_bytes
-    stride, declared = le(data, at, 2), le(data, at + 2, n)
-    first = at + 2 + n
-    step = F.lit(t.width).cast("bigint") if t.fixed_stride else stride
-    room = F.length(data) - first
-    fits = F.when(room < t.width, 0).when(step <= 0, declared).otherwise(F.expr("0") + F.floor((room - t.width) / F.greatest(step, F.lit(1))) + 1)
-    k = F.coalesce(F.least(declared, fits), F.lit(0)).cast("int")
-
-    def entry(i: Column) -> Column:
-        out, off = [], first + i * step
-        for name, w in t.entry:
-            out.append(le(data, off, abs(w), w < 0).cast("int" if abs(w) == 1 else "bigint").alias(name))
-            off = off + abs(w)
-        return F.struct(*out)
-
-    # a sequence from 0 to -1 would count down
-    indexes = F.when(k > 0, F.sequence(F.lit(0), k - 1)).otherwise(F.array().cast("array<int>"))
-    return declared, k, F.transform(indexes, entry), first + declared * step
-
-
 def decode(frames: DataFrame, t: Template, payload: str = "payload") -> DataFrame:
-    """Rows of one template: frames' other columns, fixed fields, <group> arrays, declared_<group>, decode_error.
+    """Rows of one template: frames' other columns, fixed fields, declared_<group>, <group> arrays, decode_error.
 
     Trades keep what fits, with the declared count. A depth group that is cut short is null from there on, with an error.
+    Offsets are columns of their own, one projection after the other, so that no expression holds another many times.
     """
     data = F.col(payload)
+    rest = [c for c in frames.columns if c != payload]
     rows = frames.filter(kind(data) == t.name)
-    cols, at = [], 8
+    # zero, but not deterministic: filters on decoded columns stay above it; pushed down, each level would copy the one below
+    stay = F.floor(F.rand(0) * 0).cast("bigint")
+    cols, at = {}, 8
     for name, n in t.fields:
-        cols.append(le(data, at, abs(n), n < 0).cast("int" if abs(n) == 1 else "bigint").alias(name))
+        cols[name] = le(data, at, abs(n), n < 0).cast("int" if abs(n) == 1 else "bigint")
         at += abs(n)
-    short = F.length(data) < 8 + t.block
-    errors, off = F.when(short, "block too short"), (8 + header(data)["block_length"]).cast("bigint")
+    cols["decode_error"] = F.when(F.length(data) < 8 + t.block, "block too short")
+    cols["_at"] = (8 + le(data, 0, 2)).cast("bigint") + stay
+    rows = rows.withColumns(cols)
     for g in t.groups:
-        declared, k, entries, after = _group(t, data, off)
-        ok = F.lit(True) if t.fixed_stride else errors.isNull() & (k == declared)
-        errors = F.coalesce(errors, F.when(declared.isNull() | (~F.lit(t.fixed_stride) & (k < declared)), f"{g} cut short"))
-        cols += [F.coalesce(declared, F.lit(0)).alias(f"declared_{g}"), F.when(ok, entries).alias(g)]
-        off = after
-    rest = [c for c in frames.columns if c != payload]
-    return rows.select(*rest, *cols, errors.alias("decode_error"))
+        n, declared, step, k = t.count_bytes, F.col(f"declared_{g}"), F.col("_step"), F.col("_k")
+        rows = rows.withColumns({"_step": F.lit(t.width).cast("bigint") if t.fixed_stride else le(data, F.col("_at"), 2), f"declared_{g}": le(data, F.col("_at") + 2, n), "_first": F.col("_at") + 2 + n})
+        room = F.length(data) - F.col("_first")
+        fits = F.when(room < t.width, 0).when(step <= 0, declared).otherwise(F.floor((room - t.width) / step) + 1)
+        rows = rows.withColumns({"_k": F.coalesce(F.least(declared, fits), F.lit(0)).cast("int")})
+
+        def entry(i: Column) -> Column:
+            out, off = [], F.col("_first") + i * F.col("_step")
+            for name, w in t.entry:
+                out.append(le(data, off, abs(w), w < 0).cast("int" if abs(w) == 1 else "bigint").alias(name))
+                off = off + abs(w)
+            return F.struct(*out)
+
+        error = F.col("decode_error")
+        if not t.fixed_stride:
+            error = F.coalesce(error, F.when(declared.isNull() | (k < declared), f"{g} cut short"))
+        # a sequence from 0 to -1 would count down
+        indexes = F.when(k > 0, F.sequence(F.lit(0), k - 1)).otherwise(F.array().cast("array<int>"))
+        rows = rows.withColumns({"decode_error": error})
+        entries = F.transform(indexes, entry)
+        rows = rows.withColumns({g: entries if t.fixed_stride else F.when(F.col("decode_error").isNull(), entries), "_at": F.col("_first") + declared * step + stay})
+        rows = rows.withColumn(f"declared_{g}", F.coalesce(declared, F.lit(0)))
+    groups = [c for g in t.groups for c in (f"declared_{g}", g)]
+    return rows.select(*rest, *(name for name, _ in t.fields), *groups, "decode_error")
 
 
 def first_n(frames: DataFrame, group: str, n: int = 5) -> DataFrame:

@@ -62,7 +62,7 @@ def subscription_path(symbols: DataFrame, order: str, symbol: str = "symbol") ->
 def file_counts(records: DataFrame) -> DataFrame:
     """Per file: total, sbe, rest; files whose scan ended in an error are left out."""
     bad = F.max(F.col("error").isNotNull())
-    out = records.groupBy("file").agg(F.count_if(F.col("error").isNull()).alias("total"), F.count_if("tag_byte = 83").alias("sbe"), F.count_if("tag_byte = 82").alias("rest"), bad.alias("_bad"))
+    out = records.groupBy("file").agg(F.count_if(F.col("error").isNull()).alias("total"), F.count_if(F.col("tag_byte") == 83).alias("sbe"), F.count_if(F.col("tag_byte") == 82).alias("rest"), bad.alias("_bad"))
     return out.filter("not _bad").drop("_bad")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickweave.functions.binary import scaled, scaled_exact
 from tickweave.operators import rest, sbe, schedule, sequence, symbols
-from tickweave.plans.session import fresh_path, table
+from tickweave.plans.session import fresh_path, saved, table
 from tickweave.sources import framelog
 
 SUBSCRIBED = ["CLICK", "View", "purchase"]
@@ -40,7 +40,7 @@ def trade_frames(spark, d) -> DataFrame:
     rows = _lines(spark, d).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(entry)).alias("e"))
     exp = {"price_exp": F.lit(-2), "qty_exp": F.lit(0)}
     symbol = F.concat(F.lit("SYM"), (F.col("l_orderkey") % 5).cast("string"))
-    return rows.select(F.col("l_orderkey").alias("seq"), sbe.encode(sbe.TRADES, {"event_time_us": F.col("l_orderkey"), "transact_time_us": -F.col("l_orderkey"), **exp}, {"trades": F.col("e")}, symbol).alias("payload"))
+    return saved(rows.select(F.col("l_orderkey").alias("seq"), sbe.encode(sbe.TRADES, {"event_time_us": F.col("l_orderkey"), "transact_time_us": -F.col("l_orderkey"), **exp}, {"trades": F.col("e")}, symbol).alias("payload")), "frames")
 
 
 def depth_frames(spark, d, t: sbe.Template) -> DataFrame:
@@ -49,13 +49,13 @@ def depth_frames(spark, d, t: sbe.Template) -> DataFrame:
     rows = _lines(spark, d).groupBy("l_orderkey").agg(side("O").alias("b"), side("F").alias("a"))
     k = F.col("l_orderkey")
     values = {"event_time_us": k * 1000, "book_update_id": k, "first_update_id": k, "last_update_id": k + 1, "price_exp": F.lit(-2), "qty_exp": F.lit(0)}
-    return rows.select(k.alias("seq"), sbe.encode(t, values, {"bids": F.col("b"), "asks": F.col("a")}, F.lit("book")).alias("payload"))
+    return saved(rows.select(k.alias("seq"), sbe.encode(t, values, {"bids": F.col("b"), "asks": F.col("a")}, F.lit("book")).alias("payload")), "frames")
 
 
 def best_frames(spark, d) -> DataFrame:
     v = F.round(F.col("value") * 100).cast("bigint")
     values = {"event_time_us": F.unix_micros(F.col("ts").cast("timestamp")), "book_update_id": F.col("event_id"), "price_exp": F.lit(-2), "qty_exp": F.lit(0), "bid_price": v, "bid_qty": F.col("user_id"), "ask_price": v + 1, "ask_qty": -F.col("user_id")}
-    return table(spark, d, "events").select(F.col("event_id").alias("seq"), "event_type", sbe.encode(sbe.BEST, values, symbol=F.col("event_type")).alias("payload"))
+    return saved(table(spark, d, "events").select(F.col("event_id").alias("seq"), "event_type", sbe.encode(sbe.BEST, values, symbol=F.col("event_type")).alias("payload")), "frames")
 
 
 _SQL_LINES = "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS id, CAST(round(l_extendedprice * 100) AS BIGINT) AS price, CAST(round(l_quantity) AS BIGINT) AS qty, CAST(l_returnflag = 'R' AS INT) AS is_buyer_maker, l_linestatus FROM lineitem"
@@ -150,7 +150,7 @@ def rest_frames(spark, d) -> DataFrame:
     side = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("l_linestatus") == s, F.struct("l_linenumber", "price", "qty")))), lambda x: F.array(x["price"].cast("string"), x["qty"].cast("string")))
     rows = _lines(spark, d).groupBy("l_orderkey").agg(side("O").alias("bids"), side("F").alias("asks"))
     body = F.to_json(F.struct(F.col("l_orderkey").alias("lastUpdateId"), "bids", "asks"))
-    return rows.select(F.col("l_orderkey").alias("seq"), F.when(F.col("l_orderkey") % 10 == 0, F.lit('{"code": -1003, "msg": "limit"}')).when(F.col("l_orderkey") % 10 == 1, F.lit("<html>")).otherwise(body).cast("binary").alias("payload"))
+    return saved(rows.select(F.col("l_orderkey").alias("seq"), F.when(F.col("l_orderkey") % 10 == 0, F.lit('{"code": -1003, "msg": "limit"}')).when(F.col("l_orderkey") % 10 == 1, F.lit("<html>")).otherwise(body).cast("binary").alias("payload")), "frames")
 
 
 @query("rest_decode", f"SELECT l_orderkey AS seq, l_orderkey % 10 <> 1 AS valid, CASE WHEN l_orderkey % 10 > 1 THEN l_orderkey ELSE 0 END AS last_update_id, CAST(CASE WHEN l_orderkey % 10 > 1 THEN count(*) FILTER (l_linestatus = 'O') ELSE 0 END AS INT) AS n_bids, CAST(CASE WHEN l_orderkey % 10 > 1 THEN count(*) FILTER (l_linestatus = 'F') ELSE 0 END AS INT) AS n_asks FROM ({_SQL_LINES}) GROUP BY l_orderkey")
@@ -171,7 +171,7 @@ def diff_frames(spark, d) -> DataFrame:
     rows = table(spark, d, "events").withColumn("rn", n).filter("event_id % 97 <> 0")
     none = F.array().cast("array<struct<price:bigint,qty:bigint>>")
     values = {"event_time_us": F.col("event_id"), "first_update_id": 3 * F.col("rn") - 2, "last_update_id": 3 * F.col("rn"), "price_exp": F.lit(0), "qty_exp": F.lit(0)}
-    return rows.select(F.col("event_id").alias("seq"), sbe.encode(sbe.DIFF, values, {"bids": none, "asks": none}, F.col("event_type")).alias("payload"))
+    return saved(rows.select(F.col("event_id").alias("seq"), sbe.encode(sbe.DIFF, values, {"bids": none, "asks": none}, F.col("event_type")).alias("payload")), "frames")
 
 
 _SQL_DIFFS = "SELECT event_type AS symbol, event_id AS seq, 3 * rn - 2 AS first_u, 3 * rn AS last_u FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn FROM events) WHERE event_id % 97 <> 0"

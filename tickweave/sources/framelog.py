@@ -143,4 +143,5 @@ class FrameLog(DataSource):
 
 
 def register(spark) -> None:
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(FrameLog)
