@@ -56,25 +56,38 @@ def _window_least(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[w - 1 : w - 1 + n])
 
 
-def stretches(text: bytes, length: int = LENGTH, block: int = 1 << 22) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first start, last start, anchor, anchor's gram hash) of the runs of windows with one anchor.
+def stretches(texts: list[bytes], length: int = LENGTH, block: int = 1 << 18) -> tuple[np.ndarray, ...]:
+    """(text, first start, last start, anchor, anchor's gram hash) of the runs of windows with one anchor, in each of the texts.
 
     A window of `length` bytes has as its anchor the gram in it with the least hash, the leftmost of equals: a matter of
-    its content, so equal windows have equal anchors at equal distances and meet under the gram's hash.
+    its content, so equal windows have equal anchors at equal distances and meet under the gram's hash. Runs may also be
+    cut at block ends; the texts go through as one, a block at a time, so short ones cost no calls of their own.
     """
-    n = len(text) - length + 1
+    sizes = np.array([len(t) for t in texts], np.int64)
+    stops = np.cumsum(sizes)
+    begins = stops - sizes
+    joined = np.frombuffer(b"".join(texts), np.uint8)
+    n = len(joined) - length + 1
     if n < 1:
-        return tuple(np.zeros(0, np.int64) for _ in range(3)) + (np.zeros(0, np.uint64),)
+        return (*(np.zeros(0, np.int64) for _ in range(4)), np.zeros(0, np.uint64))
+    over = np.zeros(len(joined) + 1, np.int8)  # windows that run over a text's end
+    np.add.at(over, np.maximum(begins, stops - length + 1), 1)
+    np.add.at(over, stops, -1)
+    over = np.cumsum(over[:n], dtype=np.int8)
     outs = []
     for at in range(0, n, block):
-        raw = np.frombuffer(text, np.uint8, offset=at, count=min(block + length - 1, len(text) - at))
-        h = gram_hashes(raw)
+        h = gram_hashes(joined[at : at + block + length - 1])
         ranked = (h & np.uint64(0xFFFFFFFFFF000000)) | np.arange(len(h), dtype=np.uint64)  # 40 bits of hash, then the place
         anchor = (_window_least(ranked, length - GRAM + 1) & np.uint64(0xFFFFFF)).astype(np.int64)
-        cut = np.flatnonzero(anchor[1:] != anchor[:-1])
+        out = over[at : at + block]
+        cut = np.flatnonzero((anchor[1:] != anchor[:-1]) | (out[1:] != out[:-1]))
         first, last = np.concatenate([[0], cut + 1]), np.append(cut, len(anchor) - 1)
+        whole = out[first] == 0
+        first, last = first[whole], last[whole]
         outs.append((first + at, last + at, anchor[first] + at, h[anchor[first]]))
-    return tuple(np.concatenate(x) for x in zip(*outs, strict=True))
+    first, last, anchor, key = (np.concatenate(x) for x in zip(*outs, strict=True))
+    which = np.searchsorted(stops, first, "right")
+    return which, first - begins[which], last - begins[which], anchor - begins[which], key
 
 
 def _digests(part: bytes) -> tuple[int, int]:
@@ -109,69 +122,127 @@ def _anchor_counts(docs: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for b in batches:
             for _, texts in _pieces(b.column(0), b.num_rows):
-                keys = [stretches(t, length)[3].view(np.int64) for t in texts if t]
-                keys, n = np.unique(np.concatenate(keys), return_counts=True) if keys else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+                keys, n = np.unique(stretches([t or b"" for t in texts], length)[4].view(np.int64), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["anchor", "n"])
 
     return docs.select("text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
 
 
 def _repeated_stretches(docs: DataFrame, bits, length: int) -> DataFrame:
-    """id1, id2, at, anchor, h1, h2, part: the stretches of anchors that the map has."""
+    """id1, id2, at, anchor, off (the anchor's place in the stretch), h1, h2, part: the stretches of anchors that the map has."""
 
     def run(batches):
         for b in batches:
             known = np.frombuffer(bits.value, np.uint8)
             for first, texts in _pieces(b.column(2), b.num_rows):
-                out = [[] for _ in range(7)]
-                for i, t in enumerate(texts, first):
-                    lo, hi, _, key = stretches(t or b"", length)
-                    slot = (key % np.uint64(ANCHOR_BITS)).astype(np.int64)
-                    for k in np.flatnonzero((known[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1):
-                        part = t[lo[k] : hi[k] + length]
-                        for c, v in zip(out, (b.column(0)[i].as_py(), b.column(1)[i].as_py(), int(lo[k]), int(key[k : k + 1].view(np.int64)[0]), *_digests(part), part), strict=True):
-                            c.append(v)
-                kinds = [pa.int64()] * 6 + [pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["id1", "id2", "at", "anchor", "h1", "h2", "part"])
+                which, lo, hi, anchor, key = stretches([t or b"" for t in texts], length)
+                slot = (key % np.uint64(ANCHOR_BITS)).astype(np.int64)
+                keep = np.flatnonzero((known[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
+                which, lo, hi, off, key = which[keep], lo[keep], hi[keep], (anchor - lo)[keep], key[keep].view(np.int64)
+                parts = [texts[i][x : y + length] for i, x, y in zip(which.tolist(), lo.tolist(), hi.tolist(), strict=True)]
+                digests = np.frombuffer(b"".join([hashlib.blake2b(p, digest_size=16).digest() for p in parts]), "<i8").reshape(-1, 2)
+                rows = pa.array(which + first)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(rows), b.column(1).take(rows), pa.array(lo), pa.array(key), pa.array(off), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(parts, pa.binary())],
+                    names=["id1", "id2", "at", "anchor", "off", "h1", "h2", "part"],
+                )
 
-    return docs.select("id1", "id2", "text").mapInArrow(run, "id1 long, id2 long, at long, anchor long, h1 long, h2 long, part binary")
+    return docs.select("id1", "id2", "text").mapInArrow(run, "id1 long, id2 long, at long, anchor long, off long, h1 long, h2 long, part binary")
 
 
 RANGES = "array<struct<a:long,b:long>>"
 
 
+def _shared(parts: list[bytes]) -> list[int]:
+    """For each, the longest prefix that it has in common with any other."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    out = [0] * len(parts)
+    for i, j in zip(order, order[1:]):
+        m = min(len(parts[i]), len(parts[j]))
+        differ = int.from_bytes(parts[i][:m], "big") ^ int.from_bytes(parts[j][:m], "big")
+        same = m - (differ.bit_length() + 7) // 8
+        out[i], out[j] = max(out[i], same), max(out[j], same)
+    return out
+
+
+def trimmed(rows: list[tuple], length: int) -> dict[bytes, list]:
+    """String -> [count, (h1, h2, its place in the stretch), ...] from (h1, h2, stretch, off, n) of one anchor.
+
+    A window equal to one of another stretch has its anchor at the same distance, so it lies within what the stretch shares with
+    others to the left and to the right of the anchor. The rest of the stretch can't repeat and goes.
+    """
+    if len(rows) > 1:
+        left = _shared([part[:off][::-1] for _, _, part, off, _ in rows])
+        right = _shared([part[off:] for _, _, part, off, _ in rows])
+    else:
+        left = right = [0]
+    out: dict[bytes, list] = {}
+    for (h1, h2, part, off, n), x, y in zip(rows, left, right, strict=True):
+        start, stop = (0, len(part)) if n > 1 else (off - x, off + y)
+        if stop - start >= length:
+            got = out.setdefault(part[start:stop], [0])
+            got[0] += n
+            got.append((h1, h2, start))
+    return out
+
+
 def _by_suffix_arrays(unique: DataFrame, length: int, shard_bytes: int, parts: int) -> DataFrame:
     """h1, h2, ranges (starts of repeated windows in the stretch) by a suffix array a shard; the stretches of an anchor are in one shard."""
 
     def run(batches):
         from tickweave.llm.induced import repeated_places
 
-        def shard(rows):
-            strings = [r[2] for r in rows]
-            starts, places = repeated_places(strings, length)
-            cuts = np.searchsorted(places, np.append(starts, np.iinfo(np.int64).max))
+        def marks(found):
+            """A batch of (members, starts of repeated windows)."""
             out = [[], [], []]
-            for i, (h1, h2, part, n) in enumerate(rows):
-                own = np.arange(len(part) - length + 1) if n > 1 else places[cuts[i] : cuts[i + 1]] - starts[i]
-                if len(own):
-                    for c, v in zip(out, (h1, h2, _runs(own)), strict=True):
+            for members, own in found:
+                for h1, h2, start in members:
+                    for c, v in zip(out, (h1, h2, _runs(own + start)), strict=True):
                         c.append(v)
             kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
             return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], kind)], names=["h1", "h2", "ranges"])
 
-        held, size, last = [], 0, None
-        for b in batches:
-            for anchor, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if size >= shard_bytes and anchor != last:
-                    yield shard(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[2])
-                last = anchor
+        def shard(held):
+            strings = [s for s, _ in held]
+            starts, places = repeated_places(strings, length)
+            cuts = np.searchsorted(places, np.append(starts, np.iinfo(np.int64).max))
+            found = []
+            for i, (s, (n, *members)) in enumerate(held):
+                own = np.arange(len(s) - length + 1) if n > 1 else places[cuts[i] : cuts[i + 1]] - starts[i]
+                if len(own):
+                    found.append((members, own))
+            return marks(found)
+
+        def groups():
+            rows, last = [], None
+            for b in batches:
+                for anchor, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    if rows and anchor != last:
+                        yield trimmed(rows, length)
+                        rows = []
+                    rows.append(row)
+                    last = anchor
+            if rows:
+                yield trimmed(rows, length)
+
+        held, size, alone = [], 0, []
+        for strings in groups():
+            if len(strings) > 1:
+                held += strings.items()
+                size += sum(map(len, strings))
+            else:  # nothing to compare it with
+                alone += [(members, np.arange(len(s) - length + 1)) for s, (n, *members) in strings.items() if n > 1]
+            if len(alone) >= 4096:
+                yield marks(alone)
+                alone = []
+            if size >= shard_bytes:
+                yield shard(held)
+                held, size = [], 0
+        yield marks(alone)
         if held:
             yield shard(held)
 
-    rows = unique.select("anchor", "h1", "h2", "part", "n").repartition(parts, "anchor").sortWithinPartitions("anchor")
+    rows = unique.select("anchor", "h1", "h2", "part", "off", "n").repartition(parts, "anchor").sortWithinPartitions("anchor")
     return rows.mapInArrow(run, f"h1 long, h2 long, ranges {RANGES}")
 
 
@@ -196,7 +267,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
     """docs (id1, id2 and text) that have repeated bytes: id1, id2, spans (byte ranges covered by repeated windows, merged).
 
     1. Count anchors; a bitmap of fixed size says which occur twice. 2. Stretches (windows of one such anchor, about 600 bytes)
-    are cut out; equal ones become one with a count. 3. Those of an anchor meet in a shard, whose suffix and
+    are cut out; equal ones become one with a count. 3. Those of an anchor meet in a shard, trimmed to what can repeat; its suffix and
     common-prefix arrays show the windows that stand twice. 4. Starts go back to their documents.
     """
     spark = docs.sparkSession
@@ -206,7 +277,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
     for row in bit_rows(twice).toLocalIterator():  # at most 16 MB
         bits[row[0] * 4096 : row[0] * 4096 + 4096] = bytes(row[1])
     found = saved(_repeated_stretches(docs, spark.sparkContext.broadcast(bytes(bits)), length), "op3-stretches")
-    unique = found.groupBy("anchor", "h1", "h2").agg(F.count("*").alias("n"), F.first("part").alias("part"))
+    unique = found.groupBy("anchor", "off", "h1", "h2").agg(F.count("*").alias("n"), F.first("part").alias("part"))
     hot = saved(found.select("anchor", "h1", "h2").distinct().groupBy("anchor").count().filter(F.col("count") > anchor_rows).select("anchor"), "op3-hot")
     marks = _by_suffix_arrays(unique.join(hot, "anchor", "left_anti"), length, shard_bytes, shuffle_parts(spark))
     if not hot.isEmpty():
