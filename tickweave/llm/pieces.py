@@ -32,6 +32,12 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _among(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the sorted keys hold each x, and where."""
+    at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+    return keys[at] == x, at
+
+
 class Lattice:
     """Scores, lattice and searches over a model's pieces.
 
@@ -60,6 +66,18 @@ class Lattice:
         self.lengths = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self._arrays()
+
+    def _arrays(self) -> None:
+        """The table as arrays: a step from a beginning (0 is the empty one) by a character, and the pairs."""
+        node = {"": 0} | {p: k for k, p in enumerate(self.table, 1)}
+        steps = np.array([node[p[:-1]] << 21 | ord(p[-1]) for p in self.table], np.int64)
+        order = np.argsort(steps)
+        self.steps, self.next = steps[order], (order + 1).astype(np.int64)
+        self.piece_at = np.array([-1, *self.table.values()], np.int32)
+        self.pair_keys = np.sort(np.array([ord(a) << 21 | ord(b) for a, b in self.pairs], np.int64))
+        self.score_at = np.array(self.scores)
+        self.byte_at = np.array([self.byte[b] for b in range(256)], np.int32)
 
     def edges(self, s: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
         """For each place, the pieces that end there: (start, score, ids). A space is ' ' in s."""
@@ -104,48 +122,85 @@ class Lattice:
                 heapq.heappush(heap, (-(best[i] + w + g), next(tie), i, g + w, (ids, tail)))
         return out
 
-    def best(self, s: str) -> tuple[tuple[int, ...], float, float]:
-        """Ids and score of the best segmentation, and how much the second best loses.
+    def best_of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of the best segmentations, where each chunk's end, their scores, how much each second best loses).
 
+        A forward Viterbi pass over all chunks at once, cut into units that no piece can cross, from place to place in them.
         The Viterbi scores are exact, so what A* would queue along the best path has its final score when it is
         queued: the head of the queue is the second best.
         """
-        t = s.replace(SPACE, "\ufffe").replace(" ", SPACE)
-        n, get, score = len(t), self.table.get, self.scores
-        best, second, back = [0.0] + [-1e300] * n, [-1e300] * (n + 1), [(0, 0)] * (n + 1)
-        for i in range(n):
-            here, alone = best[i], True
-            for j in range(i + 1, n + 1):
-                x = get(t[i:j])
-                if x is None:
-                    break
-                if x >= 0:
-                    v = here + score[x]
-                    if v > best[j]:
-                        second[j], best[j], back[j] = best[j], v, (i, x)
-                    elif v > second[j]:
-                        second[j] = v
-                    if j == i + 1:
-                        alone = False
-            if alone:
-                j, v = i + 1, here + self.byte_score * len(s[i].encode("utf-8", "surrogatepass"))
-                if v > best[j]:
-                    second[j], best[j], back[j] = best[j], v, (i, -1)
-                elif v > second[j]:
-                    second[j] = v
-        ids, gap, j = [], 1e299, n
-        while j:
-            i, x = back[j]
-            if x < 0:
-                ids += [self.byte[b] for b in reversed(s[i].encode("utf-8", "surrogatepass"))]
-            else:
-                ids.append(x)
-            if best[j] - second[j] < gap:
-                gap = best[j] - second[j]
-            j = i
-        if gap > 1e290:
-            gap = float("inf")
-        return tuple(reversed(ids)), best[n], gap
+        raw = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        total = len(raw)
+        chars = np.where(raw == ord(SPACE), 0xFFFE, np.where(raw == 32, ord(SPACE), raw))  # as in edges
+        ends = np.cumsum(np.array([len(c) for c in chunks], np.int64))
+        fresh = ~_among(self.pair_keys, np.concatenate([[0], chars[:-1] << 21 | chars[1:]]))[0]
+        fresh[np.append(0, ends[:-1])] = True
+        begins = np.flatnonzero(fresh)
+        stops = np.append(begins[1:], total)
+        unit = np.cumsum(fresh) - 1
+        # edges (start, length, piece or -1 for the bytes of a character)
+        live, node, edges, k = np.arange(total), np.zeros(total, np.int64), [], 0
+        while len(live):
+            found, at = _among(self.steps, node << 21 | chars[live + k])
+            if k == 0:
+                bare = np.ones(total, bool)
+                bare[live[found]] = self.piece_at[self.next[at[found]]] < 0
+                bare = np.flatnonzero(bare)
+                edges.append((bare, np.ones(len(bare), np.int64), np.full(len(bare), -1, np.int32)))
+            live, node = live[found], self.next[at[found]]
+            piece = self.piece_at[node]
+            some = piece >= 0
+            k += 1
+            edges.append((live[some], np.full(int(some.sum()), k), piece[some]))
+            inside = live + k < stops[unit[live]]
+            live, node = live[inside], node[inside]
+        start, length, piece = (np.concatenate(x) for x in zip(*edges, strict=True))
+        width = 1 + (raw >= 0x80) + (raw >= 0x800) + (raw >= 0x10000)
+        weight = np.where(piece >= 0, self.score_at[piece], self.byte_score * width[start])
+        place = start - begins[unit[start]]
+        order = np.argsort(place.astype(np.uint16) if len(place) and place.max() < 1 << 16 else place, kind="stable")  # narrow ones are sorted by radix
+        place, source, piece, weight = place[order], (start + unit[start])[order], piece[order], weight[order]
+        target = source + length[order]
+        # each unit has a place more than characters; edges from one place of all units never share a target
+        best, second = np.full(total + len(begins), -1e300), np.full(total + len(begins), -1e300)
+        back, by = np.zeros(len(best), np.int64), np.full(len(best), -1, np.int32)
+        first = begins + np.arange(len(begins))
+        best[first] = 0.0
+        cuts = np.append(np.flatnonzero(np.diff(place, prepend=-1)), len(place))
+        for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            j, v = target[x:y], best[source[x:y]] + weight[x:y]
+            was = best[j]
+            better = v > was
+            second[j] = np.where(better, was, np.maximum(second[j], v))
+            best[j] = np.maximum(was, v)
+            up = j[better]
+            back[up], by[up] = source[x:y][better], piece[x:y][better]
+        on, j, here = np.zeros(len(best), bool), stops + np.arange(len(begins)), first
+        while len(j):
+            on[j] = True
+            j = back[j]
+            going = j > here
+            j, here = j[going], here[going]
+        on = np.flatnonzero(on)
+        which = np.searchsorted(first, on, "right") - 1
+        spot = on - which - 1  # the last character of each piece
+        ids = by[on]
+        many = np.where(ids < 0, width[spot], 1)
+        until = np.cumsum(many)
+        out = np.repeat(ids, many)
+        lone = np.flatnonzero(ids < 0)
+        code, w, at = raw[spot[lone]], width[spot[lone]], (until - many)[lone]
+        lead = np.array([0, 0, 0xC0, 0xE0, 0xF0])[w]
+        for i in range(4):
+            has = w > i
+            value = (code >> (6 * (w - 1 - i)).clip(0)) & np.where(w == 1, 0x7F, 0x3F)
+            out[(at + i)[has]] = self.byte_at[(value | (lead if i == 0 else np.where(w > 1, 0x80, 0)))[has]]
+        chunk_of = np.searchsorted(ends, spot, "right")
+        firsts = np.searchsorted(chunk_of, np.arange(len(chunks)))
+        gaps = np.minimum.reduceat(best[on] - second[on], firsts)
+        unit_first = np.searchsorted(begins, np.append(0, ends[:-1]))
+        scores = np.add.reduceat(best[stops + np.arange(len(begins))], unit_first)
+        return out, until[np.append(firsts[1:], len(on)) - 1], scores, np.where(gaps > 1e290, np.inf, gaps)
 
     def units(self, chunk: str) -> list[str]:
         """The chunk cut wherever no piece can cross: its segmentations are those of its units, independently."""
@@ -176,33 +231,34 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        outer = self
-
-        class Index(dict):
-            def __missing__(self, chunk):
-                i = self[chunk] = len(self)
-                outer._learn(chunk)
-                return i
-
-        self.index, self.known = Index(), {}
+        self.index: dict[str, int] = {}
         self.flat, self.offsets, self.scores, self.gaps = array("i"), array("q", [0]), array("d"), array("d")
         self.names: list[str] = []
         self.lists: dict[int, list] = {}
 
-    def _learn(self, chunk: str) -> None:
-        total, gap, known = 0.0, float("inf"), self.known
-        for u in self.lattice.units(" " + chunk):
-            hit = known.get(u)
-            if hit is None:
-                ids, score, second = self.lattice.best(u)
-                hit = known[u] = (array("i", ids), score, second)
-            self.flat.extend(hit[0])
-            total += hit[1]
-            gap = min(gap, hit[2])
-        self.offsets.append(len(self.flat))
-        self.scores.append(total)
-        self.gaps.append(gap)
-        self.names.append(chunk)
+    def learn(self, texts: list[list[str]], at_once: int = 1 << 17) -> None:
+        """Segment the chunks that are new, about `at_once` characters at a time."""
+        new: set[str] = set()
+        for chunks in texts:
+            new.update(chunks)
+        new.difference_update(self.index)
+        held, size = [], 0
+        for c in sorted(new):
+            held.append(c)
+            size += len(c) + 1
+            if size >= at_once:
+                self._learn(held)
+                held, size = [], 0
+        if held:
+            self._learn(held)
+
+    def _learn(self, chunks: list[str]) -> None:
+        ids, ends, scores, gaps = self.lattice.best_of([" " + c for c in chunks])
+        base = len(self.flat)
+        for kept, values in ((self.flat, ids.astype(np.int32)), (self.offsets, ends + base), (self.scores, scores), (self.gaps, gaps)):
+            kept.frombytes(values.tobytes())
+        self.index.update(zip(chunks, range(len(self.names), len(self.names) + len(chunks))))
+        self.names += chunks
 
     def _alternatives(self, i: int, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """(loss, ids) of the n best of chunk i."""
@@ -222,11 +278,20 @@ class Encoder:
         words = text.split(" ")
         return words if "" not in words else [c[1:] for c in _CHUNKS.findall(" " + text)]
 
+    def encode_all(self, texts: list[str], n: int):
+        """encode() of each, the new chunks of all of them segmented together."""
+        parts = [self.chunks(t) for t in texts]
+        if len(self.index) > self.most:
+            self.clear()
+        self.learn(parts)
+        return [self._encode(p, n) for p in parts]
+
     def encode(self, text: str, n: int) -> tuple[np.ndarray, list[tuple[float, list[tuple[int, tuple[int, ...]]]]]]:
         """Ids of the best segmentation, and the n best as (score, [(chunk, its ids), ...] unlike the best)."""
-        if len(self.index) > self.most or len(self.known) > 2 * self.most:
-            self.clear()
-        at = np.array(list(map(self.index.__getitem__, self.chunks(text))), dtype=np.int64)
+        return self.encode_all([text], n)[0]
+
+    def _encode(self, chunks: list[str], n: int):
+        at = np.array(list(map(self.index.__getitem__, chunks)), dtype=np.int64)
         if not len(at):
             return np.zeros(0, np.int32), [(0.0, [])]
         flat, offsets = np.frombuffer(self.flat, np.int32), np.frombuffer(self.offsets, np.int64)
@@ -283,8 +348,7 @@ def encode_pieces(docs: DataFrame, model: str | None = None, n: int = N_BEST, te
 
         def run(texts):
             ids, exact, best = [], [], []
-            for t in texts:
-                got, nbest = enc.encode((t or b"").decode(), n)
+            for t, (got, nbest) in zip(texts, enc.encode_all([(t or b"").decode() for t in texts], n), strict=True):
                 ids.append(got)
                 exact.append(enc.lattice.decode(got) == (t or b""))
                 best.append([{"score": s, "changes": [{"chunk": c, "ids": list(x)} for c, x in ch]} for s, ch in nbest])
@@ -294,7 +358,7 @@ def encode_pieces(docs: DataFrame, model: str | None = None, n: int = N_BEST, te
 
         return run
 
-    return annotate(docs, free_name(docs, into), KIND, make, text)
+    return annotate(docs, free_name(docs, into), KIND, make, text, limit=4 << 20)
 
 
 def decode_pieces(rows: DataFrame, ids: str = "ids", into: str = "decoded", model: str | None = None) -> DataFrame:
