@@ -76,18 +76,25 @@ class Model:
 
 
 def fit(x: np.ndarray, y: np.ndarray, dims: int = DIMS) -> Model:
-    """Axes by the eigenvectors of the weighted terms' covariance (a truncated singular value decomposition)."""
+    """Axes by the eigenvectors of the weighted terms' covariance (a truncated singular value decomposition).
+
+    x may be of 16-bit floats: it is widened a block of rows at a time, so the driver holds no second copy.
+    """
     width = x.shape[1] if len(x) else TERMS
     if not len(x):
         return Model(np.zeros(width, np.float32), np.ones(width, np.float32), np.zeros((width, dims), np.float32), np.zeros((0, dims), np.float32), y, 0.5)
-    df = (x > 0).sum(0)
+    blocks = [slice(a, a + 512) for a in range(0, len(x), 512)]
+    df = sum((x[b] > 0).sum(0) for b in blocks)
     weight = np.log((1 + len(x)) / (1 + df)).astype(np.float32) + 0.3
-    mean = x.mean(0)
-    z = (x - mean) * weight
-    values, axes = np.linalg.eigh(z.T @ z)
+    mean = (sum(x[b].sum(0, dtype=np.float64) for b in blocks) / len(x)).astype(np.float32)
+    spread = np.zeros((width, width), np.float32)
+    for b in blocks:
+        z = (x[b].astype(np.float32) - mean) * weight
+        spread += z.T @ z
+    axes = np.linalg.eigh(spread)[1]
     axes = np.ascontiguousarray(axes[:, ::-1][:, :dims]).astype(np.float32)
     model = Model(mean, weight, axes, np.zeros((0, dims), np.float32), y.astype(np.float64), float(y.mean()))
-    model.vectors = model.place(x)
+    model.vectors = np.concatenate([model.place(x[b].astype(np.float32)) for b in blocks])
     return model
 
 
@@ -104,7 +111,9 @@ def labelled_terms(docs: DataFrame, labels: DataFrame, most: int) -> tuple[np.nd
 
     # repeated documents could make more rows than labels; the bound holds for rows
     got = rows.mapInArrow(run, "x binary, q double, doc string").orderBy("doc").limit(most).collect()
-    x = np.frombuffer(b"".join(bytes(r[0]) for r in got), np.float16).reshape(len(got), TERMS).astype(np.float32)
+    x = np.empty((len(got), TERMS), np.float16)
+    for i, r in enumerate(got):
+        x[i] = np.frombuffer(r[0], np.float16)
     return x, np.array([float(r[1] >= 0.5) for r in got])
 
 
