@@ -1,12 +1,10 @@
-"""File rotation, snapshot times, idle sessions, reconnect delays, subscriptions, counts, printed lines."""
+"""File rotation, snapshot times, idle sessions, reconnect delays, subscriptions, counts."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickweave.functions.binary import scaled, six_decimals
-
 #: Stream names, with $symbol in place of the symbol.
 STREAMS = ["$symbol@trade", "$symbol@bestBidAsk", "$symbol@depth", "$symbol@depth20"]
 
@@ -64,9 +62,3 @@ def file_counts(records: DataFrame) -> DataFrame:
     bad = F.max(F.col("error").isNotNull())
     out = records.groupBy("file").agg(F.count_if(F.col("error").isNull()).alias("total"), F.count_if(F.col("tag_byte") == 83).alias("sbe"), F.count_if(F.col("tag_byte") == 82).alias("rest"), bad.alias("_bad"))
     return out.filter("not _bad").drop("_bad")
-
-
-def best_line(rows: DataFrame) -> DataFrame:
-    """Printed form of best bid/ask rows."""
-    price = lambda c: six_decimals(scaled(F.col(c), F.col("price_exp")))
-    return rows.withColumn("line", F.concat(F.lit("BBA "), "symbol", F.lit(" bid="), price("bid_price"), F.lit(" ask="), price("ask_price"), F.lit(" t="), F.col("event_time_us").cast("string")))

@@ -20,15 +20,15 @@ def match_exact(data: Column, subscribed: list[str]) -> Column:
     return F.coalesce(*(F.when(tail_match(data, s), s.lower()) for s in subscribed), F.lit("unknown"))
 
 
-def match_heuristic(data: Column) -> Column:
-    """The longest tail of 2 to 19 letters, digits or _ that its length byte precedes; else 'unknown'."""
-    size = F.length(data)
+#: A length byte of 19 down to 2 and so many letters, digits or _, at the end of Latin-1 text. The earliest start is the longest.
+_TAIL = "(?:" + "|".join(rf"\x{n:02X}[0-9A-Za-z_]{{{n}}}" for n in range(19, 1, -1)) + r")\z"
 
-    def at(n: int) -> Column:
-        tail = F.substring(data, size - n + 1, F.lit(n))
-        return F.when((size > n) & (le(data, size - n - 1, 1) == n) & F.hex(tail).rlike("^(3[0-9]|[46][1-9A-F]|[57][0-9A]|5F)*$"), tail.cast("string"))
 
-    return F.coalesce(*(at(n) for n in range(19, 1, -1)), F.lit("unknown"))
+def match_heuristic(data: Column) -> Column:
+    """The longest tail of 2 to 19 letters, digits or _ that its length byte precedes; else 'unknown'."""
+    last = F.decode(F.substring(data, F.greatest(F.length(data) - 19, F.lit(1)), F.lit(20)), "ISO-8859-1")
+    found = F.regexp_extract(last, _TAIL, 0)
+    return F.when(F.length(found) > 0, F.substring(found, 2, 19)).otherwise(F.lit("unknown"))
 
 
 def route(frames: DataFrame, subscribed: list[str], payload: str = "payload") -> DataFrame:

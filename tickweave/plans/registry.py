@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.functions.binary import scaled, scaled_exact
-from tickweave.operators import rest, sbe, schedule, sequence, symbols
+from tickweave.operators import printed, rest, sbe, schedule, sequence, symbols
 from tickweave.plans.session import fresh_path, saved, table
 from tickweave.sources import framelog
 
@@ -160,7 +160,7 @@ def rest_decode(spark, d):
 
 @query("rest_first5", f"SELECT l_orderkey AS seq, CAST(pos - 1 AS INT) AS pos, price::VARCHAR AS price, qty::VARCHAR AS qty FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY id, price, qty) AS pos FROM ({_SQL_LINES}) WHERE l_linestatus = 'O' AND l_orderkey % 10 > 1) WHERE pos <= 5")
 def rest_first5(spark, d):
-    return rest.decode_rest(rest_frames(spark, d)).select("seq", F.posexplode(F.slice("bids", 1, 5)).alias("pos", "x")).select("seq", "pos", F.col("x")[0].alias("price"), F.col("x")[1].alias("qty"))
+    return rest.decode_rest(rest_frames(spark, d), first=5).select("seq", F.posexplode("bids").alias("pos", "x")).select("seq", "pos", F.col("x")[0].alias("price"), F.col("x")[1].alias("qty"))
 
 
 def diff_frames(spark, d) -> DataFrame:
@@ -259,7 +259,52 @@ def reconnect_failures(spark, d):
     return out.select("user_id", "event_id", F.col("failures").cast("bigint").alias("failures"))
 
 
-@query("best_lines", "SELECT event_id AS seq, 'BBA ' || event_type || ' bid=' || (m // 100) || '.' || lpad((m % 100)::VARCHAR, 2, '0') || '0000 ask=' || ((m + 1) // 100) || '.' || lpad(((m + 1) % 100)::VARCHAR, 2, '0') || '0000 t=' || epoch_us(ts) AS line FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS m FROM events)")
-def best_lines(spark, d):
-    rows = sbe.decode(best_frames(spark, d).withColumn("symbol", symbols.match_heuristic(F.col("payload"))), sbe.BEST)
-    return schedule.best_line(rows).select("seq", "line")
+def _printed(frames: DataFrame, tag: int = 83) -> DataFrame:
+    return printed.printed(frames.select("seq", F.col("seq").alias("recv_nanos"), F.lit(tag).alias("tag_byte"), "payload"), ["seq"])
+
+
+def _cents(c: str) -> str:
+    return f"({c} // 100)::VARCHAR || '.' || lpad(({c} % 100)::VARCHAR, 2, '0') || '0000'"
+
+
+@query("print_best", f"SELECT event_id AS seq, '[' || event_id || '] S BEST_BID_ASK ' || event_type || ' bid=' || {_cents('m')} || ' ask=' || {_cents('(m + 1)')} || ' t=' || epoch_us(ts) AS line FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS m FROM events)")
+def print_best(spark, d):
+    return _printed(best_frames(spark, d))
+
+
+@query("print_trades", f"""
+SELECT l_orderkey AS seq, '[' || l_orderkey || '] S TRADES SYM' || (l_orderkey % 5) || ' trades=' || count(*) || ' t=' || l_orderkey
+  || string_agg(CASE WHEN pos <= 5 THEN chr(10) || '  trade id=' || id || ' price=' || {_cents('price')} || ' qty=' || qty || '.000000 buyer_maker=' || is_buyer_maker ELSE '' END, '' ORDER BY pos)
+  || CASE WHEN count(*) > 5 THEN chr(10) || '  ...' ELSE '' END AS line
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY id, price, qty, is_buyer_maker) AS pos FROM ({_SQL_LINES})) GROUP BY l_orderkey""")
+def print_trades(spark, d):
+    return _printed(trade_frames(spark, d))
+
+
+def _side_lines(status: str, label: str) -> str:
+    return f"""chr(10) || '  {label} (' || count(*) FILTER (l_linestatus = '{status}') || '):' || coalesce(string_agg(chr(10) || '    ' || {_cents('price')} || ' @ ' || qty || '.000000', '' ORDER BY pos) FILTER (l_linestatus = '{status}' AND pos <= 5), '')
+  || CASE WHEN count(*) FILTER (l_linestatus = '{status}') > 5 THEN chr(10) || '    ...' ELSE '' END"""
+
+
+@query("print_depth", f"""
+SELECT l_orderkey AS seq, '[' || l_orderkey || '] S DEPTH_DIFF book t=' || (l_orderkey * 1000) || ' uid=' || l_orderkey || '-' || (l_orderkey + 1) || {_side_lines('O', 'diffBids')} || {_side_lines('F', 'diffAsks')} AS line
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY price, qty) AS pos FROM ({_SQL_LINES})) GROUP BY l_orderkey""")
+def print_depth(spark, d):
+    return _printed(depth_frames(spark, d, sbe.DIFF))
+
+
+def _json_lines(status: str, label: str) -> str:
+    return f"chr(10) || '  {label}:' || coalesce(string_agg(chr(10) || '    ' || price || ' @ ' || qty, '' ORDER BY pos) FILTER (l_linestatus = '{status}' AND pos <= 5), '')"
+
+
+@query("print_rest", f"""
+SELECT l_orderkey AS seq, '[' || l_orderkey || '] R ' || CASE l_orderkey % 10 WHEN 0 THEN 'SNAPSHOT lastUpdateId=0 bids=0 asks=0' WHEN 1 THEN '<invalid JSON>' ELSE
+  'SNAPSHOT lastUpdateId=' || l_orderkey || ' bids=' || count(*) FILTER (l_linestatus = 'O') || ' asks=' || count(*) FILTER (l_linestatus = 'F') || {_json_lines('O', 'Bids')} || {_json_lines('F', 'Asks')} END AS line
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY id, price, qty) AS pos FROM ({_SQL_LINES})) GROUP BY l_orderkey""")
+def print_rest(spark, d):
+    return _printed(rest_frames(spark, d), 82)
+
+
+@query("print_counts", "SELECT event_type || '_20240101.zst' AS file, '--- total: ' || count(*) || ' records (' || count(*) FILTER (event_id % 10 > 1) || ' SBE stream, ' || count(*) FILTER (event_id % 10 = 0) || ' REST snapshot) ---' AS line FROM events GROUP BY 1")
+def print_counts(spark, d):
+    return printed.counts_line(file_counts(spark, d)).select("file", "line")

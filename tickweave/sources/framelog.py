@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import glob
+import operator
 import os
 import struct
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 
 ROW = struct.Struct("<qBI")
 SCHEMA = "file string, seq long, recv_nanos long, tag_byte int, payload binary, error string"
@@ -41,6 +42,11 @@ def scan(path: str):
         yield path, seq, None, None, None, f"{type(e).__name__}: {e}"
 
 
+#: Comparisons that the scan applies to tag_byte and recv_nanos before rows leave Python.
+_COMPARE = {EqualTo: operator.eq, GreaterThan: operator.gt, GreaterThanOrEqual: operator.ge, LessThan: operator.lt, LessThanOrEqual: operator.le}
+_AT = {"recv_nanos": 2, "tag_byte": 3}
+
+
 @dataclass
 class _File(InputPartition):
     path: str
@@ -50,12 +56,16 @@ class FrameLogReader(DataSourceReader):
     def __init__(self, options):
         self.paths = [p for part in options.get("path", "").split(",") for p in (sorted(glob.glob(f"{part}/*.zst")) if os.path.isdir(part) else [part])]
         self.strict = options.get("mode", "PERMISSIVE").upper() == "FAILFAST"
-        self.tag = None
+        self.tests: list[tuple] = []  # place in the row, comparison, value
 
     def pushFilters(self, filters):
         for f in filters:
-            if isinstance(f, EqualTo) and f.attribute == ("tag_byte",):
-                self.tag = f.value
+            name = ".".join(getattr(f, "attribute", ()))
+            if name == "file" and isinstance(f, EqualTo | In):
+                wanted = set(f.value if isinstance(f, In) else [f.value])
+                self.paths = [p for p in self.paths if p in wanted]  # other files are not opened
+            elif type(f) in _COMPARE and name in _AT:
+                self.tests.append((_AT[name], _COMPARE[type(f)], f.value))
             yield f  # Spark looks again
 
     def partitions(self):
@@ -67,7 +77,7 @@ class FrameLogReader(DataSourceReader):
         for row in scan(partition.path):
             if row[5] and self.strict:
                 raise ValueError(f"{row[0]}: {row[5]}")
-            if self.tag is None or row[3] == self.tag or row[5]:
+            if row[5] or all(test(row[at], value) for at, test, value in self.tests):
                 yield row
 
 
