@@ -15,8 +15,14 @@ from pyspark.sql import functions as F
 from tickweave.llm.common import cells
 from tickweave.plans.session import fresh_path, ship, shuffle_parts, table
 
-#: A word of Latin letters and then ASCII marks, without ' and <: two tokenizer words that nothing joins.
-_SIMPLE = re.compile(r"([a-zà-öø-ÿ]+)([!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~]*)\Z")
+#: A line that is a word of Latin letters and then ASCII marks, without ' and <: two tokenizer words that nothing joins. Other lines give no word.
+_SIMPLE = re.compile(r"^(?:([a-zà-öø-ÿ]+)([!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~]*)|.+)$", re.MULTILINE)
+
+
+def _gather(flat: np.ndarray, starts: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of flat that begin at starts and have n items, one after the other, and where each ends."""
+    ends = np.cumsum(n)
+    return flat[np.repeat(starts - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)], ends
 
 
 def default_vocabulary() -> str:
@@ -40,9 +46,14 @@ class ChunkEncoder:
         self.lib = Tokenizer.from_file(vocabulary)
         size = self.lib.get_vocab_size()
         self.ends = np.array([(self.lib.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.most, self.words = most, {}
+        self.most = most
+        self.forget_words()
         self.forget_chunks()
 
+    def forget_words(self) -> None:
+        self.words = {"": 0}
+        self.word_flat, self.word_offsets = array("i"), array("q", [0, 0])
+
     def forget_chunks(self) -> None:
         outer = self
 
@@ -61,37 +72,44 @@ class ChunkEncoder:
             part = words[at : at + 2000]
             ids = np.array(self.lib.encode(" ".join(part), add_special_tokens=False).ids, dtype=np.int32)
             stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(part):
-                starts = np.concatenate([[0], stops[:-1]])
-                self.words.update((w, ids[a:b].tobytes()) for w, a, b in zip(part, starts, stops, strict=True))
-            else:
-                self.words.update((w, np.array(self.lib.encode(w, add_special_tokens=False).ids, dtype=np.int32).tobytes()) for w in part)
+            if len(stops) != len(part):
+                each = [self.lib.encode(w, add_special_tokens=False).ids for w in part]
+                ids, stops = np.array([i for e in each for i in e], dtype=np.int32), np.cumsum([len(e) for e in each])
+            self.words.update(zip(part, range(len(self.words), len(self.words) + len(part)), strict=True))
+            self.word_offsets.frombytes((len(self.word_flat) + stops).astype(np.int64).tobytes())
+            self.word_flat.frombytes(ids.tobytes())
 
     def _learn(self) -> None:
-        new, self.new = [c.decode("utf-8", "replace") for c in self.new], []
-        if not new:
+        """Append the ids of new chunks, put together from those of their words."""
+        if not self.new:
             return
-        split = [_SIMPLE.match(c.lower()) for c in new]
-        self._learn_words(list({w for m in split if m for w in m.groups() if w and w not in self.words}))
-        rest = iter(self.lib.encode_batch([c for c, m in zip(new, split, strict=True) if not m], add_special_tokens=False))
-        words, flat, offsets = self.words, self.flat, self.offsets
-        for m in split:
-            if m:
-                flat.frombytes(words[m[1]])
-                if m[2]:
-                    flat.frombytes(words[m[2]])
-            else:
-                flat.extend(next(rest).ids)
-            offsets.append(len(flat))
+        joined, self.new = b"\n".join(self.new).decode("utf-8", "replace"), []
+        firsts, seconds = zip(*_SIMPLE.findall(joined.lower()), strict=True)
+        chunks = joined.split("\n")
+        self._learn_words(list(set(firsts).union(seconds).difference(self.words)))
+        units = np.empty((len(chunks), 2), np.int64)
+        units[:, 0] = np.fromiter(map(self.words.__getitem__, firsts), np.int64, len(chunks))
+        units[:, 1] = np.fromiter(map(self.words.__getitem__, seconds), np.int64, len(chunks))
+        odd = np.flatnonzero(units[:, 0] == 0)
+        whole = [e.ids for e in self.lib.encode_batch([chunks[i] for i in odd.tolist()], add_special_tokens=False)]
+        # an odd chunk is one more unit, after the known words
+        lengths = np.concatenate([np.diff(np.frombuffer(self.word_offsets, np.int64)), np.array([len(w) for w in whole], np.int64)])
+        units[odd, 0] = len(self.words) + np.arange(len(odd))
+        flat = np.concatenate([np.array(self.word_flat, np.int32), np.array([i for w in whole for i in w], np.int32)])
+        starts = np.cumsum(lengths) - lengths
+        ids, ends = _gather(flat, starts[units.ravel()], lengths[units.ravel()])
+        self.offsets.frombytes((len(self.flat) + ends[1::2]).tobytes())
+        self.flat.frombytes(ids.tobytes())
 
     def encode(self, texts: list[bytes | None], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Offsets (one more than texts) and all ids, each text's closed by `end`."""
         if len(self.words) > 2 * self.most:
-            self.words = {}
+            self.forget_words()
         if len(self.index) > self.most:
             self.forget_chunks()
         get = self.index.__getitem__
-        seen = [np.array(list(map(get, t.split())), dtype=np.int64) if t else np.zeros(0, np.int64) for t in texts]
+        split = (t.split() if t else [] for t in texts)
+        seen = [np.fromiter(map(get, s), np.int64, len(s)) for s in split]
         self._learn()
         flat, offsets = np.frombuffer(self.flat, np.int32) if len(self.flat) else np.zeros(0, np.int32), np.frombuffer(self.offsets, np.int64)
         extra = int(end is not None)
@@ -102,10 +120,7 @@ class ChunkEncoder:
         flat = np.append(flat, np.int32(end or 0))
         parts = [np.append(s, unit) for s in seen] if extra else seen
         units = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        n = lengths[units]
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(starts[units] - (ends - n), n) + np.arange(total)]
+        ids, ends = _gather(flat, starts[units], lengths[units])
         unit_ends = np.concatenate([[0], ends])
         return unit_ends[np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)], ids
 
