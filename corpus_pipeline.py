@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm import decontam, exact_dedup, pieces, quality, simhash
+from tickweave.llm import decontam, exact_dedup, pieces, quality, similar
 from tickweave.llm.common import cells, free_name
 from tickweave.plans.session import saved, table
 
@@ -23,8 +23,8 @@ def keep_one_of_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the one with the smallest doc_id."""
-    return simhash.drop_near(docs)
+    """Of each group that pairs of similarity 0.8 or more link, by five-word shingles, the one with the smallest doc_id."""
+    return similar.drop_near(docs)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

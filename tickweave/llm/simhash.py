@@ -21,13 +21,13 @@ GROUP_ROWS = 8192
 TILE = 1024
 
 
-def fingerprint(text: bytes | None, k: int = SHINGLE) -> int:
-    """Signed 64 bits: bit b is set if over half of the shingles' XXH64 (seed 42) have it; 0 without words."""
+def shingle_hashes(text: bytes | None, k: int) -> np.ndarray:
+    """XXH64 (seed 42) of each k words, lower-cased; of all words if there are fewer than k."""
     import xxhash
 
     words = text.translate(LOWER_BYTES).split() if text else []
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     line, h = b" ".join(words), xxhash.xxh64_intdigest
     if len(words) < k:
         hashes = [h(line, 42)]
@@ -35,7 +35,11 @@ def fingerprint(text: bytes | None, k: int = SHINGLE) -> int:
         stops = np.cumsum([len(w) + 1 for w in words]) - 1
         starts = np.concatenate([[0], stops[:-1] + 1])
         hashes = [h(line[a:b], 42) for a, b in zip(starts[: len(words) - k + 1].tolist(), stops[k - 1 :].tolist(), strict=True)]
-    values = np.array(hashes, dtype=np.uint64)
+    return np.array(hashes, dtype=np.uint64)
+
+
+def majority(values: np.ndarray) -> int:
+    """Signed 64 bits: bit b is set if over half of the values have it; 0 without values."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(values), 1 << 16):
         bits = np.unpackbits(values[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -44,6 +48,11 @@ def fingerprint(text: bytes | None, k: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > len(values), bitorder="little").view(np.int64)[0])
 
 
+def fingerprint(text: bytes | None, k: int = SHINGLE) -> int:
+    """The majority bits of the shingles' hashes; 0 without words."""
+    return majority(shingle_hashes(text, k))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, fp of docs (doc_id, text)."""
     out = annotate(docs, "sim", T.StructType([T.StructField("fp", T.LongType())]), lambda: lambda texts: [[fingerprint(t) for t in texts]])
@@ -62,10 +71,24 @@ def components_of(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
             return label
 
 
+def ones_of(fps: np.ndarray) -> np.ndarray:
+    """Set bits of fingerprints of one word, or along the last axis of ones of more words."""
+    return np.bitwise_count(fps) if fps.ndim == 1 else np.bitwise_count(fps).sum(axis=-1, dtype=np.int64)
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    if a.ndim == 1:
+        return np.bitwise_count(a[:, None] ^ b[None])
+    out = np.zeros((len(a), len(b)), np.uint16)
+    for x, y in zip(a.T, b.T, strict=True):
+        out += np.bitwise_count(x[:, None] ^ y[None])
+    return out
+
+
 def compare_tiles(fps: np.ndarray, part: np.ndarray, radius: int, tile: int = TILE) -> np.ndarray:
     """Component labels of one group. part: the slice of each; of two slices, only rows of unlike slices are compared."""
     n, two = len(fps), len(np.unique(part)) > 1
-    ones = np.bitwise_count(fps).astype(np.int64)
+    ones = ones_of(fps).astype(np.int64)
     order = np.lexsort((ones, part))
     fps, ones, part = fps[order], ones[order], part[order]
     cuts = [(a, min(a + tile, hi)) for lo, hi in ((int(np.searchsorted(part, p)), int(np.searchsorted(part, p, "right"))) for p in np.unique(part)) for a in range(lo, hi, tile)]
@@ -76,7 +99,7 @@ def compare_tiles(fps: np.ndarray, part: np.ndarray, radius: int, tile: int = TI
                 continue
             if ones[c] - ones[b - 1] > radius or ones[a] - ones[d - 1] > radius:
                 continue  # by their bit counts alone no pair of the two tiles is within the radius
-            near = np.bitwise_count(fps[a:b, None] ^ fps[None, c:d]) <= radius
+            near = _distances(fps[a:b], fps[c:d]) <= radius
             x, y = np.nonzero(near)
             x, y = root[x + a], root[y + c]
             apart = x != y
@@ -88,7 +111,7 @@ def compare_tiles(fps: np.ndarray, part: np.ndarray, radius: int, tile: int = TI
 
 
 def _compare_batch(groups: np.ndarray, fps: np.ndarray, part: np.ndarray, radius: int, small: int = 48) -> tuple[np.ndarray, np.ndarray]:
-    """(fp, fp of its label) over whole groups (sorted); small groups are one tile each and go together."""
+    """(place, place of its label) over whole groups (sorted); small groups are one tile each and go together."""
     n = len(fps)
     stops = np.append(np.flatnonzero(np.diff(groups)) + 1, n)
     starts = np.concatenate([[0], stops[:-1]])
@@ -98,7 +121,7 @@ def _compare_batch(groups: np.ndarray, fps: np.ndarray, part: np.ndarray, radius
     tiny = np.repeat(sizes <= small, sizes)
     for d in range(1, int(min(small, sizes.max(initial=0)))):
         at = np.flatnonzero((groups[d:] == groups[:-d]) & tiny[d:])
-        near = at[np.bitwise_count(fps[at + d] ^ fps[at]) <= radius]
+        near = at[ones_of(fps[at + d] ^ fps[at]) <= radius]
         u.append(near + d)
         v.append(near)
     if u:
@@ -106,7 +129,7 @@ def _compare_batch(groups: np.ndarray, fps: np.ndarray, part: np.ndarray, radius
     for a, b in zip(starts[sizes > small], stops[sizes > small], strict=True):
         label[a:b] = a + compare_tiles(fps[a:b], part[a:b], radius)
     moved = np.flatnonzero(label != np.arange(n))
-    return fps[moved], fps[label[moved]]
+    return moved, label[moved]
 
 
 def masks(n: int, radius: int = RADIUS, full: int = GROUP_ROWS // 2) -> list[int]:
@@ -130,36 +153,49 @@ def near_links(fps: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
     Every pair within the radius meets in a group of equal masked bits. A group is compared in tiles; one of more than
     GROUP_ROWS is cut into slices by hash, and each pair of slices is a task of its own, so any group ends.
     """
-    spark = fps.sparkSession
-    ship(spark)
     keyed = fps.select("fp", F.explode(F.array(*(F.struct(F.lit(i).alias("band"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks(n, radius))))).alias("b")).select("fp", "b.band", "b.key")
+    return links_in_groups(keyed, radius)
+
+
+def links_in_groups(keyed: DataFrame, radius: int, words: DataFrame | None = None) -> DataFrame:
+    """near_links of rows fp, band, key: only fingerprints of an equal band and key are compared.
+
+    words: fp, by which a fingerprint of more words is then only named, and a column for each word.
+    """
+    spark = keyed.sparkSession
+    ship(spark)
     counts = keyed.groupBy("band", "key").count().filter("count > 1").withColumn("slices", F.when(F.col("count") > GROUP_ROWS, F.ceil(F.col("count") / (GROUP_ROWS // 2))).otherwise(1).cast("int")).drop("count")
     counts = counts.withColumn("id", F.struct("band", "key")).drop("band", "key")
     rows = salted_join(keyed.withColumn("id", F.struct("band", "key")), counts, "id", F.col("fp"), salts=4)
+    names = [c for c in words.columns if c != "fp"] if words is not None else []
+    if names:
+        rows = rows.drop("id").distinct().join(words, "fp")
     # slice p meets each other slice in a task of that pair, and itself in one of its own
     rows = rows.withColumn("part", F.pmod(F.xxhash64("fp"), F.col("slices")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-    rows = rows.select("fp", "part", "band", "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
+    rows = rows.select("fp", *names, "part", "band", "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
     task = ["band", "key", "low", "high"]
+    first = 1 + len(names)  # the column `part`
 
     def run(batches):
         held: list[np.ndarray] = []
 
-        def out(fp, part, group):
-            a, b = _compare_batch(group, fp.view(np.uint64), part, radius)
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["u", "v"])
+        def out(cols, group):
+            fps = (np.stack(cols[1:first], axis=1) if names else cols[0]).view(np.uint64)
+            a, b = _compare_batch(group, fps, cols[first], radius)
+            return pa.RecordBatch.from_arrays([pa.array(cols[0][a]), pa.array(cols[0][b])], names=["u", "v"])
 
         for batch in batches:
-            now = [batch.column(i).to_numpy() for i in range(6)]
+            now = [batch.column(i).to_numpy() for i in range(first + 5)]
             now = [np.concatenate([x, y]) for x, y in zip(held, now, strict=True)] if held else now
             if not len(now[0]):
                 continue
-            group = np.concatenate([[0], np.cumsum(np.any([x[1:] != x[:-1] for x in now[2:]], axis=0))])
+            group = np.concatenate([[0], np.cumsum(np.any([x[1:] != x[:-1] for x in now[first + 1 :]], axis=0))])
             whole = int(np.searchsorted(group, group[-1]))  # the last group may go on
             if whole:
-                yield out(now[0][:whole], now[1][:whole], group[:whole])
+                yield out([x[:whole] for x in now], group[:whole])
             held = [x[whole:].copy() for x in now]
         if held and len(held[0]):
-            yield out(held[0], held[1], np.zeros(len(held[0]), np.int64))
+            yield out(held, np.zeros(len(held[0]), np.int64))
 
     return rows.repartition(shuffle_parts(spark), *task).sortWithinPartitions(*task, "part").mapInArrow(run, "u long, v long")
 
@@ -180,12 +216,6 @@ def near_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return salted_join(rows, named, "fp", F.col("doc_id")).select("doc_id", "fp", "component_id")
 
 
-def drop_near(docs: DataFrame) -> DataFrame:
-    """docs with one document of each group: that with the smallest doc_id."""
-    gone = near_groups(cells(docs)).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-
-
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
     out = near_groups(cells(table(spark, sf_dir, "documents")))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
