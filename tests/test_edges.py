@@ -3,7 +3,7 @@ import struct
 import zstandard
 from pyspark.sql import functions as F
 
-from tickweave.operators import rest, sbe, sequence, symbols
+from tickweave.operators import rest, sbe, schedule, sequence, symbols
 from tickweave.sources import framelog
 
 
@@ -66,3 +66,10 @@ def test_frame_log_files(spark, tmp_path):
     assert by("a.zst") == [(0, 83, True), (1, 82, True), (2, 88, True)]
     assert by("b.zst") == [(0, 83, True)]
     assert by("c.zst") == [(0, 83, True), (1, None, False)]
+
+
+def test_snapshots_of_many_symbols(spark):
+    bounds = spark.sql("select timestamp'2024-01-01 00:30:00' as start, timestamp'2024-01-01 02:45:00' as stop")
+    rows = schedule.snapshot_times(bounds, spark.range(10_500).select(F.concat(F.lit("s"), "id").alias("symbol")))
+    assert rows.count() == 31_500 and rows.distinct().count() == 31_500
+    assert schedule.snapshot_times(bounds.limit(0), spark.range(3)).count() == 0

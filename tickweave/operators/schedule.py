@@ -18,8 +18,8 @@ def rotated(records: DataFrame, folder: str, symbol: str = "symbol", at: str = "
 
 def snapshot_times(bounds: DataFrame, symbols: DataFrame, every: str = "interval 1 hour") -> DataFrame:
     """bounds: one row (start, stop). A row for each symbol (symbol, ordinal) and time, in both orders."""
-    times = bounds.select(F.explode(F.expr(f"sequence(start, stop, {every})")).alias("due"))
-    return times.crossJoin(F.broadcast(symbols.limit(10_000)))  # subscriptions, not data
+    times = bounds.select(F.expr(f"sequence(start, stop, {every})").alias("_due"))
+    return symbols.crossJoin(F.broadcast(times)).withColumn("due", F.explode("_due")).drop("_due")  # one row is broadcast
 
 
 def idle_sessions(events: DataFrame, key: str, at: str, seconds: int = 60) -> DataFrame:
