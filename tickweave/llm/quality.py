@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -78,7 +79,7 @@ class Model:
 def fit(x: np.ndarray, y: np.ndarray, dims: int = DIMS) -> Model:
     """Axes by the eigenvectors of the weighted terms' covariance (a truncated singular value decomposition).
 
-    x may be of 16-bit floats: it is widened a block of rows at a time, so the driver holds no second copy.
+    x may be of 16-bit floats: it is widened a block of rows at a time, so there is no second copy.
     """
     width = x.shape[1] if len(x) else TERMS
     if not len(x):
@@ -98,23 +99,33 @@ def fit(x: np.ndarray, y: np.ndarray, dims: int = DIMS) -> Model:
     return model
 
 
-def labelled_terms(docs: DataFrame, labels: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Terms and labels of at most `most` labelled documents, those whose hashed doc_id is least."""
+def fitted(docs: DataFrame, labels: DataFrame, most: int) -> Model:
+    """The model of at most `most` labelled documents, those whose hashed doc_id is least.
+
+    Their terms (4 KB a document, so at most 34 MB) meet in one task, which fits the model; only that, some 3 MB, comes to the driver.
+    """
     picked = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.avg("quality").alias("q"))
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     rows = docs.join(F.broadcast(picked), "doc_id").select("text", "q", "doc_id")
 
-    def run(batches):
+    def weigh(batches):
         for b in batches:
             x = [terms(t).astype(np.float16).tobytes() for t in b.column(0).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(x), b.column(1), b.column(2).cast(pa.string())], names=["x", "q", "doc"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), b.column(1), b.column(2).cast(pa.string())], names=["x", "q", "doc"])
+
+    def one(batches):
+        x, y = np.empty((most, TERMS), np.float16), np.empty(most)
+        n = 0
+        for b in batches:
+            for t, q in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+                x[n], y[n] = np.frombuffer(t.as_buffer(), np.float16), float(q >= 0.5)
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(x[:n], y[:n]))], pa.binary())], names=["model"])
 
     # repeated documents could make more rows than labels; the bound holds for rows
-    got = rows.mapInArrow(run, "x binary, q double, doc string").orderBy("doc").limit(most).collect()
-    x = np.empty((len(got), TERMS), np.float16)
-    for i, r in enumerate(got):
-        x[i] = np.frombuffer(r[0], np.float16)
-    return x, np.array([float(r[1] >= 0.5) for r in got])
+    held = rows.mapInArrow(weigh, "x binary, q double, doc string").orderBy("doc", "x").limit(most)
+    got = held.select("x", "q").coalesce(1).mapInArrow(one, "model binary").collect()
+    return pickle.loads(got[0][0]) if got else fit(np.zeros((0, TERMS), np.float16), np.zeros(0))
 
 
 def classify(docs: DataFrame, labelled: DataFrame, labels: DataFrame, text: str = "text", into: str = "quality", most: int = MAX_LABELLED, k: int = NEIGHBOURS) -> DataFrame:
@@ -129,7 +140,7 @@ def classify(docs: DataFrame, labelled: DataFrame, labels: DataFrame, text: str
     """
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(fit(*labelled_terms(labelled, labels, most)))
+    shared = spark.sparkContext.broadcast(fitted(labelled, labels, most))
 
     def make():
         def run(texts):
