@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -14,8 +14,8 @@ from tickweave.plans.session import table
 
 #: Words in a window.
 WINDOW = 10
-#: Bytes of benchmark text searched (and broadcast) at a time; more is searched in further blocks.
-BLOCK_BYTES = 32 << 20
+#: Bytes of benchmark text searched at a time (what a task holds of it is some 30 times that); more is searched in further blocks.
+BLOCK_BYTES = 2 << 20
 
 
 def suffix_order(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -117,18 +117,40 @@ class FMIndex:
 
 
 class Windows:
-    """The distinct windows of a block of benchmark items, as word ids from 1, by length."""
+    """The distinct windows of a block of benchmark items, as word ids from 1, by length.
+
+    Held as arrays: all items' words in a row, a place for each distinct window, and for each the numbers of its items.
+    """
 
     def __init__(self, items: list[tuple[str, bytes | None]], window: int):
         self.ids: dict[bytes, int] = {}
-        by_length: dict[int, dict[tuple, set]] = {}
-        for item, text in items:
-            w = tuple(self.ids.setdefault(x, len(self.ids) + 1) for x in words_of(text))
+        self.names = [item for item, _ in items]
+        flat, starts, owners = array("i"), {}, {}
+        for number, (_, text) in enumerate(items):
+            w = [self.ids.setdefault(x, len(self.ids) + 1) for x in words_of(text)]
             k = min(window, len(w))
-            for a in range(len(w) - k + 1) if k else ():
-                by_length.setdefault(k, {}).setdefault(w[a : a + k], set()).add(item)
-        self.least = min(by_length, default=0)
-        self.groups = [(k, np.array(list(d), dtype=np.int64), list(d.values())) for k, d in sorted(by_length.items())]
+            if k:
+                starts.setdefault(k, []).append(np.arange(len(flat), len(flat) + len(w) - k + 1))
+                owners.setdefault(k, []).append(np.full(len(w) - k + 1, number, np.int32))
+                flat.extend(w)
+        self.flat = np.array(flat, np.int32)
+        self.least = min(starts, default=0)
+        self.groups = [(k, *self._distinct(k, np.concatenate(starts[k]), np.concatenate(owners[k]))) for k in sorted(starts)]
+
+    def _distinct(self, k: int, starts: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of each distinct window, where its items begin in the last array, numbers of items)."""
+        rank = self.flat[starts].astype(np.int64)
+        for j in range(1, k):  # windows get equal ranks if their first j + 1 words are equal
+            rank = np.unique(rank * (len(self.ids) + 1) + self.flat[starts + j], return_inverse=True)[1]
+        order = np.lexsort((owners, rank))
+        rank, owners, starts = rank[order], owners[order], starts[order]
+        fresh = np.concatenate([[True], rank[1:] != rank[:-1]])
+        once = fresh | np.concatenate([[True], owners[1:] != owners[:-1]])
+        cuts = np.append(np.cumsum(once)[fresh] - 1, once.sum())
+        return starts[fresh], cuts, owners[once]
+
+    def patterns(self, k: int, starts: np.ndarray) -> np.ndarray:
+        return self.flat[starts[:, None] + np.arange(k)].astype(np.int64)
 
 
 def _find(texts: list[list[bytes]], block: Windows) -> list[tuple[np.ndarray, set]]:
@@ -154,10 +176,10 @@ def _find(texts: list[list[bytes]], block: Windows) -> list[tuple[np.ndarray, se
     index = FMIndex(symbols, len(block.ids))
     spans: dict[int, list] = {}
     items: dict[int, set] = {}
-    for k, patterns, names in block.groups:
-        lo, hi = index.search(patterns)
+    for k, starts, bounds, owners in block.groups:
+        lo, hi = index.search(block.patterns(k, starts))
         n = hi - lo
-        which = np.repeat(np.arange(len(patterns)), n)
+        which = np.repeat(np.arange(len(starts)), n)
         rows = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
         places = index.locate(rows)
         order = np.argsort(owner[places], kind="stable")
@@ -166,7 +188,7 @@ def _find(texts: list[list[bytes]], block: Windows) -> list[tuple[np.ndarray, se
             a = where[places[some]]
             spans.setdefault(t, []).append(np.stack([a, a + k], axis=1))
             for w in set(which[some].tolist()):
-                items.setdefault(t, set()).update(names[w])
+                items.setdefault(t, set()).update(block.names[i] for i in owners[bounds[w] : bounds[w + 1]].tolist())
     return [(np.concatenate(spans[t]), items[t]) if t in spans else empty for t in range(len(texts))]
 
 
@@ -190,7 +212,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
 
     benchmark: item_id, text. Each task indexes its texts by shards of 16 MB and searches all windows of a block
     of at most block_bytes of benchmark text, which is broadcast; a longer benchmark is more blocks, each a
-    further pass in the same tasks, so what a task holds stays bounded. No document moves.
+    further pass in the same tasks. The driver and the tasks hold one block at a time; the broadcasts themselves are
+    as large as the benchmark's words, which does not grow with the documents, and go to disk. No document moves.
 
     Null and wordless texts and items have no words and no windows; a null item_id reads as ''; repeated items
     count once by id, repeated documents each get the result; empty tables give no hits.
