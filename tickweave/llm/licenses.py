@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
-from itertools import product
+from itertools import chain, groupby, product
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,8 +103,9 @@ class Scanner:
         import ahocorasick
 
         self.rules = rules()
-        self.compiled = [re.compile(b"(?<= )" + r.regex + b"(?= )") for r in self.rules]
-        self.base = [(re.compile(b"(?<= )" + p.encode() + b"(?= )"), label) for p, label in BASE.items()]
+        # a leading space as a literal lets the search skip to it
+        self.compiled = [re.compile(b" (?:" + r.regex + b")(?= )") for r in self.rules]
+        self.base = [(re.compile(b" " + p.encode() + b"(?= )"), label) for p, label in BASE.items()]
         self.machine = ahocorasick.Automaton()
         by_keyword: dict[str, list[int]] = {}
         for i, r in enumerate(self.rules):
@@ -117,19 +121,46 @@ class Scanner:
         which = sorted({i for _, some in self.machine.iter(line.decode("utf-8", "replace")) for i in some})
         if not which:
             return [], [], 0.0
-        at = lambda p: line.count(b" ", 0, p) - 1  # noqa: E731  word that starts at byte p
-        base = sorted((at(m.start()), label) for rx, label in self.base for m in rx.finditer(line))
-        found = [(m.start(), m.end(), self.rules[i]) for i in which for m in self.compiled[i].finditer(line)]
-        # by priority, then the longer, then the earlier; one that lies within a kept one, or overlaps one of a higher priority, goes
-        found.sort(key=lambda x: (-x[2].priority, x[0] - x[1], x[0], x[2].label))
-        kept: list[tuple[int, int, Rule]] = []
-        for a, b, r in found:
-            if not any(a < d and c < b and (c <= a and b <= d or k.priority > r.priority) for c, d, k in kept):
-                kept.append((a, b, r))
-        miss = 1.0
-        for label in {r.label for _, _, r in kept}:
-            miss *= 1 - 0.9 * max(r.weight for _, _, r in kept if r.label == label)
-        return base, sorted((at(a), at(b) + 1, r.label) for a, b, r in kept), 1 - miss
+        starts = np.cumsum([1, *(len(w) + 1 for w in words[:-1])])
+        at = lambda p: int(np.searchsorted(starts, p))  # noqa: E731  word that starts at byte p, or the next one
+        base = sorted((at(m.start() + 1), label) for rx, label in self.base for m in rx.finditer(line))
+        found = [(m.start() + 1, m.end(), self.rules[i]) for i in which for m in self.compiled[i].finditer(line)]
+        kept = undisputed(found)
+        best: dict[str, float] = {}
+        for _, _, r in kept:
+            best[r.label] = max(best.get(r.label, 0.0), r.weight)
+        miss = math.prod(1 - 0.9 * w for w in best.values())
+        return base, sorted((at(a), at(b), r.label) for a, b, r in kept), 1 - miss
+
+
+def undisputed(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
+    """The detections that stay, by falling priority: one goes if it overlaps a kept one of a higher priority, or lies within one
+    of its own (of equal intervals the first label stays). In time m log m: kept ones are held as disjoint sorted intervals."""
+    kept: list[tuple[int, int, Rule]] = []
+    lows: list[int] = []
+    highs: list[int] = []
+    for _, level in groupby(sorted(found, key=lambda x: (-x[2].priority, x[0], -x[1], x[2].label)), key=lambda x: x[2].priority):
+        reach, fresh = -1, []
+        for a, b, r in level:
+            i = bisect_left(highs, a + 1)  # the first kept interval that ends behind a
+            if b > reach and not (i < len(lows) and lows[i] < b):
+                fresh.append((a, b, r))
+                reach = b
+        kept += fresh
+        lows, highs = _joined(sorted(chain(zip(lows, highs, strict=True), ((a, b) for a, b, _ in fresh))))
+    return kept
+
+
+def _joined(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    lows: list[int] = []
+    highs: list[int] = []
+    for a, b in spans:
+        if highs and a < highs[-1]:
+            highs[-1] = max(highs[-1], b)
+        else:
+            lows.append(a)
+            highs.append(b)
+    return lows, highs
 
 
 KIND = T.StructType([
