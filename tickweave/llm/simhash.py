@@ -18,7 +18,7 @@ RADIUS = 3
 SHINGLE = 3
 #: Fingerprints that one task compares with each other; a larger tile group is split into slices of half of it.
 GROUP_ROWS = 8192
-TILE = 1024
+TILE = 256
 
 
 def shingle_hashes(text: bytes | None, k: int) -> np.ndarray:
@@ -111,7 +111,8 @@ def compare_tiles(fps: np.ndarray, part: np.ndarray, radius: int, tile: int = TI
 
 
 def _compare_batch(groups: np.ndarray, fps: np.ndarray, part: np.ndarray, radius: int, small: int = 48) -> tuple[np.ndarray, np.ndarray]:
-    """(place, place of its label) over whole groups (sorted); small groups are one tile each and go together."""
+    """(place, place of its label) over whole groups (sorted). A group of more than `small` is compared in tiles; the
+    others are a tile each, and go together, by the distance of two rows in it: there, too, pairs whose bit counts differ too much are skipped."""
     n = len(fps)
     stops = np.append(np.flatnonzero(np.diff(groups)) + 1, n)
     starts = np.concatenate([[0], stops[:-1]])
@@ -119,8 +120,12 @@ def _compare_batch(groups: np.ndarray, fps: np.ndarray, part: np.ndarray, radius
     label = np.arange(n)
     u, v = [], []
     tiny = np.repeat(sizes <= small, sizes)
+    ones = ones_of(fps).astype(np.int64)
     for d in range(1, int(min(small, sizes.max(initial=0)))):
         at = np.flatnonzero((groups[d:] == groups[:-d]) & tiny[d:])
+        if not len(at):
+            break
+        at = at[np.abs(ones[at + d] - ones[at]) <= radius]
         near = at[ones_of(fps[at + d] ^ fps[at]) <= radius]
         u.append(near + d)
         v.append(near)
@@ -136,15 +141,21 @@ def masks(n: int, radius: int = RADIUS, full: int = GROUP_ROWS // 2) -> list[int
     """Bit masks, as signed longs, such that two fingerprints within the radius agree on one at least.
 
     64 bits in b blocks: `radius` differing bits leave b - radius blocks alone. b grows with the number of
-    fingerprints, so that evenly spread ones would fill a group of the same masked bits to `full` at most.
+    fingerprints, so that evenly spread ones would fill a group of the same masked bits to `full` at most; of
+    the b - radius blocks only so many bits are kept that such a group is over half of that, so tiles are worth while.
     """
     for b in range(radius + 1, 2 * radius + 3):
         edges = [round(64 * i / b) for i in range(b + 1)]
-        blocks = [((1 << edges[i + 1]) - 1) ^ ((1 << edges[i]) - 1) for i in range(b)]
+        blocks = [range(edges[i], edges[i + 1]) for i in range(b)]
         bits = 64 * (b - radius) // b
         if n >> bits <= full:
             break
-    return [m - (1 << 64) if m >> 63 else m for m in (sum(c) for c in combinations(blocks, b - radius))]
+    need = min(bits, max(0, n // full).bit_length())
+    out = []
+    for chosen in combinations(blocks, b - radius):
+        mask = sum(1 << i for i in [i for c in chosen for i in c][:need])
+        out.append(mask - (1 << 64) if mask >> 63 else mask)
+    return list(dict.fromkeys(out))
 
 
 def near_links(fps: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
