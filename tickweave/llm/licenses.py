@@ -36,7 +36,7 @@ def _rule(label: str, words: str, priority: int, weight: float, keyword: str = "
 
 
 def rules() -> list[Rule]:
-    """All rules, in order. Families with versions are made from their parameters; the texts of single licenses stand plainly."""
+    """All 391 rules, in order: some 50 phrases written by hand, and families with versions or tags made from their parameters."""
     out = []
     # GNU family: name or short form, version, grant; "or later" reads before the bare name
     for (name, short), n in product([("general public license", "gpl"), ("lesser general public license", "lgpl"), ("library general public license", "lgpl"), ("affero general public license", "agpl"), ("free documentation license", "gfdl")], (1, 2, 3)):
