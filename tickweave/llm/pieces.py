@@ -61,7 +61,9 @@ class Lattice:
         self.table = {p[:n]: -1 for p in names for n in range(1, len(p))} | names
         #: pairs of characters that some piece holds; between any others every segmentation has a boundary
         self.pairs = {p[i : i + 2] for p in names for i in range(len(p) - 1)}
-        self.bytes_of = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else b"" if i not in self.score else sp.id_to_piece(i).replace(SPACE, " ").encode() for i in range(size)]
+        self.bytes_of = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.decode([i]).encode() if i not in self.score else sp.id_to_piece(i).replace(SPACE, " ").encode() for i in range(size)]
+        self.bytes_of.append("\ufffd".encode())  # what an id that the model hasn't decodes to
+        self.size = size
         self.scores = [self.score.get(i, 0.0) for i in range(size)]
         self.lengths = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
@@ -216,7 +218,8 @@ class Lattice:
         n = self.lengths[ids]
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(self.starts[ids] - (ends - n), n) + np.arange(total)].tobytes()[1:]  # without the space put first
+        out = self.flat[np.repeat(self.starts[ids] - (ends - n), n) + np.arange(total)].tobytes()
+        return out[1:] if out[:1] == b" " and int(ids[0]) in self.score else out  # without the space put first
 
 
 class Encoder:
@@ -286,8 +289,8 @@ class Encoder:
         self.learn(parts)
         return [self._encode(p, n) for p in parts]
 
-    def encode(self, text: str, n: int) -> tuple[np.ndarray, list[tuple[float, list[tuple[int, tuple[int, ...]]]]]]:
-        """Ids of the best segmentation, and the n best as (score, [(chunk, its ids), ...] unlike the best)."""
+    def encode(self, text: str, n: int) -> tuple[np.ndarray, list[tuple[float, list[tuple[int, int, tuple[int, ...]]]]]]:
+        """Ids of the best segmentation, and the n best as (score, [(start, stop, ids that replace the best's from start to stop), ...])."""
         return self.encode_all([text], n)[0]
 
     def _encode(self, chunks: list[str], n: int):
@@ -310,7 +313,9 @@ class Encoder:
         out: list[tuple[float, list]] = [(0.0, [])]
         for c in near.tolist():
             lists = self._alternatives(int(at[c]), n)
-            out = sorted(((a + loss, b + ([(c, x)] if k else [])) for a, b in out for k, (loss, x) in enumerate(lists)), key=lambda x: x[0])[:n]
+            stop = int(ends[c])
+            here = (stop - int(lengths[c]), stop)
+            out = sorted(((a + loss, b + ([(*here, x)] if k else [])) for a, b in out for k, (loss, x) in enumerate(lists)), key=lambda x: x[0])[:n]
         return ids, [(score - loss, changes) for loss, changes in out]
 
 
@@ -324,7 +329,16 @@ def encoder(model: str) -> Encoder:
     return _CACHE[model]
 
 
-_CHANGE = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+def segmentation(ids: np.ndarray, changes: list) -> np.ndarray:
+    """One of the n best as a whole: the best's ids with the changes (start, stop, ids; ascending) put in."""
+    parts, last = [], 0
+    for start, stop, new in changes:
+        parts += [ids[last:start], np.array(new, ids.dtype)]
+        last = stop
+    return np.concatenate([*parts, ids[last:]])
+
+
+_CHANGE = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 KIND = T.StructType([
     T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("exact", T.BooleanType()),
     T.StructField("n_best", T.ArrayType(T.StructType([T.StructField("score", T.DoubleType()), T.StructField("changes", T.ArrayType(_CHANGE))]))),
@@ -332,7 +346,8 @@ KIND = T.StructType([
 
 
 def encode_pieces(docs: DataFrame, model: str | None = None, n: int = N_BEST, text: str = "text", into: str = "pieces") -> DataFrame:
-    """docs with a struct: ids (best segmentation), exact (decoding gives the text back), n_best (score, and the chunks unlike the best with their ids).
+    """docs with a struct: ids (best segmentation), exact (decoding gives the text back), n_best (score, and changes: the ids that
+    replace the best's from start to stop; segmentation() puts them in, so that all n are there without n copies of what they share).
 
     A map over rows: whole texts, no row moves, memory bounded by the caches' size and one long text. Null and
     empty texts have no pieces, one segmentation of score 0, and decode to the empty text; a text with fewer than
@@ -351,7 +366,7 @@ def encode_pieces(docs: DataFrame, model: str | None = None, n: int = N_BEST, te
             for t, (got, nbest) in zip(texts, enc.encode_all([(t or b"").decode() for t in texts], n), strict=True):
                 ids.append(got)
                 exact.append(enc.lattice.decode(got) == (t or b""))
-                best.append([{"score": s, "changes": [{"chunk": c, "ids": list(x)} for c, x in ch]} for s, ch in nbest])
+                best.append([{"score": s, "changes": [{"start": a, "stop": b, "ids": list(x)} for a, b, x in ch]} for s, ch in nbest])
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32()))
             return [lists.cast(kinds["ids"]), exact, best]
@@ -362,7 +377,11 @@ def encode_pieces(docs: DataFrame, model: str | None = None, n: int = N_BEST, te
 
 
 def decode_pieces(rows: DataFrame, ids: str = "ids", into: str = "decoded", model: str | None = None) -> DataFrame:
-    """rows with the text of their piece ids; null ids decode to null, no ids to the empty text."""
+    """rows with the text of their piece ids, as the library decodes them, and without the space that encoding puts first.
+
+    Null ids decode to null, no ids to the empty text. A null id, one that the model hasn't, and bytes that are no whole UTF-8
+    character decode to U+FFFD; control pieces to nothing.
+    """
     model = model or default_model()
     at, name = rows.columns.index(ids), free_name(rows, into)
 
@@ -370,29 +389,39 @@ def decode_pieces(rows: DataFrame, ids: str = "ids", into: str = "decoded", mode
         from tickweave.llm.pieces import encoder
 
         lattice = encoder(model).lattice
+
+        def text(x):
+            held = np.array([-1 if i is None else i for i in x], np.int64)
+            return lattice.decode(np.where((held < 0) | (held >= lattice.size), lattice.size, held)).decode("utf-8", "replace")
+
         for b in batches:
-            texts = [None if x is None else lattice.decode(np.array(x, np.int64)).decode() for x in b.column(at).to_pylist()]
+            texts = [None if x is None else text(x) for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, name])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(name, T.StringType())]))
 
 
 def summarise(rows: DataFrame, *keep: str) -> DataFrame:
-    """keep, n_pieces, ids_crc32 (of the ids as little-endian 32-bit integers), score, n_best_scores, exact."""
+    """keep, n_pieces, ids_crc32 (of the ids as little-endian 32-bit integers), score, n_best_scores, n_best_crc32 (of each of the n best segmentations as a whole), exact."""
     extra = [f for f in rows.schema.fields if f.name in keep]
-    kind = T.StructType([*extra, T.StructField("n_pieces", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("n_best_scores", T.ArrayType(T.DoubleType())), T.StructField("exact", T.BooleanType())])
+    longs, doubles = T.ArrayType(T.LongType()), T.ArrayType(T.DoubleType())
+    kind = T.StructType([*extra, *(T.StructField(n, t) for n, t in (("n_pieces", T.LongType()), ("ids_crc32", T.LongType()), ("score", T.DoubleType()), ("n_best_scores", doubles), ("n_best_crc32", longs), ("exact", T.BooleanType())))])
     m = len(extra)
 
     def run(batches):
         for b in batches:
             lists = b.column(m)
             values, offsets = np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), dtype="<u4"), lists.offsets.to_numpy()
-            crc = [zlib.crc32(values[x:y]) for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
-            best = b.column(m + 1)
-            first = [x[0] for x in best.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:m], pa.array(np.diff(offsets).astype(np.int64)), pa.array(crc, pa.int64()), pa.array(first, pa.float64()), best, b.column(m + 2)], schema=None, names=[f.name for f in kind.fields])
-
-    return rows.select(*(f.name for f in extra), "pieces.ids", F.col("pieces.n_best")["score"].alias("best"), "pieces.exact").mapInArrow(run, kind)
+            scores, crcs = [], []
+            for x, y, best in zip(offsets[:-1].tolist(), offsets[1:].tolist(), b.column(m + 1).to_pylist(), strict=True):
+                own = values[x:y]
+                scores.append([s["score"] for s in best])
+                crcs.append([zlib.crc32(segmentation(own, [c.values() for c in s["changes"]]) if s["changes"] else own) for s in best])
+            arrays = [np.diff(offsets).astype(np.int64), [c[0] for c in crcs], [s[0] for s in scores], scores, crcs]
+            arrays = [pa.array(a, to_arrow_type(f.dataType)) for a, f in zip(arrays, kind.fields[m:], strict=False)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:m], *arrays, b.column(m + 2)], names=kind.names)
+
+    return rows.select(*(f.name for f in extra), "pieces.ids", "pieces.n_best", "pieces.exact").mapInArrow(run, kind)
 
 
 def op2_sentencepiece(spark, sf_dir: str) -> DataFrame:
