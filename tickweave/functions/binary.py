@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,6 +48,3 @@ def six_decimals(v: Column) -> Column:
     """Text with six decimals, rounded as the exact binary value is."""
     return F.regexp_replace(F.format_number(v, 6), ",", "")
 
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

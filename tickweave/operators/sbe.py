@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickweave.functions.binary import hex_le, le
+from tickweave.plans.session import ship
 
 # Fixed values of the wire format: template ids, field order and widths (negative: signed).
 HEADER = [("block_length", 2), ("template_id", 2), ("schema_id", 2), ("version", 2)]
@@ -71,49 +75,92 @@ def kind(data: Column) -> Column:
     return out.otherwise("other")
 
 
+def _kind(t: Template) -> T.StructType:
+    one = lambda fields: [T.StructField(n, T.IntegerType() if abs(w) == 1 else T.LongType()) for n, w in fields]
+    groups = [f for g in t.groups for f in (T.StructField(f"declared_{g}", T.LongType()), T.StructField(g, T.ArrayType(T.StructType(one(t.entry)))))]
+    return T.StructType([*one(t.fields), *groups, T.StructField("decode_error", T.StringType())])
+
+
+def _integers(flat: np.ndarray, at: np.ndarray, n: int, signed: bool) -> np.ndarray:
+    """The n-byte little-endian integers at these places of flat, all within it."""
+    return flat[at[:, None] + np.arange(n)].reshape(-1).view(f"<{'i' if signed else 'u'}{n}")
+
+
+def _fields(fields, flat: np.ndarray, at: np.ndarray, stop: np.ndarray) -> list[pa.Array]:
+    """Arrays of the fields that follow each other from `at`; null where they reach over `stop`."""
+    out = []
+    for _, n in fields:
+        over = at + abs(n) > stop
+        v = _integers(flat, np.where(over, 0, at), abs(n), n < 0)
+        out.append(pa.array(v.astype(np.int32 if abs(n) == 1 else np.int64), mask=over if over.any() else None))
+        at = at + abs(n)
+    return out
+
+
+def read_messages(t: Template, payload: pa.Array) -> pa.Array:
+    """A struct for each payload, null for null ones; fields as _kind names them.
+
+    Works on the bytes of the whole batch: each field, and each entry of all groups, is gathered at once.
+    """
+    n = len(payload)
+    payload = payload.cast(pa.binary())
+    raw = payload.buffers()
+    offsets = np.frombuffer(raw[1], np.int32, n + 1, payload.offset * 4).astype(np.int64)
+    flat = np.concatenate([np.frombuffer(raw[2], np.uint8) if raw[2] is not None else np.zeros(0, np.uint8), np.zeros(8, np.uint8)])
+    start, stop = offsets[:-1], offsets[1:]
+    null = payload.is_null().to_numpy(zero_copy_only=False)
+    arrays = _fields(t.fields, flat, start + 8, stop)
+    error = np.where(stop - start < 8 + t.block, "block too short", None).astype(object)
+    head = stop - start >= 2
+    at = np.where(head, start + 8 + _integers(flat, np.where(head, start, 0), 2, False), stop)
+    for g in t.groups:
+        c = t.count_bytes
+        has = at + 2 + c <= stop
+        declared = np.where(has, _integers(flat, np.where(has, at + 2, 0), c, False).astype(np.int64), 0)
+        step = np.full(n, t.width) if t.fixed_stride else np.where(has, _integers(flat, np.where(has, at, 0), 2, False).astype(np.int64), 0)
+        first = at + 2 + c
+        room = stop - first
+        k = np.minimum(declared, np.where(room < t.width, 0, np.where(step <= 0, declared, (room - t.width) // np.maximum(step, 1) + 1)))
+        if not t.fixed_stride:
+            short = np.equal(error, None) & (~has | (k < declared))
+            error[short] = f"{g} cut short"
+        absent = null if t.fixed_stride else ~np.equal(error, None)
+        k = np.where(absent, 0, k)
+        ends = np.cumsum(k)
+        row = np.repeat(np.arange(n), k)
+        place = first[row] + (np.arange(len(row)) - (ends - k)[row]) * step[row]
+        values = pa.StructArray.from_arrays(_fields(t.entry, flat, place, stop[row]), names=[x for x, _ in t.entry])
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), values, mask=pa.array(absent))
+        arrays += [pa.array(declared), lists]
+        at = np.where(has, first + declared * step, stop)
+    arrays.append(pa.array(error, pa.string()))
+    return pa.StructArray.from_arrays(arrays, names=_kind(t).names, mask=pa.array(null))
+
+
+def message(t: Template, data: Column) -> Column:
+    """The decoded struct of a template's payload, in Arrow batches; null for null."""
+
+    def read(payload: pa.Array) -> pa.Array:
+        from tickweave.operators.sbe import read_messages
+
+        return read_messages(t, payload)
+
+    return F.arrow_udf(read, _kind(t))(data)
+
+
 def decode(frames: DataFrame, t: Template, payload: str = "payload") -> DataFrame:
     """Rows of one template: frames' other columns, fixed fields, declared_<group>, <group> arrays, decode_error.
 
     Trades keep what fits, with the declared count. A depth group that is cut short is null from there on, with an error.
-    Offsets are columns of their own, one projection after the other, so that no expression holds another many times.
+    The message is one column: filters on other columns pass below it, and columns that nobody asks for are not read.
     """
-    data = F.col(payload)
+    ship(frames.sparkSession)
     rest = [c for c in frames.columns if c != payload]
-    rows = frames.filter(kind(data) == t.name)
-    # zero, but not deterministic: filters on decoded columns stay above it; pushed down, each level would copy the one below
-    stay = F.floor(F.rand(0) * 0).cast("bigint")
-    cols, at = {}, 8
-    for name, n in t.fields:
-        cols[name] = le(data, at, abs(n), n < 0).cast("int" if abs(n) == 1 else "bigint")
-        at += abs(n)
-    cols["decode_error"] = F.when(F.length(data) < 8 + t.block, "block too short")
-    cols["_at"] = (8 + le(data, 0, 2)).cast("bigint") + stay
-    rows = rows.withColumns(cols)
-    for g in t.groups:
-        n, declared, step, k = t.count_bytes, F.col(f"declared_{g}"), F.col("_step"), F.col("_k")
-        rows = rows.withColumns({"_step": F.lit(t.width).cast("bigint") if t.fixed_stride else le(data, F.col("_at"), 2), f"declared_{g}": le(data, F.col("_at") + 2, n), "_first": F.col("_at") + 2 + n})
-        room = F.length(data) - F.col("_first")
-        fits = F.when(room < t.width, 0).when(step <= 0, declared).otherwise(F.floor((room - t.width) / step) + 1)
-        rows = rows.withColumns({"_k": F.coalesce(F.least(declared, fits), F.lit(0)).cast("int")})
-
-        def entry(i: Column) -> Column:
-            out, off = [], F.col("_first") + i * F.col("_step")
-            for name, w in t.entry:
-                out.append(le(data, off, abs(w), w < 0).cast("int" if abs(w) == 1 else "bigint").alias(name))
-                off = off + abs(w)
-            return F.struct(*out)
-
-        error = F.col("decode_error")
-        if not t.fixed_stride:
-            error = F.coalesce(error, F.when(declared.isNull() | (k < declared), f"{g} cut short"))
-        # a sequence from 0 to -1 would count down
-        indexes = F.when(k > 0, F.sequence(F.lit(0), k - 1)).otherwise(F.array().cast("array<int>"))
-        rows = rows.withColumns({"decode_error": error})
-        entries = F.transform(indexes, entry)
-        rows = rows.withColumns({g: entries if t.fixed_stride else F.when(F.col("decode_error").isNull(), entries), "_at": F.col("_first") + declared * step + stay})
-        rows = rows.withColumn(f"declared_{g}", F.coalesce(declared, F.lit(0)))
-    groups = [c for g in t.groups for c in (f"declared_{g}", g)]
-    return rows.select(*rest, *(name for name, _ in t.fields), *groups, "decode_error")
+    held = "_message"
+    while held in rest:
+        held += "_"
+    rows = frames.filter(kind(F.col(payload)) == t.name).withColumn(held, message(t, F.col(payload)))
+    return rows.select(*rest, *(F.col(held)[n].alias(n) for n in _kind(t).names))
 
 
 def first_n(frames: DataFrame, group: str, n: int = 5) -> DataFrame:
