@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -28,9 +30,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, else one of our own (local mode only)."""
+    """The folder all executors share: spark.checkpoint.dir; in local mode, where there is one machine, a folder of our own if that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = os.path.join(tempfile.gettempdir(), "tickweave-shared")
         spark.sparkContext.setCheckpointDir(base)
         base = f"file://{base}"
@@ -54,6 +58,12 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now; it does so when the driver collects its garbage, which may be half an hour later."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
