@@ -274,18 +274,28 @@ def suffix_buckets(strings: list[bytes], depth: int, budget: int = 256 << 20, fo
     return text, starts, induce(text, is_s, runs, seeds, common, budget, folder)
 
 
-def repeated_places(strings: list[bytes], length: int, budget: int = 256 << 20) -> tuple[np.ndarray, np.ndarray]:
-    """(starts of the strings in one text, places in it) at which a substring of `length` bytes stands that also stands elsewhere."""
+def repeated_places(strings: list[bytes], length: int, budget: int = 256 << 20, docs: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(starts of the strings in one text, places in it) at which a substring of `length` bytes stands that also stands elsewhere.
+
+    docs: the strings' documents; then elsewhere means in another document.
+    """
     folder = tempfile.mkdtemp()  # scratch of this one call, as a sort's spill is
     try:
         _, starts, buckets = suffix_buckets(strings, length, budget, folder)
         room = np.array([len(s) for s in strings], dtype=np.int64)
         out = []
         for places, common in buckets:
-            long = np.flatnonzero(common >= length)
-            both = np.unique(np.concatenate([long, long - 1]))
-            places = places[both]
+            head = common < length  # the first of those that have `length` symbols in common
+            head[0] = True
+            heads = np.flatnonzero(head)
+            sizes = np.diff(np.append(heads, len(places)))
             which = np.searchsorted(starts, places, "right") - 1
+            keep = sizes > 1
+            if docs is not None:
+                d = docs[np.minimum(which, len(docs) - 1)]
+                keep &= np.minimum.reduceat(d, heads) != np.maximum.reduceat(d, heads)
+            keep = np.flatnonzero(np.repeat(keep, sizes))
+            places, which = places[keep], which[keep]
             out.append(places[(places - starts[which]) + length <= room[which]])
         return starts, np.sort(np.concatenate(out)) if out else np.zeros(0, np.int64)
     finally:

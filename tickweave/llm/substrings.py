@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tickweave.llm.common import bit_rows, cells, in_map, key_map, salted_join
-from tickweave.plans.session import saved, ship, shuffle_parts, table
+from tickweave.llm.common import LOWER_BYTES, bit_rows, cells, in_map, key_map, salted_join
+from tickweave.plans.session import release, saved, ship, shuffle_parts, table
 
 LENGTH = 400
 #: Bytes whose hash makes an anchor.
@@ -20,9 +22,14 @@ GRAM = 24
 #: Bits of the map of repeated anchors: 16 MB are broadcast at any input size.
 ANCHOR_BITS = 1 << 27
 #: Text that one suffix array holds; its arrays take some 100 bytes a byte.
-SHARD_BYTES = 2 << 20
-#: Distinct stretches of one anchor that one shard takes; those of an anchor with more are compared by windows, spread over all tasks.
-ANCHOR_ROWS = 4096
+SHARD_BYTES = 1 << 20
+#: Distinct stretches of one anchor that one shard takes; an anchor with more is split by longer contexts.
+ANCHOR_ROWS = 1024
+#: Windows in a stretch whose anchors are equal grams (text with a period), at most; more are further stretches.
+PERIODIC = 2048
+#: Words of a passage, and of the grams that anchor it.
+PASSAGE_WORDS = 50
+PASSAGE_GRAM = 5
 
 
 def gram_hashes(raw: np.ndarray, k: int = GRAM) -> np.ndarray:
@@ -56,11 +63,12 @@ def _window_least(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[w - 1 : w - 1 + n])
 
 
-def stretches(texts: list[bytes], length: int = LENGTH, block: int = 1 << 18) -> tuple[np.ndarray, ...]:
-    """(text, first start, last start, anchor, anchor's gram hash) of the runs of windows with one anchor, in each of the texts.
+def stretches(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, merge: bool = True, block: int = 1 << 18) -> tuple[np.ndarray, ...]:
+    """(text, first start, last start, anchor's place after the first start, anchor's gram hash) of the runs of windows with one anchor, in each of the texts.
 
     A window of `length` bytes has as its anchor the gram in it with the least hash, the leftmost of equals: a matter of
-    its content, so equal windows have equal anchors at equal distances and meet under the gram's hash. Runs may also be
+    its content, so equal windows have equal anchors at equal distances and meet under the gram's hash. Runs that follow each other
+    with equal grams, as in text with a period, are merged to PERIODIC windows, with -1 for the place. Runs may also be
     cut at block ends; the texts go through as one, a block at a time, so short ones cost no calls of their own.
     """
     sizes = np.array([len(t) for t in texts], np.int64)
@@ -76,23 +84,88 @@ def stretches(texts: list[bytes], length: int = LENGTH, block: int = 1 << 18) ->
     over = np.cumsum(over[:n], dtype=np.int8)
     outs = []
     for at in range(0, n, block):
-        h = gram_hashes(joined[at : at + block + length - 1])
+        h = gram_hashes(joined[at : at + block + length - 1], gram)
         ranked = (h & np.uint64(0xFFFFFFFFFF000000)) | np.arange(len(h), dtype=np.uint64)  # 40 bits of hash, then the place
-        anchor = (_window_least(ranked, length - GRAM + 1) & np.uint64(0xFFFFFF)).astype(np.int64)
+        anchor = (_window_least(ranked, length - gram + 1) & np.uint64(0xFFFFFF)).astype(np.int64)
         out = over[at : at + block]
         cut = np.flatnonzero((anchor[1:] != anchor[:-1]) | (out[1:] != out[:-1]))
         first, last = np.concatenate([[0], cut + 1]), np.append(cut, len(anchor) - 1)
         whole = out[first] == 0
         first, last = first[whole], last[whole]
-        outs.append((first + at, last + at, anchor[first] + at, h[anchor[first]]))
-    first, last, anchor, key = (np.concatenate(x) for x in zip(*outs, strict=True))
+        key = h[anchor[first]]
+        off = anchor[first] - first
+        if merge and len(first):
+            follows = np.concatenate([[False], (first[1:] == last[:-1] + 1) & (key[1:] == key[:-1])])
+            chain = np.maximum.accumulate(np.where(follows, 0, np.arange(len(first))))  # each run's first of its chain
+            part = (first - first[chain]) // PERIODIC
+            head = ~follows | np.concatenate([[True], part[1:] != part[:-1]])
+            heads = np.flatnonzero(head)
+            many = np.diff(np.append(heads, len(first))) > 1
+            last = last[np.append(heads[1:], len(first)) - 1]
+            first, key, off = first[heads], key[heads], np.where(many, -1, off[heads])
+        outs.append((first + at, last + at, off, key))
+    first, last, off, key = (np.concatenate(x) for x in zip(*outs, strict=True))
     which = np.searchsorted(stops, first, "right")
-    return which, first - begins[which], last - begins[which], anchor - begins[which], key
+    return which, first - begins[which], last - begins[which], off, key
 
 
-def _digests(part: bytes) -> tuple[int, int]:
-    d = hashlib.blake2b(part, digest_size=16).digest()
-    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+def word_symbols(texts: list[bytes], block: int = 1 << 20) -> list[bytes]:
+    """Each text as 16 bits of hash for each of its words (A-Z lower-cased; what is not white space or control characters).
+
+    Blocks are cut at white space, so memory is bounded but for a single word.
+    """
+    out = []
+    held, size = [], 0
+    for t in texts:
+        t = t.translate(LOWER_BYTES)
+        if len(t) <= block:
+            held.append(t)
+            size += len(t)
+            if size >= block:
+                out += _word_symbols(held)
+                held, size = [], 0
+            continue
+        out += _word_symbols(held)
+        held, size, own, a = [], 0, [], 0
+        while a < len(t):
+            gap = _GAP.search(t, a + block) if a + block < len(t) else None
+            b = gap.start() if gap else len(t)
+            own += _word_symbols([t[a:b]])
+            a = b
+        out.append(b"".join(own))
+    return out + _word_symbols(held)
+
+
+_GAP = re.compile(rb"[\x00-\x20]")
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, n at least."""
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            _POWERS[i] = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n + n // 2, base, np.uint64)]))
+    return _POWERS[0], _POWERS[1]
+
+
+def _word_symbols(texts: list[bytes]) -> list[bytes]:
+    raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    power, inverse = _powers(len(raw))
+    inside = raw > 32
+    edges = np.flatnonzero(np.diff(inside, prepend=False))
+    start, stop = edges[::2], edges[1::2]
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[: len(raw)], dtype=np.uint64)])
+    h = (total[stop] - total[start]) * inverse[start]
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    symbols = (h >> np.uint64(48)).astype("<u2")
+    ends = np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]))
+    return [symbols[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)] if texts else []
+
+
+def _bytes(texts: list[bytes]) -> list[bytes]:
+    return texts
 
 
 def _merge(a: np.ndarray, b: np.ndarray) -> list[list[int]]:
@@ -118,39 +191,72 @@ def _pieces(column: pa.Array, count: int, limit: int = 4 << 20):
         yield at, column.slice(at, step).cast(pa.binary()).to_pylist()
 
 
-def _anchor_counts(docs: DataFrame, length: int) -> DataFrame:
+def _anchor_counts(docs: DataFrame, length: int, gram: int, symbols) -> DataFrame:
+    """anchor, n: stretches with this anchor; a stretch with a period, which may repeat in itself, counts twice."""
+
     def run(batches):
         for b in batches:
             for _, texts in _pieces(b.column(0), b.num_rows):
-                keys, n = np.unique(stretches([t or b"" for t in texts], length)[4].view(np.int64), return_counts=True)
+                off, key = stretches(symbols([t or b"" for t in texts]), length, gram)[3:]
+                keys, place = np.unique(key.view(np.int64), return_inverse=True)
+                n = np.bincount(place, weights=1 + (off < 0), minlength=len(keys))
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["anchor", "n"])
 
     return docs.select("text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
 
 
-def _repeated_stretches(docs: DataFrame, bits, length: int) -> DataFrame:
-    """id1, id2, at, anchor, off (the anchor's place in the stretch), h1, h2, part: the stretches of anchors that the map has."""
+_FOUND = "id1 long, id2 long, at long, anchor long, off long, h1 long, h2 long, n long, low long, high long, part binary"
+
+
+def _repeated_stretches(docs: DataFrame, bits, length: int, gram: int, symbols) -> DataFrame:
+    """_FOUND: the stretches of anchors that the map has, one a row.
+
+    Of equal ones in a piece of a batch the first has their count n, and the least and largest id1 of their documents; the others have
+    n 0. Only the first in a batch has the text, so that copies don't carry it.
+    """
 
     def run(batches):
         for b in batches:
             known = np.frombuffer(bits.value, np.uint8)
+            seen: set[bytes] = set()
             for first, texts in _pieces(b.column(2), b.num_rows):
-                which, lo, hi, anchor, key = stretches([t or b"" for t in texts], length)
+                texts = symbols([t or b"" for t in texts])
+                which, lo, hi, off, key = stretches(texts, length, gram)
                 slot = (key % np.uint64(ANCHOR_BITS)).astype(np.int64)
                 keep = np.flatnonzero((known[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
-                which, lo, hi, off, key = which[keep], lo[keep], hi[keep], (anchor - lo)[keep], key[keep].view(np.int64)
+                which, lo, hi, off, key = which[keep], lo[keep], hi[keep], off[keep], key[keep].view(np.int64)
                 parts = [texts[i][x : y + length] for i, x, y in zip(which.tolist(), lo.tolist(), hi.tolist(), strict=True)]
-                digests = np.frombuffer(b"".join([hashlib.blake2b(p, digest_size=16).digest() for p in parts]), "<i8").reshape(-1, 2)
+                names = [hashlib.blake2b(p, digest_size=16).digest() for p in parts]
+                digests = np.frombuffer(b"".join(names), "<i8").reshape(-1, 2)
                 rows = pa.array(which + first)
+                doc = b.column(0).take(rows)
+                # equal digests side by side, the earliest first
+                ids = doc.to_numpy()
+                order = np.lexsort((np.arange(len(digests)), off, digests[:, 1], digests[:, 0]))
+                d = digests[order]
+                head = np.concatenate([[True], (d[1:] != d[:-1]).any(1) | (off[order][1:] != off[order][:-1])])[: len(d)]
+                heads = np.flatnonzero(head)
+                n, low, high = (np.zeros(len(d), np.int64) for _ in range(3))
+                if len(d):
+                    at = order[heads]
+                    n[at] = np.diff(np.append(heads, len(d)))
+                    low[at], high[at] = np.minimum.reduceat(ids[order], heads), np.maximum.reduceat(ids[order], heads)
+                held: list[bytes | None] = [None] * len(parts)
+                for i in np.flatnonzero(n).tolist():
+                    if names[i] not in seen:
+                        seen.add(names[i])
+                        held[i] = parts[i]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(rows), b.column(1).take(rows), pa.array(lo), pa.array(key), pa.array(off), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(parts, pa.binary())],
-                    names=["id1", "id2", "at", "anchor", "off", "h1", "h2", "part"],
+                    [doc, b.column(1).take(rows), pa.array(lo), pa.array(key), pa.array(off), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(n), pa.array(low), pa.array(high), pa.array(held, pa.binary())],
+                    names=[x.split()[0] for x in _FOUND.split(", ")],
                 )
 
-    return docs.select("id1", "id2", "text").mapInArrow(run, "id1 long, id2 long, at long, anchor long, off long, h1 long, h2 long, part binary")
+    return docs.select("id1", "id2", "text").mapInArrow(run, _FOUND)
 
 
 RANGES = "array<struct<a:long,b:long>>"
+#: A stretch that goes to a shard: its name (h1, h2), where in the named one it stands, its anchor's place, count and documents, its text.
+_ROW = "anchor long, off long, h1 long, h2 long, shifts array<long>, n long, low long, high long, part binary"
 
 
 def _shared(parts: list[bytes]) -> list[int]:
@@ -165,168 +271,224 @@ def _shared(parts: list[bytes]) -> list[int]:
     return out
 
 
-def trimmed(rows: list[tuple], length: int) -> dict[bytes, list]:
-    """String -> [count, (h1, h2, its place in the stretch), ...] from (h1, h2, stretch, off, n) of one anchor.
+def trimmed(rows: list[list], length: int) -> dict[bytes, list]:
+    """String -> [count, least and largest document, (h1, h2, its place in the stretch), ...] of one anchor's distinct stretches (columns _ROW but the anchor).
 
     A window equal to one of another stretch has its anchor at the same distance, so it lies within what the stretch shares with
-    others to the left and to the right of the anchor. The rest of the stretch can't repeat and goes.
+    others to the left and to the right of the anchor. The rest of the stretch can't repeat and goes, unless a stretch
+    with a period, in which windows have different anchors, is among them. A lone stretch that was counted once and has no period goes.
     """
-    if len(rows) > 1:
-        left = _shared([part[:off][::-1] for _, _, part, off, _ in rows])
-        right = _shared([part[off:] for _, _, part, off, _ in rows])
-    else:
-        left = right = [0]
+    periodic = any(r[0] < 0 for r in rows)
+    if len(rows) == 1 and rows[0][4] < 2 and not periodic:
+        return {}
+    left = right = [0] * len(rows)
+    if not periodic and len(rows) > 1:
+        left = _shared([r[7][: r[0]][::-1] for r in rows])
+        right = _shared([r[7][r[0] :] for r in rows])
     out: dict[bytes, list] = {}
-    for (h1, h2, part, off, n), x, y in zip(rows, left, right, strict=True):
-        start, stop = (0, len(part)) if n > 1 else (off - x, off + y)
+    for (off, h1, h2, shifts, n, low, high, part), x, y in zip(rows, left, right, strict=True):
+        start, stop = (0, len(part)) if n > 1 or periodic else (off - x, off + y)
         if stop - start >= length:
-            got = out.setdefault(part[start:stop], [0])
+            got = out.setdefault(part[start:stop], [0, low, high])
             got[0] += n
-            got.append((h1, h2, start))
+            got[1], got[2] = min(got[1], low), max(got[2], high)
+            got += [(h1, h2, start + shift) for shift in shifts]
     return out
 
 
-def _by_suffix_arrays(unique: DataFrame, length: int, shard_bytes: int, parts: int) -> DataFrame:
-    """h1, h2, ranges (starts of repeated windows in the stretch) by a suffix array a shard; the stretches of an anchor are in one shard."""
+def _by_suffix_arrays(rows: DataFrame, length: int, shard_bytes: int, parts: int, across: bool, budget: int) -> DataFrame:
+    """h1, h2, ranges (starts of repeated windows in the stretch) of rows _ROW, by a suffix array a shard; an anchor's stretches are in one shard.
+
+    A string that was counted more than once stands there twice, so that its suffixes meet their equals.
+    """
 
     def run(batches):
         from tickweave.llm.induced import repeated_places
 
-        def marks(found):
-            """A batch of (members, starts of repeated windows)."""
-            out = [[], [], []]
-            for members, own in found:
-                for h1, h2, start in members:
-                    for c, v in zip(out, (h1, h2, _runs(own + start)), strict=True):
-                        c.append(v)
+        def shard(held):
+            strings, docs, owner = [], [], []
+            for i, (s, (n, low, high, *_)) in enumerate(held):
+                strings += [s] * min(n, 2)
+                docs += [low, high][: min(n, 2)]
+                owner += [i] * min(n, 2)
+            starts, places = repeated_places(strings, length, budget, np.array(docs, np.int64) if across else None)
+            cuts = np.searchsorted(places, np.append(starts, np.iinfo(np.int64).max)).tolist()
+            out, last = [[], [], []], -1
+            for k, i in enumerate(owner):
+                own = places[cuts[k] : cuts[k + 1]] - starts[k]
+                if len(own) and i != last:  # its second copy has the same places
+                    last = i
+                    for h1, h2, start in held[i][1][3:]:
+                        for c, v in zip(out, (h1, h2, _runs(own + start)), strict=True):
+                            c.append(v)
             kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
             return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], kind)], names=["h1", "h2", "ranges"])
 
-        def shard(held):
-            strings = [s for s, _ in held]
-            starts, places = repeated_places(strings, length)
-            cuts = np.searchsorted(places, np.append(starts, np.iinfo(np.int64).max))
-            found = []
-            for i, (s, (n, *members)) in enumerate(held):
-                own = np.arange(len(s) - length + 1) if n > 1 else places[cuts[i] : cuts[i + 1]] - starts[i]
-                if len(own):
-                    found.append((members, own))
-            return marks(found)
-
         def groups():
-            rows, last = [], None
+            held, last = [], None
             for b in batches:
                 for anchor, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    if rows and anchor != last:
-                        yield trimmed(rows, length)
-                        rows = []
-                    rows.append(row)
+                    if held and anchor != last:
+                        yield held
+                        held = []
                     last = anchor
-            if rows:
-                yield trimmed(rows, length)
-
-        held, size, alone = [], 0, []
-        for strings in groups():
-            if len(strings) > 1:
-                held += strings.items()
-                size += sum(map(len, strings))
-            else:  # nothing to compare it with
-                alone += [(members, np.arange(len(s) - length + 1)) for s, (n, *members) in strings.items() if n > 1]
-            if len(alone) >= 4096:
-                yield marks(alone)
-                alone = []
+                    if held and held[-1][:4] == row[:4]:  # the same stretch from another batch
+                        h = held[-1]
+                        h[4:7] = h[4] + row[4], min(h[5], row[5]), max(h[6], row[6])
+                    else:
+                        held.append(row)
+            if held:
+                yield held
+
+        held, size = [], 0
+        for group in groups():
+            strings = trimmed(group, length)
+            held += strings.items()
+            size += sum(len(s) * min(v[0], 2) for s, v in strings.items())
             if size >= shard_bytes:
                 yield shard(held)
                 held, size = [], 0
-        yield marks(alone)
         if held:
             yield shard(held)
 
-    rows = unique.select("anchor", "h1", "h2", "part", "off", "n").repartition(parts, "anchor").sortWithinPartitions("anchor")
-    return rows.mapInArrow(run, f"h1 long, h2 long, ranges {RANGES}")
+    names = [x.split()[0] for x in _ROW.split(", ")]
+    dealt = rows.select(*names).repartition(parts, "anchor").sortWithinPartitions("anchor", "off", "h1", "h2", "shifts", F.col("part").isNull())
+    return dealt.mapInArrow(run, f"h1 long, h2 long, ranges {RANGES}")
+
 
+def _split(rows: DataFrame, length: int, gram: int, width: int) -> DataFrame:
+    """Rows _ROW by longer contexts: each stretch's windows by their distance to the anchor, `width` distances together.
 
-def _by_windows(unique: DataFrame, length: int) -> DataFrame:
-    """The same for the anchors with very many stretches: windows of equal hash, summed up before they are shuffled."""
+    All windows at distances d to d + width - 1 hold the bytes from d before the anchor to length - d - width after it; their
+    hash is the new anchor. Equal windows still meet: they have equal distances. Stretches with a period are taken apart first.
+    """
 
     def run(batches):
         for b in batches:
-            for h1, h2, part, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                got = [_digests(part[i : i + length]) for i in range(len(part) - length + 1)]
-                m = len(got)
-                yield pa.RecordBatch.from_arrays([pa.array([h1] * m, pa.int64()), pa.array([h2] * m, pa.int64()), pa.array(range(m), pa.int64()), pa.array([x for x, _ in got], pa.int64()), pa.array([y for _, y in got], pa.int64()), pa.array([n] * m, pa.int64())], names=["h1", "h2", "a", "w1", "w2", "n"])
-
-    windows = unique.select("h1", "h2", "part", "n").mapInArrow(run, "h1 long, h2 long, a long, w1 long, w2 long, n long").withColumn("w", F.struct("w1", "w2"))
-    often = windows.groupBy("w").agg(F.sum("n").alias("times")).filter("times > 1").drop("times")
-    hits = salted_join(windows, often, "w", F.struct("h1", "h2"))
-    # at most a stretch's few hundred starts a row
-    return hits.groupBy("h1", "h2").agg(F.transform(F.array_sort(F.collect_set("a")), lambda a: F.struct(a.alias("a"), (a + 1).alias("b"))).alias("ranges"))
-
-
-def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, anchor_rows: int = ANCHOR_ROWS) -> DataFrame:
-    """docs (id1, id2 and text) that have repeated bytes: id1, id2, spans (byte ranges covered by repeated windows, merged).
+            out = [[] for _ in range(9)]
+
+            def put(anchor, off, part, base, windows, n, low, high, h1, h2, shifts, out=out):
+                for d0 in range((off - windows + 1) // width * width, off + 1, width):
+                    a, z = max(0, off - d0 - width + 1), min(windows - 1, off - d0)
+                    if a <= z:
+                        context = part[off - d0 : off - d0 - width + 1 + length]
+                        key = hashlib.blake2b(context, digest_size=8, key=d0.to_bytes(4, "little") + anchor.to_bytes(8, "little", signed=True)).digest()
+                        values = (int.from_bytes(key, "little", signed=True), off - a, h1, h2, [x + base + a for x in shifts], n, low, high, part[a : z + length])
+                        for c, v in zip(out, values, strict=True):
+                            c.append(v)
+
+            for anchor, off, h1, h2, shifts, n, low, high, part in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if off >= 0:
+                    put(anchor, off, part, 0, len(part) - length + 1, n, low, high, h1, h2, shifts)
+                    continue
+                runs: dict[tuple, list] = {}
+                for lo, hi, o in zip(*(x.tolist() for x in stretches([part], length, gram, False)[1:4]), strict=True):
+                    runs.setdefault((part[lo : hi + length], o), []).append(lo)
+                for (own, o), places in runs.items():
+                    put(anchor, o, own, 0, len(own) - length + 1, n * len(places), low, high, h1, h2, [x + y for x in shifts for y in places])
+            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] + [pa.int64()] * 3 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=[x.split()[0] for x in _ROW.split(", ")])
+
+    return rows.mapInArrow(run, _ROW)
+
+
+def _marks(found: DataFrame, length: int, gram: int, shard_bytes: int, anchor_rows: int, across: bool, budget: int) -> DataFrame:
+    """h1, h2, ranges by suffix arrays. Anchors with more than anchor_rows stretches are split until none is left: at width 1
+    an anchor is a window but for one byte at most, so this ends after as many rounds as length has binary digits."""
+    parts = shuffle_parts(found.sparkSession)
+    names = [x.split()[0] for x in _ROW.split(", ")]
+    rows = found.filter("n > 0").withColumn("shifts", F.array(F.lit(0).cast("long"))).select(*names)
+    width, ready = length - gram + 1, []
+    while True:
+        hot = saved(rows.groupBy("anchor").count().filter(F.col("count") > anchor_rows).select("anchor"), "op3-hot")
+        if hot.isEmpty() or width == 1:
+            ready.append(rows)
+            break
+        flagged = in_map(rows, key_map(hot, "anchor"), "_hot", "anchor")
+        ready.append(flagged.filter("not _hot").drop("_hot"))
+        # of equal stretches from many batches one stays
+        many = flagged.filter("_hot").groupBy("anchor", "off", "h1", "h2", "shifts").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("part").alias("part"))
+        width = max(1, (width + 1) // 2)
+        rows = saved(_split(many.select(*names), length, gram, width), "op3-split")
+    return _by_suffix_arrays(reduce(DataFrame.unionByName, ready), length, shard_bytes, parts, across, budget)
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, symbols=_bytes, across: bool = False, shard_bytes: int = SHARD_BYTES, anchor_rows: int = ANCHOR_ROWS, budget: int = 256 << 20) -> DataFrame:
+    """docs (id1, id2 and text) that have repeated strings of `length` bytes: id1, id2, spans (byte ranges covered by them).
 
     1. Count anchors; a bitmap of fixed size says which occur twice. 2. Stretches (windows of one such anchor, about 600 bytes)
-    are cut out; equal ones become one with a count. 3. Those of an anchor meet in a shard, trimmed to what can repeat; its suffix and
+    are cut out, with the text of equal ones once a batch. 3. Those of an anchor meet in a shard, trimmed to what can repeat; its suffix and
     common-prefix arrays show the windows that stand twice. 4. Starts go back to their documents.
+
+    symbols: what makes the strings that are compared, out of texts. across: only strings that stand in two documents (id1) count.
+    budget: bytes of a shard's queues in memory; what is beyond goes to disk.
     """
     spark = docs.sparkSession
     ship(spark)
-    twice = _anchor_counts(docs, length).filter("n > 1").select(F.col("anchor").bitwiseAND(ANCHOR_BITS - 1).alias("slot"))
+    twice = _anchor_counts(docs, length, gram, symbols).filter("n > 1").select(F.col("anchor").bitwiseAND(ANCHOR_BITS - 1).alias("slot"))
     bits = bytearray(ANCHOR_BITS // 8)
     for row in bit_rows(twice).toLocalIterator():  # at most 16 MB
         bits[row[0] * 4096 : row[0] * 4096 + 4096] = bytes(row[1])
-    found = saved(_repeated_stretches(docs, spark.sparkContext.broadcast(bytes(bits)), length), "op3-stretches")
-    unique = found.groupBy("anchor", "off", "h1", "h2").agg(F.count("*").alias("n"), F.first("part").alias("part"))
-    hot = saved(found.select("anchor", "h1", "h2").distinct().groupBy("anchor").count().filter(F.col("count") > anchor_rows).select("anchor"), "op3-hot")
-    marks = _by_suffix_arrays(unique.join(hot, "anchor", "left_anti"), length, shard_bytes, shuffle_parts(spark))
-    if not hot.isEmpty():
-        marks = marks.unionByName(_by_windows(found.join(hot, "anchor", "left_semi").groupBy("anchor", "h1", "h2").agg(F.count("*").alias("n"), F.first("part").alias("part")), length))
+    found = saved(_repeated_stretches(docs, spark.sparkContext.broadcast(bytes(bits)), length, gram, symbols), "op3-stretches")
+    release(spark)
+    marks = saved(_marks(found, length, gram, shard_bytes, anchor_rows, across, budget).select(F.struct("h1", "h2").alias("h"), "ranges"), "op3-marks")
+    release(spark)
     places = found.select("id1", "id2", "at", F.struct("h1", "h2").alias("h")).distinct()
-    marks = marks.select(F.struct("h1", "h2").alias("h"), "ranges")
     hits = salted_join(places, marks, "h", F.struct("id1", "at")).select("id1", "id2", F.transform("ranges", lambda r: F.struct((r["a"] + F.col("at")).alias("start"), (r["b"] + F.col("at") + (length - 1)).alias("stop"))).alias("spans"))
     return hits.groupBy("id1", "id2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
-def cut_repeats(docs: DataFrame, length: int = LENGTH, **how) -> DataFrame:
-    """docs (doc_id, text) as doc_id, n_bytes, n_removed, spans (removed bytes), kept_sha256.
+def cut_repeats(docs: DataFrame, length: int = LENGTH, words: int = PASSAGE_WORDS, **how) -> DataFrame:
+    """docs (doc_id, text) as doc_id, n_bytes, n_removed, spans (removed bytes), kept_sha256, n_passage_words.
 
     Every byte is removed that lies in a string of `length` bytes which also starts elsewhere, in the same document or
     another, as judged on the whole input; matches don't cross documents.
+    n_passage_words counts the words in passages of `words` words or more that also stand in another document, which may be shorter than
+    `length` bytes and stay: the same search over a string of 16 bits of hash a word (unlike words pass as equal once in 65,536).
 
     Null counts as empty; texts shorter than `length` lose nothing; repeated rows are repeats of each other, also under
-    one doc_id, and a null doc_id is a document as any other; an empty table gives an empty result.
+    one doc_id, but no other document; a null doc_id is a document as any other; an empty table gives an empty result.
     """
+    spark = docs.sparkSession
     named = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("id1"), F.xxhash64("text", F.lit("second"), "doc_id").alias("id2"))
     spans = saved(repeated_spans(named, length, **how), "op3-spans")
-    # only documents that have spans are shuffled to them
-    marked = in_map(named, key_map(spans, "id1", "id2"), "_some", "id1", "id2")
-    some = marked.filter("_some").drop("_some").join(spans, ["id1", "id2"], "left")
-    none = marked.filter("not _some").drop("_some").withColumn("spans", F.lit(None).cast(dict(spans.dtypes)["spans"]))
-    kind = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))), T.StructField("kept_sha256", T.StringType())])
-    both = some.select("doc_id", "text", "spans").unionByName(none.select("doc_id", "text", "spans"))
-    at = 2
+    release(spark)
+    passages = saved(repeated_spans(named, 2 * words, 2 * PASSAGE_GRAM, word_symbols, True, **how), "op3-passages")
+    release(spark)
+    none = F.lit(None).cast(dict(spans.dtypes)["spans"])
+    both = spans.select("id1", "id2", "spans", none.alias("passages")).unionByName(passages.select("id1", "id2", none.alias("spans"), F.col("spans").alias("passages")))
+    both = saved(both.groupBy("id1", "id2").agg(F.first("spans", True).alias("spans"), F.first("passages", True).alias("passages")), "op3-both")
+    # only documents that have any are shuffled to them
+    marked = in_map(named, key_map(both, "id1", "id2"), "_some", "id1", "id2")
+    some = marked.filter("_some").drop("_some").join(both, ["id1", "id2"], "left")
+    rest = marked.filter("not _some").drop("_some").withColumns({"spans": none, "passages": none})
+    kind = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))), T.StructField("kept_sha256", T.StringType()), T.StructField("n_passage_words", T.LongType())])
+    rows = some.select("doc_id", "text", "spans", "passages").unionByName(rest.select("doc_id", "text", "spans", "passages"))
+
+    def merged(spans):
+        return _merge(np.array([s["start"] for s in spans], np.int64), np.array([s["stop"] for s in spans], np.int64)) if spans else []
 
     def run(batches):
         for b in batches:
             for first, texts in _pieces(b.column(1), b.num_rows):
-                out = [[], [], [], []]
-                for t, spans in zip(texts, b.column(at).slice(first, len(texts)).to_pylist(), strict=True):
+                out = [[], [], [], [], []]
+                for t, spans, passages in zip(texts, *(b.column(k).slice(first, len(texts)).to_pylist() for k in (2, 3)), strict=True):
                     t = t or b""
-                    gone = _merge(np.array([s["start"] for s in spans], np.int64), np.array([s["stop"] for s in spans], np.int64)) if spans else []
+                    gone = merged(spans)
                     h, last = hashlib.sha256(), 0
                     for x, y in gone:
                         h.update(t[last:x])
                         last = y
                     h.update(t[last:])
-                    for c, v in zip(out, (len(t), sum(y - x for x, y in gone), [{"start": x, "stop": y} for x, y in gone], h.hexdigest()), strict=True):
+                    inside = sum((y + 1) // 2 - x // 2 for x, y in merged(passages))
+                    for c, v in zip(out, (len(t), sum(y - x for x, y in gone), [{"start": x, "stop": y} for x, y in gone], h.hexdigest(), inside), strict=True):
                         c.append(v)
                 arrays = [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(out, kind.fields, strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(texts)), *arrays], names=["doc_id", *kind.names])
 
-    return both.mapInArrow(run, T.StructType([docs.schema["doc_id"], *kind.fields]))
+    return rows.mapInArrow(run, T.StructType([docs.schema["doc_id"], *kind.fields]))
 
 
 def op3_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
     out = cut_repeats(cells(table(spark, sf_dir, "documents")))
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", "n_passage_words")
