@@ -32,8 +32,9 @@ def var_string(data: Column, offset: Column) -> Column:
 
 
 def scaled(mantissa: Column, exponent: Column) -> Column:
-    """mantissa times ten to the exponent, in DOUBLE."""
-    return mantissa.cast("double") * F.pow(F.lit(10.0), exponent.cast("double"))
+    """mantissa times ten to the exponent, in DOUBLE; a negative power is the reciprocal, as pow(10, -5) isn't the double nearest to it."""
+    power = F.pow(F.lit(10.0), F.abs(exponent).cast("double"))
+    return mantissa.cast("double") * F.when(exponent < 0, F.lit(1.0) / power).otherwise(power)
 
 
 def scaled_exact(mantissa: Column, exponent: Column) -> Column:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.functions.binary import scaled, six_decimals
 from tickweave.operators import rest, sbe, symbols
+from tickweave.plans.session import ship
 
 # Fixed values of the printed form: names and labels, by template.
 NAMES = {sbe.TRADES: "TRADES", sbe.BEST: "BEST_BID_ASK", sbe.SNAPSHOT: "DEPTH_SNAPSHOT", sbe.DIFF: "DEPTH_DIFF"}
@@ -22,8 +21,8 @@ def _text(pattern: str, *values: Column) -> Column:
     return F.concat(F.lit(parts[0]), *(x for v, p in zip(values, parts[1:], strict=True) for x in (v.cast("string"), F.lit(p))))
 
 
-def _number(v: Column, exponent: str) -> Column:
-    return six_decimals(scaled(v, F.col(exponent)))
+def _number(v: Column, m: Column, exponent: str) -> Column:
+    return six_decimals(scaled(v, m[exponent]))
 
 
 def _lines(first: Column, *more: Column) -> Column:
@@ -36,68 +35,69 @@ def _dots(declared: Column, text: str) -> Column:
     return F.when(declared > SHOWN, F.array(F.lit(text)))
 
 
-def _heads(t: sbe.Template) -> Column:
-    start, at = f"[{{}}] S {NAMES[t]} {{}} ", (F.col("recv_nanos"), F.col("symbol"))
+def _heads(t: sbe.Template, m: Column) -> Column:
+    start, at = f"[{{}}] S {NAMES[t]} {{}} ", (F.col("_nanos"), F.col("_symbol"))
     if t is sbe.TRADES:
-        return _text(start + "trades={} t={}", *at, F.col("declared_trades"), F.col("event_time_us"))
+        return _text(start + "trades={} t={}", *at, m["declared_trades"], m["event_time_us"])
     if t is sbe.BEST:
-        return _text(start + "bid={} ask={} t={}", *at, _number(F.col("bid_price"), "price_exp"), _number(F.col("ask_price"), "price_exp"), F.col("event_time_us"))
-    ids = [F.col("book_update_id")] if t is sbe.SNAPSHOT else [F.col("first_update_id"), F.col("last_update_id")]
-    return _text(start + "t={} uid=" + "-".join("{}" for _ in ids), *at, F.col("event_time_us"), *ids)
+        return _text(start + "bid={} ask={} t={}", *at, _number(m["bid_price"], m, "price_exp"), _number(m["ask_price"], m, "price_exp"), m["event_time_us"])
+    ids = [m["book_update_id"]] if t is sbe.SNAPSHOT else [m["first_update_id"], m["last_update_id"]]
+    return _text(start + "t={} uid=" + "-".join("{}" for _ in ids), *at, m["event_time_us"], *ids)
 
 
-def _entries(t: sbe.Template) -> list[Column]:
+def _entries(t: sbe.Template, m: Column) -> list[Column]:
     if t is sbe.TRADES:
-        one = lambda x: _text("  trade id={} price={} qty={} buyer_maker={}", x["id"], _number(x["price"], "price_exp"), _number(x["qty"], "qty_exp"), x["is_buyer_maker"])
-        return [F.transform(F.slice("trades", 1, SHOWN), one), _dots(F.col("declared_trades"), "  ...")]
+        one = lambda x: _text("  trade id={} price={} qty={} buyer_maker={}", x["id"], _number(x["price"], m, "price_exp"), _number(x["qty"], m, "qty_exp"), x["is_buyer_maker"])
+        return [F.transform(F.slice(m["trades"], 1, SHOWN), one), _dots(m["declared_trades"], "  ...")]
     out = []
     for group, label in zip(t.groups, LABELS.get(t, ()), strict=True):
-        declared = F.col(f"declared_{group}")
-        level = lambda x: _text("    {} @ {}", _number(x["price"], "price_exp"), _number(x["qty"], "qty_exp"))
-        out += [F.array(_text(f"  {label} ({{}}):", declared)), F.transform(F.slice(group, 1, SHOWN), level), _dots(declared, "    ...")]
+        declared = m[f"declared_{group}"]
+        level = lambda x: _text("    {} @ {}", _number(x["price"], m, "price_exp"), _number(x["qty"], m, "qty_exp"))
+        out += [F.array(_text(f"  {label} ({{}}):", declared)), F.transform(F.slice(m[group], 1, SHOWN), level), _dots(declared, "    ...")]
     return out
 
 
-def _messages(frames: DataFrame, keys: list[str]) -> list[DataFrame]:
-    head, size = sbe.header(F.col("payload")), F.length("payload")
-    rows = frames.withColumns({"symbol": symbols.match_heuristic(F.col("payload")), "_id": head["template_id"], "_block": head["block_length"], "_size": size, "_kind": sbe.kind(F.col("payload"))})
-    name = F.when(F.lit(False), "")
+def _message_line(kind: Column, size: Column) -> Column:
+    """By kind; null for trades that are too short for their fixed fields."""
+    name = F.lit(None).cast("string")
     for t, text in NAMES.items():
-        name = name.when(F.col("_id") == t.id, text)
-    name = F.coalesce(name, _text("template={}", F.col("_id")))
-    bare = _text("[{}] S {} {} block_len={} total={}b", F.col("recv_nanos"), name, F.col("symbol"), F.col("_block"), F.col("_size"))
-    short = _text("[{}] S <too short: {} bytes>", F.col("recv_nanos"), F.col("_size"))
-    out = [rows.filter(F.col("_kind").isin("short", "other")).select(*keys, F.when(F.col("_kind") == "short", short).otherwise(bare).alias("line"))]
+        name = F.when(F.col("_head")["template_id"] == t.id, text).otherwise(name)
+    name = F.coalesce(name, _text("template={}", F.col("_head")["template_id"]))
+    bare = _text("[{}] S {} {} block_len={} total={}b", F.col("_nanos"), name, F.col("_symbol"), F.col("_head")["block_length"], size)
+    line = F.when(kind == "short", _text("[{}] S <too short: {} bytes>", F.col("_nanos"), size)).when(kind == "other", bare)
     for t in NAMES:
-        decoded = sbe.decode(rows, t)
-        cut = F.coalesce(F.col("decode_error") == "block too short", F.lit(False))
-        line = F.when(~cut, _lines(_heads(t), *_entries(t)))
-        out.append(decoded.select(*keys, (line if t is sbe.TRADES else line.otherwise(bare)).alias("line")).filter("line is not null"))
-    return out
+        m = F.col(f"_{t.name}")
+        cut = F.coalesce(m["decode_error"] == "block too short", F.lit(False))
+        line = line.when((kind == t.name) & ~cut, _lines(_heads(t, m), *_entries(t, m)))
+        if t is not sbe.TRADES:
+            line = line.when(kind == t.name, bare)
+    return line
 
 
-def _snapshots(frames: DataFrame, keys: list[str]) -> DataFrame:
-    rows = rest.decode_rest(frames, first=SHOWN)
-    head = _text("[{}] R SNAPSHOT lastUpdateId={} bids={} asks={}", F.col("recv_nanos"), F.col("last_update_id"), F.col("n_bids"), F.col("n_asks"))
+def _snapshot_line() -> Column:
+    head = _text("[{}] R SNAPSHOT lastUpdateId={} bids={} asks={}", F.col("_nanos"), F.col("last_update_id"), F.col("n_bids"), F.col("n_asks"))
     level = lambda x: _text("    {} @ {}", x[0], x[1])
     sides = [F.when(F.col(f"has_{s}"), F.concat(F.array(F.lit(f"  {s.title()}:")), F.transform(s, level))) for s in ("bids", "asks")]
-    return rows.select(*keys, F.when(F.col("valid"), _lines(head, *sides)).otherwise(_text("[{}] R <invalid JSON>", F.col("recv_nanos"))).alias("line"))
+    return F.when(F.col("valid"), _lines(head, *sides)).otherwise(_text("[{}] R <invalid JSON>", F.col("_nanos")))
 
 
 def printed(records: DataFrame, keys: list[str]) -> DataFrame:
-    """keys and line of records (recv_nanos, tag_byte, payload, keys).
+    """keys and line of records (recv_nanos, tag_byte, payload, keys), in one pass.
 
     Messages and snapshots print their head and the first five entries of each group; a known template whose block
     doesn't fit, and an unknown one, print their sizes; trades too short for their fixed fields print nothing. Depth groups
-    that are cut short print their label and declared count only. A null payload counts as empty.
+    that are cut short print their label and declared count only. A null payload counts as empty; a null tag prints nothing.
     """
-    carried = list(dict.fromkeys([*keys, "recv_nanos"]))
-    rows = records.select(*carried, "tag_byte", F.coalesce("payload", F.unhex(F.lit(""))).alias("payload")).filter("tag_byte is not null")
-    one = lambda tag: rows.filter(F.col("tag_byte") == tag).drop("tag_byte")
-    frames = [one(tag) for tag in (83, 82)]
-    strange = _text("[{}] unknown tag: 0x{}, payload_len={}", F.col("recv_nanos"), F.lpad(F.lower(F.hex(F.col("tag_byte"))), 2, "0"), F.length("payload"))
-    odd = rows.filter(~F.col("tag_byte").isin(82, 83)).select(*keys, strange.alias("line"))
-    return reduce(DataFrame.unionByName, [*_messages(frames[0], keys), _snapshots(frames[1], keys), odd])
+    ship(records.sparkSession)
+    data, tag, kind = F.col("_data"), F.col("_tag"), F.col("_kind")
+    rows = records.filter("tag_byte is not null").select(F.struct(*keys).alias("_keys"), F.col("recv_nanos").alias("_nanos"), F.col("tag_byte").alias("_tag"), F.coalesce("payload", F.unhex(F.lit(""))).alias("_data"))
+    head = sbe.header(data)
+    rows = rows.withColumns({"_kind": F.when(tag == 83, sbe.kind(data)), "_head": F.struct(*(c.alias(n) for n, c in head.items())), "_symbol": symbols.match_heuristic(data), "_size": F.length(data)})
+    rows = rows.withColumns({f"_{t.name}": sbe.message(t, F.when(kind == t.name, data)) for t in NAMES} | {"_body": F.when(tag == 82, data)})
+    rows = rest.decode_rest(rows.drop("_data"), "_body", SHOWN)
+    strange = _text("[{}] unknown tag: 0x{}, payload_len={}", F.col("_nanos"), F.lpad(F.lower(F.hex("_tag")), 2, "0"), F.col("_size"))
+    line = F.when(tag == 83, _message_line(kind, F.col("_size"))).when(tag == 82, _snapshot_line()).otherwise(strange)
+    return rows.select("_keys.*", line.alias("line")).filter("line is not null")
 
 
 def counts_line(counts: DataFrame) -> DataFrame:

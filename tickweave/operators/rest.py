@@ -14,7 +14,7 @@ def decode_rest(frames: DataFrame, payload: str = "payload", first: int | None =
     first: only each side's first levels, by place, are looked at. has_<side>: the side is an array.
     """
     rest = [c for c in frames.columns if c != payload]
-    out = frames.withColumn("_v", F.expr(f"try_parse_json(cast({payload} as string))"))
+    out = frames.withColumn("_v", F.try_parse_json(F.col(payload).cast("string")))
     for side in ("bids", "asks"):
         out = out.withColumn(f"_{side}", F.expr(f"try_variant_get(_v, '$.{side}', 'array<variant>')"))
     cell = "CASE WHEN startswith(schema_of_variant(variant_get(x, '$[{i}]', 'variant')), 'STRING') THEN try_variant_get(x, '$[{i}]', 'string') ELSE '?' END"
