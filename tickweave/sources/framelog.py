@@ -1,43 +1,96 @@
-"""The frame log as a Spark data source and sink: zstd files of [i64 nanos][u8 tag][u32 length][payload] rows."""
+"""The frame log as a Spark data source and sink, batch and stream: zstd files of [i64 nanos][u8 tag][u32 length][payload] rows.
+
+A symbol's log of a day is `symbol_day.zst`, as a collector writes it, and the parts that this sink adds, `symbol_day.zst.<commit>-<n>`. A part counts
+once a manifest in `_commits` names it, so a commit is one rename, whatever its parts, and a job that failed leaves nothing that is read.
+"""
 
 from __future__ import annotations
 
-import glob
+import json
 import operator
-import os
+import re
 import struct
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import groupby
+
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
+from tickweave.plans.session import ship
 
+# Fixed values of the file format: time, tag, length of a row.
 ROW = struct.Struct("<qBI")
 SCHEMA = "file string, seq long, recv_nanos long, tag_byte int, payload binary, error string"
+_PART = re.compile(r"(.+\.zst)\.(\d{10}-\d+)")
+
+
+def _open(path: str):
+    """(file system, path in it) of a URI or a local path."""
+    from pyarrow import fs
+
+    if "://" in path or path.startswith("file:"):
+        return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+    return fs.LocalFileSystem(), path
+
+
+def _commits(where, folder: str) -> tuple[int, set[str], set[str]]:
+    """(last commit's number, parts that count, files that later commits replaced)."""
+    from pyarrow import fs
+
+    last, parts, gone = 0, set(), set()
+    for info in sorted(where.get_file_info(fs.FileSelector(f"{folder}/_commits", allow_not_found=True)), key=lambda i: i.base_name):
+        if re.fullmatch(r"\d{10}\.json", info.base_name):
+            with where.open_input_stream(info.path) as f:
+                commit = json.loads(f.read())
+            last = int(info.base_name[:10])
+            gone |= set(commit["replaced"])
+            parts |= set(commit["parts"])
+    return last, parts - gone, gone
 
 
-def scan(path: str):
-    """Rows of one file, over all its zstd frames. An end within a header is an end; one within a payload is an error row."""
+def logs(path: str) -> list[tuple[str, list[str]]]:
+    """(name of the log, its files in their order) of a folder, by name; a single file is its own log."""
+    from pyarrow import fs
+
+    where, root = _open(path)
+    info = where.get_file_info(root)
+    if info.type != fs.FileType.Directory:
+        return [(path, [path])]
+    _, parts, gone = _commits(where, root)
+    held = []
+    for i in where.get_file_info(fs.FileSelector(root)):
+        part = _PART.fullmatch(i.base_name)
+        if i.type == fs.FileType.File and i.base_name not in gone and (i.base_name in parts if part else i.base_name.endswith(".zst")):
+            held.append((part[1] if part else i.base_name, part[2] if part else "", i.base_name))
+    held.sort()
+    return [(f"{path}/{name}", [f"{path}/{x[2]}" for x in own]) for name, own in groupby(held, key=lambda x: x[0])]
+
+
+def scan(path: str, parts: list[str] | None = None):
+    """Rows of one log, over all zstd frames of its files. An end within a header is an end; one within a payload is an error row."""
     import zstandard
 
     seq = 0
     try:
-        with open(path, "rb") as f, zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True) as z:
-
-            def take(n):
-                parts, left = [], n
-                while left and (got := z.read(left)):
-                    parts.append(got)
-                    left -= len(got)
-                return b"".join(parts)
-
-            while len(head := take(ROW.size)) == ROW.size:
-                nanos, tag, n = ROW.unpack(head)
-                payload = take(n)
-                if len(payload) < n:
-                    yield path, seq, None, None, None, "ends within a payload"
-                    return
-                yield path, seq, nanos, tag, payload, None
-                seq += 1
+        for part in parts or [path]:
+            where, name = _open(part)
+            with where.open_input_stream(name, compression=None) as f, zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True) as z:
+
+                def take(n, z=z):
+                    held, left = [], n
+                    while left and (got := z.read(left)):
+                        held.append(got)
+                        left -= len(got)
+                    return b"".join(held)
+
+                while len(head := take(ROW.size)) == ROW.size:
+                    nanos, tag, n = ROW.unpack(head)
+                    payload = take(n)
+                    if len(payload) < n:
+                        yield path, seq, None, None, None, "ends within a payload"
+                        return
+                    yield path, seq, nanos, tag, payload, None
+                    seq += 1
     except (OSError, zstandard.ZstdError) as e:
         yield path, seq, None, None, None, f"{type(e).__name__}: {e}"
 
@@ -48,13 +101,16 @@ _AT = {"recv_nanos": 2, "tag_byte": 3}
 
 
 @dataclass
-class _File(InputPartition):
+class _Log(InputPartition):
     path: str
+    parts: list[str] = field(default_factory=list)
 
 
 class FrameLogReader(DataSourceReader):
+    """One task a log: a zstd stream can't be split."""
+
     def __init__(self, options):
-        self.paths = [p for part in options.get("path", "").split(",") for p in (sorted(glob.glob(f"{part}/*.zst")) if os.path.isdir(part) else [part])]
+        self.logs = [log for part in options.get("path", "").split(",") for log in logs(part)]
         self.strict = options.get("mode", "PERMISSIVE").upper() == "FAILFAST"
         self.tests: list[tuple] = []  # place in the row, comparison, value
 
@@ -63,31 +119,61 @@ class FrameLogReader(DataSourceReader):
             name = ".".join(getattr(f, "attribute", ()))
             if name == "file" and isinstance(f, EqualTo | In):
                 wanted = set(f.value if isinstance(f, In) else [f.value])
-                self.paths = [p for p in self.paths if p in wanted]  # other files are not opened
+                self.logs = [x for x in self.logs if x[0] in wanted]  # other files are not opened
             elif type(f) in _COMPARE and name in _AT:
                 self.tests.append((_AT[name], _COMPARE[type(f)], f.value))
             yield f  # Spark looks again
 
     def partitions(self):
-        return [_File(p) for p in self.paths] or [_File("")]
+        return [_Log(*x) for x in self.logs] or [_Log("")]
 
     def read(self, partition):
         if not partition.path:
             return
-        for row in scan(partition.path):
+        for row in scan(partition.path, partition.parts):
             if row[5] and self.strict:
                 raise ValueError(f"{row[0]}: {row[5]}")
             if row[5] or all(test(row[at], value) for at, test, value in self.tests):
                 yield row
 
 
+class FrameLogStream(DataSourceStreamReader):
+    """A folder's rows as a stream, replayed a file at a time: the parts of each new commit, and files that a collector has closed.
+
+    The offset is the names that were read. seq counts within a file.
+    """
+
+    def __init__(self, options):
+        self.path = options["path"]
+
+    def _files(self) -> list[str]:
+        return sorted(p for _, parts in logs(self.path) for p in parts)
+
+    def initialOffset(self):
+        return {"files": "[]"}
+
+    def latestOffset(self):
+        return {"files": json.dumps(self._files())}
+
+    def partitions(self, start, end):
+        before = set(json.loads(start["files"]))
+        return [_Log(p, [p]) for p in json.loads(end["files"]) if p not in before]
+
+    def read(self, partition):
+        yield from scan(partition.path, partition.parts)
+
+    def commit(self, end):
+        pass
+
+
 @dataclass
 class _Written(WriterCommitMessage):
     parts: list
 
 
 class FrameLogWriter(DataSourceWriter):
-    """Columns symbol, file_date, recv_nanos, tag_byte, payload, in the order to be kept. Tasks write parts; commit appends them, as new zstd frames."""
+    """Columns symbol, file_date, recv_nanos, tag_byte, payload, in the order to be kept. Tasks write parts, whose order is that of their first rows; no
+    data goes through the driver. Overwriting replaces the logs that are written, not others."""
 
     def __init__(self, options, overwrite):
         self.folder, self.level, self.overwrite = options["path"], int(options.get("level", "1")), overwrite
@@ -95,46 +181,58 @@ class FrameLogWriter(DataSourceWriter):
     def write(self, iterator):
         import zstandard
 
-        os.makedirs(self.folder, exist_ok=True)
-        open_files: dict[str, tuple] = {}
-        for row in iterator:
-            name = f"{row.symbol}_{row.file_date}.zst"
-            if name not in open_files:
-                part = os.path.join(self.folder, f".{name}.{uuid.uuid4().hex}.part")
-                raw = open(part, "wb")  # noqa: SIM115
-                open_files[name] = (part, raw, zstandard.ZstdCompressor(level=self.level).stream_writer(raw, closefd=False))
-            payload = bytes(row.payload or b"")
-            open_files[name][2].write(ROW.pack(row.recv_nanos, row.tag_byte, len(payload)) + payload)
-        for _, raw, z in open_files.values():
-            z.close()
-            raw.flush()
-            os.fsync(raw.fileno())
-            raw.close()
-        return _Written([(name, x[0]) for name, x in sorted(open_files.items())])
+        where, root = _open(self.folder)
+        where.create_dir(root, recursive=True)
+        done, name, raw, z = [], None, None, None
+
+        def close():
+            if raw is not None:
+                z.close()
+                raw.close()
+
+        try:
+            for row in iterator:
+                if name != f"{row.symbol}_{row.file_date}.zst":  # rows of a log follow each other; if not, it gets a further part
+                    close()
+                    name = f"{row.symbol}_{row.file_date}.zst"
+                    done.append((name, row.recv_nanos, f"{root}/.{name}.{uuid.uuid4().hex}"))
+                    raw = where.open_output_stream(done[-1][2], compression=None)
+                    z = zstandard.ZstdCompressor(level=self.level).stream_writer(raw, closefd=False)
+                payload = bytes(row.payload or b"")
+                z.write(ROW.pack(row.recv_nanos, row.tag_byte, len(payload)) + payload)
+        finally:
+            close()
+        return _Written(done)
 
     def commit(self, messages):
-        fresh = set()
-        for m in messages:
-            for name, part in m.parts if m else ():
-                final = os.path.join(self.folder, name)
-                if self.overwrite and name not in fresh and os.path.exists(final):
-                    os.unlink(final)
-                fresh.add(name)
-                if not os.path.exists(final):
-                    os.replace(part, final)
-                    continue
-                with open(final, "ab") as out, open(part, "rb") as f:
-                    while block := f.read(1 << 20):
-                        out.write(block)
-                    out.flush()
-                    os.fsync(out.fileno())
-                os.unlink(part)
+        where, root = _open(self.folder)
+        written = sorted(x for m in messages if m for x in m.parts)
+        if not written:
+            return
+        where.create_dir(f"{root}/_commits", recursive=True)
+        last, parts, _ = _commits(where, root)
+        names = {x[0] for x in written}
+        replaced = []
+        if self.overwrite:
+            replaced = sorted(p.rpartition("/")[2] for path, own in logs(self.folder) if path.rpartition("/")[2] in names for p in own)
+        new = []
+        for k, (name, _, part) in enumerate(written):
+            new.append(f"{name}.{last + 1:010d}-{k:06d}")
+            where.move(part, f"{root}/{new[-1]}")
+        manifest = f"{root}/_commits/{last + 1:010d}.json"
+        draft = f"{manifest}.{uuid.uuid4().hex}"
+        with where.open_output_stream(draft, compression=None) as f:
+            f.write(json.dumps({"parts": new, "replaced": replaced}).encode())
+        where.move(draft, manifest)  # from here on the commit is there, as a whole
+        for old in replaced:
+            where.delete_file(f"{root}/{old}")
 
     def abort(self, messages):
+        where, _ = _open(self.folder)
         for m in messages:
-            for _, part in m.parts if m else ():
-                if os.path.exists(part):
-                    os.unlink(part)
+            for _, _, part in m.parts if m else ():
+                if where.get_file_info(part).is_file:
+                    where.delete_file(part)
 
 
 class FrameLog(DataSource):
@@ -148,10 +246,23 @@ class FrameLog(DataSource):
     def reader(self, schema):
         return FrameLogReader(self.options)
 
+    def streamReader(self, schema):
+        return FrameLogStream(self.options)
+
     def writer(self, schema, overwrite):
         return FrameLogWriter(self.options, overwrite)
 
 
 def register(spark) -> None:
+    ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(FrameLog)
+
+
+def write_log(records, folder: str, mode: str = "append") -> None:
+    """Records (symbol, file_date, recv_nanos, tag_byte, payload, seq) into a log for each symbol and day, in the order of seq.
+
+    A day's records of one symbol are one task's, as the log is one stream."""
+    register(records.sparkSession)
+    rows = records.repartition("symbol", "file_date").sortWithinPartitions("symbol", "file_date", "seq")
+    rows.select("symbol", "file_date", "recv_nanos", "tag_byte", "payload").write.format("framelog").mode(mode).save(folder)
