@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Stream names, with $symbol in place of the symbol.
+from tickweave.operators.blocks import BLOCK, carry, in_blocks, within
+
+# Fixed values of the wire interface: stream names, with $symbol in place of the symbol.
 STREAMS = ["$symbol@trade", "$symbol@bestBidAsk", "$symbol@depth", "$symbol@depth20"]
 
 
-def rotated(records: DataFrame, folder: str, symbol: str = "symbol", at: str = "ts", order: str = "seq") -> DataFrame:
-    """records with file_date, which never goes back, and file."""
-    day = F.max(F.to_date(at)).over(Window.partitionBy(symbol).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    out = records.withColumn("file_date", F.date_format(day, "yyyyMMdd"))
+def rotated(records: DataFrame, folder: str, symbol: str = "symbol", at: str = "ts", order: str = "seq", block: int = BLOCK) -> DataFrame:
+    """records with file_date, which never goes back along `order` (whole numbers), and file. A symbol's records are dealt out by blocks of the order."""
+    rows = carry(in_blocks(records, symbol, F.floor(F.col(order) / block)), symbol, F.max(F.to_date(at)), F.max)
+    day = F.greatest(F.max(F.to_date(at)).over(within(symbol, order).rowsBetween(Window.unboundedPreceding, 0)), "_carry")
+    out = rows.withColumn("file_date", F.date_format(day, "yyyyMMdd")).drop("_carry", "_block")
     return out.withColumn("file", F.concat(F.lit(folder + "/"), symbol, F.lit("_"), "file_date", F.lit(".zst")))
 
 
@@ -22,12 +25,54 @@ def snapshot_times(bounds: DataFrame, symbols: DataFrame, every: str = "interval
     return symbols.crossJoin(F.broadcast(times)).withColumn("due", F.explode("_due")).drop("_due")  # one row is broadcast
 
 
-def idle_sessions(events: DataFrame, key: str, at: str, seconds: int = 60) -> DataFrame:
-    """key, session, start, stop, n: a session ends where more than `seconds` pass to the next event."""
-    w = Window.partitionBy(key).orderBy(at)
-    gap = F.unix_micros(F.col(at)) - F.unix_micros(F.lag(at).over(w))
-    out = events.withColumn("_new", F.when(gap > seconds * 1_000_000, 1).otherwise(0)).withColumn("session", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return out.groupBy(key, "session").agg(F.min(at).alias("start"), F.max(at).alias("stop"), F.count("*").alias("n"))
+def idle_sessions(events: DataFrame, key: str, at: str, seconds: int = 60, block: str = "day") -> DataFrame:
+    """key, session, start, stop, n: a session ends where more than `seconds` pass to the next event. A key's events are dealt out by days, or another `block`."""
+    rows = in_blocks(events.select(key, at), key, F.unix_micros(F.date_trunc(block, at)))
+    rows = carry(rows, key, F.max(at), lambda s: F.last(s))
+    place = within(key, at)
+    before = F.when(F.row_number().over(place) == 1, F.col("_carry")).otherwise(F.lag(at).over(place))
+    rows = rows.withColumn("_new", F.when(F.unix_micros(F.col(at)) - F.unix_micros(before) > seconds * 1_000_000, 1).otherwise(0)).drop("_carry")
+    rows = carry(rows, key, F.sum("_new"), F.sum)
+    session = F.sum("_new").over(place.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce("_carry", F.lit(0))
+    return rows.withColumn("session", session).groupBy(key, "session").agg(F.min(at).alias("start"), F.max(at).alias("stop"), F.count("*").alias("n"))
+
+
+# Fixed values of the socket's frames: what each kind of frame makes the collector do, and which kinds show that the connection lives.
+ACTIONS = {"Binary": "record", "Text": "log", "Ping": "pong", "Close": "error"}
+ACTIVITY = ("Binary", "Text", "Ping")
+
+
+def frame_action(opcode: Column) -> Column:
+    """What is done with a frame: record, log, pong, error, or ignore for any other kind."""
+    out = F.lit("ignore")
+    for name, action in ACTIONS.items():
+        out = F.when(opcode == name, action).otherwise(out)
+    return out
+
+
+def binary_frames(frames: DataFrame, opcode: str = "opcode") -> DataFrame:
+    """The frames that are data."""
+    return frames.filter(F.col(opcode) == "Binary").drop(opcode)
+
+
+def idle_timeouts(frames: DataFrame, connection: str, at: str, opcode: str, seconds: int = 60, check: int = 10) -> DataFrame:
+    """connection, last_activity, timeout_at (micros) of the connections that time out; at: micros.
+
+    A connection starts with its first frame. Every `check` seconds from then on it is looked whether more than `seconds` have passed since its
+    last activity: a binary, text or ping frame; others are none. The first time that is so, it ends; a close frame ends it, too, and frames
+    after an end are not looked at. After the last frame of a connection nothing shows that it was still open, so it times out.
+    """
+    start = F.min(at).over(Window.partitionBy(connection))
+    rows = frames.select(connection, F.col(at).alias("_at"), F.col(opcode).alias("_op"), start.alias("_start"))
+    marks = rows.filter(F.col("_op").isin(*ACTIVITY, "Close") | (F.col("_at") == F.col("_start")))
+    following = F.lead("_at").over(Window.partitionBy(connection).orderBy("_at"))
+    over, step = seconds * 1_000_000, check * 1_000_000
+    tick = F.col("_start") + (F.floor((F.col("_at") + over - F.col("_start")) / step) + 1) * step
+    marks = marks.withColumns({"_next": following, "_tick": tick})
+    ends = marks.filter((F.col("_op") == "Close") | F.col("_next").isNull() | (F.col("_tick") < F.col("_next")))
+    # the first end; of a close and what else stands at that time, the close
+    first = ends.groupBy(connection).agg(F.min_by(F.struct("_op", "_at", "_tick"), F.struct(F.when(F.col("_op") == "Close", F.col("_at")).otherwise(F.col("_tick")), F.col("_op") != "Close")).alias("e"))
+    return first.filter("e._op <> 'Close'").select(connection, F.col("e._at").alias("last_activity"), F.col("e._tick").alias("timeout_at"))
 
 
 def backoff_ms(failures: Column, seed: Column) -> Column:
@@ -62,3 +107,18 @@ def file_counts(records: DataFrame) -> DataFrame:
     bad = F.max(F.col("error").isNotNull())
     out = records.groupBy("file").agg(F.count_if(F.col("error").isNull()).alias("total"), F.count_if(F.col("tag_byte") == 83).alias("sbe"), F.count_if(F.col("tag_byte") == 82).alias("rest"), bad.alias("_bad"))
     return out.filter("not _bad").drop("_bad")
+
+
+def coin_symbol(coin: Column) -> Column:
+    """A coin's symbol against the common quote."""
+    return F.concat(coin, F.lit("usdt"))
+
+
+def mapping_parts(mapping: Column) -> tuple[Column, Column]:
+    """Exchange and path of exchange:path; what has no colon is both."""
+    return F.substring_index(mapping, ":", 1), F.regexp_replace(mapping, "^[^:]*:", "")
+
+
+def snapshot_url(base: str, symbol: Column, limit: int = 5000) -> Column:
+    """The request for a symbol's order book."""
+    return F.concat(F.lit(f"{base}/api/v3/depth?symbol="), F.upper(symbol), F.lit(f"&limit={limit}"))

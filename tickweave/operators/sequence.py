@@ -5,16 +5,24 @@ from __future__ import annotations
 from collections import deque
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tickweave.operators.blocks import BLOCK, carry, in_blocks, within
 from tickweave.plans.session import ship
 
 
-def gaps(diffs: DataFrame, symbol: str = "symbol", order: str = "seq") -> DataFrame:
-    """Rows whose first_update_id doesn't follow the row before: symbol, seq, expected_u, first_u, prev_u."""
-    prev = F.lag("last_update_id").over(Window.partitionBy(symbol).orderBy(order))
-    out = diffs.select(symbol, order, F.col("first_update_id").alias("first_u"), prev.alias("prev_u"))
+def gaps(diffs: DataFrame, symbol: str = "symbol", order: str = "seq", keep: tuple[str, ...] = (), block: int = BLOCK) -> DataFrame:
+    """Rows whose first_update_id doesn't follow the row before: symbol, seq, expected_u, first_u, prev_u, and the columns of `keep`.
+
+    order: whole numbers. A symbol's rows are dealt out by blocks of it; each block's first row looks at the last id before the block.
+    """
+    rows = in_blocks(diffs.select(symbol, order, "first_update_id", "last_update_id", *keep), symbol, F.floor(F.col(order) / block))
+    rows = carry(rows, symbol, F.max_by("last_update_id", order), lambda s: F.last(s))
+    place = within(symbol, order)
+    prev = F.when(F.row_number().over(place) == 1, F.col("_carry")).otherwise(F.lag("last_update_id").over(place))
+    out = rows.select(symbol, order, F.col("first_update_id").alias("first_u"), prev.alias("prev_u"), *keep)
     return out.filter("prev_u is not null and first_u <> prev_u + 1").withColumn("expected_u", F.col("prev_u") + 1)
 
 
@@ -38,20 +46,24 @@ class Limiter:
         return True
 
 
-def admit(calls: DataFrame, key: str, at: str, limit: int = 100, window: int = 60_000_000_000, order: str | None = None) -> DataFrame:
-    """calls with admitted, per key in the order of at (then order). Sequential by nature: a key is one task's, read in a stream."""
+def admit(calls: DataFrame, key: str, at: str, limit: int = 100, window: int = 60_000_000_000, order: str | None = None, into: str = "admitted") -> DataFrame:
+    """calls with `into`, per key in the order of at (then order).
+
+    Sequential by nature, as a rejected call doesn't count: a key is one task's, read in a stream with `limit` times held. Null times are rejected.
+    """
     ship(calls.sparkSession)
     by = [key, at] + ([order] if order else [])
+    if into in calls.columns:
+        raise ValueError(f"there is a column {into} already")
 
     def run(batches):
         last, limiter = object(), None
         for b in batches:
             out = []
             for k, t in zip(b[key], b[at], strict=True):
-                if k != last:
+                if k != last and not (pd.isna(k) and pd.isna(last)):
                     last, limiter = k, Limiter(limit, window)
-                out.append(limiter.admit(t))
-            yield b.assign(admitted=pd.Series(out, index=b.index, dtype=bool))
+                out.append(not pd.isna(t) and limiter.admit(t))
+            yield b.assign(**{into: pd.Series(out, index=b.index, dtype=bool)})
 
-    kind = calls.schema.simpleString()[7:-1] + ",admitted:boolean"
-    return calls.repartition(key).sortWithinPartitions(*by).mapInPandas(run, kind)
+    return calls.repartition(key).sortWithinPartitions(*by).mapInPandas(run, T.StructType([*calls.schema.fields, T.StructField(into, T.BooleanType())]))

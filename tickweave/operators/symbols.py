@@ -5,19 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.functions.binary import le
 from tickweave.operators.sbe import DIFF, header
 
 
-def tail_match(data: Column, symbol: str) -> Column:
-    n = len(symbol.encode())
-    size = F.length(data)
-    return (size > n) & (le(data, size - n - 1, 1) == n) & (F.lower(F.substring(data, size - n + 1, F.lit(n)).cast("string")) == symbol.lower())
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def match_exact(data: Column, subscribed: list[str]) -> Column:
-    """The first subscribed symbol, in that order, that the message ends with (ASCII case aside), lower-cased; else 'unknown'."""
-    return F.coalesce(*(F.when(tail_match(data, s), s.lower()) for s in subscribed), F.lit("unknown"))
+def with_symbol(frames: DataFrame, subscribed: list[str], payload: str = "payload", into: str = "symbol") -> DataFrame:
+    """frames with the first subscribed symbol, in that order, that the message ends with (ASCII case aside), lower-cased; else 'unknown'.
+
+    A tail is taken for each length that subscriptions have, where the byte before it fits, and looked up in a broadcast table of them (they
+    come as a list of the driver's), so the plan grows with the lengths, not with the symbols.
+    """
+    lower = str.maketrans(_UPPER, _UPPER.lower())
+    rank: dict[str, int] = {}
+    for s in subscribed:
+        rank.setdefault(s.translate(lower), len(rank))
+    data, size, found, out = F.col(payload), F.length(payload), [], frames
+    for n in sorted({len(s.encode()) for s in rank}):
+        tail, hit = f"_tail{n}", f"_hit{n}"
+        known = frames.sparkSession.createDataFrame([(s, (r, s)) for s, r in rank.items() if len(s.encode()) == n], f"{tail} string, {hit} struct<rank:int,symbol:string>")
+        text = F.translate(F.substring(data, size - n + 1, F.lit(n)).cast("string"), _UPPER, _UPPER.lower())
+        fits = (size > n) & (F.substring(data, size - n, F.lit(1)) == F.lit(bytearray([n])))
+        out = out.withColumn(tail, F.when(fits, text)).join(F.broadcast(known), tail, "left")
+        found.append(hit)
+    first = F.array_min(F.array(*found))["symbol"] if found else F.lit(None)
+    return out.select(*(c for c in frames.columns if c != into), F.coalesce(first, F.lit("unknown")).alias(into))
 
 
 #: A length byte of 19 down to 2 and so many letters, digits or _, at the end of Latin-1 text. The earliest start is the longest.
@@ -38,6 +51,6 @@ def route(frames: DataFrame, subscribed: list[str], payload: str = "payload") ->
     unknown: such rows are kept unchecked.
     """
     data = F.col(payload)
-    symbol = F.when(F.length(data) >= 8, match_exact(data, subscribed))
     bad = (header(data)["template_id"] == DIFF.id) & (F.length(data) < 8 + DIFF.block) & (F.col("symbol") != "unknown")
-    return frames.withColumn("symbol", symbol).withColumn("error_class", F.when(F.length(data) < 8, "format").when(bad, "sbe"))
+    rows = with_symbol(frames, subscribed, payload).withColumn("symbol", F.when(F.length(data) >= 8, F.col("symbol")))
+    return rows.withColumn("error_class", F.when(F.length(data) < 8, "format").when(bad, "sbe"))

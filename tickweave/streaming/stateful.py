@@ -5,9 +5,11 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tickweave.operators.sequence import Limiter
+from tickweave.operators.blocks import numbered
+from tickweave.operators.sequence import Limiter, admit
 from tickweave.plans.session import ship
 
 
@@ -44,22 +46,55 @@ def stream_admit(calls: DataFrame, limit: int, window: int) -> DataFrame:
     return calls.groupBy("key").applyInPandasWithState(step, "key string, at long, admitted boolean", "admitted array<long>", "append", GroupStateTimeout.NoTimeout)
 
 
-def snapshot_rows(due: DataFrame, fetch, completed) -> DataFrame:
-    """Admitted calls (symbol, admitted) as 'R' rows of what fetch(symbol) gives; failed fetches are left out. completed() gives nanos."""
+def snapshot_rows(due: DataFrame, fetch, completed, at: str | None = None) -> DataFrame:
+    """Admitted calls (symbol, admitted) as 'R' rows of what fetch(SYMBOL) gives; failed fetches, and calls whose admission is null, are left out.
+
+    completed() gives the time of completion in nanos; with `at`, completed(time of the call) does.
+    """
+    ship(due.sparkSession)
 
     def run(frames):
         for f in frames:
             out = []
-            for s in f["symbol"][f["admitted"]]:
+            calls = f[f["admitted"].fillna(False).astype(bool)]
+            for s, t in zip(calls["symbol"], calls[at] if at else calls["symbol"], strict=True):
                 try:
-                    out.append((completed(), s, 82, fetch(s.upper())))
+                    got = fetch(s.upper())
                 except OSError:
                     continue
+                out.append((completed(t) if at else completed(), s, 82, got))
             yield pd.DataFrame(out, columns=["recv_nanos", "symbol", "tag_byte", "payload"])
 
     return due.mapInPandas(run, "recv_nanos long, symbol string, tag_byte int, payload binary")
 
 
-def interleave(sbe: DataFrame, rest: DataFrame) -> DataFrame:
-    """One log of both kinds of rows, in order of receipt."""
-    return sbe.unionByName(rest).withColumn("tag", F.char("tag_byte"))
+def recover(gaps: DataFrame, scheduled: DataFrame | None, fetch, completed, limit: int = 100, window: int = 60_000_000_000, at: str = "at") -> DataFrame:
+    """'R' rows of the snapshots that gaps (symbol, at in nanos) ask for, and a schedule (the same columns) besides.
+
+    All calls share one limiter, by time, then symbol; a rejected call is dropped, not tried again, and a failed one counts. Gaps are few,
+    and the limiter's order is one for all symbols, so its calls are one task's, in a stream.
+    """
+    calls = gaps.select(F.lower("symbol").alias("symbol"), F.col(at).cast("long").alias("at"))
+    if scheduled is not None:
+        calls = calls.unionByName(scheduled.select(F.lower("symbol").alias("symbol"), F.col(at).cast("long").alias("at")))
+    admitted = admit(calls.withColumn("_one", F.lit(0)), "_one", "at", limit, window, "symbol").drop("_one")
+    return snapshot_rows(admitted, fetch, completed, "at")
+
+
+def interleave(sbe: DataFrame, rest: DataFrame, block: int = 3_600_000_000_000) -> DataFrame:
+    """One log of both kinds of rows (recv_nanos, symbol, tag_byte, payload): with tag, and seq, the place in the symbol's log from 0.
+
+    The order is that of receipt (for snapshots: of completion); at one time messages stand before snapshots, equal rows in the
+    order of their payloads. A symbol's rows are dealt out by blocks of time.
+    """
+    both = sbe.unionByName(rest).withColumn("_order", F.struct("recv_nanos", (F.col("tag_byte") == 82).alias("late"), "payload"))
+    rows = numbered(both, "symbol", "_order", F.floor(F.col("recv_nanos") / block), "seq")
+    return rows.drop("_order").withColumn("tag", F.char("tag_byte"))
+
+
+def stop(query: StreamingQuery) -> None:
+    """Graceful end: what has arrived is processed and committed, then the query stops; a restart from its checkpoint goes on behind it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
