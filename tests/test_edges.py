@@ -73,3 +73,64 @@ def test_snapshots_of_many_symbols(spark):
     rows = schedule.snapshot_times(bounds, spark.range(10_500).select(F.concat(F.lit("s"), "id").alias("symbol")))
     assert rows.count() == 31_500 and rows.distinct().count() == 31_500
     assert schedule.snapshot_times(bounds.limit(0), spark.range(3)).count() == 0
+
+
+def test_frame_log_commits(spark, tmp_path):
+    framelog.register(spark)
+    folder = f"file://{tmp_path}/log"
+    kind = "symbol string, file_date string, recv_nanos long, tag_byte int, payload binary, seq long"
+    row = lambda s, d, n: (s, d, n, 83, b"p", n)
+    read = lambda: sorted((r.file.rpartition("/")[2], r.seq, r.recv_nanos) for r in spark.read.format("framelog").load(folder).collect())
+    framelog.write_log(spark.createDataFrame([row("a", "20240101", 2), row("a", "20240101", 1), row("b", "20240102", 5)], kind), folder)
+    framelog.write_log(spark.createDataFrame([row("a", "20240101", 9)], kind), folder)
+    both = [("a_20240101.zst", 0, 1), ("a_20240101.zst", 1, 2), ("a_20240101.zst", 2, 9), ("b_20240102.zst", 0, 5)]
+    assert read() == both
+    # parts that no manifest names, and drafts, are not there
+    part = next((tmp_path / "log").glob("a_*-000000"))
+    (tmp_path / "log" / "a_20240101.zst.0000000007-000000").write_bytes(part.read_bytes())
+    (tmp_path / "log" / ".a_20240101.zst.draft").write_bytes(b"x")
+    (tmp_path / "log" / "_commits" / "0000000009.json.draft").write_bytes(b"{")
+    assert read() == both
+    # a file of a collector's comes before the parts
+    (tmp_path / "log" / "b_20240102.zst").write_bytes(zstandard.ZstdCompressor().compress(framelog.ROW.pack(4, 83, 0)))
+    assert read()[3:] == [("b_20240102.zst", 0, 4), ("b_20240102.zst", 1, 5)]
+    # overwriting replaces the logs that are written, not others
+    framelog.write_log(spark.createDataFrame([row("a", "20240101", 7)], kind), folder, "overwrite")
+    assert read() == [("a_20240101.zst", 0, 7), ("b_20240102.zst", 0, 4), ("b_20240102.zst", 1, 5)]
+    framelog.write_log(spark.createDataFrame([], kind), folder)
+    assert len(read()) == 3
+
+
+def test_blocks_of_one_key(spark):
+    """Results don't depend on where blocks are cut."""
+    diffs = spark.createDataFrame([("a", i, 3 * i + (i % 7 == 0), 3 * i + 2) for i in range(60)] + [(None, 5, 1, 2), (None, 6, 9, 9)], "symbol string, seq long, first_update_id long, last_update_id long")
+    want = sequence.gaps(diffs).collect()
+    assert len(want) == 9 and sorted(map(str, want)) == sorted(map(str, sequence.gaps(diffs, block=4).collect()))
+    days = spark.sql("select 'a' as symbol, id as seq, timestamp'2024-01-05 23:00:00' + make_dt_interval(0, id * 7 % 31) as ts from range(50)")
+    want = schedule.rotated(days, "/x").collect()
+    assert sorted(map(str, want)) == sorted(map(str, schedule.rotated(days, "/x", block=3).collect()))
+    seen, last = {r.seq: r for r in want}, ""
+    for i in range(50):
+        assert seen[i].file_date == max(last, seen[i].ts.strftime("%Y%m%d"))
+        last = seen[i].file_date
+    events = spark.sql("select 1 as k, timestamp'2024-01-01 00:00:00' + make_dt_interval(0, id * id, 0) as t from range(10)")
+    by = lambda b: sorted((r.session, str(r.start), str(r.stop), r.n) for r in schedule.idle_sessions(events, "k", "t", 8 * 3600, b).collect())
+    assert by("day") == by("year") and [x[3] for x in by("day")] == [5, 1, 1, 1, 1, 1]
+
+
+def test_idle_timeouts(spark):
+    s = 1_000_000
+    rows = [(1, 0, "Binary"), (1, 65 * s, "Pong"), (1, 200 * s, "Binary"), (2, 0, "Pong"), (2, 5 * s, "Ping"), (2, 65 * s, "Text"), (2, 70 * s, "Close"), (3, 1 * s, "Text"), (3, 61 * s, "Binary")]
+    got = schedule.idle_timeouts(spark.createDataFrame(rows, "c int, at long, opcode string"), "c", "at", "opcode").collect()
+    # looked at each 10 s from the start, over 60 s; a pong is no activity; at exactly 60 s nothing happens; the close ends 2
+    assert sorted(map(tuple, got)) == [(1, 0, 70 * s), (3, 61 * s, 131 * s)]
+
+
+def test_many_symbols(spark):
+    payloads = [depth([], symbol=b"S7"), depth([], symbol=b"s1999"), depth([], symbol=b"zz"), b"", b"\2s7"]
+    rows = symbols.with_symbol(frames(spark, payloads), [f"s{i}" for i in range(2000)]).orderBy("seq").collect()
+    assert [r.symbol for r in rows] == ["s7", "s1999", "unknown", "unknown", "s7"]
+    # of two that fit, the first subscribed
+    both = frames(spark, [b"\4\1ab" + b"c", b"\3abc", b"\4\3abc"])
+    assert [r.symbol for r in symbols.with_symbol(both, ["\3abc", "ABC", "nothing"]).orderBy("seq").collect()] == ["unknown", "abc", "\3abc"]
+    assert [r.symbol for r in symbols.with_symbol(both, []).collect()] == ["unknown"] * 3

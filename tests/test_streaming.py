@@ -74,3 +74,31 @@ def test_printed_odd_records(spark):
         1: "[1] S <too short: 3 bytes>", 2: "[2] S template=7 ab block_len=9 total=11b", 3: "[3] S BEST_BID_ASK unknown block_len=90 total=8b", 4: "[4] unknown tag: 0x58, payload_len=2",
         5: "[5] R <invalid JSON>", 6: "[6] R SNAPSHOT lastUpdateId=0 bids=2 asks=0\n  Bids:\n    1 @ ?", 9: "[9] S DEPTH_DIFF unknown block_len=4 total=12b",
     }
+
+
+def test_recovery_shares_one_limiter(spark):
+    def fetch(symbol):
+        if symbol == "B":
+            raise OSError("no answer")
+        return symbol.encode()
+
+    gaps = spark.createDataFrame([("a", 10), ("b", 20), ("a", 30), ("a", 111)], "symbol string, at long")
+    due = spark.createDataFrame([("C", 25)], "symbol string, at long")
+    rows = stateful.recover(gaps, due, fetch, lambda t: t + 1, 2, 100).collect()
+    # b's failed call counts; c and a at 30 are over the limit; at 111 that of 10 is out of the window
+    assert sorted((r.recv_nanos, r.symbol, r.tag_byte, bytes(r.payload)) for r in rows) == [(11, "a", 82, b"A"), (112, "a", 82, b"A")]
+    assert stateful.recover(gaps.limit(0), None, fetch, lambda t: t).count() == 0
+    null = spark.createDataFrame([("a", None)], "symbol string, admitted boolean")
+    assert stateful.snapshot_rows(null, fetch, lambda: 1).count() == 0
+
+
+def test_log_replays_as_a_stream(spark, tmp_path):
+    framelog.register(spark)
+    folder = str(tmp_path / "log")
+    rows = lambda ns: spark.createDataFrame([("a", "20240101", n, 83, bytes([n]), n) for n in ns], "symbol string, file_date string, recv_nanos long, tag_byte int, payload binary, seq long")
+    framelog.write_log(rows([1, 2]), folder)
+    query = spark.readStream.format("framelog").load(folder).writeStream.format("memory").queryName("replayed").option("checkpointLocation", str(tmp_path / "state")).start()
+    query.processAllAvailable()
+    framelog.write_log(rows([3]), folder)
+    stateful.stop(query)
+    assert sorted((r.recv_nanos, bytes(r.payload)) for r in spark.table("replayed").collect()) == [(1, b"\1"), (2, b"\2"), (3, b"\3")]

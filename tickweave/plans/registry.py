@@ -8,16 +8,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.functions.binary import scaled, scaled_exact
+from tickweave.functions.binary import hex_le, scaled, scaled_exact, var_string
 from tickweave.operators import printed, rest, sbe, schedule, sequence, symbols
 from tickweave.plans.session import fresh_path, saved, table
 from tickweave.sources import framelog
+from tickweave.streaming import stateful
 
 SUBSCRIBED = ["CLICK", "View", "purchase"]
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+#: What the queries read: messages made of the tables, written once for an application and folder.
+FRAMES: dict = {}
+_HELD: dict = {}
+
+
+def frames(make):
+    """A builder of messages, which runs once for an application, folder and its further arguments."""
+
+    def held(spark, d, *args) -> DataFrame:
+        key = (spark.sparkContext.applicationId, d, make.__name__, *args)
+        if key not in _HELD:
+            _HELD[key] = make(spark, d, *args)
+        return _HELD[key]
+
+    FRAMES[make.__name__] = held
+    return held
+
+
+def prepare(spark, d) -> None:
+    """Write all that the queries read."""
+    for name, make in FRAMES.items():
+        for args in ((sbe.SNAPSHOT,), (sbe.DIFF,)) if name == "depth_frames" else ((),):
+            make(spark, d, *args)
+
+
 def query(name: str, sql: str | None = None):
     def add(f):
         QUERIES[name] = f
@@ -34,6 +60,7 @@ def _lines(spark, d) -> DataFrame:
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", n("l_extendedprice", 100).alias("price"), n("l_quantity", 1).alias("qty"), (F.col("l_returnflag") == "R").cast("int").alias("maker"), "l_linestatus", "l_partkey", "l_suppkey")
 
 
+@frames
 def trade_frames(spark, d) -> DataFrame:
     """One trades message for each order, entries in a full order."""
     entry = F.struct(F.col("l_linenumber").cast("bigint").alias("id"), "price", "qty", F.col("maker").alias("is_buyer_maker"))
@@ -43,6 +70,7 @@ def trade_frames(spark, d) -> DataFrame:
     return saved(rows.select(F.col("l_orderkey").alias("seq"), sbe.encode(sbe.TRADES, {"event_time_us": F.col("l_orderkey"), "transact_time_us": -F.col("l_orderkey"), **exp}, {"trades": F.col("e")}, symbol).alias("payload")), "frames")
 
 
+@frames
 def depth_frames(spark, d, t: sbe.Template) -> DataFrame:
     level = F.struct("price", "qty")
     side = lambda s: F.array_sort(F.collect_list(F.when(F.col("l_linestatus") == s, level)))
@@ -52,6 +80,7 @@ def depth_frames(spark, d, t: sbe.Template) -> DataFrame:
     return saved(rows.select(k.alias("seq"), sbe.encode(t, values, {"bids": F.col("b"), "asks": F.col("a")}, F.lit("book")).alias("payload")), "frames")
 
 
+@frames
 def best_frames(spark, d) -> DataFrame:
     v = F.round(F.col("value") * 100).cast("bigint")
     values = {"event_time_us": F.unix_micros(F.col("ts").cast("timestamp")), "book_update_id": F.col("event_id"), "price_exp": F.lit(-2), "qty_exp": F.lit(0), "bid_price": v, "bid_qty": F.col("user_id"), "ask_price": v + 1, "ask_qty": -F.col("user_id")}
@@ -109,10 +138,29 @@ def fixed_point_scale(spark, d):
     return table(spark, d, "orders").select("o_orderkey", scaled(m, e).alias("price"), scaled_exact(m, e).cast("string").alias("exact"))
 
 
+@query("fixed_point_exponents", "SELECT o_orderkey, m * (1.0::DOUBLE / power(10.0::DOUBLE, CAST(o_orderkey % 9 AS DOUBLE))) AS price FROM (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) * CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE -1 END AS m FROM orders)")
+def fixed_point_exponents(spark, d):
+    m = F.round(F.col("o_totalprice") * 100).cast("bigint") * F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(-1)
+    return table(spark, d, "orders").select("o_orderkey", scaled(m, -(F.col("o_orderkey") % 9)).alias("price"))
+
+
+@query("var_string", "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_name END AS text FROM customer")
+def var_string_decode(spark, d):
+    full = F.unhex(F.concat(F.lit("ABCD"), hex_le(F.octet_length("c_name"), 1), F.hex(F.col("c_name").cast("binary"))))
+    cut = F.when(F.col("c_custkey") % 5 == 0, F.substring(full, F.lit(1), F.length(full) - 1)).otherwise(full)
+    return table(spark, d, "customer").select("c_custkey", var_string(cut, F.lit(2)).alias("text"))
+
+
+@query("launch_symbols", "SELECT n_nationkey, lower(n_name) || 'usdt' AS symbol, CASE WHEN n_nationkey % 3 = 0 THEN n_name ELSE 'exch' || n_regionkey END AS exchange, CASE WHEN n_nationkey % 3 = 0 THEN n_name ELSE 'a:' || n_name END AS path, 'http://host/api/v3/depth?symbol=' || upper(n_name) || 'USDT&limit=5000' AS request FROM nation")
+def launch_symbols(spark, d):
+    mapping = F.when(F.col("n_nationkey") % 3 == 0, F.col("n_name")).otherwise(F.concat(F.lit("exch"), F.col("n_regionkey").cast("string"), F.lit(":a:"), "n_name"))
+    exchange, path = schedule.mapping_parts(mapping)
+    symbol = schedule.coin_symbol(F.lower("n_name"))
+    return table(spark, d, "nation").select("n_nationkey", symbol.alias("symbol"), exchange.alias("exchange"), path.alias("path"), schedule.snapshot_url("http://host", symbol).alias("request"))
+
+
 @query("header_dispatch", "SELECT CASE WHEN event_id % 50 = 0 THEN 'short' ELSE coalesce(list_extract(['trades', 'best_bid_ask', 'depth_snapshot', 'depth_diff'], CAST(event_id % 5 + 1 AS INT)), 'other') END AS kind, count(*) AS n FROM events GROUP BY 1")
 def header_dispatch(spark, d):
-    from tickweave.functions.binary import hex_le
-
     e = table(spark, d, "events")
     head = F.concat(hex_le(F.lit(0), 2), hex_le(F.col("event_id") % 5 + 10000, 2), hex_le(F.lit(1), 2), hex_le(F.lit(0), 2))
     data = F.unhex(F.when(F.col("event_id") % 50 == 0, F.substring(head, 1, 14)).otherwise(head))
@@ -121,7 +169,7 @@ def header_dispatch(spark, d):
 
 @query("symbol_exact", "SELECT event_id AS seq, CASE WHEN lower(event_type) IN ('click', 'view', 'purchase') THEN lower(event_type) ELSE 'unknown' END AS symbol FROM events")
 def symbol_exact(spark, d):
-    return best_frames(spark, d).select("seq", symbols.match_exact(F.col("payload"), SUBSCRIBED).alias("symbol"))
+    return symbols.with_symbol(best_frames(spark, d), SUBSCRIBED).select("seq", "symbol")
 
 
 @query("symbol_heuristic", "SELECT event_id AS seq, event_type AS symbol FROM events")
@@ -146,6 +194,7 @@ def frame_validity(spark, d):
     return rows.groupBy(F.coalesce("error_class", F.lit("good")).alias("class")).agg(F.count("*").alias("n"))
 
 
+@frames
 def rest_frames(spark, d) -> DataFrame:
     side = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("l_linestatus") == s, F.struct("l_linenumber", "price", "qty")))), lambda x: F.array(x["price"].cast("string"), x["qty"].cast("string")))
     rows = _lines(spark, d).groupBy("l_orderkey").agg(side("O").alias("bids"), side("F").alias("asks"))
@@ -163,6 +212,14 @@ def rest_first5(spark, d):
     return rest.decode_rest(rest_frames(spark, d), first=5).select("seq", F.posexplode("bids").alias("pos", "x")).select("seq", "pos", F.col("x")[0].alias("price"), F.col("x")[1].alias("qty"))
 
 
+@query("rest_levels", f"SELECT l_orderkey AS seq, CASE WHEN l_linestatus = 'O' THEN 'bid' ELSE 'ask' END AS side, CAST(row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY id, price, qty) - 1 AS INT) AS pos, price::VARCHAR AS price, qty::VARCHAR AS qty FROM ({_SQL_LINES}) WHERE l_orderkey % 10 > 1")
+def rest_levels(spark, d):
+    sides = F.array(F.struct(F.lit("bid").alias("side"), F.col("bids").alias("levels")), F.struct(F.lit("ask").alias("side"), F.col("asks").alias("levels")))
+    rows = rest.decode_rest(rest_frames(spark, d)).select("seq", F.inline(sides)).select("seq", "side", F.posexplode("levels").alias("pos", "x"))
+    return rows.select("seq", "side", "pos", F.col("x")[0].alias("price"), F.col("x")[1].alias("qty"))
+
+
+@frames
 def diff_frames(spark, d) -> DataFrame:
     """A run of updates for each event type, with a message in 97 missing."""
     from pyspark.sql import Window
@@ -186,6 +243,27 @@ def gap_detect(spark, d):
     return sequence.gaps(decoded_diffs(spark, d))
 
 
+@query("gap_recovery", f"""
+WITH RECURSIVE g AS (SELECT lower(symbol) AS symbol, seq * 1000 AS due FROM (SELECT *, lag(last_u) OVER (PARTITION BY symbol ORDER BY seq) AS prev_u FROM ({_SQL_DIFFS})) WHERE first_u <> prev_u + 1),
+c AS (SELECT *, row_number() OVER (ORDER BY due, symbol) AS rn FROM g),
+s AS (SELECT symbol, due, rn, TRUE AS admitted, CAST(NULL AS BIGINT) AS a, due AS b FROM c WHERE rn = 1
+  UNION ALL
+  SELECT c.symbol, c.due, c.rn, coalesce(s.a <= c.due - 400000, TRUE), CASE WHEN coalesce(s.a <= c.due - 400000, TRUE) THEN s.b ELSE s.a END, CASE WHEN coalesce(s.a <= c.due - 400000, TRUE) THEN c.due ELSE s.b END
+  FROM s JOIN c ON c.rn = s.rn + 1)
+SELECT due + 5 AS recv_nanos, symbol, 82 AS tag_byte, upper(symbol) AS body FROM s WHERE admitted AND symbol <> 'view'""")
+def gap_recovery(spark, d):
+    """Gaps ask for snapshots under one limiter (2 calls in 400 microseconds); those of one symbol fail."""
+
+    def fetch(symbol):
+        if symbol == "VIEW":
+            raise OSError("no answer")
+        return symbol.encode()
+
+    found = sequence.gaps(decoded_diffs(spark, d)).select("symbol", (F.col("seq") * 1000).alias("at"))
+    rows = stateful.recover(found, None, fetch, lambda t: t + 5, 2, 400_000)
+    return rows.select("recv_nanos", "symbol", "tag_byte", F.col("payload").cast("string").alias("body"))
+
+
 @query("last_update_id", f"SELECT symbol, arg_max(last_u, seq) AS last_update_id FROM ({_SQL_DIFFS}) GROUP BY 1")
 def last_update_id(spark, d):
     return sequence.last_ids(decoded_diffs(spark, d))
@@ -210,13 +288,18 @@ def rotation_files(spark, d):
     return schedule.rotated(rows, "/log").select("symbol", "seq", "file")
 
 
+@frames
+def written_log(spark, d) -> str:
+    rows = best_frames(spark, d).withColumn("symbol", symbols.match_heuristic(F.col("payload")))
+    rows = rows.select("symbol", F.lit("20240101").alias("file_date"), "seq", (F.col("seq") * 1000 + 7).alias("recv_nanos"), F.when(F.col("seq") % 10 == 0, 82).when(F.col("seq") % 10 == 1, 88).otherwise(83).alias("tag_byte"), "payload")
+    path = fresh_path(spark, "framelog")
+    framelog.write_log(rows, path)
+    return path
+
+
 def _written(spark, d) -> DataFrame:
     framelog.register(spark)
-    rows = best_frames(spark, d).withColumn("symbol", symbols.match_heuristic(F.col("payload")))
-    rows = rows.select("symbol", F.lit("20240101").alias("file_date"), (F.col("seq") * 1000 + 7).alias("recv_nanos"), F.when(F.col("seq") % 10 == 0, 82).when(F.col("seq") % 10 == 1, 88).otherwise(83).alias("tag_byte"), "payload")
-    path = fresh_path(spark, "framelog").removeprefix("file://").removeprefix("file:")
-    rows.repartition("symbol", "file_date").sortWithinPartitions("symbol", "file_date", "recv_nanos").write.format("framelog").mode("append").save(path)
-    return spark.read.format("framelog").load(path)
+    return spark.read.format("framelog").load(written_log(spark, d))
 
 
 @query("framelog_roundtrip", "SELECT event_type AS symbol, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS seq, event_id * 1000 + 7 AS recv_nanos, CASE event_id % 10 WHEN 0 THEN 82 WHEN 1 THEN 88 ELSE 83 END AS tag_byte, event_id AS book_update_id FROM events")
@@ -230,6 +313,38 @@ def file_counts(spark, d):
     return schedule.file_counts(_written(spark, d)).withColumn("file", F.element_at(F.split("file", "/"), -1))
 
 
+@query("tag_filter", "SELECT event_type AS symbol, event_id * 1000 + 7 AS recv_nanos FROM events WHERE event_id % 10 = 0 AND event_id >= 1000")
+def tag_filter(spark, d):
+    rows = _written(spark, d).filter((F.col("tag_byte") == 82) & (F.col("recv_nanos") >= 1_000_000) & F.col("error").isNull())
+    return rows.select(symbols.match_heuristic(F.col("payload")).alias("symbol"), "recv_nanos")
+
+
+_SQL_ROTATED = "SELECT event_type AS symbol, seq, recv_nanos, event_type || '_' || strftime(max(day) OVER (PARTITION BY event_type ORDER BY seq ROWS UNBOUNDED PRECEDING), '%Y%m%d') || '.zst' AS file FROM (SELECT event_type, epoch_us(ts) * 1000 AS recv_nanos, CAST(ts AS DATE) AS day, (event_id + CASE WHEN event_id % 10 = 0 THEN 500 ELSE 0 END) * 100000 + event_id AS seq FROM events)"
+
+
+@query("rotated_log", f"SELECT file, row_number() OVER (PARTITION BY file ORDER BY seq) - 1 AS seq, recv_nanos, 'm' || seq AS payload FROM ({_SQL_ROTATED})")
+def rotated_log(spark, d):
+    """Late records over midnights: rotation, the sink, and the log read back."""
+    late = F.col("event_id") + F.when(F.col("event_id") % 10 == 0, 500).otherwise(0)
+    rows = table(spark, d, "events").select(F.col("event_type").alias("symbol"), "ts", (late * 100000 + F.col("event_id")).alias("seq"))
+    rows = schedule.rotated(rows, "/log", block=1 << 28).select("symbol", "file_date", "seq", (F.unix_micros(F.col("ts").cast("timestamp")) * 1000).alias("recv_nanos"), F.lit(83).alias("tag_byte"), F.concat(F.lit("m"), F.col("seq").cast("string")).cast("binary").alias("payload"))
+    path = fresh_path(spark, "rotated")
+    framelog.write_log(rows, path)
+    return spark.read.format("framelog").load(path).select(F.element_at(F.split("file", "/"), -1).alias("file"), "seq", "recv_nanos", F.col("payload").cast("string").alias("payload"))
+
+
+@query("interleaved_log", """
+SELECT symbol, row_number() OVER (PARTITION BY symbol ORDER BY recv_nanos, tag = 'R') - 1 AS seq, recv_nanos, tag FROM (
+  SELECT event_type AS symbol, event_id * 1000 AS recv_nanos, 'S' AS tag FROM events
+  UNION ALL SELECT event_type, (event_id + event_id % 3 * 7) * 1000 + CASE WHEN event_id % 4 = 0 THEN 0 ELSE event_id END, 'R' FROM events WHERE event_id % 10 = 0)""")
+def interleaved_log(spark, d):
+    e = best_frames(spark, d).withColumnRenamed("event_type", "symbol")
+    messages = e.select((F.col("seq") * 1000).alias("recv_nanos"), "symbol", F.lit(83).alias("tag_byte"), "payload")
+    done = (F.col("seq") + F.col("seq") % 3 * 7) * 1000 + F.when(F.col("seq") % 4 == 0, 0).otherwise(F.col("seq"))
+    snapshots = e.filter("seq % 10 = 0").select(done.alias("recv_nanos"), "symbol", F.lit(82).alias("tag_byte"), F.lit("{}").cast("binary").alias("payload"))
+    return stateful.interleave(messages, snapshots, block=1 << 20).select("symbol", "seq", "recv_nanos", "tag")
+
+
 @query("subscription_url", "SELECT string_agg(lower(r_name) || s.t, '/' ORDER BY r_regionkey, s.i) AS path FROM region, (VALUES (0, '@trade'), (1, '@bestBidAsk'), (2, '@depth'), (3, '@depth20')) s(i, t)")
 def subscription_url(spark, d):
     return schedule.subscription_path(table(spark, d, "region").select("r_regionkey", F.col("r_name").alias("symbol")), "r_regionkey")
@@ -248,6 +363,34 @@ def idle_sessions(spark, d):
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "stop")})
 
 
+_SQL_FRAMES = "SELECT event_id, user_id, epoch_us(ts) AS micros, CASE WHEN event_id % 50 = 7 THEN 'Close' ELSE list_extract(['Binary', 'Text', 'Ping', 'Pong', 'Continuation'], CAST(event_id % 5 + 1 AS INT)) END AS opcode FROM events"
+
+
+def _socket_frames(spark, d) -> DataFrame:
+    kinds = F.array(*(F.lit(x) for x in ("Binary", "Text", "Ping", "Pong", "Continuation")))
+    opcode = F.when(F.col("event_id") % 50 == 7, "Close").otherwise(F.get(kinds, (F.col("event_id") % 5).cast("int")))
+    return table(spark, d, "events").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"), opcode.alias("opcode"))
+
+
+@query("opcode_actions", f"SELECT CASE opcode WHEN 'Binary' THEN 'record' WHEN 'Text' THEN 'log' WHEN 'Ping' THEN 'pong' WHEN 'Close' THEN 'error' ELSE 'ignore' END AS action, count(*) AS n FROM ({_SQL_FRAMES}) GROUP BY 1")
+def opcode_actions(spark, d):
+    return _socket_frames(spark, d).groupBy(schedule.frame_action(F.col("opcode")).alias("action")).agg(F.count("*").alias("n"))
+
+
+@query("opcode_filter", f"SELECT event_id, user_id, micros FROM ({_SQL_FRAMES}) WHERE opcode = 'Binary'")
+def opcode_filter(spark, d):
+    return schedule.binary_frames(_socket_frames(spark, d))
+
+
+@query("idle_timeouts", f"""
+WITH f AS (SELECT *, min(micros) OVER (PARTITION BY user_id) AS start FROM ({_SQL_FRAMES})),
+m AS (SELECT *, lead(micros) OVER (PARTITION BY user_id ORDER BY micros) AS following, start + ((micros + 36000000000 - start) // 6000000000 + 1) * 6000000000 AS tick FROM f WHERE opcode IN ('Binary', 'Text', 'Ping', 'Close') OR micros = start),
+e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN opcode = 'Close' THEN micros ELSE tick END, opcode <> 'Close') AS place FROM m WHERE opcode = 'Close' OR following IS NULL OR tick < following)
+SELECT user_id, micros AS last_activity, tick AS timeout_at FROM e WHERE place = 1 AND opcode <> 'Close'""")
+def idle_timeouts(spark, d):
+    return schedule.idle_timeouts(_socket_frames(spark, d), "user_id", "micros", "opcode", 36000, 6000)
+
+
 @query("backoff_schedule", "SELECT event_id, base + (event_id % (2 * (base // 4) + 1)) - base // 4 AS delay FROM (SELECT event_id, least(100 * CAST(power(2, least(event_id % 12, 7)) AS BIGINT), 10000) AS base FROM events)")
 def backoff_schedule(spark, d):
     return table(spark, d, "events").select("event_id", schedule.backoff_ms(F.col("event_id") % 12, F.col("event_id")).alias("delay"))
