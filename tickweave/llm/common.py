@@ -70,10 +70,16 @@ def cells(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
 
 
+def row_salt() -> Column:
+    """A salt that differs between all rows, repeated ones too: their numbers, which are the same again when a scan's task is run again."""
+    return F.monotonically_increasing_id()
+
+
 def salted_join(rows: DataFrame, groups: DataFrame, key: str, salt: Column, how: str = "inner", salts: int = 16) -> DataFrame:
     """rows joined with groups, which has one row a key, so that a key with many rows goes to `salts` tasks.
 
-    salt: of rows, a column that differs between the rows of a key.
+    salt: of rows, a column that differs between the rows of a key. The salts spread what fits a few tasks; a key that is larger still is split
+    further when it is read: both sides are shuffled for this sort-merge join alone, so adaptive execution cuts a skewed partition of rows.
     """
     left = rows.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(salts)).cast("int"))
     right = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import free_name, in_map, key_map, salted_join
+from tickweave.llm.common import free_name, in_map, key_map, row_salt, salted_join
 from tickweave.plans.session import table
 
+
 def normalised(text: Column) -> Column:
     """Runs of ASCII white space become one space; null counts as empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
@@ -31,7 +32,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", carry
     """
     carry = carry or {}
     base = docs.select(F.col(key).alias("_doc"), normalised(F.col(text)).alias("_norm"), F.struct(*(c.alias(n) for n, c in carry.items()) if carry else [F.lit(0).alias("_")]).alias("_carry"))
-    base = base.withColumn("_len", F.length("_norm"))
+    base = base.withColumns({"_len": F.length("_norm"), "_number": row_salt()})
     by_length = _repeated(base.select("_len"), "_len")
 
     def second(df):
@@ -47,8 +48,8 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", carry
         .groupBy(F.col("_full").alias("_key")).agg(F.min("_doc").alias("_keep"), F.count("*").alias("_n")).filter("_n > 1")
     )
     # rows that left early get a key of their own, so that they don't meet in one partition
-    rows = third(base).select("_doc", "_carry", F.coalesce("_full", F.concat(F.lit("~"), F.col("_len").cast("string"), F.lit("~"), F.col("_doc").cast("string"))).alias("_key"))
-    out = salted_join(rows, groups, "_key", F.col("_doc"), "left")
+    rows = third(base).select("_doc", "_carry", "_number", F.coalesce("_full", F.concat(F.lit("~"), F.col("_number").cast("string"))).alias("_key"))
+    out = salted_join(rows, groups, "_key", F.col("_number"), "left")
     return out.select(
         F.col("_doc").alias("doc"), *(F.col("_carry")[n].alias(n) for n in carry),
         F.coalesce("_keep", "_doc").alias("keep_id"), F.coalesce("_n", F.lit(1)).cast("long").alias("group_size"),

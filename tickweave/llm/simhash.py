@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweave.llm.common import LOWER_BYTES, annotate, cells, salted_join
+from tickweave.llm.common import LOWER_BYTES, annotate, cells, row_salt, salted_join
 from tickweave.llm.components import stars
 from tickweave.plans.session import saved, ship, shuffle_parts, table
 
@@ -224,7 +224,7 @@ def near_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     least = nodes.join(star.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     heads = least.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = salted_join(least.select("fp", "root"), heads, "root", F.col("fp")).select("fp", "component_id")
-    return salted_join(rows, named, "fp", F.col("doc_id")).select("doc_id", "fp", "component_id")
+    return salted_join(rows, named, "fp", row_salt()).select("doc_id", "fp", "component_id")
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweave.llm.common import MAP_BITS, annotate, bit_rows, cells, salted_join
+from tickweave.llm.common import MAP_BITS, annotate, bit_rows, cells, row_salt, salted_join
 from tickweave.llm.components import stars
 from tickweave.llm.simhash import links_in_groups, majority, ones_of, shingle_hashes
 from tickweave.plans.session import saved
@@ -172,7 +172,7 @@ def similar_groups(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS, size
     least = nodes.select("sig", "rep").join(star.select(F.col("u").alias("sig"), F.col("v").alias("root")), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     heads = least.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = salted_join(least.select("sig", "root"), heads, "root", F.col("sig")).select("sig", "component_id")
-    return salted_join(rows.select("doc_id", "sig"), named, "sig", F.col("doc_id")).select("doc_id", "component_id")
+    return salted_join(rows.select("doc_id", "sig"), named, "sig", row_salt()).select("doc_id", "component_id")
 
 
 def drop_near(docs: DataFrame) -> DataFrame:
