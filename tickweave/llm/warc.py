@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -14,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import salted_join
+from tickweave.llm.common import row_salt, salted_join
 from tickweave.plans.session import fresh_path, saved, ship, shuffle_parts, table
 
 #: The two versions' record header fields, as the file's first record names them.
@@ -39,41 +42,43 @@ def arc_record(version: int, url: str, when: str, body: bytes, name: str) -> byt
     return line.encode() + body + b"\n"
 
 
-def read_arc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header fields, content) of each record but the first. Lengths are as declared; a record cut short, or a line
+def read_arc(f) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(header fields, content) of each record but the first, of a file with read and readline. Lengths are as declared; a record cut short, or a line
     that has not the fields of the file's version, is an error."""
-    line, _, rest = data.partition(b"\n")
+    line = f.readline()
+    if not line:
+        return
     size = int(line.rsplit(b" ", 1)[1])
-    block = data[len(line) + 1 : len(line) + 1 + size].decode().split("\n")
+    block = f.read(size).decode("utf-8", "replace").split("\n")
     version = int(block[0].split(" ")[0])
-    fields = block[1].split(" ")
+    fields = block[1].split(" ") if len(block) > 1 else []
     if fields != ARC_FIELDS.get(version):
         raise ValueError(f"ARC version {version} with fields {fields}")
-    at = len(line) + 1 + size + 1
-    while at < len(data):
-        stop = data.index(b"\n", at)
-        parts = data[at:stop].decode().split(" ")
+    while line := f.readline():
+        if line in (b"\n", b"\r\n"):  # parts the records
+            continue
+        parts = line.rstrip(b"\r\n").decode("utf-8", "replace").split(" ")
         if len(parts) != len(fields):
             raise ValueError(f"ARC header line of {len(parts)} fields; version {version} has {len(fields)}")
         head = dict(zip(fields, parts, strict=True))
         size = int(head["Archive-length"])
-        if stop + 1 + size > len(data):
+        content = f.read(size)
+        if len(content) < size:
             raise ValueError("ARC record shorter than its declared length")
-        yield head, data[stop + 1 : stop + 1 + size]
-        at = stop + 1 + size + 1
+        yield head, content
 
 
-def record_id(url: str, when: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(_SPACE, url + ' ' + when)}>"
+def to_warc(head: dict[str, str], content: bytes, name: str, original: str | None = None) -> bytes:
+    """One WARC/1.1 record for one ARC record: response, or revisit of the record with the URL `original`.
 
-
-def to_warc(head: dict[str, str], content: bytes, original: str | None = None) -> bytes:
-    """One WARC/1.1 record for one ARC record: response, or revisit of the record with the URL `original`."""
-    http, _, payload = content.partition(b"\r\n\r\n")
-    http += b"\r\n\r\n"
-    when = datetime.strptime(head["Archive-date"], "%Y%m%d%H%M%S").replace(tzinfo=UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    name: the record's place, unlike any other's; its identifier is made of it. Content without an HTTP header is all payload.
+    """
+    http, mark, payload = content.partition(b"\r\n\r\n")
+    http, payload = (http + mark, payload) if mark else (b"", content)
+    stamp = head["Archive-date"].ljust(14, "0")[:14]
+    when = datetime.strptime(stamp, "%Y%m%d%H%M%S").replace(tzinfo=UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     block = http if original is not None else content
-    lines = ["WARC/1.1", f"WARC-Type: {'response' if original is None else 'revisit'}", f"WARC-Record-ID: {record_id(head['URL'], head['Archive-date'])}", f"WARC-Date: {when}", f"WARC-Target-URI: {head['URL']}", f"WARC-IP-Address: {head['IP-address']}"]
+    lines = ["WARC/1.1", f"WARC-Type: {'response' if original is None else 'revisit'}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(_SPACE, name)}>", f"WARC-Date: {when}", f"WARC-Target-URI: {head['URL']}", f"WARC-IP-Address: {head['IP-address']}"]
     lines += [f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}", f"WARC-Block-Digest: sha1:{base32_sha1(block)}", f"X-Payload-Length: {len(payload)}"]
     if original is not None:
         lines += [f"WARC-Refers-To-Target-URI: {original}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
@@ -104,7 +109,40 @@ def read_warc(raw: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
 def _open(path: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path)
+    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+
+
+class _Archives:
+    """WARC archives of about archive_bytes, a gzip member a record, written under a name of their own and then renamed."""
+
+    def __init__(self, path: str, archive_bytes: int):
+        self.where, self.root = _open(path)
+        self.where.create_dir(self.root, recursive=True)
+        self.archive_bytes = archive_bytes
+        self._begin()
+
+    def _begin(self) -> None:
+        self.name, self.members, self.size = uuid.uuid4().hex, [], 0
+
+    def add(self, head: dict[str, str], content: bytes, original: str | None) -> Iterator[pa.RecordBatch]:
+        engine = zlib.compressobj(1, zlib.DEFLATED, 31)
+        record = to_warc(head, content, f"{self.name}/{len(self.members)}", original)
+        self.members.append(engine.compress(record) + engine.flush())
+        self.size += len(self.members[-1])
+        if self.size >= self.archive_bytes:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        """The manifest's row of what is held."""
+        if not self.members:
+            return
+        file = f"{self.root}/{self.name}"
+        with self.where.open_output_stream(f"{file}.tmp", compression=None) as f:
+            for m in self.members:
+                f.write(m)
+        self.where.move(f"{file}.tmp", f"{file}.warc.gz")
+        yield pa.RecordBatch.from_arrays([pa.array([f"{file}.warc.gz"]), pa.array([len(self.members)], pa.int64())], names=["file", "records"])
+        self._begin()
 
 
 def archive_url(page, url: str | None) -> str:
@@ -128,21 +166,10 @@ def convert(pages: DataFrame, path: str, archive_bytes: int = 32 << 20, min_byte
     base = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "utf-8").alias("html"))
     base = base.withColumn("_digest", F.concat(F.sha1("html"), F.length("html").cast("string")))
     groups = base.filter(F.length("html") >= min_bytes).groupBy("_digest").agg(F.max("page_id").alias("first"), F.max_by("url", "page_id").alias("first_url"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    rows = salted_join(base, groups, "_digest", F.xxhash64("page_id", "url"), "left").select("page_id", "url", "html", "first", "first_url")
+    rows = salted_join(base, groups, "_digest", row_salt(), "left").select("page_id", "url", "html", "first", "first_url")
 
     def run(batches):
-        where, root = _open(path)
-        where.create_dir(root, recursive=True)
-
-        def flush(members: list[bytes]):
-            name = f"{root}/{uuid.uuid4().hex}"
-            with where.open_output_stream(f"{name}.tmp", compression=None) as f:
-                for m in members:
-                    f.write(m)
-            where.move(f"{name}.tmp", f"{name}.warc.gz")
-            return pa.RecordBatch.from_arrays([pa.array([f"{name}.warc.gz"]), pa.array([len(members)], pa.int64())], names=["file", "records"])
-
-        held, size = [], 0
+        out = _Archives(path, archive_bytes)
         for b in batches:
             step = max(1, int(b.num_rows * (8 << 20) / max(b.nbytes, 1)))
             for at in range(0, b.num_rows, step):
@@ -157,20 +184,77 @@ def convert(pages: DataFrame, path: str, archive_bytes: int = 32 << 20, min_byte
                     v = 1 if page is not None and page % 2 == 0 else 2
                     arcs[v].append(arc_record(v, name, when, http + html, f"part{v}.arc"))
                 for parts in arcs.values():
-                    for head, content in read_arc(b"".join(parts)):
-                        engine = zlib.compressobj(1, zlib.DEFLATED, 31)
-                        record = to_warc(head, content, originals.get(head["URL"]))
-                        held.append(engine.compress(record) + engine.flush())
-                        size += len(held[-1])
-                        if size >= archive_bytes:
-                            yield flush(held)
-                            held, size = [], 0
-        if held:
-            yield flush(held)
+                    for head, content in read_arc(io.BytesIO(b"".join(parts))):
+                        yield from out.add(head, content, originals.get(head["URL"]))
+        yield from out.flush()
 
     return rows.mapInArrow(run, "file string, records long")
 
 
+def _arc_file(path: str):
+    """An ARC file, packed or not, as one that is read in order."""
+    where, name = _open(path)
+    f = io.BufferedReader(where.open_input_stream(name, compression=None), 1 << 20)
+    return gzip.GzipFile(fileobj=f) if f.peek(2)[:2] == b"\x1f\x8b" else f
+
+
+def arc_records(spark, folder: str) -> DataFrame:
+    """file, number, url, archived, payload_bytes, payload_digest of each record of a folder's *.arc and *.arc.gz files, each read in one task, as a stream."""
+    ship(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.arc*").option("recursiveFileLookup", "true").load(folder).select("path")
+
+    def run(batches):
+        for b in batches:
+            for path in b.column(0).to_pylist():
+                out = [[], [], [], [], []]
+                with _arc_file(path) as f:
+                    for number, (head, content) in enumerate(read_arc(f)):
+                        _, mark, payload = content.partition(b"\r\n\r\n")
+                        payload = payload if mark else content
+                        for c, v in zip(out, (number, head["URL"], head["Archive-date"], len(payload), base32_sha1(payload)), strict=True):
+                            c.append(v)
+                arrays = [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(out[0]), pa.string()), *arrays], names=["file", "number", "url", "archived", "payload_bytes", "payload_digest"])
+
+    return files.repartition(shuffle_parts(spark), "path").mapInArrow(run, "file string, number long, url string, archived string, payload_bytes long, payload_digest string")
+
+
+def convert_folder(spark, folder: str, path: str, archive_bytes: int = 32 << 20, min_bytes: int = 0) -> DataFrame:
+    """Convert a folder's ARC files to WARC archives at `path`; the manifest (file, records).
+
+    Of records whose payloads are equal, of min_bytes at least, the one archived first (then by URL, file and number) is a response, the others are revisits
+    of it. The records are read twice: for their digests, and to be converted; only a row without content a record is shuffled. An ARC file is one
+    task's. A folder without records gives no archive; a file that breaks its version's rules is an error that stops the job.
+    """
+    index = saved(arc_records(spark, folder), "arc-records")
+    group = F.struct("payload_digest", "payload_bytes")
+    groups = index.filter(F.col("payload_bytes") >= min_bytes).groupBy(group.alias("_group")).agg(F.min(F.struct("archived", "url", "file", "number")).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    rows = salted_join(index.withColumn("_group", group), groups, "_group", row_salt(), "left")
+    is_first = (F.col("first.file") == F.col("file")) & (F.col("first.number") == F.col("number"))
+    rows = rows.select("file", "number", F.when(~is_first, F.col("first.url")).alias("original"))
+
+    def run(batches):
+        out, source, last, records = _Archives(path, archive_bytes), None, None, iter(())
+        try:
+            for b in batches:
+                for file, number, original in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    if file != last:
+                        if source is not None:
+                            source.close()
+                        source, last = _arc_file(file), file
+                        records = enumerate(read_arc(source))
+                    at, (head, content) = next(records)
+                    if at != number:
+                        raise ValueError(f"{file}: record {at}, not {number}")
+                    yield from out.add(head, content, original)
+        finally:
+            if source is not None:
+                source.close()
+        yield from out.flush()
+
+    return rows.repartition(shuffle_parts(spark), "file").sortWithinPartitions("file", "number").mapInArrow(run, "file string, records long")
+
+
 def read_archives(manifest: DataFrame, path: str, id_type: str = "long") -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of the records of the manifest's archives."""
 
