@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import cells
+from tickweave.llm.common import cells, row_salt
 from tickweave.plans.session import fresh_path, ship, shuffle_parts, table
 
 #: A line that is a word of Latin letters and then ASCII marks, without ' and <: two tokenizer words that nothing joins. Other lines give no word.
@@ -139,12 +139,14 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end:
     """Write doc_id, first (ids before it in its file), n_tokens, ids as ORC files that ascend in doc_id.
 
     docs: doc_id, text. The texts are dealt out by ranges of doc_id, so each file is one task's and its rows
-    ascend; nulls come first, rows of one doc_id in the order of their texts. Null and empty texts have the end id only.
+    ascend; nulls come first, rows of one doc_id in the order of docs, in several files if they are many. Null and empty texts have the end
+    id only; an empty table gives files without rows.
     """
     vocabulary = vocabulary or default_vocabulary()
     ship(docs.sparkSession)
     parts = shuffle_parts(docs.sparkSession)
-    ranged = docs.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    by = [F.col("doc_id").asc_nulls_first(), F.col("_row").asc()]
+    ranged = docs.withColumn("_row", row_salt()).repartitionByRange(parts, *by).sortWithinPartitions(*by).drop("_row")
     kind = "doc_id " + dict(docs.dtypes)["doc_id"] + ", first long, n_tokens int, ids array<int>"
 
     def run(batches):
@@ -152,7 +154,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end:
 
         enc, before = encoder(vocabulary), 0
         for b in batches:
-            step = max(1, int(b.num_rows * (8 << 20) / max(b.nbytes, 1)))
+            step = max(1, int(b.num_rows * (4 << 20) / max(b.nbytes, 1)))
             for at in range(0, b.num_rows, step):
                 piece = b.slice(at, step)
                 offsets, ids = enc.encode(piece.column(1).cast(pa.binary()).to_pylist(), end)
@@ -168,7 +170,10 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end:
 
 
 def read_tokens(spark, path: str, ids: list | None = None) -> DataFrame:
-    """The files' rows with `start`, the ids of all documents before; only some doc_ids, if given, by index and Bloom filter."""
+    """The files' rows with `start`, the ids of all documents before; only some doc_ids, if given, by index and Bloom filter.
+
+    Rows come as they were written: null doc_ids and repeated ones too; `ids` finds no null. Files without rows give none.
+    """
     rows = spark.read.orc(path).withColumn("_file", F.col("_metadata.file_name"))
     # a row for each file, of which there are as many as write tasks
     totals = sorted((r[0], r[1]) for r in rows.groupBy("_file").agg(F.max(F.col("first") + F.col("n_tokens"))).collect())
@@ -180,7 +185,7 @@ def read_tokens(spark, path: str, ids: list | None = None) -> DataFrame:
 
 
 def checksums(rows: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of rows of read_tokens."""
+    """doc_id, start, n_tokens, ids_crc32 of rows of read_tokens; no ids at all have 0."""
     kind = "doc_id " + dict(rows.dtypes)["doc_id"] + ", start long, n_tokens long, ids_crc32 long"
 
     def run(batches):
