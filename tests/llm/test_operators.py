@@ -1,4 +1,5 @@
 import hashlib
+import io
 import os
 import random
 import re
@@ -152,7 +153,7 @@ def test_odd_pages_and_turns(spark):
     got = {r.page_id: r for r in warc.read_archives(saved(warc.convert(pages, path), "m"), path).collect()}
     assert {k: (r.record_type, r.refers_to) for k, r in got.items()} == {0: ("revisit", 1), 1: ("response", None), 2: ("revisit", 3), 3: ("response", None), None: ("response", None)}
     with pytest.raises(ValueError):
-        list(warc.read_arc(warc.arc_header(1, "f") + b"u 0.0.0.0 20000101000000 text/html 99\nshort\n"))
+        list(warc.read_arc(io.BytesIO(warc.arc_header(1, "f") + b"u 0.0.0.0 20000101000000 text/html 99\nshort\n")))
     turns = spark.createDataFrame([(1, "chosen", 0, "user", "q"), (1, "rejected", 0, "user", "q"), (1, "chosen", 1, "assistant", "a"), (1, "rejected", 1, "assistant", None), (None, "chosen", 0, "user", "x"), (2, "chosen", None, None, "y")], "pair_id long, side string, turn int, role string, text string")
     rows = chat.format_preferences(turns).orderBy("pair_id", "turn", "part").collect()
     assert [(r.pair_id, r.part, r.turn, r.loss) for r in rows] == [(1, "prompt", 0, 0), (1, "chosen", 1, 1), (1, "rejected", 1, 1), (2, "chosen", -1, 0)]
