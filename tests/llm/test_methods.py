@@ -411,3 +411,12 @@ def test_stages_on_odd_rows(spark, step):
     assert left == {
         0: left, 1: ["1", "3", "3", "5", "6", "None"], 2: ["1", "3", "3", "5", "None"], 3: sorted(str(i) for i, _ in texts),
     }[step], name
+
+
+def test_quality_stage(spark):
+    """The stage keeps just what the query predicts as 1."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{D}/documents.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.keep_good(spark, docs, D).collect()}
+    assert kept == {r.doc_id for r in quality.op4_quality_classifier(spark, D).collect() if r.predicted}
