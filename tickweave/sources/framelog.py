@@ -70,31 +70,50 @@ def scan(path: str, parts: list[str] | None = None):
     """Rows of one log, over all zstd frames of its files. An end within a header is an end; one within a payload is an error row."""
     import zstandard
 
-    seq = 0
+    seq, size, unpack = 0, ROW.size, ROW.unpack_from
     try:
         for part in parts or [path]:
             where, name = _open(part)
             with where.open_input_stream(name, compression=None) as f, zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True) as z:
-
-                def take(n, z=z):
-                    held, left = [], n
-                    while left and (got := z.read(left)):
-                        held.append(got)
-                        left -= len(got)
-                    return b"".join(held)
-
-                while len(head := take(ROW.size)) == ROW.size:
-                    nanos, tag, n = ROW.unpack(head)
-                    payload = take(n)
-                    if len(payload) < n:
-                        yield path, seq, None, None, None, "ends within a payload"
-                        return
-                    yield path, seq, nanos, tag, payload, None
-                    seq += 1
+                held, at, want = b"", 0, 1 << 20
+                while more := z.read(want):
+                    held, at, want = held[at:] + more, 0, 1 << 20
+                    while len(held) - at >= size:
+                        nanos, tag, n = unpack(held, at)
+                        stop = at + size + n
+                        if stop > len(held):
+                            want = max(want, stop - len(held))
+                            break
+                        yield path, seq, nanos, tag, held[at + size : stop], None
+                        seq += 1
+                        at = stop
+                if len(held) - at >= size:
+                    yield path, seq, None, None, None, "ends within a payload"
+                    return
     except (OSError, zstandard.ZstdError) as e:
         yield path, seq, None, None, None, f"{type(e).__name__}: {e}"
 
 
+def batches(rows, most: int = 8192, size: int = 4 << 20):
+    """Rows of scan as Arrow batches."""
+    import pyarrow as pa
+
+    kinds = [("file", pa.string()), ("seq", pa.int64()), ("recv_nanos", pa.int64()), ("tag_byte", pa.int32()), ("payload", pa.binary()), ("error", pa.string())]
+
+    def batch(held):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(zip(*held, strict=True), kinds, strict=True)], names=[n for n, _ in kinds])
+
+    held, total = [], 0
+    for row in rows:
+        held.append(row)
+        total += len(row[4] or b"")
+        if len(held) >= most or total >= size:
+            yield batch(held)
+            held, total = [], 0
+    if held:
+        yield batch(held)
+
+
 #: Comparisons that the scan applies to tag_byte and recv_nanos before rows leave Python.
 _COMPARE = {EqualTo: operator.eq, GreaterThan: operator.gt, GreaterThanOrEqual: operator.ge, LessThan: operator.lt, LessThanOrEqual: operator.le}
 _AT = {"recv_nanos": 2, "tag_byte": 3}
@@ -128,9 +147,11 @@ class FrameLogReader(DataSourceReader):
         return [_Log(*x) for x in self.logs] or [_Log("")]
 
     def read(self, partition):
-        if not partition.path:
-            return
-        for row in scan(partition.path, partition.parts):
+        if partition.path:
+            yield from batches(self._wanted(scan(partition.path, partition.parts)))
+
+    def _wanted(self, rows):
+        for row in rows:
             if row[5] and self.strict:
                 raise ValueError(f"{row[0]}: {row[5]}")
             if row[5] or all(test(row[at], value) for at, test, value in self.tests):
@@ -160,7 +181,7 @@ class FrameLogStream(DataSourceStreamReader):
         return [_Log(p, [p]) for p in json.loads(end["files"]) if p not in before]
 
     def read(self, partition):
-        yield from scan(partition.path, partition.parts)
+        yield from batches(scan(partition.path, partition.parts))
 
     def commit(self, end):
         pass
