@@ -75,10 +75,11 @@ def kind(data: Column) -> Column:
     return out.otherwise("other")
 
 
-def _kind(t: Template) -> T.StructType:
+def _kind(t: Template, only: tuple[str, ...] | None = None) -> T.StructType:
     one = lambda fields: [T.StructField(n, T.IntegerType() if abs(w) == 1 else T.LongType()) for n, w in fields]
     groups = [f for g in t.groups for f in (T.StructField(f"declared_{g}", T.LongType()), T.StructField(g, T.ArrayType(T.StructType(one(t.entry)))))]
-    return T.StructType([*one(t.fields), *groups, T.StructField("decode_error", T.StringType())])
+    every = [*one(t.fields), *groups, T.StructField("decode_error", T.StringType())]
+    return T.StructType([f for f in every if only is None or f.name in only])
 
 
 def _integers(flat: np.ndarray, at: np.ndarray, n: int, signed: bool) -> np.ndarray:
@@ -97,8 +98,8 @@ def _fields(fields, flat: np.ndarray, at: np.ndarray, stop: np.ndarray) -> list[
     return out
 
 
-def read_messages(t: Template, payload: pa.Array) -> pa.Array:
-    """A struct for each payload, null for null ones; fields as _kind names them.
+def read_messages(t: Template, payload: pa.Array, only: tuple[str, ...] | None = None) -> pa.Array:
+    """A struct for each payload, null for null ones; fields as _kind names them. Groups are not looked at if `only` has neither them nor the error.
 
     Works on the bytes of the whole batch: each field, and each entry of all groups, is gathered at once.
     """
@@ -113,7 +114,9 @@ def read_messages(t: Template, payload: pa.Array) -> pa.Array:
     error = np.where(stop - start < 8 + t.block, "block too short", None).astype(object)
     head = stop - start >= 2
     at = np.where(head, start + 8 + _integers(flat, np.where(head, start, 0), 2, False), stop)
-    for g in t.groups:
+    wanted = _kind(t, only).names
+    names = [n for n, _ in t.fields]
+    for g in t.groups if only is None or not set(only) <= set(names) else ():
         c = t.count_bytes
         has = at + 2 + c <= stop
         declared = np.where(has, _integers(flat, np.where(has, at + 2, 0), c, False).astype(np.int64), 0)
@@ -133,34 +136,35 @@ def read_messages(t: Template, payload: pa.Array) -> pa.Array:
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), values, mask=pa.array(absent))
         arrays += [pa.array(declared), lists]
         at = np.where(has, first + declared * step, stop)
-    arrays.append(pa.array(error, pa.string()))
-    return pa.StructArray.from_arrays(arrays, names=_kind(t).names, mask=pa.array(null))
+        names += [f"declared_{g}", g]
+    held = dict(zip([*names, "decode_error"], [*arrays, pa.array(error, pa.string())], strict=True))
+    return pa.StructArray.from_arrays([held[n] for n in wanted], names=wanted, mask=pa.array(null))
 
 
-def message(t: Template, data: Column) -> Column:
-    """The decoded struct of a template's payload, in Arrow batches; null for null."""
+def message(t: Template, data: Column, only: tuple[str, ...] | None = None) -> Column:
+    """The decoded struct of a template's payload, in Arrow batches; null for null. only: fields of it."""
 
     def read(payload: pa.Array) -> pa.Array:
         from tickweave.operators.sbe import read_messages
 
-        return read_messages(t, payload)
+        return read_messages(t, payload, only)
 
-    return F.arrow_udf(read, _kind(t))(data)
+    return F.arrow_udf(read, _kind(t, only))(data)
 
 
-def decode(frames: DataFrame, t: Template, payload: str = "payload") -> DataFrame:
+def decode(frames: DataFrame, t: Template, payload: str = "payload", only: tuple[str, ...] | None = None) -> DataFrame:
     """Rows of one template: frames' other columns, fixed fields, declared_<group>, <group> arrays, decode_error.
 
     Trades keep what fits, with the declared count. A depth group that is cut short is null from there on, with an error.
-    The message is one column: filters on other columns pass below it, and columns that nobody asks for are not read.
+    The message is one column: filters on other columns pass below it. only: the fields to read, where not all are wanted.
     """
     ship(frames.sparkSession)
     rest = [c for c in frames.columns if c != payload]
     held = "_message"
     while held in rest:
         held += "_"
-    rows = frames.filter(kind(F.col(payload)) == t.name).withColumn(held, message(t, F.col(payload)))
-    return rows.select(*rest, *(F.col(held)[n].alias(n) for n in _kind(t).names))
+    rows = frames.filter(kind(F.col(payload)) == t.name).withColumn(held, message(t, F.col(payload), only))
+    return rows.select(*rest, *(F.col(held)[n].alias(n) for n in _kind(t, only).names))
 
 
 def first_n(frames: DataFrame, group: str, n: int = 5) -> DataFrame:

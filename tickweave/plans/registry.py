@@ -93,7 +93,7 @@ _SQL_LINES = "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS id, CAST(round(
 @query("trades_by_symbol", f"SELECT 'SYM' || (l_orderkey % 5) AS symbol, count(*) AS n_trades, CAST(sum(price * qty) AS BIGINT) AS notional FROM ({_SQL_LINES}) GROUP BY 1")
 def trades_by_symbol(spark, d):
     frames = trade_frames(spark, d).withColumn("symbol", symbols.match_heuristic(F.col("payload")))
-    t = sbe.decode(frames, sbe.TRADES).select("symbol", F.explode("trades").alias("t"))
+    t = sbe.decode(frames, sbe.TRADES, only=("trades",)).select("symbol", F.explode("trades").alias("t"))
     return t.groupBy("symbol").agg(F.count("*").alias("n_trades"), F.sum(F.col("t.price") * F.col("t.qty")).alias("notional"))
 
 
@@ -235,7 +235,7 @@ _SQL_DIFFS = "SELECT event_type AS symbol, event_id AS seq, 3 * rn - 2 AS first_
 
 
 def decoded_diffs(spark, d) -> DataFrame:
-    return sbe.decode(diff_frames(spark, d).withColumn("symbol", symbols.match_heuristic(F.col("payload"))), sbe.DIFF)
+    return sbe.decode(diff_frames(spark, d).withColumn("symbol", symbols.match_heuristic(F.col("payload"))), sbe.DIFF, only=("first_update_id", "last_update_id"))
 
 
 @query("gap_detect", f"SELECT symbol, seq, first_u, prev_u, prev_u + 1 AS expected_u FROM (SELECT *, lag(last_u) OVER (PARTITION BY symbol ORDER BY seq) AS prev_u FROM ({_SQL_DIFFS})) WHERE first_u <> prev_u + 1")
@@ -305,7 +305,7 @@ def _written(spark, d) -> DataFrame:
 @query("framelog_roundtrip", "SELECT event_type AS symbol, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS seq, event_id * 1000 + 7 AS recv_nanos, CASE event_id % 10 WHEN 0 THEN 82 WHEN 1 THEN 88 ELSE 83 END AS tag_byte, event_id AS book_update_id FROM events")
 def framelog_roundtrip(spark, d):
     rows = _written(spark, d)
-    return sbe.decode(rows.withColumn("symbol", symbols.match_heuristic(F.col("payload"))), sbe.BEST).select("symbol", "seq", "recv_nanos", "tag_byte", "book_update_id")
+    return sbe.decode(rows.withColumn("symbol", symbols.match_heuristic(F.col("payload"))), sbe.BEST, only=("book_update_id",)).select("symbol", "seq", "recv_nanos", "tag_byte", "book_update_id")
 
 
 @query("file_counts", "SELECT event_type || '_20240101.zst' AS file, count(*) AS total, count(*) FILTER (event_id % 10 > 1) AS sbe, count(*) FILTER (event_id % 10 = 0) AS rest FROM events GROUP BY 1")
