@@ -22,7 +22,7 @@ GRAM = 24
 #: Bits of the map of repeated anchors: 16 MB are broadcast at any input size.
 ANCHOR_BITS = 1 << 27
 #: Text that one suffix array holds; its arrays take some 100 bytes a byte.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 2 << 20
 #: Distinct stretches of one anchor that one shard takes; an anchor with more is split by longer contexts.
 ANCHOR_ROWS = 1024
 #: Windows in a stretch whose anchors are equal grams (text with a period), at most; more are further stretches.
@@ -299,31 +299,41 @@ def trimmed(rows: list[list], length: int) -> dict[bytes, list]:
 def _by_suffix_arrays(rows: DataFrame, length: int, shard_bytes: int, parts: int, across: bool, budget: int) -> DataFrame:
     """h1, h2, ranges (starts of repeated windows in the stretch) of rows _ROW, by a suffix array a shard; an anchor's stretches are in one shard.
 
-    A string that was counted more than once stands there twice, so that its suffixes meet their equals.
+    A string that was counted more than once stands there once, for the others to meet it: its own windows all repeat.
     """
 
     def run(batches):
         from tickweave.llm.induced import repeated_places
 
-        def shard(held):
-            strings, docs, owner = [], [], []
-            for i, (s, (n, low, high, *_)) in enumerate(held):
-                strings += [s] * min(n, 2)
-                docs += [low, high][: min(n, 2)]
-                owner += [i] * min(n, 2)
-            starts, places = repeated_places(strings, length, budget, np.array(docs, np.int64) if across else None)
-            cuts = np.searchsorted(places, np.append(starts, np.iinfo(np.int64).max)).tolist()
-            out, last = [[], [], []], -1
-            for k, i in enumerate(owner):
-                own = places[cuts[k] : cuts[k + 1]] - starts[k]
-                if len(own) and i != last:  # its second copy has the same places
-                    last = i
-                    for h1, h2, start in held[i][1][3:]:
-                        for c, v in zip(out, (h1, h2, _runs(own + start)), strict=True):
-                            c.append(v)
+        def marks(found):
+            """A batch of (what is known of a string, its starts of repeated windows)."""
+            out = [[], [], []]
+            for known, own in found:
+                for h1, h2, start in known[3:]:
+                    for c, v in zip(out, (h1, h2, _runs(own + start)), strict=True):
+                        c.append(v)
             kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
             return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], kind)], names=["h1", "h2", "ranges"])
 
+        def repeats(known):
+            """Whether the string as a whole, and so each window of it, was counted twice."""
+            return known[0] > 1 and (not across or known[1] != known[2])
+
+        def shard(held):
+            docs = None
+            if across:  # a string of several documents is a document of its own kind, unlike any
+                docs = np.unique([known[1] for _, known in held], return_inverse=True)[1]
+                several = np.array([known[1] != known[2] for _, known in held])
+                docs[several] = len(held) + np.arange(int(several.sum()))
+            starts, places = repeated_places([s for s, _ in held], length, budget, docs)
+            cuts = np.searchsorted(places, np.append(starts, np.iinfo(np.int64).max)).tolist()
+            found = []
+            for i, (s, known) in enumerate(held):
+                own = np.arange(len(s) - length + 1) if repeats(known) else places[cuts[i] : cuts[i + 1]] - starts[i]
+                if len(own):
+                    found.append((known, own))
+            return marks(found)
+
         def groups():
             held, last = [], None
             for b in batches:
@@ -340,14 +350,21 @@ def _by_suffix_arrays(rows: DataFrame, length: int, shard_bytes: int, parts: int
             if held:
                 yield held
 
-        held, size = [], 0
+        held, size, alone = [], 0, []
         for group in groups():
             strings = trimmed(group, length)
-            held += strings.items()
-            size += sum(len(s) * min(v[0], 2) for s, v in strings.items())
+            if len(strings) == 1 and group[0][0] >= 0:  # nothing to compare it with
+                alone += [(known, np.arange(len(s) - length + 1)) for s, known in strings.items() if repeats(known)]
+            else:
+                held += strings.items()
+                size += sum(map(len, strings))
+            if len(alone) >= 4096:
+                yield marks(alone)
+                alone = []
             if size >= shard_bytes:
                 yield shard(held)
                 held, size = [], 0
+        yield marks(alone)
         if held:
             yield shard(held)
 
