@@ -255,8 +255,10 @@ def _repeated_stretches(docs: DataFrame, bits, length: int, gram: int, symbols)
 
 
 RANGES = "array<struct<a:long,b:long>>"
-#: A stretch that goes to a shard: its name (h1, h2), where in the named one it stands, its anchor's place, count and documents, its text.
-_ROW = "anchor long, off long, h1 long, h2 long, shifts array<long>, n long, low long, high long, part binary"
+#: A stretch that goes to a shard: its anchor and that one's place, its name (h1, h2), its count and documents, its text.
+_ROW = "anchor long, off long, h1 long, h2 long, n long, low long, high long, part binary"
+#: A part of the stretch h1, h2, with a name of its own (g1, g2, of what it holds) and where it stands in the stretch.
+_PART = "anchor long, off long, g1 long, g2 long, n long, low long, high long, part binary, h1 long, h2 long, shifts array<long>"
 
 
 def _shared(parts: list[bytes]) -> list[int]:
@@ -272,27 +274,27 @@ def _shared(parts: list[bytes]) -> list[int]:
 
 
 def trimmed(rows: list[list], length: int) -> dict[bytes, list]:
-    """String -> [count, least and largest document, (h1, h2, its place in the stretch), ...] of one anchor's distinct stretches (columns _ROW but the anchor).
+    """String -> [count, least and largest document, (h1, h2, its place in the stretch), ...] of one anchor's distinct stretches (_ROW but the anchor).
 
     A window equal to one of another stretch has its anchor at the same distance, so it lies within what the stretch shares with
     others to the left and to the right of the anchor. The rest of the stretch can't repeat and goes, unless a stretch
     with a period, in which windows have different anchors, is among them. A lone stretch that was counted once and has no period goes.
     """
     periodic = any(r[0] < 0 for r in rows)
-    if len(rows) == 1 and rows[0][4] < 2 and not periodic:
+    if len(rows) == 1 and rows[0][3] < 2 and not periodic:
         return {}
     left = right = [0] * len(rows)
     if not periodic and len(rows) > 1:
-        left = _shared([r[7][: r[0]][::-1] for r in rows])
-        right = _shared([r[7][r[0] :] for r in rows])
+        left = _shared([r[6][: r[0]][::-1] for r in rows])
+        right = _shared([r[6][r[0] :] for r in rows])
     out: dict[bytes, list] = {}
-    for (off, h1, h2, shifts, n, low, high, part), x, y in zip(rows, left, right, strict=True):
+    for (off, h1, h2, n, low, high, part), x, y in zip(rows, left, right, strict=True):
         start, stop = (0, len(part)) if n > 1 or periodic else (off - x, off + y)
         if stop - start >= length:
             got = out.setdefault(part[start:stop], [0, low, high])
             got[0] += n
             got[1], got[2] = min(got[1], low), max(got[2], high)
-            got += [(h1, h2, start + shift) for shift in shifts]
+            got.append((h1, h2, start))
     return out
 
 
@@ -342,9 +344,9 @@ def _by_suffix_arrays(rows: DataFrame, length: int, shard_bytes: int, parts: int
                         yield held
                         held = []
                     last = anchor
-                    if held and held[-1][:4] == row[:4]:  # the same stretch from another batch
+                    if held and held[-1][:3] == row[:3]:  # the same stretch from another batch
                         h = held[-1]
-                        h[4:7] = h[4] + row[4], min(h[5], row[5]), max(h[6], row[6])
+                        h[3:6] = h[3] + row[3], min(h[4], row[4]), max(h[5], row[5])
                     else:
                         held.append(row)
             if held:
@@ -369,12 +371,12 @@ def _by_suffix_arrays(rows: DataFrame, length: int, shard_bytes: int, parts: int
             yield shard(held)
 
     names = [x.split()[0] for x in _ROW.split(", ")]
-    dealt = rows.select(*names).repartition(parts, "anchor").sortWithinPartitions("anchor", "off", "h1", "h2", "shifts", F.col("part").isNull())
+    dealt = rows.select(*names).repartition(parts, "anchor").sortWithinPartitions("anchor", "off", "h1", "h2", F.col("part").isNull())
     return dealt.mapInArrow(run, f"h1 long, h2 long, ranges {RANGES}")
 
 
 def _split(rows: DataFrame, length: int, gram: int, width: int) -> DataFrame:
-    """Rows _ROW by longer contexts: each stretch's windows by their distance to the anchor, `width` distances together.
+    """Rows _ROW as _PART, by longer contexts: each stretch's windows by their distance to the anchor, `width` distances together.
 
     All windows at distances d to d + width - 1 hold the bytes from d before the anchor to length - d - width after it; their
     hash is the new anchor. Equal windows still meet: they have equal distances. Stretches with a period are taken apart first.
@@ -382,40 +384,48 @@ def _split(rows: DataFrame, length: int, gram: int, width: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            out = [[] for _ in range(9)]
+            out = [[] for _ in range(11)]
 
-            def put(anchor, off, part, base, windows, n, low, high, h1, h2, shifts, out=out):
+            def put(anchor, off, part, windows, n, low, high, h1, h2, places, out=out):
                 for d0 in range((off - windows + 1) // width * width, off + 1, width):
                     a, z = max(0, off - d0 - width + 1), min(windows - 1, off - d0)
                     if a <= z:
                         context = part[off - d0 : off - d0 - width + 1 + length]
                         key = hashlib.blake2b(context, digest_size=8, key=d0.to_bytes(4, "little") + anchor.to_bytes(8, "little", signed=True)).digest()
-                        values = (int.from_bytes(key, "little", signed=True), off - a, h1, h2, [x + base + a for x in shifts], n, low, high, part[a : z + length])
+                        own = part[a : z + length]
+                        name = hashlib.blake2b(own, digest_size=16, key=key + (off - a).to_bytes(4, "little")).digest()
+                        values = (int.from_bytes(key, "little", signed=True), off - a, int.from_bytes(name[:8], "little", signed=True), int.from_bytes(name[8:], "little", signed=True), n, low, high, own, h1, h2, [x + a for x in places])
                         for c, v in zip(out, values, strict=True):
                             c.append(v)
 
-            for anchor, off, h1, h2, shifts, n, low, high, part in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for anchor, off, h1, h2, n, low, high, part in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if off >= 0:
-                    put(anchor, off, part, 0, len(part) - length + 1, n, low, high, h1, h2, shifts)
+                    put(anchor, off, part, len(part) - length + 1, n, low, high, h1, h2, [0])
                     continue
                 runs: dict[tuple, list] = {}
                 for lo, hi, o in zip(*(x.tolist() for x in stretches([part], length, gram, False)[1:4]), strict=True):
                     runs.setdefault((part[lo : hi + length], o), []).append(lo)
                 for (own, o), places in runs.items():
-                    put(anchor, o, own, 0, len(own) - length + 1, n * len(places), low, high, h1, h2, [x + y for x in shifts for y in places])
-            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] + [pa.int64()] * 3 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=[x.split()[0] for x in _ROW.split(", ")])
+                    put(anchor, o, own, len(own) - length + 1, n * len(places), low, high, h1, h2, places)
+            fields = [x.split() for x in _PART.split(", ")]
+            kinds = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+            yield pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(out, fields, strict=True)], names=[x for x, _ in fields])
 
-    return rows.mapInArrow(run, _ROW)
+    return rows.mapInArrow(run, _PART)
 
 
 def _marks(found: DataFrame, length: int, gram: int, shard_bytes: int, anchor_rows: int, across: bool, budget: int) -> DataFrame:
-    """h1, h2, ranges by suffix arrays. Anchors with more than anchor_rows stretches are split until none is left: at width 1
-    an anchor is a window but for one byte at most, so this ends after as many rounds as length has binary digits."""
+    """h (struct of h1, h2), ranges: by suffix arrays.
+
+    Anchors with more than anchor_rows distinct stretches are split until none is left: at width 1 an anchor's stretches are
+    windows that differ in one byte at most, so this ends after as many rounds as length has binary digits. Equal parts become one by their names, so a
+    passage that very many stretches have is one row, and what is found for a part goes back to the stretches that have it.
+    """
     parts = shuffle_parts(found.sparkSession)
     names = [x.split()[0] for x in _ROW.split(", ")]
-    rows = found.filter("n > 0").withColumn("shifts", F.array(F.lit(0).cast("long"))).select(*names)
-    width, ready = length - gram + 1, []
+    summed = [F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("part").alias("part")]
+    rows = found.filter("n > 0").select(*names)
+    width, ready, splits = length - gram + 1, [], []
     while True:
         hot = saved(rows.groupBy("anchor").count().filter(F.col("count") > anchor_rows).select("anchor"), "op3-hot")
         if hot.isEmpty() or width == 1:
@@ -423,11 +433,20 @@ def _marks(found: DataFrame, length: int, gram: int, shard_bytes: int, anchor_ro
             break
         flagged = in_map(rows, key_map(hot, "anchor"), "_hot", "anchor")
         ready.append(flagged.filter("not _hot").drop("_hot"))
-        # of equal stretches from many batches one stays
-        many = flagged.filter("_hot").groupBy("anchor", "off", "h1", "h2", "shifts").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("part").alias("part"))
+        many = flagged.filter("_hot")
+        if not splits:  # of equal stretches from many batches one stays
+            many = many.groupBy("anchor", "off", "h1", "h2").agg(*summed)
         width = max(1, (width + 1) // 2)
-        rows = saved(_split(many.select(*names), length, gram, width), "op3-split")
-    return _by_suffix_arrays(reduce(DataFrame.unionByName, ready), length, shard_bytes, parts, across, budget)
+        splits.append(saved(_split(many.select(*names), length, gram, width), "op3-split"))
+        rows = saved(splits[-1].groupBy("anchor", "off", F.col("g1").alias("h1"), F.col("g2").alias("h2")).agg(*summed).select(*names), "op3-parts")
+    marks = _by_suffix_arrays(reduce(DataFrame.unionByName, ready), length, shard_bytes, parts, across, budget)
+    marks = saved(marks.select(F.struct("h1", "h2").alias("h"), "ranges"), "op3-marks")
+    for split in reversed(splits):
+        held = split.select(F.struct(F.col("g1").alias("h1"), F.col("g2").alias("h2")).alias("h"), F.struct("h1", "h2").alias("whole"), "shifts")
+        moved = F.transform("ranges", lambda r: F.struct((r["a"] + F.col("shift")).alias("a"), (r["b"] + F.col("shift")).alias("b")))
+        back = salted_join(held, marks, "h", F.col("whole")).select(F.col("whole").alias("h"), "ranges", F.explode("shifts").alias("shift")).select("h", moved.alias("ranges"))
+        marks = saved(marks.unionByName(back), "op3-marks")
+    return marks
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, symbols=_bytes, across: bool = False, shard_bytes: int = SHARD_BYTES, anchor_rows: int = ANCHOR_ROWS, budget: int = 256 << 20) -> DataFrame:
@@ -448,7 +467,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, symb
         bits[row[0] * 4096 : row[0] * 4096 + 4096] = bytes(row[1])
     found = saved(_repeated_stretches(docs, spark.sparkContext.broadcast(bytes(bits)), length, gram, symbols), "op3-stretches")
     release(spark)
-    marks = saved(_marks(found, length, gram, shard_bytes, anchor_rows, across, budget).select(F.struct("h1", "h2").alias("h"), "ranges"), "op3-marks")
+    marks = _marks(found, length, gram, shard_bytes, anchor_rows, across, budget)
     release(spark)
     places = found.select("id1", "id2", "at", F.struct("h1", "h2").alias("h")).distinct()
     hits = salted_join(places, marks, "h", F.struct("id1", "at")).select("id1", "id2", F.transform("ranges", lambda r: F.struct((r["a"] + F.col("at")).alias("start"), (r["b"] + F.col("at") + (length - 1)).alias("stop"))).alias("spans"))
