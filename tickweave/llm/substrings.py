@@ -24,7 +24,7 @@ ANCHOR_BITS = 1 << 27
 #: Text that one suffix array holds; its arrays take some 100 bytes a byte.
 SHARD_BYTES = 2 << 20
 #: Distinct stretches of one anchor that one shard takes; an anchor with more is split by longer contexts.
-ANCHOR_ROWS = 1024
+ANCHOR_ROWS = 4096
 #: Windows in a stretch whose anchors are equal grams (text with a period), at most; more are further stretches.
 PERIODIC = 2048
 #: Words of a passage, and of the grams that anchor it.
@@ -441,11 +441,11 @@ def _marks(found: DataFrame, length: int, gram: int, shard_bytes: int, anchor_ro
         rows = saved(splits[-1].groupBy("anchor", "off", F.col("g1").alias("h1"), F.col("g2").alias("h2")).agg(*summed).select(*names), "op3-parts")
     marks = _by_suffix_arrays(reduce(DataFrame.unionByName, ready), length, shard_bytes, parts, across, budget)
     marks = saved(marks.select(F.struct("h1", "h2").alias("h"), "ranges"), "op3-marks")
-    for split in reversed(splits):
+    for split in reversed(splits):  # a part's starts go to the stretches that have it, a row a stretch
         held = split.select(F.struct(F.col("g1").alias("h1"), F.col("g2").alias("h2")).alias("h"), F.struct("h1", "h2").alias("whole"), "shifts")
-        moved = F.transform("ranges", lambda r: F.struct((r["a"] + F.col("shift")).alias("a"), (r["b"] + F.col("shift")).alias("b")))
-        back = salted_join(held, marks, "h", F.col("whole")).select(F.col("whole").alias("h"), "ranges", F.explode("shifts").alias("shift")).select("h", moved.alias("ranges"))
-        marks = saved(marks.unionByName(back), "op3-marks")
+        moved = F.flatten(F.transform("shifts", lambda s: F.transform("ranges", lambda r: F.struct((r["a"] + s).alias("a"), (r["b"] + s).alias("b")))))
+        back = held.join(marks, "h").select(F.col("whole").alias("h"), moved.alias("ranges")).groupBy("h").agg(F.array_distinct(F.flatten(F.collect_list("ranges"))).alias("ranges"))
+        marks = saved(marks.join(split.select(F.struct(F.col("g1").alias("h1"), F.col("g2").alias("h2")).alias("h")).distinct(), "h", "left_anti").unionByName(back), "op3-marks")
     return marks
 
 
