@@ -24,7 +24,7 @@ ANCHOR_BITS = 1 << 27
 #: Text that one suffix array holds; its arrays take some 100 bytes a byte.
 SHARD_BYTES = 2 << 20
 #: Distinct stretches of one anchor that one shard takes; an anchor with more is split by longer contexts.
-ANCHOR_ROWS = 4096
+ANCHOR_ROWS = 2048
 #: Windows in a stretch whose anchors are equal grams (text with a period), at most; more are further stretches.
 PERIODIC = 2048
 #: Words of a passage, and of the grams that anchor it.
