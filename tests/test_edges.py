@@ -86,8 +86,8 @@ def test_frame_log_commits(spark, tmp_path):
     both = [("a_20240101.zst", 0, 1), ("a_20240101.zst", 1, 2), ("a_20240101.zst", 2, 9), ("b_20240102.zst", 0, 5)]
     assert read() == both
     # parts that no manifest names, and drafts, are not there
-    part = next((tmp_path / "log").glob("a_*-000000"))
-    (tmp_path / "log" / "a_20240101.zst.0000000007-000000").write_bytes(part.read_bytes())
+    part = next((tmp_path / "log").glob("a_20240101.zst.*"))
+    (tmp_path / "log" / ("a_20240101.zst." + "0" * 32)).write_bytes(part.read_bytes())
     (tmp_path / "log" / ".a_20240101.zst.draft").write_bytes(b"x")
     (tmp_path / "log" / "_commits" / "0000000009.json.draft").write_bytes(b"{")
     assert read() == both
@@ -105,17 +105,17 @@ def test_blocks_of_one_key(spark):
     """Results don't depend on where blocks are cut."""
     diffs = spark.createDataFrame([("a", i, 3 * i + (i % 7 == 0), 3 * i + 2) for i in range(60)] + [(None, 5, 1, 2), (None, 6, 9, 9)], "symbol string, seq long, first_update_id long, last_update_id long")
     want = sequence.gaps(diffs).collect()
-    assert len(want) == 9 and sorted(map(str, want)) == sorted(map(str, sequence.gaps(diffs, block=4).collect()))
+    assert len(want) == 9 and sorted(map(str, want)) == sorted(map(str, sequence.gaps(diffs, size=4).collect()))
     days = spark.sql("select 'a' as symbol, id as seq, timestamp'2024-01-05 23:00:00' + make_dt_interval(0, id * 7 % 31) as ts from range(50)")
     want = schedule.rotated(days, "/x").collect()
-    assert sorted(map(str, want)) == sorted(map(str, schedule.rotated(days, "/x", block=3).collect()))
+    assert sorted(map(str, want)) == sorted(map(str, schedule.rotated(days, "/x", size=3).collect()))
     seen, last = {r.seq: r for r in want}, ""
     for i in range(50):
         assert seen[i].file_date == max(last, seen[i].ts.strftime("%Y%m%d"))
         last = seen[i].file_date
     events = spark.sql("select 1 as k, timestamp'2024-01-01 00:00:00' + make_dt_interval(0, id * id, 0) as t from range(10)")
-    by = lambda b: sorted((r.session, str(r.start), str(r.stop), r.n) for r in schedule.idle_sessions(events, "k", "t", 8 * 3600, b).collect())
-    assert by("day") == by("year") and [x[3] for x in by("day")] == [5, 1, 1, 1, 1, 1]
+    by = lambda b: sorted((r.session, str(r.start), str(r.stop), r.n) for r in schedule.idle_sessions(events, "k", "t", 8 * 3600, size=b).collect())
+    assert by(1) == by(3) == by(4) == by(None) and [x[3] for x in by(3)] == [5, 1, 1, 1, 1, 1]
 
 
 def test_idle_timeouts(spark):
@@ -134,3 +134,33 @@ def test_many_symbols(spark):
     both = frames(spark, [b"\4\1ab" + b"c", b"\3abc", b"\4\3abc"])
     assert [r.symbol for r in symbols.with_symbol(both, ["\3abc", "ABC", "nothing"]).orderBy("seq").collect()] == ["unknown", "abc", "\3abc"]
     assert [r.symbol for r in symbols.with_symbol(both, []).collect()] == ["unknown"] * 3
+
+
+def test_blocks_shuffle_rows_once(spark):
+    """With broadcasts off, the rows are shuffled by key and block alone; the other shuffles are of ends, of a row a block, or of pieces of sessions."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    rows = spark.range(0, 20_000, 1, 4).selectExpr("concat('s', id % 3) as symbol", "id as seq", "id as first_update_id", "id as last_update_id", "timestamp_micros(id * 1000000) as ts")
+    try:
+        for k, v in zip(held, ("-1", "false"), strict=True):
+            spark.conf.set(k, v)
+        for out, joins, most in ((sequence.gaps(rows, size=2000), 0, 2), (schedule.rotated(rows, "/x", size=2000), 1, 4), (schedule.idle_sessions(rows, "symbol", "ts", size=2000), 1, 4)):
+            plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+            shuffles = [k for k, x in enumerate(plan) if "- Exchange " in x]
+            of_rows = [k for k in shuffles if "Range" in " ".join(plan[k + 1 : k + 4]) and "HashAggregate" not in plan[k + 1]]
+            assert len(of_rows) == 1 and len(shuffles) <= most and sum("SortMergeJoin" in x for x in plan) == joins, "\n".join(plan)
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_blocks_follow_rows_not_values(spark):
+    """Orders of any density make blocks of about as many rows; nulls come first, and equal numbers stay together."""
+    from tickweave.operators.blocks import in_blocks
+
+    rows = spark.range(10_000).selectExpr("case when id % 100 = 0 then null when id < 9000 then id else id * 1000000000000 end as n")
+    blocks = in_blocks(rows, F.col("n"), 1000).groupBy("_block").agg(F.count("*").alias("n"), F.min("n").alias("low"), F.max("n").alias("high")).orderBy("_block").collect()
+    assert len(blocks) >= 9 and max(b.n for b in blocks) < 1300
+    assert all(a.high < b.low for a, b in zip(blocks, blocks[1:]))
+    same = in_blocks(spark.range(5000).selectExpr("id div 4000 as n"), F.col("n"), 100)
+    assert same.select("_block", "n").distinct().count() == 2
+    assert in_blocks(rows.limit(0), F.col("n"), 5).count() == 0

@@ -4,36 +4,73 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-#: Values of a whole-numbered order column in a block.
-BLOCK = 1 << 20
+#: Rows of a block over all keys, about; most blocks; bytes below which rows are one block without being counted.
+ROWS, MOST, SMALL = 1 << 20, 4096, 32 << 20
 
 
-def in_blocks(rows: DataFrame, key: str, number: Column) -> DataFrame:
-    """rows with _block, dealt out by key and block: the one shuffle of what follows. number: a column that never falls along the order."""
-    return rows.withColumn("_block", number.cast("long")).repartition(key, "_block")
+def _size(rows: DataFrame) -> int:
+    """The optimizer's estimate, which runs nothing."""
+    return int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def in_blocks(rows: DataFrame, number: Column, size: int | None = None) -> DataFrame:
+    """rows with _block, from 0, by quantiles of `number`, a column that never falls along the order: about `size` rows of all keys are a block.
+
+    Equal numbers are one block. Rows that are few by the optimizer's estimate (or by `size` rows) are one block; others are counted first, in a pass of their own
+    that reads what `number` needs.
+    """
+    bounds: list[float] = []
+    at = F.coalesce(number.cast("double"), F.lit(float("-inf")))
+    if size or _size(rows) > SMALL:
+        size = size or ROWS
+        steps = [k / MOST for k in range(1, MOST)]
+        n, marks = rows.agg(F.count("*"), F.percentile_approx(at, steps, MOST * 10)).first()
+        blocks = min(MOST, -(-n // size))
+        bounds = sorted({marks[MOST * k // blocks - 1] for k in range(1, blocks)} - {float("-inf")}) if marks else []
+    if not bounds:
+        return rows.withColumn("_block", F.lit(0).cast("tinyint"))
+    cut = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="_at", outputCol="_block", handleInvalid="keep")
+    return cut.transform(rows.withColumn("_at", at)).withColumn("_block", F.col("_block").cast("int")).drop("_at")
+
+
+def one_block(rows: DataFrame) -> bool:
+    """Whether in_blocks made a single one, which it says by the column's type."""
+    return rows.schema["_block"].dataType.simpleString() == "tinyint"
 
 
 def within(key: str, order: str) -> WindowSpec:
     """A key's rows of one block in their order."""
-    return Window.partitionBy(key, "_block").orderBy(order)
+    return Window.partitionBy(F.struct(key), "_block").orderBy(order)
 
 
 def carry(rows: DataFrame, key: str, summary: Column, over: Callable[[str], Column], into: str = "_carry") -> DataFrame:
     """rows with what `over` makes of the summaries of the key's earlier blocks; null in the first.
 
-    The summaries are a row for each key and block; the rows stay where they are.
+    The summaries, a row a key and block, are aggregated where the rows are read, and then joined: the rows are shuffled once, by key and block, for this join and
+    for windows of `within`; if the summaries are small enough to be broadcast, for the windows alone.
     """
-    earlier = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    ends = rows.groupBy(F.col(key).alias("_k"), F.col("_block").alias("_b")).agg(summary.alias("_s"))
-    ends = ends.select("_k", "_b", over("_s").over(earlier).alias(into))
-    return rows.join(ends, F.col(key).eqNullSafe(F.col("_k")) & F.col("_block").eqNullSafe(F.col("_b")), "left").drop("_k", "_b")
+    if one_block(rows):
+        return rows.withColumn(into, F.lit(None).cast(rows.agg(summary).schema[0].dataType))
+    ends = rows.groupBy(F.struct(F.col(key)).alias("_k"), F.col("_block").alias("_b")).agg(summary.alias("_s"))
+    return with_ends(rows, key, ends.select("_k", "_b", over("_s").over(earlier()).alias(into)))
+
+
+def earlier() -> WindowSpec:
+    """A key's earlier blocks, in a table of a row for each key _k and block _b."""
+    return Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def with_ends(rows: DataFrame, key: str, ends: DataFrame) -> DataFrame:
+    """rows with the other columns of ends, which has a row for each key _k and block _b. A structure of a null key isn't null, so null keys meet, too."""
+    return rows.join(ends, (F.struct(F.col(key)) == F.col("_k")) & (F.col("_block") == F.col("_b")), "left").drop("_k", "_b")
 
 
-def numbered(rows: DataFrame, key: str, order: str, number: Column, into: str) -> DataFrame:
+def numbered(rows: DataFrame, key: str, order: str, number: Column, into: str, size: int | None = None) -> DataFrame:
     """rows with their place from 0 within the key."""
-    rows = carry(in_blocks(rows, key, number), key, F.count("*"), F.sum)
+    rows = carry(in_blocks(rows, number, size), key, F.count("*"), F.sum)
     place = F.row_number().over(within(key, order)) - 1 + F.coalesce("_carry", F.lit(0))
     return rows.withColumn(into, place.cast("long")).drop("_carry", "_block")

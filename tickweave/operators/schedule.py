@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickweave.operators.blocks import BLOCK, carry, in_blocks, within
+from tickweave.operators.blocks import carry, earlier, in_blocks, one_block, with_ends, within
 
 # Fixed values of the wire interface: stream names, with $symbol in place of the symbol.
 STREAMS = ["$symbol@trade", "$symbol@bestBidAsk", "$symbol@depth", "$symbol@depth20"]
 
 
-def rotated(records: DataFrame, folder: str, symbol: str = "symbol", at: str = "ts", order: str = "seq", block: int = BLOCK) -> DataFrame:
+def rotated(records: DataFrame, folder: str, symbol: str = "symbol", at: str = "ts", order: str = "seq", size: int | None = None) -> DataFrame:
     """records with file_date, which never goes back along `order` (whole numbers), and file. A symbol's records are dealt out by blocks of the order."""
-    rows = carry(in_blocks(records, symbol, F.floor(F.col(order) / block)), symbol, F.max(F.to_date(at)), F.max)
+    rows = carry(in_blocks(records, F.col(order), size), symbol, F.max(F.to_date(at)), F.max)
     day = F.greatest(F.max(F.to_date(at)).over(within(symbol, order).rowsBetween(Window.unboundedPreceding, 0)), "_carry")
     out = rows.withColumn("file_date", F.date_format(day, "yyyyMMdd")).drop("_carry", "_block")
     return out.withColumn("file", F.concat(F.lit(folder + "/"), symbol, F.lit("_"), "file_date", F.lit(".zst")))
@@ -25,16 +25,26 @@ def snapshot_times(bounds: DataFrame, symbols: DataFrame, every: str = "interval
     return symbols.crossJoin(F.broadcast(times)).withColumn("due", F.explode("_due")).drop("_due")  # one row is broadcast
 
 
-def idle_sessions(events: DataFrame, key: str, at: str, seconds: int = 60, block: str = "day") -> DataFrame:
-    """key, session, start, stop, n: a session ends where more than `seconds` pass to the next event. A key's events are dealt out by days, or another `block`."""
-    rows = in_blocks(events.select(key, at), key, F.unix_micros(F.date_trunc(block, at)))
-    rows = carry(rows, key, F.max(at), lambda s: F.last(s))
+def idle_sessions(events: DataFrame, key: str, at: str, seconds: int = 60, size: int | None = None) -> DataFrame:
+    """key, session, start, stop, n: a session ends where more than `seconds` pass to the next event.
+
+    A key's events are dealt out by blocks of time and become the block's pieces of sessions there; what is shuffled again is pieces. A block's first piece goes on
+    with the session before it if that is near enough, and the sessions of earlier blocks are counted from a row a block.
+    """
+    rows = in_blocks(events.select(key, at), F.unix_micros(F.col(at)), size)
     place = within(key, at)
-    before = F.when(F.row_number().over(place) == 1, F.col("_carry")).otherwise(F.lag(at).over(place))
-    rows = rows.withColumn("_new", F.when(F.unix_micros(F.col(at)) - F.unix_micros(before) > seconds * 1_000_000, 1).otherwise(0)).drop("_carry")
-    rows = carry(rows, key, F.sum("_new"), F.sum)
-    session = F.sum("_new").over(place.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce("_carry", F.lit(0))
-    return rows.withColumn("session", session).groupBy(key, "session").agg(F.min(at).alias("start"), F.max(at).alias("stop"), F.count("*").alias("n"))
+    far = lambda a, b: F.unix_micros(F.col(a)) - F.unix_micros(F.col(b)) > seconds * 1_000_000
+    rows = rows.withColumn("_before", F.lag(at).over(place))
+    rows = rows.withColumn("_piece", F.sum(F.when(F.col("_before").isNull() | far(at, "_before"), 1).otherwise(0)).over(place.rowsBetween(Window.unboundedPreceding, 0)))
+    pieces = rows.groupBy(F.struct(key).alias("_k"), "_block", "_piece").agg(F.first(key).alias(key), F.min(at).alias("start"), F.max(at).alias("stop"), F.count("*").alias("n"))
+    if one_block(rows):
+        return pieces.select(key, (F.col("_piece") - 1).alias("session"), "start", "stop", "n")
+    blocks = pieces.groupBy("_k", F.col("_block").alias("_b")).agg(F.min("start").alias("_start"), F.max("stop").alias("_stop"), F.max("_piece").alias("_m"))
+    blocks = blocks.withColumn("_last", F.max("_stop").over(earlier())).withColumn("_on", F.coalesce(~far("_start", "_last"), F.lit(False)).cast("int"))
+    blocks = blocks.select("_k", "_b", "_on", F.coalesce(F.sum(F.col("_m") - F.col("_on")).over(earlier()), F.lit(0)).alias("_done"))
+    pieces = with_ends(pieces.drop("_k"), key, blocks)
+    session = F.col("_done") + F.col("_piece") - 1 - F.col("_on")
+    return pieces.groupBy(key, session.alias("session")).agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n").alias("n"))
 
 
 # Fixed values of the socket's frames: what each kind of frame makes the collector do, and which kinds show that the connection lives.
@@ -77,7 +87,7 @@ def idle_timeouts(frames: DataFrame, connection: str, at: str, opcode: str, seco
 
 def backoff_ms(failures: Column, seed: Column) -> Column:
     """Delay before a retry: 100 ms doubled up to 7 times, 10 s at most, a quarter either way by the seed."""
-    base = F.least(F.lit(100) * F.expr("1") * F.pow(F.lit(2), F.least(failures, F.lit(7))).cast("bigint"), F.lit(10000).cast("bigint"))
+    base = F.least(F.lit(100) * F.pow(F.lit(2), F.least(failures, F.lit(7))).cast("bigint"), F.lit(10000).cast("bigint"))
     reach = F.greatest(F.floor(base / 4), F.lit(1).cast("bigint"))
     return base + F.pmod(seed, 2 * reach + 1) - reach
 

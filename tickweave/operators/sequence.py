@@ -5,25 +5,30 @@ from __future__ import annotations
 from collections import deque
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweave.operators.blocks import BLOCK, carry, in_blocks, within
+from tickweave.operators.blocks import in_blocks, one_block, within
 from tickweave.plans.session import ship
 
 
-def gaps(diffs: DataFrame, symbol: str = "symbol", order: str = "seq", keep: tuple[str, ...] = (), block: int = BLOCK) -> DataFrame:
+def gaps(diffs: DataFrame, symbol: str = "symbol", order: str = "seq", keep: tuple[str, ...] = (), size: int | None = None) -> DataFrame:
     """Rows whose first_update_id doesn't follow the row before: symbol, seq, expected_u, first_u, prev_u, and the columns of `keep`.
 
-    order: whole numbers. A symbol's rows are dealt out by blocks of it; each block's first row looks at the last id before the block.
+    order: whole numbers. A symbol's rows are dealt out by blocks of it, of about `size` rows. A block's first row looks at the last one of the block before: only
+    the two ends of each block meet again, and no row is read twice.
     """
-    rows = in_blocks(diffs.select(symbol, order, "first_update_id", "last_update_id", *keep), symbol, F.floor(F.col(order) / block))
-    rows = carry(rows, symbol, F.max_by("last_update_id", order), lambda s: F.last(s))
+    rows = in_blocks(diffs.select(symbol, order, "first_update_id", "last_update_id", *keep), F.col(order), size)
     place = within(symbol, order)
-    prev = F.when(F.row_number().over(place) == 1, F.col("_carry")).otherwise(F.lag("last_update_id").over(place))
-    out = rows.select(symbol, order, F.col("first_update_id").alias("first_u"), prev.alias("prev_u"), *keep)
-    return out.filter("prev_u is not null and first_u <> prev_u + 1").withColumn("expected_u", F.col("prev_u") + 1)
+    rows = rows.withColumn("prev_u", F.lag("last_update_id").over(place))
+    gap = F.col("prev_u").isNotNull() & (F.col("first_update_id") != F.col("prev_u") + 1)
+    if not one_block(rows):
+        rows = rows.withColumns({"_head": F.row_number().over(place) == 1, "_tail": F.lead(F.lit(1)).over(place).isNull()}).filter(gap | F.col("_head") | F.col("_tail"))
+        end = F.col("_head") | F.col("_tail")
+        ends = Window.partitionBy(F.struct(symbol), F.when(end, -1).otherwise(F.col("_block"))).orderBy(order)
+        rows = rows.withColumn("prev_u", F.when(F.col("_head"), F.lag("last_update_id").over(ends)).otherwise(F.col("prev_u")))
+    return rows.filter(gap).select(symbol, order, F.col("first_update_id").alias("first_u"), "prev_u", *keep, (F.col("prev_u") + 1).alias("expected_u"))
 
 
 def last_ids(diffs: DataFrame, symbol: str = "symbol", order: str = "seq") -> DataFrame:

@@ -37,13 +37,6 @@ def frames(make):
     return held
 
 
-def prepare(spark, d) -> None:
-    """Write all that the queries read."""
-    for name, make in FRAMES.items():
-        for args in ((sbe.SNAPSHOT,), (sbe.DIFF,)) if name == "depth_frames" else ((),):
-            make(spark, d, *args)
-
-
 def query(name: str, sql: str | None = None):
     def add(f):
         QUERIES[name] = f
@@ -288,12 +281,16 @@ def rotation_files(spark, d):
     return schedule.rotated(rows, "/log").select("symbol", "seq", "file")
 
 
+def _records(spark, d) -> DataFrame:
+    """Rows to be logged: of three tags, a log a symbol."""
+    rows = best_frames(spark, d).withColumn("symbol", symbols.match_heuristic(F.col("payload")))
+    return rows.select("symbol", F.lit("20240101").alias("file_date"), "seq", (F.col("seq") * 1000 + 7).alias("recv_nanos"), F.when(F.col("seq") % 10 == 0, 82).when(F.col("seq") % 10 == 1, 88).otherwise(83).alias("tag_byte"), "payload")
+
+
 @frames
 def written_log(spark, d) -> str:
-    rows = best_frames(spark, d).withColumn("symbol", symbols.match_heuristic(F.col("payload")))
-    rows = rows.select("symbol", F.lit("20240101").alias("file_date"), "seq", (F.col("seq") * 1000 + 7).alias("recv_nanos"), F.when(F.col("seq") % 10 == 0, 82).when(F.col("seq") % 10 == 1, 88).otherwise(83).alias("tag_byte"), "payload")
     path = fresh_path(spark, "framelog")
-    framelog.write_log(rows, path)
+    framelog.write_log(_records(spark, d), path)
     return path
 
 
@@ -304,7 +301,10 @@ def _written(spark, d) -> DataFrame:
 
 @query("framelog_roundtrip", "SELECT event_type AS symbol, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS seq, event_id * 1000 + 7 AS recv_nanos, CASE event_id % 10 WHEN 0 THEN 82 WHEN 1 THEN 88 ELSE 83 END AS tag_byte, event_id AS book_update_id FROM events")
 def framelog_roundtrip(spark, d):
-    rows = _written(spark, d)
+    """The log is written and read back."""
+    path = fresh_path(spark, "framelog")
+    framelog.write_log(_records(spark, d), path)
+    rows = spark.read.format("framelog").load(path)
     return sbe.decode(rows.withColumn("symbol", symbols.match_heuristic(F.col("payload"))), sbe.BEST, only=("book_update_id",)).select("symbol", "seq", "recv_nanos", "tag_byte", "book_update_id")
 
 
@@ -319,6 +319,42 @@ def tag_filter(spark, d):
     return rows.select(symbols.match_heuristic(F.col("payload")).alias("symbol"), "recv_nanos")
 
 
+_SQL_LOGGED = "event_id * 1000 + 7 AS recv_nanos, CASE event_id % 10 WHEN 0 THEN 82 WHEN 1 THEN 88 ELSE 83 END AS tag_byte FROM events"
+
+
+@query("log_commits", f"SELECT event_type AS symbol, row_number() OVER (PARTITION BY event_type ORDER BY event_id % 3, event_id) - 1 AS seq, {_SQL_LOGGED}")
+def log_commits(spark, d):
+    """Three commits to the same logs, one behind the other."""
+    rows, path = _records(spark, d), fresh_path(spark, "commits")
+    for k in range(3):
+        framelog.write_log(rows.filter(F.col("seq") % 3 == k), path)
+    out = spark.read.format("framelog").load(path)
+    return out.select(symbols.match_heuristic(F.col("payload")).alias("symbol"), "seq", "recv_nanos", "tag_byte")
+
+
+@query("log_stream", f"SELECT event_type AS symbol, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS seq, {_SQL_LOGGED}")
+def log_stream(spark, d):
+    """The log replayed as a stream into another log, each batch a commit, and that read back."""
+    framelog.register(spark)
+    path, symbol = fresh_path(spark, "streamed"), F.regexp_extract("file", r"([^/]+)_\d{8}\.zst$", 1)
+    stream = spark.readStream.format("framelog").option("offsets", fresh_path(spark, "offsets")).load(written_log(spark, d))
+    rows = stream.select(symbol.alias("symbol"), F.lit("20240101").alias("file_date"), "recv_nanos", "tag_byte", "payload")
+    rows.writeStream.format("framelog").option("path", path).option("checkpointLocation", fresh_path(spark, "state")).trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.format("framelog").load(path)
+    return out.select(symbols.match_heuristic(F.col("payload")).alias("symbol"), "seq", "recv_nanos", "tag_byte")
+
+
+@query("log_days", "SELECT event_type || '_' || strftime(ts, '%Y%m%d') || '.zst' AS file, event_id FROM events WHERE ts >= (SELECT CAST(CAST(max(ts) AS DATE) AS TIMESTAMP) - INTERVAL 2 DAY FROM events)")
+def log_days(spark, d):
+    """A log a symbol and day; only parts, and frames of them, that may hold the last days' rows are opened."""
+    at = F.unix_micros(F.col("ts").cast("timestamp")) * 1000
+    rows = table(spark, d, "events").select(F.col("event_type").alias("symbol"), F.date_format("ts", "yyyyMMdd").alias("file_date"), F.col("event_id").alias("seq"), at.alias("recv_nanos"), F.lit(83).alias("tag_byte"), F.col("event_id").cast("string").cast("binary").alias("payload"))
+    path, last = fresh_path(spark, "days"), rows.agg(F.max("recv_nanos")).first()[0] or 0
+    framelog.write_log(rows, path)
+    out = spark.read.format("framelog").load(path).filter(F.col("recv_nanos") >= last // 86_400_000_000_000 * 86_400_000_000_000 - 2 * 86_400_000_000_000)
+    return out.select(F.element_at(F.split("file", "/"), -1).alias("file"), F.col("payload").cast("string").cast("long").alias("event_id"))
+
+
 _SQL_ROTATED = "SELECT event_type AS symbol, seq, recv_nanos, event_type || '_' || strftime(max(day) OVER (PARTITION BY event_type ORDER BY seq ROWS UNBOUNDED PRECEDING), '%Y%m%d') || '.zst' AS file FROM (SELECT event_type, epoch_us(ts) * 1000 AS recv_nanos, CAST(ts AS DATE) AS day, (event_id + CASE WHEN event_id % 10 = 0 THEN 500 ELSE 0 END) * 100000 + event_id AS seq FROM events)"
 
 
@@ -327,7 +363,7 @@ def rotated_log(spark, d):
     """Late records over midnights: rotation, the sink, and the log read back."""
     late = F.col("event_id") + F.when(F.col("event_id") % 10 == 0, 500).otherwise(0)
     rows = table(spark, d, "events").select(F.col("event_type").alias("symbol"), "ts", (late * 100000 + F.col("event_id")).alias("seq"))
-    rows = schedule.rotated(rows, "/log", block=1 << 28).select("symbol", "file_date", "seq", (F.unix_micros(F.col("ts").cast("timestamp")) * 1000).alias("recv_nanos"), F.lit(83).alias("tag_byte"), F.concat(F.lit("m"), F.col("seq").cast("string")).cast("binary").alias("payload"))
+    rows = schedule.rotated(rows, "/log").select("symbol", "file_date", "seq", (F.unix_micros(F.col("ts").cast("timestamp")) * 1000).alias("recv_nanos"), F.lit(83).alias("tag_byte"), F.concat(F.lit("m"), F.col("seq").cast("string")).cast("binary").alias("payload"))
     path = fresh_path(spark, "rotated")
     framelog.write_log(rows, path)
     return spark.read.format("framelog").load(path).select(F.element_at(F.split("file", "/"), -1).alias("file"), "seq", "recv_nanos", F.col("payload").cast("string").alias("payload"))
@@ -342,7 +378,7 @@ def interleaved_log(spark, d):
     messages = e.select((F.col("seq") * 1000).alias("recv_nanos"), "symbol", F.lit(83).alias("tag_byte"), "payload")
     done = (F.col("seq") + F.col("seq") % 3 * 7) * 1000 + F.when(F.col("seq") % 4 == 0, 0).otherwise(F.col("seq"))
     snapshots = e.filter("seq % 10 = 0").select(done.alias("recv_nanos"), "symbol", F.lit(82).alias("tag_byte"), F.lit("{}").cast("binary").alias("payload"))
-    return stateful.interleave(messages, snapshots, block=1 << 20).select("symbol", "seq", "recv_nanos", "tag")
+    return stateful.interleave(messages, snapshots).select("symbol", "seq", "recv_nanos", "tag")
 
 
 @query("subscription_url", "SELECT string_agg(lower(r_name) || s.t, '/' ORDER BY r_regionkey, s.i) AS path FROM region, (VALUES (0, '@trade'), (1, '@bestBidAsk'), (2, '@depth'), (3, '@depth20')) s(i, t)")

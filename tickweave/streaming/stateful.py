@@ -81,14 +81,14 @@ def recover(gaps: DataFrame, scheduled: DataFrame | None, fetch, completed, limi
     return snapshot_rows(admitted, fetch, completed, "at")
 
 
-def interleave(sbe: DataFrame, rest: DataFrame, block: int = 3_600_000_000_000) -> DataFrame:
+def interleave(sbe: DataFrame, rest: DataFrame, size: int | None = None) -> DataFrame:
     """One log of both kinds of rows (recv_nanos, symbol, tag_byte, payload): with tag, and seq, the place in the symbol's log from 0.
 
     The order is that of receipt (for snapshots: of completion); at one time messages stand before snapshots, equal rows in the
     order of their payloads. A symbol's rows are dealt out by blocks of time.
     """
     both = sbe.unionByName(rest).withColumn("_order", F.struct("recv_nanos", (F.col("tag_byte") == 82).alias("late"), "payload"))
-    rows = numbered(both, "symbol", "_order", F.floor(F.col("recv_nanos") / block), "seq")
+    rows = numbered(both, "symbol", "_order", F.col("recv_nanos"), "seq", size)
     return rows.drop("_order").withColumn("tag", F.char("tag_byte"))
 
 
