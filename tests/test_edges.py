@@ -158,9 +158,9 @@ def test_blocks_follow_rows_not_values(spark):
     from tickweave.operators.blocks import in_blocks
 
     rows = spark.range(10_000).selectExpr("case when id % 100 = 0 then null when id < 9000 then id else id * 1000000000000 end as n")
-    blocks = in_blocks(rows, F.col("n"), 1000).groupBy("_block").agg(F.count("*").alias("n"), F.min("n").alias("low"), F.max("n").alias("high")).orderBy("_block").collect()
+    blocks = in_blocks(rows, "n", F.col("n"), 1000).groupBy("_block").agg(F.count("*").alias("n"), F.min("n").alias("low"), F.max("n").alias("high")).orderBy("_block").collect()
     assert len(blocks) >= 9 and max(b.n for b in blocks) < 1300
     assert all(a.high < b.low for a, b in zip(blocks, blocks[1:]))
-    same = in_blocks(spark.range(5000).selectExpr("id div 4000 as n"), F.col("n"), 100)
+    same = in_blocks(spark.range(5000).selectExpr("id div 4000 as n"), "n", F.col("n"), 100)
     assert same.select("_block", "n").distinct().count() == 2
-    assert in_blocks(rows.limit(0), F.col("n"), 5).count() == 0
+    assert in_blocks(rows.limit(0), "n", F.col("n"), 5).count() == 0

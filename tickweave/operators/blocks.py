@@ -17,13 +17,15 @@ def _size(rows: DataFrame) -> int:
     return int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def in_blocks(rows: DataFrame, number: Column, size: int | None = None) -> DataFrame:
-    """rows with _block, from 0, by quantiles of `number`, a column that never falls along the order: about `size` rows of all keys are a block.
+def in_blocks(rows: DataFrame, key: str, number: Column, size: int | None = None) -> DataFrame:
+    """rows with _k, a structure of the key (which is not null where the key is), and _block, from 0.
+
+    Blocks are quantiles of `number`, a column that never falls along the order: about `size` rows of all keys are a block.
 
     Equal numbers are one block. Rows that are few by the optimizer's estimate (or by `size` rows) are one block; others are counted first, in a pass of their own
     that reads what `number` needs.
     """
-    bounds: list[float] = []
+    rows, bounds = rows.withColumn("_k", F.struct(F.col(key))), []
     at = F.coalesce(number.cast("double"), F.lit(float("-inf")))
     if size or _size(rows) > SMALL:
         size = size or ROWS
@@ -42,12 +44,12 @@ def one_block(rows: DataFrame) -> bool:
     return rows.schema["_block"].dataType.simpleString() == "tinyint"
 
 
-def within(key: str, order: str) -> WindowSpec:
+def within(order: str) -> WindowSpec:
     """A key's rows of one block in their order."""
-    return Window.partitionBy(F.struct(key), "_block").orderBy(order)
+    return Window.partitionBy("_k", "_block").orderBy(order)
 
 
-def carry(rows: DataFrame, key: str, summary: Column, over: Callable[[str], Column], into: str = "_carry") -> DataFrame:
+def carry(rows: DataFrame, summary: Column, over: Callable[[str], Column], into: str = "_carry") -> DataFrame:
     """rows with what `over` makes of the summaries of the key's earlier blocks; null in the first.
 
     The summaries, a row a key and block, are aggregated where the rows are read, and then joined: the rows are shuffled once, by key and block, for this join and
@@ -55,8 +57,8 @@ def carry(rows: DataFrame, key: str, summary: Column, over: Callable[[str], Colu
     """
     if one_block(rows):
         return rows.withColumn(into, F.lit(None).cast(rows.agg(summary).schema[0].dataType))
-    ends = rows.groupBy(F.struct(F.col(key)).alias("_k"), F.col("_block").alias("_b")).agg(summary.alias("_s"))
-    return with_ends(rows, key, ends.select("_k", "_b", over("_s").over(earlier()).alias(into)))
+    ends = rows.groupBy("_k", F.col("_block").alias("_b")).agg(summary.alias("_s"))
+    return with_ends(rows, ends.select("_k", "_b", over("_s").over(earlier()).alias(into)))
 
 
 def earlier() -> WindowSpec:
@@ -64,13 +66,14 @@ def earlier() -> WindowSpec:
     return Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def with_ends(rows: DataFrame, key: str, ends: DataFrame) -> DataFrame:
-    """rows with the other columns of ends, which has a row for each key _k and block _b. A structure of a null key isn't null, so null keys meet, too."""
-    return rows.join(ends, (F.struct(F.col(key)) == F.col("_k")) & (F.col("_block") == F.col("_b")), "left").drop("_k", "_b")
+def with_ends(rows: DataFrame, ends: DataFrame) -> DataFrame:
+    """rows with the other columns of ends, which has a row for each key _k and block _b."""
+    ends = ends.withColumnRenamed("_k", "_key")
+    return rows.join(ends, (F.col("_k") == F.col("_key")) & (F.col("_block") == F.col("_b")), "left").drop("_key", "_b")
 
 
 def numbered(rows: DataFrame, key: str, order: str, number: Column, into: str, size: int | None = None) -> DataFrame:
     """rows with their place from 0 within the key."""
-    rows = carry(in_blocks(rows, number, size), key, F.count("*"), F.sum)
-    place = F.row_number().over(within(key, order)) - 1 + F.coalesce("_carry", F.lit(0))
-    return rows.withColumn(into, place.cast("long")).drop("_carry", "_block")
+    rows = carry(in_blocks(rows, key, number, size), F.count("*"), F.sum)
+    place = F.row_number().over(within(order)) - 1 + F.coalesce("_carry", F.lit(0))
+    return rows.withColumn(into, place.cast("long")).drop("_carry", "_block", "_k")

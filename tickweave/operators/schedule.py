@@ -13,9 +13,9 @@ STREAMS = ["$symbol@trade", "$symbol@bestBidAsk", "$symbol@depth", "$symbol@dept
 
 def rotated(records: DataFrame, folder: str, symbol: str = "symbol", at: str = "ts", order: str = "seq", size: int | None = None) -> DataFrame:
     """records with file_date, which never goes back along `order` (whole numbers), and file. A symbol's records are dealt out by blocks of the order."""
-    rows = carry(in_blocks(records, F.col(order), size), symbol, F.max(F.to_date(at)), F.max)
-    day = F.greatest(F.max(F.to_date(at)).over(within(symbol, order).rowsBetween(Window.unboundedPreceding, 0)), "_carry")
-    out = rows.withColumn("file_date", F.date_format(day, "yyyyMMdd")).drop("_carry", "_block")
+    rows = carry(in_blocks(records, symbol, F.col(order), size), F.max(F.to_date(at)), F.max)
+    day = F.greatest(F.max(F.to_date(at)).over(within(order).rowsBetween(Window.unboundedPreceding, 0)), "_carry")
+    out = rows.withColumn("file_date", F.date_format(day, "yyyyMMdd")).drop("_carry", "_block", "_k")
     return out.withColumn("file", F.concat(F.lit(folder + "/"), symbol, F.lit("_"), "file_date", F.lit(".zst")))
 
 
@@ -31,20 +31,20 @@ def idle_sessions(events: DataFrame, key: str, at: str, seconds: int = 60, size:
     A key's events are dealt out by blocks of time and become the block's pieces of sessions there; what is shuffled again is pieces. A block's first piece goes on
     with the session before it if that is near enough, and the sessions of earlier blocks are counted from a row a block.
     """
-    rows = in_blocks(events.select(key, at), F.unix_micros(F.col(at)), size)
-    place = within(key, at)
+    rows = in_blocks(events.select(key, at), key, F.unix_micros(F.col(at)), size)
+    place = within(at)
     far = lambda a, b: F.unix_micros(F.col(a)) - F.unix_micros(F.col(b)) > seconds * 1_000_000
     rows = rows.withColumn("_before", F.lag(at).over(place))
     rows = rows.withColumn("_piece", F.sum(F.when(F.col("_before").isNull() | far(at, "_before"), 1).otherwise(0)).over(place.rowsBetween(Window.unboundedPreceding, 0)))
-    pieces = rows.groupBy(F.struct(key).alias("_k"), "_block", "_piece").agg(F.first(key).alias(key), F.min(at).alias("start"), F.max(at).alias("stop"), F.count("*").alias("n"))
+    pieces = rows.groupBy("_k", "_block", "_piece").agg(F.min(at).alias("start"), F.max(at).alias("stop"), F.count("*").alias("n"))
     if one_block(rows):
-        return pieces.select(key, (F.col("_piece") - 1).alias("session"), "start", "stop", "n")
+        return pieces.select(F.col("_k")[key].alias(key), (F.col("_piece") - 1).alias("session"), "start", "stop", "n")
     blocks = pieces.groupBy("_k", F.col("_block").alias("_b")).agg(F.min("start").alias("_start"), F.max("stop").alias("_stop"), F.max("_piece").alias("_m"))
     blocks = blocks.withColumn("_last", F.max("_stop").over(earlier())).withColumn("_on", F.coalesce(~far("_start", "_last"), F.lit(False)).cast("int"))
     blocks = blocks.select("_k", "_b", "_on", F.coalesce(F.sum(F.col("_m") - F.col("_on")).over(earlier()), F.lit(0)).alias("_done"))
-    pieces = with_ends(pieces.drop("_k"), key, blocks)
+    pieces = with_ends(pieces, blocks)
     session = F.col("_done") + F.col("_piece") - 1 - F.col("_on")
-    return pieces.groupBy(key, session.alias("session")).agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n").alias("n"))
+    return pieces.groupBy(F.col("_k")[key].alias(key), session.alias("session")).agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n").alias("n"))
 
 
 # Fixed values of the socket's frames: what each kind of frame makes the collector do, and which kinds show that the connection lives.

@@ -19,14 +19,14 @@ def gaps(diffs: DataFrame, symbol: str = "symbol", order: str = "seq", keep: tup
     order: whole numbers. A symbol's rows are dealt out by blocks of it, of about `size` rows. A block's first row looks at the last one of the block before: only
     the two ends of each block meet again, and no row is read twice.
     """
-    rows = in_blocks(diffs.select(symbol, order, "first_update_id", "last_update_id", *keep), F.col(order), size)
-    place = within(symbol, order)
+    rows = in_blocks(diffs.select(symbol, order, "first_update_id", "last_update_id", *keep), symbol, F.col(order), size)
+    place = within(order)
     rows = rows.withColumn("prev_u", F.lag("last_update_id").over(place))
     gap = F.col("prev_u").isNotNull() & (F.col("first_update_id") != F.col("prev_u") + 1)
     if not one_block(rows):
         rows = rows.withColumns({"_head": F.row_number().over(place) == 1, "_tail": F.lead(F.lit(1)).over(place).isNull()}).filter(gap | F.col("_head") | F.col("_tail"))
         end = F.col("_head") | F.col("_tail")
-        ends = Window.partitionBy(F.struct(symbol), F.when(end, -1).otherwise(F.col("_block"))).orderBy(order)
+        ends = Window.partitionBy("_k", F.when(end, -1).otherwise(F.col("_block"))).orderBy(order)
         rows = rows.withColumn("prev_u", F.when(F.col("_head"), F.lag("last_update_id").over(ends)).otherwise(F.col("prev_u")))
     return rows.filter(gap).select(symbol, order, F.col("first_update_id").alias("first_u"), "prev_u", *keep, (F.col("prev_u") + 1).alias("expected_u"))
 
