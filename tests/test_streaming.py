@@ -1,14 +1,27 @@
+import json
+import random
 import struct
+import time
+from pathlib import Path
 
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from tickweave.operators import printed
+from tickweave.operators import printed, sequence
 from tickweave.sources import framelog
 from tickweave.streaming import stateful
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Each partition has a state store of its own."""
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", held)
+
+
 def run_in_steps(spark, tmp_path, steps, schema, transform, name):
     """All rows of transform over a stream whose micro-batches are steps."""
     folder = tmp_path / "in"
@@ -102,3 +115,124 @@ def test_log_replays_as_a_stream(spark, tmp_path):
     framelog.write_log(rows([3]), folder)
     stateful.stop(query)
     assert sorted((r.recv_nanos, bytes(r.payload)) for r in spark.table("replayed").collect()) == [(1, b"\1"), (2, b"\2"), (3, b"\3")]
+
+
+def in_batches(rows, rnd, most):
+    """Rows as JSON, cut at random into batches of `most` at most."""
+    out = [[]]
+    for r in rows:
+        if len(out[-1]) >= rnd.randint(1, most):
+            out.append([])
+        out[-1].append(json.dumps(r))
+    return out
+
+
+@pytest.mark.parametrize("consecutive", [True, False])
+def test_stream_gaps_over_shuffled_batches(spark, tmp_path, consecutive):
+    """Rows that come in other batches than their neighbours are placed; the result is that of the batch form."""
+    rnd = random.Random(4)
+    rows = []
+    for s in "ab":
+        at = 0
+        for k in range(120):
+            at += 1 if rnd.random() < 0.8 else rnd.randint(-2, 4)
+            rows.append({"symbol": s, "seq": k * (1 if consecutive else 5), "first_update_id": at, "last_update_id": at})
+    want = sequence.gaps(spark.createDataFrame([tuple(r.values()) for r in rows], "symbol string, seq long, first_update_id long, last_update_id long")).select("symbol", "seq", "expected_u", "first_u", "prev_u").collect()
+    moved = sorted(rows, key=lambda r: r["seq"] // (1 if consecutive else 5) + rnd.randint(0, 9))
+    if not consecutive:  # rows that push the last ones out of the buffer
+        moved += [{"symbol": s, "seq": 10_000 + k, "first_update_id": 10**6 + k, "last_update_id": 10**6 + k} for k in range(25) for s in "ab"]
+    schema = "symbol string, seq long, first_update_id long, last_update_id long"
+    got = run_in_steps(spark, tmp_path, in_batches(moved, rnd, 40), schema, lambda s: stateful.stream_gaps(s, 20, consecutive), f"shuffled_{consecutive}")
+    assert sorted(tuple(r) for r in got if r.first_u < 10**6) == sorted(map(tuple, want)) and len(want) > 20
+
+
+def test_stream_gaps_names_rows_that_come_too_late(spark, tmp_path):
+    row = lambda q: json.dumps({"symbol": "a", "seq": q, "first_update_id": q, "last_update_id": q})
+    steps = [[row(k) for k in (1, 2, 3, 4)], [row(0), row(5)]]
+    got = run_in_steps(spark, tmp_path, steps, "symbol string, seq long, first_update_id long, last_update_id long", lambda s: stateful.stream_gaps(s, 2), "too_late")
+    assert [tuple(r) for r in got] == [("a", 0, None, 0, None)]
+
+
+def test_stream_interleave_equals_batch(spark, tmp_path):
+    rnd = random.Random(6)
+    rows = [{"recv_nanos": 10**9 * k + rnd.choice([0, 1, 999]), "symbol": rnd.choice("ab"), "tag_byte": 82 if rnd.random() < 0.3 else 83, "payload": rnd.choice(["eA==", "eQ=="])} for k in range(1, 61) for _ in range(3)]
+    schema = "recv_nanos long, symbol string, tag_byte int, payload binary"
+    both = spark.createDataFrame([json.dumps(r) for r in rows], "string").select(F.from_json("value", schema).alias("r")).select("r.*")
+    want = stateful.interleave(both.filter("tag_byte = 83"), both.filter("tag_byte = 82")).select("symbol", "seq", "recv_nanos", "tag_byte", "payload").collect()
+    moved = sorted(rows, key=lambda r: r["recv_nanos"] + rnd.randint(0, 4) * 10**9)
+    steps = in_batches(moved, rnd, 30) + [[json.dumps({"recv_nanos": 10**13 + k, "symbol": s, "tag_byte": 83, "payload": "eA=="}) for s in "ab"] for k in range(2)]
+    got = run_in_steps(spark, tmp_path, steps, schema, lambda s: stateful.stream_interleave(s.filter("tag_byte = 83"), s.filter("tag_byte = 82"), "6 seconds"), "interleaved")
+    assert sorted(map(str, (r for r in got if r.recv_nanos < 10**13))) == sorted(map(str, want)) and len(want) == 180
+
+
+def wait_for(done, seconds=60):
+    end = time.time() + seconds
+    while not done():
+        assert time.time() < end, "it didn't happen"
+        time.sleep(0.3)
+
+
+def test_a_silent_connection_times_out_without_a_row(spark, tmp_path):
+    """The timer fires though nothing more comes, and after a restart, too; a close and a pong don't count as activity."""
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    at = lambda c, t, op: json.dumps({"connection": c, "at": t, "opcode": op})
+
+    def start():
+        frames = spark.readStream.schema("connection string, at long, opcode string").json(str(folder))
+        return stateful.stream_idle(frames, 3).writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "state")).trigger(processingTime="300 milliseconds").start()
+
+    found = lambda: sorted((r.connection, r.last_activity) for r in spark.read.schema("connection string, last_activity long, timeout_at long").parquet(out).collect()) if Path(out).exists() else []
+    (folder / "0.json").write_text("\n".join([at("a", 1, "Binary"), at("a", 9, "Pong"), at("b", 2, "Text"), at("b", 5, "Close"), at("c", 3, "Pong")]))
+    query = start()
+    wait_for(lambda: found() == [("a", 1), ("c", 3)])
+    query.stop()
+    (folder / "1.json").write_text("\n".join([at("a", 20, "Ping"), at("d", 21, "Binary")]))
+    query = start()
+    wait_for(lambda: sum(p["numInputRows"] for p in query.recentProgress) >= 2)
+    query.stop()
+    query = start()  # nothing more comes
+    try:
+        wait_for(lambda: found() == [("a", 1), ("a", 20), ("c", 3), ("d", 21)])
+    finally:
+        query.stop()
+
+
+def test_live_recovery_fetches_and_writes_once(spark, tmp_path):
+    """From a replayed log to 'R' rows in the log, schedule and gaps under one limiter; a batch that is run again does nothing new."""
+    log, calls, now = str(tmp_path / "log"), tmp_path / "calls", tmp_path / "now"
+    calls.mkdir()
+    now.write_text("1000")
+    framelog.register(spark)
+    kind = "symbol string, file_date string, recv_nanos long, tag_byte int, payload binary, seq long"
+    put = lambda ids: framelog.write_log(spark.createDataFrame([("aaa", "20240101", 5, 83, f"{a} {b}".encode(), k) for k, (a, b) in enumerate(ids)], kind), str(tmp_path / "in"))
+
+    def fetch(symbol):
+        (calls / f"{symbol}-{time.time_ns()}").touch()
+        if symbol == "BAD":
+            raise OSError("no answer")
+        return symbol.encode()
+
+    def run():
+        ids = F.split(F.col("payload").cast("string"), " ")
+        diffs = spark.readStream.format("framelog").load(str(tmp_path / "in")).select(F.lit("aaa").alias("symbol"), "seq", ids[0].cast("long").alias("first_update_id"), ids[1].cast("long").alias("last_update_id"))
+        query = stateful.recover_live(stateful.stream_gaps(diffs), log, fetch, str(tmp_path / "state"), ["AAA", "bad"], every=50e-9, limit=4, window=100e-9, clock=lambda: int(now.read_text()), trigger="100 milliseconds")
+        stateful.stop(query)
+
+    done = lambda: sorted((r.recv_nanos, bytes(r.payload)) for r in spark.read.format("framelog").load(log).collect() if r.error is None) if Path(log).exists() else []
+    put([(0, 0), (1, 1), (5, 5)])
+    run()  # scheduled calls of both symbols, and a gap; one fetch fails
+    assert done() == [(1000, b"AAA")] * 2 and len(list(calls.iterdir())) == 3
+    now.write_text("1010")
+    put([(6, 6), (9, 9), (20, 20), (30, 30)])
+    run()  # three gaps, of which the limiter admits one; the failed call has counted
+    assert done() == [(1000, b"AAA")] * 2 + [(1010, b"AAA")] and len(list(calls.iterdir())) == 4
+    for p in (tmp_path / "state" / "commits").glob("*1*"):
+        p.unlink()  # Spark hasn't heard that the batch ended
+    now.write_text("1040")
+    run()
+    assert len(done()) == 3 and len(list(calls.iterdir())) == 4
+    now.write_text("1110")
+    put([(40, 40)])
+    run()  # the schedule is due, and of four admitted calls three are out of the window
+    assert len(list(calls.iterdir())) == 7 and len(done()) == 5

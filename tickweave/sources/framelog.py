@@ -694,15 +694,18 @@ class _Parts:
 
 
 class FrameLogWriter(_Parts, DataSourceWriter):
-    """Overwriting replaces the logs that are written, not others; their files stay until `clean`."""
+    """Overwriting replaces the logs that are written, not others; their files stay until `clean`. With the options sinkId and batchId, as from foreachBatch, a
+    batch that is there already is not written again."""
 
     def __init__(self, options, overwrite):
         super().__init__(options)
         self.overwrite = overwrite
+        self.stream = (options["sinkId"], int(options["batchId"])) if "sinkId" in options and "batchId" in options else None
 
     def commit(self, messages):
-        if parts := self._parts(messages):
-            commit_parts(self.folder, parts, self.overwrite, alone=self.alone)
+        parts = self._parts(messages)
+        if parts and not commit_parts(self.folder, parts, self.overwrite, self.stream, self.alone):
+            self._drop(messages)
 
     def abort(self, messages):
         self._drop(messages)

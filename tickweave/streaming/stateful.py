@@ -1,49 +1,67 @@
-"""Streaming forms of the gap detector, the limiter and the snapshot trigger."""
+"""Streaming forms of the gap detector, the limiter, the idle timeout, the interleaved log and the snapshot trigger."""
 
 from __future__ import annotations
 
+import hashlib
+import json
+import time
+from collections.abc import Callable, Sequence
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from tickweave.operators.blocks import numbered
+from tickweave.operators.schedule import ACTIVITY
 from tickweave.operators.sequence import Limiter, admit
 from tickweave.plans.session import ship
+from tickweave.sources import framelog
+from tickweave.streaming import processors
+
 
+def _with_state(rows: DataFrame, key: str, processor: StatefulProcessor, out: str, mode: str = "None") -> DataFrame:
+    """Rows of a stateful processor. Its code goes along by value, as the process that prepares its state doesn't have this package."""
+    spark = rows.sparkSession
+    ship(spark)
+    cloudpickle.register_pickle_by_value(processors)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return rows.groupBy(key).transformWithStateInPandas(processor, out, "Append", mode)
 
-def stream_gaps(diffs: DataFrame) -> DataFrame:
+
+def stream_gaps(diffs: DataFrame, reorder: int | None = None, consecutive: bool = False) -> DataFrame:
     """symbol, seq, expected_u, first_u, prev_u from a stream of symbol, seq, first_update_id, last_update_id.
 
-    Each symbol's last id is its state; a micro-batch's rows are sorted by seq first.
+    Each symbol's last id is its state. Without `reorder`, a symbol's rows of a micro-batch are sorted by seq and follow those of the batch before. With it, at most
+    that many rows of a symbol wait in the state, over batches, and the first of them is placed when there are more; consecutive: seq counts a symbol's rows from 0,
+    so a row whose predecessor was placed needn't wait. A row that comes after a later one was placed is given with null expected_u and prev_u.
     """
-    ship(diffs.sparkSession)
+    return _with_state(diffs, "symbol", processors.Gaps(reorder, consecutive), "symbol string, seq long, expected_u long, first_u long, prev_u long")
 
-    def step(key, frames, state):
-        rows = pd.concat(list(frames)).sort_values("seq")
-        prev = rows["last_update_id"].shift().astype("Int64")
-        if state.exists:
-            prev.iloc[0] = state.get[0]
-        state.update((int(rows["last_update_id"].iloc[-1]),))
-        gap = prev.notna() & (rows["first_update_id"] != prev.fillna(0) + 1)
-        p = prev[gap].astype("int64")
-        yield pd.DataFrame({"symbol": key[0], "seq": rows["seq"][gap], "expected_u": p + 1, "first_u": rows["first_update_id"][gap], "prev_u": p})
 
-    return diffs.groupBy("symbol").applyInPandasWithState(step, "symbol string, seq long, expected_u long, first_u long, prev_u long", "last long", "append", GroupStateTimeout.NoTimeout)
+def stream_admit(calls: DataFrame, limit: int, window: int) -> DataFrame:
+    """key, at, admitted from a stream of key (string) and at (long). A micro-batch's calls of a key are taken in the order of at."""
+    return _with_state(calls, "key", processors.Admit(limit, window), "key string, at long, admitted boolean")
 
 
-def stream_admit(calls: DataFrame, limit: int, window: int) -> DataFrame:
-    """key, at, admitted from a stream of key (string) and at (long)."""
-    ship(calls.sparkSession)
+def stream_idle(frames: DataFrame, seconds: int = 60) -> DataFrame:
+    """connection, last_activity, timeout_at (micros) of connections without activity for `seconds`, from a stream of connection (string), at (micros), opcode.
+
+    Activity (binary, text, ping) sets a timer of processing time, also at a connection's first frame, whatever it is; a close ends it. The timer fires
+    without a further row, and after a restart. A connection that goes on after its timeout starts anew.
+    """
+    return _with_state(frames, "connection", processors.Idle(seconds, ACTIVITY), "connection string, last_activity long, timeout_at long", "ProcessingTime")
 
-    def step(key, frames, state):
-        rows = pd.concat(list(frames)).sort_values("at")
-        limiter = Limiter(limit, window, state.get[0] if state.exists else ())
-        yield pd.DataFrame({"key": key[0], "at": rows["at"], "admitted": [limiter.admit(t) for t in rows["at"].tolist()]})
-        state.update((list(limiter.admitted),))
 
-    return calls.groupBy("key").applyInPandasWithState(step, "key string, at long, admitted boolean", "admitted array<long>", "append", GroupStateTimeout.NoTimeout)
+def stream_interleave(sbe: DataFrame, rest: DataFrame, delay: str = "10 seconds") -> DataFrame:
+    """symbol, seq, recv_nanos, tag_byte, payload: both streams (recv_nanos, symbol, tag_byte, payload) as one log, in the order of `interleave`.
+
+    Rows wait until the watermark, `delay` behind the latest receipt, has passed them; numbers go on over batches. Rows that come behind the watermark (which begins
+    at 1970) are dropped by Spark.
+    """
+    both = sbe.unionByName(rest).withColumn("_at", F.timestamp_micros(F.expr("recv_nanos div 1000"))).withWatermark("_at", delay)
+    return _with_state(both, "symbol", processors.Interleave(), "symbol string, seq long, recv_nanos long, tag_byte int, payload binary", "EventTime")
 
 
 def snapshot_rows(due: DataFrame, fetch, completed, at: str | None = None) -> DataFrame:
@@ -81,6 +99,53 @@ def recover(gaps: DataFrame, scheduled: DataFrame | None, fetch, completed, limi
     return snapshot_rows(admitted, fetch, completed, "at")
 
 
+def recover_live(gaps: DataFrame, folder: str, fetch: Callable[[str], bytes], checkpoint: str, symbols: Sequence[str] = (), every: float = 3600, limit: int = 100, window: float = 60, clock: Callable[[], int] = time.time_ns, trigger: str = "10 seconds") -> StreamingQuery:
+    """A query that appends the snapshots that a stream of gaps (symbol, seq) asks for, and those of all `symbols` at its start and `every` seconds, to the frame log.
+
+    Each batch first writes down which calls it makes, with the limiter's times, then fetches in tasks, then commits the rows under its number. So a batch
+    that is run again makes the same calls, and none if it was committed. All calls share one limiter; at most `limit` rows of a batch can be admitted, so no more
+    come to the driver. Scheduled calls come first; a rejected call is dropped.
+
+    A schedule needs batches without new rows: gaps from an operator with processing-time timers have them; else they wait for the next row.
+    """
+    spark = gaps.sparkSession
+    framelog.register(spark)
+    sink, span = checkpoint, int(window * 10**9)
+    where, root = framelog._open(folder)
+    notes = f"{root}/_calls/{hashlib.sha256(sink.encode()).hexdigest()[:16]}"
+
+    def calls_of(asked: list[str], number: int) -> list[str]:
+        from pyarrow import fs
+
+        where.create_dir(notes, recursive=True)
+        there = sorted(i.base_name for i in where.get_file_info(fs.FileSelector(notes)) if i.base_name.endswith(".json"))
+        name = f"{number:010d}.json"
+        if name not in there:
+            before = [n for n in there if n < name]
+            held = framelog._json(where, f"{notes}/{before[-1]}") if before else {"admitted": [], "scheduled": None}
+            now, limiter = clock(), Limiter(limit, span, held["admitted"])
+            due = list(symbols) if held["scheduled"] is None or now >= held["scheduled"] + every * 10**9 else []
+            calls = [s.lower() for s in [*due, *asked] if limiter.admit(now)]
+            note = {"calls": calls, "admitted": list(limiter.admitted), "scheduled": now if due else held["scheduled"]}
+            framelog._create(where, f"{notes}/{name}", json.dumps(note).encode())
+            for n in before[:-1]:
+                where.delete_file(f"{notes}/{n}")
+        return framelog._json(where, f"{notes}/{name}")["calls"]
+
+    def step(batch: DataFrame, number: int) -> None:
+        # always read, or the state of what makes the gaps isn't committed
+        asked = [r[0] for r in batch.select(F.lower("symbol").alias("symbol"), "seq").orderBy("seq", "symbol").limit(limit).collect()]
+        if framelog.state_of(where, root).streams.get(sink, -1) >= number:
+            return
+        if calls := calls_of(asked, number):
+            due = spark.createDataFrame([(s, True) for s in calls], "symbol string, admitted boolean").repartition(min(len(calls), 16))
+            rows = snapshot_rows(due, fetch, clock)
+            day = F.date_format(F.timestamp_micros(F.expr("recv_nanos div 1000")), "yyyyMMdd")
+            rows.withColumn("file_date", day).write.format("framelog").option("sinkId", sink).option("batchId", number).mode("append").save(folder)
+
+    return gaps.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(processingTime=trigger).start()
+
+
 def interleave(sbe: DataFrame, rest: DataFrame, size: int | None = None) -> DataFrame:
     """One log of both kinds of rows (recv_nanos, symbol, tag_byte, payload): with tag, and seq, the place in the symbol's log from 0.
 
