@@ -23,8 +23,8 @@ GRAM = 24
 ANCHOR_BITS = 1 << 27
 #: Text that one suffix array holds; its arrays take some 100 bytes a byte.
 SHARD_BYTES = 2 << 20
-#: Distinct stretches of one anchor that one shard takes; an anchor with more is split by longer contexts.
-ANCHOR_ROWS = 2048
+#: Distinct stretches of one anchor that one shard takes, some 2.5 MB at most; an anchor with more is split by longer contexts.
+ANCHOR_ROWS = 4096
 #: Windows in a stretch whose anchors are equal grams (text with a period), at most; more are further stretches.
 PERIODIC = 2048
 #: Words of a passage, and of the grams that anchor it.
@@ -428,11 +428,13 @@ def _marks(found: DataFrame, length: int, gram: int, shard_bytes: int, anchor_ro
     width, ready, splits = length - gram + 1, [], []
     while True:
         hot = saved(rows.groupBy("anchor").count().filter(F.col("count") > anchor_rows).select("anchor"), "op3-hot")
-        if hot.isEmpty() or width == 1:
+        flagged = in_map(rows, key_map(hot, "anchor"), "_hot", "anchor")  # the same plan whether there are any or not
+        if width == 1:
             ready.append(rows)
             break
-        flagged = in_map(rows, key_map(hot, "anchor"), "_hot", "anchor")
         ready.append(flagged.filter("not _hot").drop("_hot"))
+        if hot.isEmpty():
+            break
         many = flagged.filter("_hot")
         if not splits:  # of equal stretches from many batches one stays
             many = many.groupBy("anchor", "off", "h1", "h2").agg(*summed)
