@@ -336,22 +336,68 @@ def test_arc_folder(spark, tmp_path):
     index = arc = warc.arc_records(spark, str(tmp_path / "in"))
     assert index.count() == 6 and arc.filter("url = 'http://h/bare'").first().payload_bytes == 9
     out = f"file://{tmp_path}/out"
-    manifest = saved(warc.convert_folder(spark, str(tmp_path / "in"), out), "arcs")
-    heads = []
-    for r in manifest.collect():
-        with open(r.file, "rb") as f:
-            heads += [h for h, _ in warc.read_warc(iter(lambda f=f: f.read(7), b""))]
+    made, errors = warc.convert_folder(spark, str(tmp_path / "in"), out)
+    manifest = saved(made, "arcs")
+    assert errors.count() == 0
+    heads = [h for h, _ in warc_records(manifest) if h["WARC-Type"] != "warcinfo"]
     assert len({h["WARC-Record-ID"] for h in heads}) == len(heads) == 6
     assert {(h["WARC-Target-URI"], h["WARC-Type"], h.get("WARC-Refers-To-Target-URI")) for h in heads} == {
         ("http://h/0", "response", None), ("http://h/1", "revisit", "http://h/first"), ("http://h/2", "response", None), ("http://h/3", "revisit", "http://h/first"),
-        ("http://h/first", "response", None), ("http://h/bare", "response", None),
+        ("http://h/first", "response", None), ("http://h/bare", "resource", None),
     }
     assert {h["WARC-Date"] for h in heads if h["WARC-Target-URI"].endswith("first")} == {"1999-01-01T00:00:00Z"}
-    (tmp_path / "in" / "cut.arc").write_bytes(one[:-3])
-    with pytest.raises(Exception, match="shorter"):
-        warc.arc_records(spark, str(tmp_path / "in")).count()
-    with pytest.raises(ValueError):
-        list(warc.read_arc(io.BytesIO(warc.arc_header(1, "f") + b"u 0.0.0.0 20000101000000 text/html 200 - 3\nabc\n")))
+    assert {h.get("WARC-Refers-To-Date") for h in heads} == {None, "1999-01-01T00:00:00Z"}
+
+
+def warc_records(manifest):
+    out = []
+    for r in manifest.collect():
+        with open(r.file, "rb") as f:
+            out += warc.read_warc(iter(lambda f=f: f.read(7), b""))
+    return out
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_arc_records_that_are_not_http(spark, tmp_path, version):
+    """A DNS answer with a blank line inside is a resource of its own type, whole; a URL may hold spaces."""
+    dns = b"20000101000000\r\n\r\nh 60 IN A"
+    record = lambda url, when, kind, body: warc.arc_record(version, url, when, body, "x").replace(b"text/html", kind, 1)
+    rows = [("dns:h", "20000101000001", b"text/dns", dns), ("http://h/a b", "20000101000002", b"text/html", http(b"x")), ("dns:i", "20000101000003", b"text/dns", dns), ("http://h/bare", "20000101000004", b"image/png", b"HTTP/1.0 204 No")]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.arc").write_bytes(warc.arc_header(version, "x") + b"".join(record(*r) for r in rows))
+    made, errors = warc.convert_folder(spark, str(tmp_path / "in"), f"file://{tmp_path}/out")
+    manifest = saved(made, "arcs")
+    got = warc_records(manifest)
+    assert errors.count() == 0 and [h["WARC-Type"] for h, _ in got].count("warcinfo") == manifest.count()
+    by = {h["WARC-Target-URI"]: (h["WARC-Type"], h["Content-Type"], int(h["X-Payload-Length"]), block) for h, block in got if "WARC-Target-URI" in h}
+    assert by == {
+        "dns:h": ("resource", "text/dns", len(dns), dns), "dns:i": ("revisit", "text/dns", len(dns), b""),
+        "http://h/a%20b": ("response", "application/http; msgtype=response", 1, http(b"x")), "http://h/bare": ("response", "application/http; msgtype=response", 0, b"HTTP/1.0 204 No"),
+    }
+
+
+def test_arc_lines_that_are_none_cost_themselves_alone(spark, tmp_path):
+    good = [warc.arc_record(1, f"http://h/{i}", "20000101000000", http(b"%d" % i), "f") for i in range(4)]
+    bad = b"http://h/x 0.0.0.0 20001301000000 text/html 5\n" + b"abcd\n"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.arc").write_bytes(warc.arc_header(1, "a") + good[0] + bad + good[1] + b"no header at all\n" + good[2])
+    (tmp_path / "in" / "cut.arc").write_bytes(warc.arc_header(1, "cut") + good[3] + good[0][:-3])
+    (tmp_path / "in" / "odd.arc").write_bytes(b"filedesc://odd 0.0.0.0 20000101000000 text/plain 4\n7 0 ")
+    (tmp_path / "in" / "junk.arc").write_bytes(b"junk")
+    made, errors = warc.convert_folder(spark, str(tmp_path / "in"), f"file://{tmp_path}/out")
+    assert sorted(h["WARC-Target-URI"][-1] for h, _ in warc_records(saved(made, "arcs")) if "WARC-Target-URI" in h) == ["0", "1", "2", "3"]
+    found = sorted((r.file.rpartition("/")[2], r.error.split(" ")[0], (r.url or "").strip()[:12]) for r in errors.collect())
+    assert [f for f, _, _ in found] == ["a.arc"] * 3 + ["cut.arc", "junk.arc", "odd.arc"] and ("cut.arc", "record", "http://h/0 0") in found
+    for raw in (warc.arc_header(1, "f") + b"u 0.0.0.0 20000101000000 text/html 200 - 3\nabc\n", b"junk", warc.arc_header(1, "f") + good[0][:-5]):
+        with pytest.raises(ValueError):
+            list(warc.read_arc(io.BytesIO(raw)))
+
+
+def test_small_payloads_are_all_responses(spark):
+    pages = spark.createDataFrame([(i, "u", t) for i, t in enumerate(["abc", "abc", "abcd", "abcd", "", ""])], "page_id long, url string, html string")
+    path = fresh_path(spark, "least")
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_archives(saved(warc.convert(pages, path, min_bytes=4), "m"), path).collect()}
+    assert got == {2: ("revisit", 3)} | {i: ("response", None) for i in (0, 1, 3, 4, 5)}
 
 
 def test_warc_of_repeated_rows_and_none(spark):
@@ -363,7 +409,7 @@ def test_warc_of_repeated_rows_and_none(spark):
     ids = []
     for r in manifest.collect():
         with open(r.file, "rb") as f:
-            ids += [h["WARC-Record-ID"] for h, _ in warc.read_warc(iter([f.read()]))]
+            ids += [h["WARC-Record-ID"] for h, _ in warc.read_warc(iter([f.read()])) if h["WARC-Type"] != "warcinfo"]
     assert len(set(ids)) == 5
     none = fresh_path(spark, "none")
     assert saved(warc.convert(pages.limit(0), none), "m").count() == 0

@@ -9,7 +9,7 @@ import io
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import UTC, datetime, timedelta
 from urllib.parse import quote
 
@@ -24,6 +24,8 @@ from tickweave.plans.session import fresh_path, saved, ship, shuffle_parts, tabl
 ARC_FIELDS = {1: ["URL", "IP-address", "Archive-date", "Content-type", "Archive-length"], 2: ["URL", "IP-address", "Archive-date", "Content-type", "Result-code", "Checksum", "Location", "Offset", "Filename", "Archive-length"]}
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _ID = "#!page="
+#: What stays as it is in a URL, percent signs included.
+_SAFE = "%/:=&?~#+!$,;'@()*[]"
 
 
 def base32_sha1(data: bytes) -> str:
@@ -42,48 +44,102 @@ def arc_record(version: int, url: str, when: str, body: bytes, name: str) -> byt
     return line.encode() + body + b"\n"
 
 
-def read_arc(f) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header fields, content) of each record but the first, of a file with read and readline. Lengths are as declared; a record cut short, or a line
-    that has not the fields of the file's version, is an error."""
+def _date(stamp: str) -> datetime:
+    return datetime.strptime(stamp.ljust(14, "0")[:14], "%Y%m%d%H%M%S").replace(tzinfo=UTC)
+
+
+def _head(line: bytes, fields: list[str]) -> dict[str, str]:
+    """A record's header fields. Only the URL, which comes first, may hold spaces."""
+    parts = line.rstrip(b"\r\n").decode("utf-8", "replace").rsplit(" ", len(fields) - 1)
+    if len(parts) != len(fields):
+        raise ValueError(f"header line of {len(parts)} fields in place of {len(fields)}")
+    head = dict(zip(fields, parts, strict=True))
+    if not head["URL"].strip() or not re.fullmatch(r"\d{1,18}", head["Archive-length"]) or not re.fullmatch(r"\d{8,17}", head["Archive-date"]):
+        raise ValueError("header line without a URL, date or length")
+    _date(head["Archive-date"])
+    return head
+
+
+def read_arc(f, bad: Callable[[int, bytes, str], None] | None = None) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(header fields, content) of each record but the first, of a file with read and readline. Lengths are as declared.
+
+    bad(place, line, what): is told of lines that are no header line of the file's version, behind which the next one that is is looked for, of a
+    record that the file's end cuts short, and of a file whose version is unknown, which has no records. Without `bad` these are errors.
+    """
+
+    def wrong(at: int, line: bytes, what: str) -> None:
+        if bad is None:
+            raise ValueError(f"ARC: {what}")
+        bad(at, line, what)
+
     line = f.readline()
+    at = len(line)
     if not line:
         return
-    size = int(line.rsplit(b" ", 1)[1])
-    block = f.read(size).decode("utf-8", "replace").split("\n")
-    version = int(block[0].split(" ")[0])
-    fields = block[1].split(" ") if len(block) > 1 else []
-    if fields != ARC_FIELDS.get(version):
-        raise ValueError(f"ARC version {version} with fields {fields}")
+    try:
+        size = int(line.rsplit(b" ", 1)[1])
+        block = f.read(size).decode("utf-8", "replace").split("\n")
+        version, fields = int(block[0].split(" ")[0]), block[1].split(" ") if len(block) > 1 else []
+        if fields != ARC_FIELDS.get(version):
+            raise ValueError(f"version {version} with fields {fields}")
+    except (ValueError, IndexError) as e:
+        wrong(0, line, str(e))
+        return
+    at += size
     while line := f.readline():
+        place, at = at, at + len(line)
         if line in (b"\n", b"\r\n"):  # parts the records
             continue
-        parts = line.rstrip(b"\r\n").decode("utf-8", "replace").split(" ")
-        if len(parts) != len(fields):
-            raise ValueError(f"ARC header line of {len(parts)} fields; version {version} has {len(fields)}")
-        head = dict(zip(fields, parts, strict=True))
+        try:
+            head = _head(line, fields)
+        except ValueError as e:
+            wrong(place, line, str(e))
+            continue
         size = int(head["Archive-length"])
         content = f.read(size)
+        at += len(content)
         if len(content) < size:
-            raise ValueError("ARC record shorter than its declared length")
+            wrong(place, line, "record shorter than its declared length")
+            return
         yield head, content
 
 
-def to_warc(head: dict[str, str], content: bytes, name: str, original: str | None = None) -> bytes:
-    """One WARC/1.1 record for one ARC record: response, or revisit of the record with the URL `original`.
+def payload_of(content: bytes) -> tuple[bytes, bytes]:
+    """(HTTP header, payload) of a record; what doesn't begin as HTTP, such as a DNS answer, is all payload."""
+    if not content.startswith(b"HTTP/"):
+        return b"", content
+    http, mark, payload = content.partition(b"\r\n\r\n")
+    return (http + mark, payload) if mark else (content, b"")
+
+
+def _record(lines: list[str], block: bytes) -> bytes:
+    return "\r\n".join(["WARC/1.1", *lines, f"Content-Length: {len(block)}"]).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
-    name: the record's place, unlike any other's; its identifier is made of it. Content without an HTTP header is all payload.
+
+def _stamp(date: datetime) -> str:
+    return date.strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def warcinfo(name: str) -> bytes:
+    """The record that a WARC file begins with."""
+    block = b"software: tickweave\r\nformat: WARC File Format 1.1\r\nconformsTo: http://iipc.github.io/warc-specifications/specifications/warc-format/warc-1.1/\r\n"
+    return _record(["WARC-Type: warcinfo", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(_SPACE, name + '/info')}>", f"WARC-Date: {_stamp(datetime.now(UTC))}", f"WARC-Filename: {name}.warc.gz", "Content-Type: application/warc-fields"], block)
+
+
+def to_warc(head: dict[str, str], content: bytes, name: str, original: tuple[str, str] | None = None) -> bytes:
+    """One WARC/1.1 record for one ARC record: a response if it is HTTP, else a resource of the ARC's content type; with `original`, the URL and ARC date of the
+    record that has its payload, a revisit of that.
+
+    name: the record's place, unlike any other's; its identifier is made of it.
     """
-    http, mark, payload = content.partition(b"\r\n\r\n")
-    http, payload = (http + mark, payload) if mark else (b"", content)
-    stamp = head["Archive-date"].ljust(14, "0")[:14]
-    when = datetime.strptime(stamp, "%Y%m%d%H%M%S").replace(tzinfo=UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    http, payload = payload_of(content)
     block = http if original is not None else content
-    lines = ["WARC/1.1", f"WARC-Type: {'response' if original is None else 'revisit'}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(_SPACE, name)}>", f"WARC-Date: {when}", f"WARC-Target-URI: {head['URL']}", f"WARC-IP-Address: {head['IP-address']}"]
+    lines = [f"WARC-Type: {'revisit' if original is not None else 'response' if http else 'resource'}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(_SPACE, name)}>", f"WARC-Date: {_stamp(_date(head['Archive-date']))}", f"WARC-Target-URI: {quote(head['URL'], safe=_SAFE)}", f"WARC-IP-Address: {head['IP-address']}"]
     lines += [f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}", f"WARC-Block-Digest: sha1:{base32_sha1(block)}", f"X-Payload-Length: {len(payload)}"]
     if original is not None:
-        lines += [f"WARC-Refers-To-Target-URI: {original}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
-    lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
-    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+        lines += [f"WARC-Refers-To-Target-URI: {quote(original[0], safe=_SAFE)}", f"WARC-Refers-To-Date: {_stamp(_date(original[1]))}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+    kind = "application/http; msgtype=response" if http else re.sub(r"[^!-~]", "", head["Content-type"]) or "application/octet-stream"
+    return _record([*lines, f"Content-Type: {kind}"], block)
 
 
 def read_warc(raw: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -124,20 +180,24 @@ class _Archives:
     def _begin(self) -> None:
         self.name, self.members, self.size = uuid.uuid4().hex, [], 0
 
-    def add(self, head: dict[str, str], content: bytes, original: str | None) -> Iterator[pa.RecordBatch]:
+    @staticmethod
+    def _packed(record: bytes) -> bytes:
         engine = zlib.compressobj(1, zlib.DEFLATED, 31)
-        record = to_warc(head, content, f"{self.name}/{len(self.members)}", original)
-        self.members.append(engine.compress(record) + engine.flush())
+        return engine.compress(record) + engine.flush()
+
+    def add(self, head: dict[str, str], content: bytes, original: tuple[str, str] | None) -> Iterator[pa.RecordBatch]:
+        self.members.append(self._packed(to_warc(head, content, f"{self.name}/{len(self.members)}", original)))
         self.size += len(self.members[-1])
         if self.size >= self.archive_bytes:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        """The manifest's row of what is held."""
+        """The manifest's row of what is held; the warcinfo record doesn't count."""
         if not self.members:
             return
         file = f"{self.root}/{self.name}"
         with self.where.open_output_stream(f"{file}.tmp", compression=None) as f:
+            f.write(self._packed(warcinfo(self.name)))
             for m in self.members:
                 f.write(m)
         self.where.move(f"{file}.tmp", f"{file}.warc.gz")
@@ -147,7 +207,12 @@ class _Archives:
 
 def archive_url(page, url: str | None) -> str:
     """What the header line can hold: the URL without white space, and the page's id as a fragment."""
-    return quote(url or "about:blank", safe="%/:=&?~#+!$,;'@()*[]") + _ID + ("" if page is None else str(page))
+    return quote(url or "about:blank", safe=_SAFE) + _ID + ("" if page is None else str(page))
+
+
+def _archived(page) -> str:
+    """A page's ARC date, made of its id."""
+    return (datetime(2000, 1, 1, tzinfo=UTC) + timedelta(seconds=(page or 0) % 10**9)).strftime("%Y%m%d%H%M%S")
 
 
 def convert(pages: DataFrame, path: str, archive_bytes: int = 32 << 20, min_bytes: int = 0) -> DataFrame:
@@ -178,8 +243,8 @@ def convert(pages: DataFrame, path: str, archive_bytes: int = 32 << 20, min_byte
                 for page, url, html, first, first_url in zip(*(c.to_pylist() for c in b.slice(at, step).columns), strict=True):
                     name = archive_url(page, url)
                     if first is not None and first != page:
-                        originals[name] = archive_url(first, first_url)
-                    when = (datetime(2000, 1, 1, tzinfo=UTC) + timedelta(seconds=(page or 0) % 10**9)).strftime("%Y%m%d%H%M%S")
+                        originals[name] = archive_url(first, first_url), _archived(first)
+                    when = _archived(page)
                     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(html)
                     v = 1 if page is not None and page % 2 == 0 else 2
                     arcs[v].append(arc_record(v, name, when, http + html, f"part{v}.arc"))
@@ -199,60 +264,65 @@ def _arc_file(path: str):
 
 
 def arc_records(spark, folder: str) -> DataFrame:
-    """file, number, url, archived, payload_bytes, payload_digest of each record of a folder's *.arc and *.arc.gz files, each read in one task, as a stream."""
+    """file, number, url, archived, payload_bytes, payload_digest, error of each record of a folder's *.arc and *.arc.gz files, each read in one task, as a stream.
+
+    What can't be read is a row with an error: number is its place in the file, url the line, cut after 1,000 characters, and the rest null.
+    """
     ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.arc*").option("recursiveFileLookup", "true").load(folder).select("path")
 
     def run(batches):
         for b in batches:
             for path in b.column(0).to_pylist():
-                out = [[], [], [], [], []]
+                out = []
+                wrong = lambda at, line, what, out=out: out.append((at, line[:4000].decode("utf-8", "replace")[:1000], None, None, None, what))
                 with _arc_file(path) as f:
-                    for number, (head, content) in enumerate(read_arc(f)):
-                        _, mark, payload = content.partition(b"\r\n\r\n")
-                        payload = payload if mark else content
-                        for c, v in zip(out, (number, head["URL"], head["Archive-date"], len(payload), base32_sha1(payload)), strict=True):
-                            c.append(v)
-                arrays = [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([path] * len(out[0]), pa.string()), *arrays], names=["file", "number", "url", "archived", "payload_bytes", "payload_digest"])
+                    for number, (head, content) in enumerate(read_arc(f, wrong)):
+                        payload = payload_of(content)[1]
+                        out.append((number, head["URL"], head["Archive-date"], len(payload), base32_sha1(payload), None))
+                kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
+                arrays = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(out), pa.string()), *arrays], names=["file", "number", "url", "archived", "payload_bytes", "payload_digest", "error"])
 
-    return files.repartition(shuffle_parts(spark), "path").mapInArrow(run, "file string, number long, url string, archived string, payload_bytes long, payload_digest string")
+    return files.repartition(shuffle_parts(spark), "path").mapInArrow(run, "file string, number long, url string, archived string, payload_bytes long, payload_digest string, error string")
 
 
-def convert_folder(spark, folder: str, path: str, archive_bytes: int = 32 << 20, min_bytes: int = 0) -> DataFrame:
-    """Convert a folder's ARC files to WARC archives at `path`; the manifest (file, records).
+def convert_folder(spark, folder: str, path: str, archive_bytes: int = 32 << 20, min_bytes: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Convert a folder's ARC files to WARC archives at `path`; the manifest (file, records), and what couldn't be read (the rows of arc_records with an error).
 
-    Of records whose payloads are equal, of min_bytes at least, the one archived first (then by URL, file and number) is a response, the others are revisits
+    Of records whose payloads are equal, of min_bytes at least, the one archived first (then by URL, file and number) stays as it is, the others are revisits
     of it. The records are read twice: for their digests, and to be converted; only a row without content a record is shuffled. An ARC file is one
-    task's. A folder without records gives no archive; a file that breaks its version's rules is an error that stops the job.
+    task's. A folder without records gives no archive; a bad line, a cut record or a file of an unknown version costs itself alone.
     """
     index = saved(arc_records(spark, folder), "arc-records")
+    good = index.filter("error is null").drop("error")
     group = F.struct("payload_digest", "payload_bytes")
-    groups = index.filter(F.col("payload_bytes") >= min_bytes).groupBy(group.alias("_group")).agg(F.min(F.struct("archived", "url", "file", "number")).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    rows = salted_join(index.withColumn("_group", group), groups, "_group", row_salt(), "left")
+    groups = good.filter(F.col("payload_bytes") >= min_bytes).groupBy(group.alias("_group")).agg(F.min(F.struct("archived", "url", "file", "number")).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    rows = salted_join(good.withColumn("_group", group), groups, "_group", row_salt(), "left")
     is_first = (F.col("first.file") == F.col("file")) & (F.col("first.number") == F.col("number"))
-    rows = rows.select("file", "number", F.when(~is_first, F.col("first.url")).alias("original"))
+    rows = rows.select("file", "number", F.when(~is_first, F.col("first.url")).alias("original"), F.col("first.archived").alias("date"))
 
     def run(batches):
         out, source, last, records = _Archives(path, archive_bytes), None, None, iter(())
         try:
             for b in batches:
-                for file, number, original in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for file, number, original, date in zip(*(c.to_pylist() for c in b.columns), strict=True):
                     if file != last:
                         if source is not None:
                             source.close()
                         source, last = _arc_file(file), file
-                        records = enumerate(read_arc(source))
+                        records = enumerate(read_arc(source, lambda *_: None))
                     at, (head, content) = next(records)
                     if at != number:
                         raise ValueError(f"{file}: record {at}, not {number}")
-                    yield from out.add(head, content, original)
+                    yield from out.add(head, content, None if original is None else (original, date))
         finally:
             if source is not None:
                 source.close()
         yield from out.flush()
 
-    return rows.repartition(shuffle_parts(spark), "file").sortWithinPartitions("file", "number").mapInArrow(run, "file string, records long")
+    made = rows.repartition(shuffle_parts(spark), "file").sortWithinPartitions("file", "number").mapInArrow(run, "file string, records long")
+    return made, index.filter("error is not null")
 
 
 def read_archives(manifest: DataFrame, path: str, id_type: str = "long") -> DataFrame:
@@ -265,8 +335,10 @@ def read_archives(manifest: DataFrame, path: str, id_type: str = "long") -> Data
                 out = [[], [], [], [], []]
                 with where.open_input_stream(file, compression=None) as f:
                     for head, block in read_warc(iter(lambda f=f: f.read(1 << 20), b"")):
+                        if head["WARC-Type"] == "warcinfo":
+                            continue
                         revisit = head["WARC-Type"] == "revisit"
-                        payload = block.partition(b"\r\n\r\n")[2]
+                        payload = payload_of(block)[1]
                         digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
                         if not revisit and (base32_sha1(payload) != digest or len(payload) != int(head["X-Payload-Length"])):
                             raise ValueError(f"{file}: a payload unlike its digest")
