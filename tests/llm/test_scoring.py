@@ -200,3 +200,28 @@ def test_rules_without_labels(spark, odd):
     for labels in (none, spark.createDataFrame([(5, None), (None, 1)], "doc_id long, quality int")):
         assert {r.rules_.score for r in quality_rules.judge(odd, odd, labels).collect()} == {0.5}
     assert quality_rules.judge(odd.limit(0), odd, none).count() == 0
+
+
+def test_license_tags_need_a_context():
+    """Prose that only looks like a tag isn't one; tags in license context are, and gaps are counted in words."""
+    from tickweave.llm import licenses
+    from tickweave.llm.common import words_of
+
+    scanner = licenses.Scanner()
+    found = lambda t: sorted({x for _, _, x in scanner.scan(words_of(t.encode()))[1]})
+    for t in ("Apache 2.0 degrees", "cc by 1 0 goals", "the php 3.0 release", "mpl 1.1 volts", "artistic 2 0 score", "a general of the public", "the name of the rose, nor the names of its heroes", "boost 1.0", "all rights and duties"):
+        assert found(t) == [], t
+    assert found("Licensed under Apache 2.0") == ["apache-2.0"] and found("the Apache-2.0 license") == ["apache-2.0"] and found("license: cc by 4.0") == ["cc-by-4.0"]
+    assert found("SPDX-License-Identifier: MPL-2.0") == ["mpl-2.0"]
+    names = "neither the name of " + "very " * 10 + "%s nor the names of its contributors"
+    assert found(names % "long") == ["bsd-3-clause"] and found(names % "long long long") == []
+    long = "neither the name of " + "x" * 500 + " nor the names of its contributors"
+    assert found(long) == ["bsd-3-clause"]  # words, not bytes
+    written = [p for _, _, phrases in licenses.SIGNATURES for p in phrases]
+    assert len(set(written)) == len(written) > 200
+    for label, _, phrases in licenses.SIGNATURES:
+        for p in phrases:
+            if not any(c in p for c in "[(\\"):
+                plain = p.replace("...", "word ").replace("word 8", "word").split()
+                line = " ".join(w for w in plain if not w.isdigit() or "..." not in p)
+                assert scanner.scan(words_of(line.encode()))[1], p
