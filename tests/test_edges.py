@@ -164,3 +164,32 @@ def test_blocks_follow_rows_not_values(spark):
     same = in_blocks(spark.range(5000).selectExpr("id div 4000 as n"), "n", F.col("n"), 100)
     assert same.select("_block", "n").distinct().count() == 2
     assert in_blocks(rows.limit(0), "n", F.col("n"), 5).count() == 0
+
+
+def test_admission_is_cut_at_silences(spark):
+    """Keys with and without silences, ties, nulls and repeated calls: the same as one deque a key, by many tasks for one key."""
+    import random
+
+    rnd = random.Random(8)
+    rows = [("dense", k // 3, k) for k in range(400)] + [(rnd.choice(["a", None]), rnd.randint(0, 5000), k) for k in range(600)] + [("edge", 10 * k, k) for k in range(50)] + [("a", None, 7), (None, None, 8)]
+    calls = spark.createDataFrame(rows, "key string, at long, n int")
+
+    def want(limit, window):
+        out, limiters = [], {}
+        for key, at, n in sorted(rows, key=lambda r: (r[0] or "", r[1] is not None, r[1] or 0, r[2])):
+            limiter = limiters.setdefault(key, sequence.Limiter(limit, window))
+            out.append((key, at, n, at is not None and limiter.admit(at)))
+        return sorted(map(str, out))
+
+    for limit, window in ((1, 10), (2, 9), (3, 40), (5, 11)):
+        for size in (None, 50, 7):
+            got = sequence.admit(calls, "key", "at", limit, window, "n", size=size)
+            assert sorted(str(tuple(r)) for r in got.collect()) == want(limit, window), (limit, window, size)
+    held = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        one = spark.range(0, 4000).selectExpr("'k' as key", "(id div 10) * 1000 + id % 10 as at")
+        parts = sequence.admit(one, "key", "at", 3, 100, size=500).rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", held)
+    assert sum(n > 0 for n in parts) == 8 and max(parts) < 1000

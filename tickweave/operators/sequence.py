@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweave.operators.blocks import in_blocks, one_block, within
+from tickweave.operators.blocks import earlier, in_blocks, one_block, with_ends, within
 from tickweave.plans.session import ship
 
 
@@ -51,24 +51,47 @@ class Limiter:
         return True
 
 
-def admit(calls: DataFrame, key: str, at: str, limit: int = 100, window: int = 60_000_000_000, order: str | None = None, into: str = "admitted") -> DataFrame:
+def _segments(calls: DataFrame, key: str, at: str, window: int, size: int | None) -> DataFrame | None:
+    """calls with _segment, the time of the last call that came after a silence of `window` or more: no earlier call is in force then. None if the calls are
+    one block."""
+    rows = in_blocks(calls, key, F.col(at), size)
+    if one_block(rows):
+        return None
+    place = within(at)
+    head = F.when(F.col(at) - F.lag(at).over(place) >= window, F.col(at))
+    rows = rows.withColumn("_head", head).withColumn("_segment", F.max("_head").over(place.rowsBetween(Window.unboundedPreceding, 0)))
+    # a block's first call may come after a silence, too; what stands before the block's first such call goes on with the segment of an earlier block
+    ends = rows.groupBy("_k", F.col("_block").alias("_b")).agg(F.min(at).alias("_low"), F.max(at).alias("_high"), F.max("_head").alias("_last"))
+    ends = ends.withColumn("_before", F.max("_high").over(earlier()))
+    ends = ends.withColumn("_first", F.when(F.col("_before").isNull() | (F.col("_low") - F.col("_before") >= window), F.col("_low")))
+    ends = ends.select("_k", "_b", "_first", F.max(F.coalesce("_last", "_first")).over(earlier()).alias("_carry"))
+    return with_ends(rows, ends).withColumn("_segment", F.coalesce("_segment", "_first", "_carry")).select(*calls.columns, "_segment")
+
+
+def admit(calls: DataFrame, key: str, at: str, limit: int = 100, window: int = 60_000_000_000, order: str | None = None, into: str = "admitted", size: int | None = None) -> DataFrame:
     """calls with `into`, per key in the order of at (then order).
 
-    Sequential by nature, as a rejected call doesn't count: a key is one task's, read in a stream with `limit` times held. Null times are rejected.
+    Sequential by nature, as a rejected call doesn't count. But behind a silence as long as the window nothing is in force, so a key's calls are cut there, and
+    what lies between two silences is one task's, read in a stream with `limit` times held; a key without silences is one task's as a whole.
+    Few calls are cut by key alone. Null times are rejected.
     """
     ship(calls.sparkSession)
-    by = [key, at] + ([order] if order else [])
     if into in calls.columns:
         raise ValueError(f"there is a column {into} already")
+    rows = _segments(calls, key, at, window, size)
+    cut = [key] if rows is None else [key, "_segment"]
+    rows = calls if rows is None else rows
 
     def run(batches):
         last, limiter = object(), None
         for b in batches:
             out = []
-            for k, t in zip(b[key], b[at], strict=True):
-                if k != last and not (pd.isna(k) and pd.isna(last)):
+            for *k, t in zip(*(b[c].astype(object).where(b[c].notna(), None) for c in cut), b[at], strict=True):
+                if k != last:
                     last, limiter = k, Limiter(limit, window)
                 out.append(not pd.isna(t) and limiter.admit(t))
-            yield b.assign(**{into: pd.Series(out, index=b.index, dtype=bool)})
+            yield b[list(names)].assign(**{into: pd.Series(out, index=b.index, dtype=bool)})
 
-    return calls.repartition(key).sortWithinPartitions(*by).mapInPandas(run, T.StructType([*calls.schema.fields, T.StructField(into, T.BooleanType())]))
+    names = calls.columns
+    by = [*cut, at] + ([order] if order else [])
+    return rows.repartition(*cut).sortWithinPartitions(*by).mapInPandas(run, T.StructType([*calls.schema.fields, T.StructField(into, T.BooleanType())]))
