@@ -421,14 +421,17 @@ def _marks(found: DataFrame, length: int, gram: int, shard_bytes: int, anchor_ro
     windows that differ in one byte at most, so this ends after as many rounds as length has binary digits. Equal parts become one by their names, so a
     passage that very many stretches have is one row, and what is found for a part goes back to the stretches that have it.
     """
-    parts = shuffle_parts(found.sparkSession)
+    spark = found.sparkSession
+    parts = shuffle_parts(spark)
     names = [x.split()[0] for x in _ROW.split(", ")]
     summed = [F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("part").alias("part")]
     rows = found.filter("n > 0").select(*names)
     width, ready, splits = length - gram + 1, [], []
     while True:
         hot = saved(rows.groupBy("anchor").count().filter(F.col("count") > anchor_rows).select("anchor"), "op3-hot")
-        flagged = in_map(rows, key_map(hot, "anchor"), "_hot", "anchor")  # the same plan whether there are any or not
+        # with a row that no key has, so that adaptive execution keeps the one plan where no anchor is hot
+        map_ = key_map(hot, "anchor")
+        flagged = in_map(rows, map_.unionByName(spark.range(1).select(F.lit(-1).alias("_row"), F.lit(bytes(4096)).alias("_bits"))), "_hot", "anchor")
         if width == 1:
             ready.append(rows)
             break
