@@ -193,3 +193,31 @@ def test_admission_is_cut_at_silences(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", held)
     assert sum(n > 0 for n in parts) == 8 and max(parts) < 1000
+
+
+def test_layouts_of_odd_messages(spark):
+    """Blocks, groups and data that don't fit are named; newer senders' further fields are skipped; unsigned and text fields keep their values."""
+    from tickweave.operators import layouts
+    from tickweave.plans.registry import ORDER_SCHEMA
+
+    t = layouts.parse_schema(ORDER_SCHEMA)["order"]
+    block = struct.pack("<QbqI", 2**64 - 1, -2, -5, 0)[:17] + b"ab\0c"
+    head = lambda n, v: struct.pack("<HHHH", n, 20001, 1, v)
+    lines = struct.pack("<HH", 5, 2) + struct.pack("<BiBi", 1, -7, 2, 9)
+    whole = head(21, 0) + block + lines + b"\x02hi"
+    newer = head(30, 2) + block + struct.pack("<I", 77) + b"xxxxx" + struct.pack("<HH", 8, 1) + struct.pack("<BiB2s", 3, 4, 1, b"zz") + b"\0"
+    odd = [whole, newer, whole[:-1], head(21, 0) + block + lines[:-1], head(21, 0) + block[:-1], head(20, 0) + block, head(21, 1) + block + lines + b"\0", whole[:8], head(21, 0) + block + struct.pack("<HH", 0, 3) + b"\0", head(21, 0) + block + struct.pack("<HH", 0, 0) + b"\0", whole[:7], None, head(21, 0)[:2] + b"\0\0" + whole[4:]]
+    rows = layouts.decode(frames(spark, odd), t).orderBy("seq").collect()
+    assert [(r.seq, r.decode_error) for r in rows] == [(0, None), (1, None), (2, "priority cut short"), (3, "lines cut short"), (4, "block too short"), (5, "block too short"), (6, "block too short"), (7, "block too short"), (8, "lines cut short"), (9, None)]
+    assert (int(rows[0].key), rows[0].total, rows[0].code, rows[0].venue, rows[0].customer, rows[0].priority) == (2**64 - 1, -5, "ab", "main", None, "hi")
+    assert [tuple(x) for x in rows[0].lines] == [(1, -7, None), (2, 9, None)] and [tuple(x) for x in rows[1].lines] == [(3, 4, 1)] and rows[1].customer == 77
+    assert [len(rows[2].lines), rows[3].lines, rows[4].key, rows[9].lines] == [2, None, None, []]
+    text = [r.line for r in layouts.printed(frames(spark, odd[:4]), t, "{key} {total*exponent} {customer} {#lines}", {"lines": "  {qty*exponent}"}).orderBy("seq").collect()]
+    assert text == [f"{2**64 - 1} -0.050000 - 2\n  -0.070000\n  0.090000", f"{2**64 - 1} -0.050000 77 1\n  0.040000", "order: priority cut short", "order: lines cut short"]
+    import pytest
+
+    with pytest.raises(ValueError, match="isn't in the layout"):
+        layouts.printed(frames(spark, odd[:1]), t, "", {"lines": "{price}"})
+    with pytest.raises(ValueError, match="not supported"):
+        layouts.parse_schema('<s><message name="m" id="1"><field name="x" id="1" type="strange"/></message></s>')
+    assert layouts.decode(spark.createDataFrame([], "seq long, payload binary"), t).count() == 0

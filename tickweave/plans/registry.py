@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.functions.binary import hex_le, scaled, scaled_exact, var_string
-from tickweave.operators import printed, rest, sbe, schedule, sequence, symbols
+from tickweave.operators import layouts, printed, rest, sbe, schedule, sequence, symbols
 from tickweave.plans.session import fresh_path, saved, table
 from tickweave.sources import framelog
 from tickweave.streaming import stateful
@@ -484,6 +484,47 @@ def print_rest(spark, d):
     return _printed(rest_frames(spark, d), 82)
 
 
+#: A template that only this text knows: its second version has the customer, and a flag of the lines, besides.
+ORDER_SCHEMA = """<messageSchema xmlns="http://fixprotocol.io/2016/sbe" id="1" version="1"><types>
+<type name="mantissa" primitiveType="int64"/><type name="short" primitiveType="char" length="4"/><enum name="flag" encodingType="uint8"><validValue name="R">1</validValue></enum>
+<composite name="groupSizeEncoding"><type name="blockLength" primitiveType="uint16"/><type name="numInGroup" primitiveType="uint16"/></composite>
+<composite name="text8"><type name="length" primitiveType="uint8"/><type name="varData" primitiveType="uint8" length="0"/></composite></types>
+<message name="order" id="20001"><field name="key" id="1" type="uint64"/><field name="exponent" id="2" type="int8"/><field name="total" id="3" type="mantissa"/><field name="code" id="4" type="short"/>
+<field name="venue" id="8" type="short" presence="constant">main</field><field name="customer" id="5" type="uint32" sinceVersion="1"/>
+<group name="lines" id="6"><field name="number" id="1" type="uint8"/><field name="qty" id="2" type="int32"/><field name="returned" id="3" type="flag" sinceVersion="1"/></group>
+<data name="priority" id="7" type="text8"/></message></messageSchema>"""
+
+
+@frames
+def order_frames(spark, d) -> DataFrame:
+    """Orders as messages: those with even keys by the first version."""
+    t = layouts.parse_schema(ORDER_SCHEMA)["order"]
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("number"), F.round("l_quantity").cast("int").alias("qty"), (F.col("l_returnflag") == "R").cast("int").alias("returned")))).alias("lines"))
+    none = F.array().cast("array<struct<number:int,qty:int,returned:int>>")
+    rows = table(spark, d, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn("lines", F.coalesce("lines", none))
+    values = {"key": F.col("o_orderkey"), "exponent": F.lit(-2), "total": F.round(F.col("o_totalprice") * 100).cast("bigint"), "code": F.substring("o_orderpriority", 1, 3), "customer": F.col("o_custkey")}
+    both = [layouts.encode(t, values, {"lines": F.col("lines")}, {"priority": F.col("o_orderpriority")}, v) for v in (0, 1)]
+    return saved(rows.select(F.col("o_orderkey").alias("seq"), F.when(F.col("o_orderkey") % 2 == 0, both[0]).otherwise(both[1]).alias("payload")), "frames")
+
+
+_SQL_ORDERS = "SELECT o_orderkey AS seq, o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS total, o_orderpriority AS priority, CASE WHEN o_orderkey % 2 = 1 THEN o_custkey END AS customer FROM orders"
+
+
+@query("layout_decode", f"SELECT seq, o_orderkey AS key, total, left(priority, 3) AS code, 'main' AS venue, CAST(customer AS BIGINT) AS customer, priority, l_linenumber AS number, CAST(round(l_quantity) AS INT) AS qty, CASE WHEN seq % 2 = 1 THEN CAST(l_returnflag = 'R' AS INT) END AS returned FROM ({_SQL_ORDERS}) LEFT JOIN lineitem ON l_orderkey = seq")
+def layout_decode(spark, d):
+    """A fifth template, given as a schema's text."""
+    rows = layouts.decode(order_frames(spark, d), layouts.parse_schema(ORDER_SCHEMA)["order"]).filter("decode_error is null")
+    return rows.select("seq", F.col("key").cast("bigint").alias("key"), "total", "code", "venue", "customer", "priority", F.explode_outer("lines").alias("x")).select("*", "x.*").drop("x")
+
+
+@query("layout_print", f"""SELECT seq, 'ORDER ' || seq || ' ' || priority || ' total=' || {_cents('total')} || ' customer=' || coalesce(customer::VARCHAR, '-') || ' lines=' || count(l_orderkey)
+  || coalesce(string_agg(CASE WHEN pos <= 5 THEN chr(10) || '  #' || l_linenumber || ' x ' || CAST(round(l_quantity) AS INT) ELSE '' END, '' ORDER BY pos) FILTER (l_orderkey IS NOT NULL), '') || CASE WHEN count(l_orderkey) > 5 THEN chr(10) || '  ...' ELSE '' END AS line
+FROM ({_SQL_ORDERS}) LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, round(l_quantity), l_returnflag = 'R') AS pos FROM lineitem) ON l_orderkey = seq GROUP BY seq, priority, total, customer""")
+def layout_print(spark, d):
+    t = layouts.parse_schema(ORDER_SCHEMA)["order"]
+    return layouts.printed(order_frames(spark, d), t, "ORDER {key} {priority} total={total*exponent} customer={customer} lines={#lines}", {"lines": "  #{number} x {qty}"})
+
+
 @query("print_counts", "SELECT event_type || '_20240101.zst' AS file, '--- total: ' || count(*) || ' records (' || count(*) FILTER (event_id % 10 > 1) || ' SBE stream, ' || count(*) FILTER (event_id % 10 = 0) || ' REST snapshot) ---' AS line FROM events GROUP BY 1")
 def print_counts(spark, d):
     return printed.counts_line(file_counts(spark, d)).select("file", "line")
