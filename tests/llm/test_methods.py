@@ -454,8 +454,14 @@ def test_stages_on_odd_rows(spark, step):
         return
     assert got.columns == docs.columns
     left = sorted(str(r.doc_id) for r in got.collect())
+    if step == 0:  # what the fitted model says of each text alone
+        labels = spark.read.parquet(f"{D}/labels.parquet").filter(~quality.fold(F.col("doc_id")))
+        model = quality.fitted(cells(docs), labels, quality.MAX_LABELLED)
+        good = lambda t: model.score(quality.terms(None if t is None else t.encode())[None], quality.NEIGHBOURS)[0] >= 0.3
+        assert left == sorted(str(i) for i, t in texts if good(t)) and left
+        return
     assert left == {
-        0: left, 1: ["1", "3", "3", "5", "6", "None"], 2: ["1", "3", "3", "5", "None"], 3: sorted(str(i) for i, _ in texts),
+        1: ["1", "3", "3", "5", "6", "None"], 2: ["1", "3", "3", "5", "None"], 3: sorted(str(i) for i, _ in texts),
     }[step], name
 
 
@@ -466,3 +472,52 @@ def test_quality_stage(spark):
     docs = spark.read.parquet(f"{D}/documents.parquet")
     kept = {r.doc_id for r in corpus_pipeline.keep_good(spark, docs, D).collect()}
     assert kept == {r.doc_id for r in quality.op4_quality_classifier(spark, D).collect() if r.predicted}
+
+
+def test_stages_without_labels_or_benchmark(spark, tmp_path):
+    """Without labels every score is 0.5, and without items nothing is contaminated: all rows stay."""
+    import corpus_pipeline
+
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{D}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = spark.read.parquet(f"{D}/documents.parquet")
+    for step in (0, 3):
+        assert corpus_pipeline.STAGES[step][1](spark, docs, str(tmp_path)).count() == docs.count()
+
+
+def test_pieces_of_bytes_that_are_no_text(spark):
+    rows = spark.sql("select 1L as doc_id, cast(x'61ff62' as string) as text union all select 2L, 'ab'")
+    got = {r.doc_id: (r.pieces.exact, len(r.pieces.ids) > 0) for r in pieces.encode_pieces(rows).collect()}
+    assert got == {1: (False, True), 2: (True, True)}
+
+
+def test_token_files_are_pruned(spark):
+    """One document of many is found by reading a few row groups of one file, and one that isn't there by reading none."""
+    path = fresh_path(spark, "pruned")
+    docs = spark.range(0, 40_000, 1, 4).select((F.col("id") * 2).alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"))
+    token_ids.write_tokens(docs, path)
+
+    def rows_read(ids):
+        rows = spark.read.orc(path).filter(F.col("doc_id").isin(ids))
+        before = [r.doc_id for r in token_ids.read_tokens(spark, path, ids).collect()]
+        # what leaves the scan, before Spark's own filter
+        kept = rows._jdf.queryExecution().executedPlan()
+        rows.collect()
+        todo, n = [kept], 0
+        while todo:
+            node = todo.pop()
+            if node.nodeName().startswith("Scan orc"):
+                n += node.metrics().apply("numOutputRows").value()
+            todo += [node.children().apply(k) for k in range(node.children().size())]
+        return before, n
+
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.orc.filterPushdown")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert rows_read([31_000])[0] == [31_000] and 1 <= rows_read([31_000])[1] <= 2000
+        assert rows_read([31_001]) == ([], 0)  # by the Bloom filters
+        spark.conf.set("spark.sql.orc.filterPushdown", "false")
+        assert spark.read.orc(path).count() == 40_000
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)

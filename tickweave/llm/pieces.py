@@ -351,7 +351,8 @@ def encode_pieces(docs: DataFrame, model: str | None = None, n: int = N_BEST, te
 
     A map over rows: whole texts, no row moves, memory bounded by the caches' size and one long text. Null and
     empty texts have no pieces, one segmentation of score 0, and decode to the empty text; a text with fewer than
-    n segmentations has fewer; ties go to the earlier chunk; repeated rows get equal results.
+    n segmentations has fewer; ties go to the earlier chunk; repeated rows get equal results. Bytes that are no UTF-8 count as U+FFFD, so
+    such a text doesn't come back exactly.
     """
     model = model or default_model()
     kinds = {f.name: to_arrow_type(f.dataType) for f in KIND.fields}
@@ -363,7 +364,7 @@ def encode_pieces(docs: DataFrame, model: str | None = None, n: int = N_BEST, te
 
         def run(texts):
             ids, exact, best = [], [], []
-            for t, (got, nbest) in zip(texts, enc.encode_all([(t or b"").decode() for t in texts], n), strict=True):
+            for t, (got, nbest) in zip(texts, enc.encode_all([(t or b"").decode("utf-8", "replace") for t in texts], n), strict=True):
                 ids.append(got)
                 exact.append(enc.lattice.decode(got) == (t or b""))
                 best.append([{"score": s, "changes": [{"start": a, "stop": b, "ids": list(x)} for a, b, x in ch]} for s, ch in nbest])
