@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickweave.functions.binary import hex_le, scaled, scaled_exact, var_string
 from tickweave.operators import layouts, printed, rest, sbe, schedule, sequence, symbols
+from tickweave.operators.blocks import numbered
 from tickweave.plans.session import fresh_path, saved, table
 from tickweave.sources import framelog
 from tickweave.streaming import stateful
@@ -215,10 +216,8 @@ def rest_levels(spark, d):
 @frames
 def diff_frames(spark, d) -> DataFrame:
     """A run of updates for each event type, with a message in 97 missing."""
-    from pyspark.sql import Window
-
-    n = F.row_number().over(Window.partitionBy("event_type").orderBy("event_id")).cast("bigint")
-    rows = table(spark, d, "events").withColumn("rn", n).filter("event_id % 97 <> 0")
+    rows = numbered(table(spark, d, "events").select("event_type", "event_id"), "event_type", "event_id", F.col("event_id"), "rn")
+    rows = rows.withColumn("rn", F.col("rn") + 1).filter("event_id % 97 <> 0")
     none = F.array().cast("array<struct<price:bigint,qty:bigint>>")
     values = {"event_time_us": F.col("event_id"), "first_update_id": 3 * F.col("rn") - 2, "last_update_id": 3 * F.col("rn"), "price_exp": F.lit(0), "qty_exp": F.lit(0)}
     return saved(rows.select(F.col("event_id").alias("seq"), sbe.encode(sbe.DIFF, values, {"bids": none, "asks": none}, F.col("event_type")).alias("payload")), "frames")
