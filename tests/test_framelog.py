@@ -109,6 +109,39 @@ def test_clean_deletes_what_nobody_reads(spark, log):
     assert read(spark, log) == in_order([3])
 
 
+def test_compaction_keeps_rows_places_and_streams(spark, log, tmp_path):
+    for k in range(4):
+        framelog.write_log(frame(spark, [10 * k, 10 * k + 1]), log)
+        framelog.write_log(frame(spark, [k], "b"), log)
+    want = read(spark, log)
+    assert framelog.compact(spark, log) == 6 and framelog.compact(spark, log) == 0
+    table = spark.read.format("framelog").option("splitBytes", "1").load(log)
+    assert read(spark, log) == want and table.rdd.getNumPartitions() == 8 and table.filter("recv_nanos = 31").rdd.getNumPartitions() == 1
+    query = run(spark, log, tmp_path, "merged")  # a stream that begins now reads each row once
+    stateful.stop(query)
+    assert sorted((r.file.rpartition("/")[2], r.seq, r.recv_nanos, r.error) for r in spark.table("merged").collect()) == want
+    framelog.write_log(frame(spark, [99]), log)
+    assert len(framelog.clean(log, hours=-1)) == 8 and [r[:3] for r in read(spark, log) if r[0][0] == "a"][-1] == ("a_20240101.zst", 8, 99)
+
+
+def test_compaction_gives_way_to_an_overwrite(spark, log):
+    framelog.write_log(frame(spark, [1]), log)
+    framelog.write_log(frame(spark, [2]), log)
+
+    class Late:
+        """The session, in which another writer commits once the compaction has looked at the folder."""
+
+        def __getattr__(self, name):
+            return getattr(spark, name)
+
+        def createDataFrame(self, *args):
+            framelog.write_log(frame(spark, [3]), log, "overwrite")
+            return spark.createDataFrame(*args)
+
+    assert framelog.compact(Late(), log) == 0
+    assert read(spark, log) == in_order([3]) and len(framelog.clean(log, hours=-1)) == 2
+
+
 def test_frames_are_found_without_decompression(tmp_path):
     c = zstandard.ZstdCompressor
     pieces = [c(level=3).compress(os.urandom(300_000)), c(write_checksum=True).compress(b"a" * 500_000), c(write_content_size=False).compress(b"x"), b"\x52\x2a\x4d\x18\x03\0\0\0abc", c().compress(b"")]

@@ -25,11 +25,17 @@ FRAMES: dict = {}
 _HELD: dict = {}
 
 
+def _changed(spark, d: str) -> int:
+    """When a table in the folder was last written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(d)
+    return max((s.getModificationTime() for s in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)), default=0)
+
+
 def frames(make):
-    """A builder of messages, which runs once for an application, folder and its further arguments."""
+    """A builder of messages, which runs once for an application, a folder as it was last written, and its further arguments."""
 
     def held(spark, d, *args) -> DataFrame:
-        key = (spark.sparkContext.applicationId, d, make.__name__, *args)
+        key = (spark.sparkContext.applicationId, d, _changed(spark, d), make.__name__, *args)
         if key not in _HELD:
             _HELD[key] = make(spark, d, *args)
         return _HELD[key]
@@ -343,6 +349,17 @@ def log_stream(spark, d):
     return out.select(symbols.match_heuristic(F.col("payload")).alias("symbol"), "seq", "recv_nanos", "tag_byte")
 
 
+@query("log_compacted", f"SELECT event_type AS symbol, row_number() OVER (PARTITION BY event_type ORDER BY event_id % 3, event_id) - 1 AS seq, {_SQL_LOGGED}")
+def log_compacted(spark, d):
+    """Three commits, their parts made one a log, and that read by many tasks, a few zstd frames each."""
+    rows, path = _records(spark, d), fresh_path(spark, "compacted")
+    for k in range(3):
+        framelog.write_log(rows.filter(F.col("seq") % 3 == k), path, frameBytes="16384")
+    framelog.compact(spark, path)
+    out = spark.read.format("framelog").option("splitBytes", "32768").load(path)
+    return out.select(symbols.match_heuristic(F.col("payload")).alias("symbol"), "seq", "recv_nanos", "tag_byte")
+
+
 @query("log_days", "SELECT event_type || '_' || strftime(ts, '%Y%m%d') || '.zst' AS file, event_id FROM events WHERE ts >= (SELECT CAST(CAST(max(ts) AS DATE) AS TIMESTAMP) - INTERVAL 2 DAY FROM events)")
 def log_days(spark, d):
     """A log a symbol and day; only parts, and frames of them, that may hold the last days' rows are opened."""

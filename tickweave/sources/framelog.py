@@ -103,6 +103,11 @@ class State:
     def apply(self, number: int, commit: dict) -> None:
         self.number = number
         self.gone |= set(commit["replaced"])
+        if commit.get("merged"):  # the same rows in fewer files
+            for name in commit["replaced"]:
+                self.parts.pop(name, None)
+            self.parts |= {p["name"]: p for p in commit["parts"]}
+            return
         for name in commit["replaced"]:
             if name in self.parts:
                 self.rows.pop(self.parts.pop(name)["log"], None)
@@ -161,11 +166,16 @@ def commit_parts(folder: str, parts: list[dict], overwrite: bool = False, stream
         commit = {"parts": new, "replaced": replaced, "stream": stream}
         if _create(where, _manifest(root, state.number + 1), json.dumps(commit).encode(), alone):
             break
+    _summarise(where, root, state, commit)
+    return True
+
+
+def _summarise(where, root: str, state: State, commit: dict) -> None:
+    """After a commit behind `state`: now and then, its result as a file."""
     state.apply(state.number + 1, commit)
     if state.number % SUMMARY == 0:
         summary = {"number": state.number, "parts": state.parts, "rows": state.rows, "gone": sorted(state.gone), "streams": state.streams}
         where.move(_put(where, f"{root}/_commits/{state.number:010d}.summary", json.dumps(summary).encode()), f"{root}/_commits/{state.number:010d}.summary")
-    return True
 
 
 def clean(folder: str, hours: float = 24) -> list[str]:
@@ -564,6 +574,7 @@ class FrameLogStream(DataSourceStreamReader):
             self.at, self.said = b, end
         where, root = _open(self.path)
         out, commits = [], [_json(where, _manifest(root, n)) for n in range(a["commit"] + 1, b["commit"] + 1)]
+        commits = [c for c in commits if not c.get("merged")]  # no new rows; what they replaced stays until `clean`
         gone = {name for c in commits for name in c["replaced"]}
         for c in commits:
             for p in c["parts"]:
@@ -778,6 +789,56 @@ def write_log(records, folder: str, mode: str = "append", tasks: int | None = No
     rows.select("symbol", "file_date", "recv_nanos", "tag_byte", "payload").write.format("framelog").options(**options).mode(mode).save(folder)
 
 
+def compact(spark, folder: str, most: int = 1 << 30) -> int:
+    """Make neighbouring parts of each log one, of up to `most` bytes: the number of parts that were merged into others.
+
+    zstd frames are copied as they are, by a task a new part, and the places of rows and frames stay known. Readers see the old parts or the new one; if
+    another commit has replaced some of them meanwhile, nothing is done. A stream reads the old parts, so `clean` must leave it time to do so.
+    """
+    register(spark)
+    where, root = _open(folder)
+    state, groups = state_of(where, root), []
+    for p in sorted(state.parts.values(), key=lambda p: (p["log"], p["first"])):
+        last = groups[-1] if groups else None
+        if last and last[-1]["log"] == p["log"] and sum(x["size"] for x in last) + p["size"] <= most:
+            last.append(p)
+        else:
+            groups.append([p])
+    groups = [g for g in groups if len(g) > 1]
+    if not groups:
+        return 0
+    tasks = [(k, f"{g[0]['log']}.{uuid.uuid4().hex}", [p["name"] for p in g]) for k, g in enumerate(groups)]
+    frame = spark.createDataFrame(tasks, "k int, name string, parts array<string>").repartition(min(len(tasks), 1000), "k")
+
+    def copy(rows):
+        to, top = _open(folder)
+        for r in rows:
+            with to.open_output_stream(f"{top}/{r.name}", compression=None) as out:
+                for part in r.parts:
+                    with to.open_input_stream(f"{top}/{part}", compression=None) as f:
+                        while more := f.read(1 << 20):
+                            out.write(more)
+            _sync(to, f"{top}/{r.name}")
+
+    frame.foreachPartition(copy)
+    made = []
+    for (_, name, _), g in zip(tasks, groups, strict=True):
+        held, at = [], 0
+        for p in g:
+            held += [[at + f[0], *f[1:]] for f in p["frames"]]
+            at += p["size"]
+        made.append({"name": name, "log": g[0]["log"], "size": at, "frames": held, "first": g[0]["first"]})
+    commit = {"parts": made, "replaced": [p["name"] for g in groups for p in g], "stream": None, "merged": True}
+    while all(name in state.parts for name in commit["replaced"]):
+        if _create(where, _manifest(root, state.number + 1), json.dumps(commit).encode()):
+            _summarise(where, root, state, commit)
+            return len(commit["replaced"]) - len(made)
+        state = state_of(where, root)
+    for p in made:
+        where.delete_file(f"{root}/{p['name']}")
+    return 0
+
+
 def index_logs(spark, folder: str) -> None:
     """Write what each zstd frame of the collectors' files holds to `_index`, so that they are read by many tasks and pruned like parts.
 
