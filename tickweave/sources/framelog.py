@@ -20,7 +20,7 @@ import uuid
 from collections import OrderedDict
 from dataclasses import dataclass, field
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceStreamWriter, DataSourceWriter, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamArrowWriter, DataSourceStreamReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 
 # Fixed values of the file format: time, tag, length of a row; names of logs.
 _ROW, _HEAD = "<qBI", 13
@@ -633,22 +633,33 @@ class _Part:
         self.z, self.end = zstandard.ZstdCompressor(level=level).stream_writer(self.raw, closefd=False), zstandard.FLUSH_FRAME
         self.frames, self.held, self.bytes = [], None, 0
 
-    def write(self, nanos: int, tag: int, payload: bytes) -> None:
-        if self.held is None:
-            self.held, self.bytes = [self.raw.tell(), 0, nanos, nanos, set()], 0
-        self.z.write(struct.pack(_ROW, nanos, tag, len(payload)) + payload)
-        f = self.held
-        f[1], f[2], f[3] = f[1] + 1, min(f[2], nanos), max(f[3], nanos)
-        f[4].add(tag)
-        self.bytes += _HEAD + len(payload)
-        if self.bytes >= self.frame:
-            self.cut()
+    def write(self, nanos, tags, payloads) -> None:
+        """Rows as numpy arrays of times and tags, and a list of bytes."""
+        import numpy as np
+
+        sizes = np.fromiter(map(len, payloads), np.int64, len(payloads))
+        heads = np.empty(len(sizes), [("nanos", "<i8"), ("tag", "u1"), ("size", "<u4")])
+        heads["nanos"], heads["tag"], heads["size"] = nanos, tags, sizes
+        raw, ends, at = heads.tobytes(), np.cumsum(sizes + _HEAD), 0
+        while at < len(sizes):
+            before = int(ends[at - 1]) if at else 0
+            stop = min(len(sizes), int(np.searchsorted(ends, before + self.frame - self.bytes, "left")) + 1)
+            if self.held is None:
+                self.held = [self.raw.tell(), 0, int(nanos[at]), int(nanos[at]), set()]
+            self.z.write(b"".join(x for k in range(at, stop) for x in (raw[_HEAD * k : _HEAD * (k + 1)], payloads[k])))
+            f, own = self.held, nanos[at:stop]
+            f[1], f[2], f[3] = f[1] + stop - at, min(f[2], int(own.min())), max(f[3], int(own.max()))
+            f[4].update(np.unique(tags[at:stop]).tolist())
+            self.bytes += int(ends[stop - 1]) - before
+            at = stop
+            if self.bytes >= self.frame:
+                self.cut()
 
     def cut(self) -> None:
         if self.held:
             self.z.flush(self.end)
             self.frames.append([*self.held[:4], sorted(self.held[4])])
-            self.held = None
+            self.held, self.bytes = None, 0
 
     def close(self) -> dict:
         self.cut()
@@ -670,6 +681,9 @@ class _Parts:
         self.alone = options.get("singleWriter", "false").lower() == "true"
 
     def write(self, iterator):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         where, root = _open(self.folder)
@@ -680,16 +694,27 @@ class _Parts:
         def close(part):
             done.append((part.log, task, order[part.name], part.close()))
 
-        for row in iterator:
-            log = f"{row.symbol}_{row.file_date}.zst"
-            part = open_.get(log)
-            if part is None:
+        def part_of(log):
+            if log not in open_:
                 if len(open_) >= OPEN:
                     close(open_.popitem(last=False)[1])
-                part = open_[log] = _Part(where, root, log, self.level, self.frame)
-                order[part.name] = len(order)
+                open_[log] = _Part(where, root, log, self.level, self.frame)
+                order[open_[log].name] = len(order)
             open_.move_to_end(log)
-            part.write(row.recv_nanos, row.tag_byte, bytes(row.payload or b""))
+            return open_[log]
+
+        for b in iterator:
+            held = {n: b.column(n) for n in ("symbol", "file_date", "recv_nanos", "tag_byte", "payload")}
+            if any(held[n].null_count for n in ("symbol", "file_date", "recv_nanos", "tag_byte")):
+                raise ValueError("null in symbol, file_date, recv_nanos or tag_byte")
+            names = pc.binary_join_element_wise(held["symbol"].cast(pa.string()), held["file_date"].cast(pa.string()), "_").dictionary_encode()
+            codes = names.indices.to_numpy()
+            rows = np.argsort(codes, kind="stable")  # a log's rows together, in their order
+            nanos, tags = (held[n].cast(pa.int64()).to_numpy()[rows] for n in ("recv_nanos", "tag_byte"))
+            payloads = held["payload"].cast(pa.binary()).fill_null(b"").take(pa.array(rows)).to_pylist()
+            cuts = np.searchsorted(codes[rows], np.arange(len(names.dictionary) + 1))
+            for name, lo, hi in zip(names.dictionary.to_pylist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                part_of(f"{name}.zst").write(nanos[lo:hi], tags[lo:hi], payloads[lo:hi])
         for part in open_.values():
             close(part)
         return _Written(done)
@@ -704,7 +729,7 @@ class _Parts:
                 where.delete_file(f"{root}/{p['name']}")
 
 
-class FrameLogWriter(_Parts, DataSourceWriter):
+class FrameLogWriter(_Parts, DataSourceArrowWriter):
     """Overwriting replaces the logs that are written, not others; their files stay until `clean`. With the options sinkId and batchId, as from foreachBatch, a
     batch that is there already is not written again."""
 
@@ -722,7 +747,7 @@ class FrameLogWriter(_Parts, DataSourceWriter):
         self._drop(messages)
 
 
-class FrameLogStreamWriter(_Parts, DataSourceStreamWriter):
+class FrameLogStreamWriter(_Parts, DataSourceStreamArrowWriter):
     """Each batch is one commit that holds the query's name and the batch's number, so a batch that is run again is there once.
 
     The query's name is its checkpoint folder, or the option sinkId.
