@@ -371,6 +371,50 @@ def log_days(spark, d):
     return out.select(F.element_at(F.split("file", "/"), -1).alias("file"), F.col("payload").cast("string").cast("long").alias("event_id"))
 
 
+@frames
+def update_log(spark, d) -> str:
+    """The updates as a log a symbol."""
+    rows = diff_frames(spark, d).withColumn("symbol", symbols.match_heuristic(F.col("payload")))
+    path = fresh_path(spark, "updates")
+    framelog.write_log(rows.select("symbol", F.lit("20240101").alias("file_date"), "seq", F.col("seq").alias("recv_nanos"), F.lit(83).alias("tag_byte"), "payload"), path)
+    return path
+
+
+def _streamed_gaps(spark, d) -> DataFrame:
+    """Gaps of the replayed log, as a stream: seq is the place in the symbol's log."""
+    framelog.register(spark)
+    rows = spark.readStream.format("framelog").option("offsets", fresh_path(spark, "offsets")).load(update_log(spark, d))
+    rows = sbe.decode(rows.select("seq", "payload").withColumn("symbol", symbols.match_heuristic(F.col("payload"))), sbe.DIFF, only=("first_update_id", "last_update_id"))
+    return stateful.stream_gaps(rows, reorder=1 << 14, consecutive=True)
+
+
+_SQL_LOGGED_GAPS = f"SELECT symbol, seq, first_u, prev_u, prev_u + 1 AS expected_u FROM (SELECT *, lag(last_u) OVER (PARTITION BY symbol ORDER BY seq) AS prev_u FROM (SELECT symbol, row_number() OVER (PARTITION BY symbol ORDER BY seq) - 1 AS seq, first_u, last_u FROM ({_SQL_DIFFS}))) WHERE first_u <> prev_u + 1"
+
+
+@query("gap_stream", _SQL_LOGGED_GAPS)
+def gap_stream(spark, d):
+    """From a replayed log through the state store to files."""
+    path, gaps = fresh_path(spark, "gaps"), _streamed_gaps(spark, d)
+    gaps.writeStream.format("parquet").option("path", path).option("checkpointLocation", fresh_path(spark, "state")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(gaps.schema).parquet(path).select("symbol", "seq", F.col("first_u"), "prev_u", "expected_u")
+
+
+@query("recovery_stream", f"SELECT 7000 AS recv_nanos, lower(symbol) AS symbol, 82 AS tag_byte, upper(symbol) AS body FROM (SELECT * FROM ({_SQL_LOGGED_GAPS}) ORDER BY seq, lower(symbol) LIMIT 40) WHERE lower(symbol) <> 'view'")
+def recovery_stream(spark, d):
+    """From a replayed log to the snapshots in another, under a limit of 40 calls; those of one symbol fail, and count."""
+
+    def fetch(symbol):
+        if symbol == "VIEW":
+            raise OSError("no answer")
+        return symbol.encode()
+
+    path = fresh_path(spark, "recovered")
+    query_ = stateful.recover_live(_streamed_gaps(spark, d), path, fetch, fresh_path(spark, "state"), limit=40, clock=lambda: 7000, trigger="0 seconds")
+    stateful.stop(query_)
+    rows = spark.read.format("framelog").load(path)
+    return rows.select("recv_nanos", F.regexp_extract("file", r"([^/]+)_\d{8}\.zst$", 1).alias("symbol"), "tag_byte", F.col("payload").cast("string").alias("body"))
+
+
 _SQL_ROTATED = "SELECT event_type AS symbol, seq, recv_nanos, event_type || '_' || strftime(max(day) OVER (PARTITION BY event_type ORDER BY seq ROWS UNBOUNDED PRECEDING), '%Y%m%d') || '.zst' AS file FROM (SELECT event_type, epoch_us(ts) * 1000 AS recv_nanos, CAST(ts AS DATE) AS day, (event_id + CASE WHEN event_id % 10 = 0 THEN 500 ELSE 0 END) * 100000 + event_id AS seq FROM events)"
 
 
