@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 ROWS, MOST, SMALL = 1 << 20, 4096, 32 << 20
 
 
-def _size(rows: DataFrame) -> int:
-    """The optimizer's estimate, which runs nothing."""
-    return int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def few(rows: DataFrame) -> bool:
+    """Whether the rows are few by the optimizer's estimate, which runs nothing."""
+    return int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= SMALL
 
 
 def in_blocks(rows: DataFrame, key: str, number: Column, size: int | None = None) -> DataFrame:
@@ -27,7 +27,7 @@ def in_blocks(rows: DataFrame, key: str, number: Column, size: int | None = None
     """
     rows, bounds = rows.withColumn("_k", F.struct(F.col(key))), []
     at = F.coalesce(number.cast("double"), F.lit(float("-inf")))
-    if size or _size(rows) > SMALL:
+    if size or not few(rows):
         size = size or ROWS
         steps = [k / MOST for k in range(1, MOST)]
         n, marks = rows.agg(F.count("*"), F.percentile_approx(at, steps, MOST * 10)).first()

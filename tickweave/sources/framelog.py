@@ -806,11 +806,15 @@ def register(spark) -> None:
 def write_log(records, folder: str, mode: str = "append", tasks: int | None = None, **options) -> None:
     """Records (symbol, file_date, recv_nanos, tag_byte, payload, seq) into a log for each symbol and day, in the order of seq.
 
-    The records are dealt out by ranges of symbol, day and seq, so that a large log is many tasks' parts, each behind the one before. Without `tasks`, adaptive
-    execution joins small ranges."""
+    The records are dealt out by ranges of symbol, day and seq, so that a large log is many tasks' parts, each behind the one before; Spark reads them a second time
+    for the ranges' bounds. Records that are few by the optimizer's estimate are dealt out by log, unless `tasks` is given.
+    """
+    from tickweave.operators.blocks import few
+
     register(records.sparkSession)
     by = ["symbol", "file_date", "seq"]
-    rows = records.repartitionByRange(*([tasks] if tasks else []), *by).sortWithinPartitions(*by)
+    dealt = records.repartition(*by[:2]) if not tasks and few(records) else records.repartitionByRange(*([tasks] if tasks else []), *by)
+    rows = dealt.sortWithinPartitions(*by)
     rows.select("symbol", "file_date", "recv_nanos", "tag_byte", "payload").write.format("framelog").options(**options).mode(mode).save(folder)
 
 
