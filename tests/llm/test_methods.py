@@ -297,6 +297,16 @@ def test_repeats_of_odd_texts(spark, how):
     assert got == brute_repeats(docs)
 
 
+def test_only_maps_of_repeats_are_broadcast(spark, monkeypatch):
+    """A small table of ranges or marks, which takes many times its files' bytes in memory, isn't: only the bitmaps of fixed size are."""
+    plans = []
+    plan = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df
+    monkeypatch.setattr(substrings, "saved", lambda df, tag: saved(plan(df), tag))
+    plan(substrings.cut_repeats(spark.createDataFrame([(i, t.decode()) for i, t in odd_texts()], "doc_id long, text string"), anchor_rows=2))
+    joins = [line for p in plans for line in p.split("\n") if "BroadcastHashJoin" in line or "BroadcastNestedLoopJoin" in line]
+    assert joins and all(re.search(r"BroadcastHashJoin \[_row", line) for line in joins), joins
+
+
 def test_repeats_of_a_long_run(spark):
     """5 MB of one byte are stretches of little more than that, and all of it goes."""
     text = b"a" * 5_000_000

@@ -419,7 +419,8 @@ def _marks(found: DataFrame, length: int, gram: int, shard_bytes: int, anchor_ro
 
     Anchors with more than anchor_rows distinct stretches are split until none is left: at width 1 an anchor's stretches are
     windows that differ in one byte at most, so this ends after as many rounds as length has binary digits. Equal parts become one by their names, so a
-    passage that very many stretches have is one row, and what is found for a part goes back to the stretches that have it.
+    passage that very many stretches have is one row, and what is found for a part goes back to the stretches that have it. Joins are sort-merge ones:
+    ranges, like those of equal texts, take many times their files' bytes in memory, so a table of a few MB on disk would be too much for the driver to broadcast.
     """
     spark = found.sparkSession
     parts = shuffle_parts(spark)
@@ -449,8 +450,8 @@ def _marks(found: DataFrame, length: int, gram: int, shard_bytes: int, anchor_ro
     for split in reversed(splits):  # a part's starts go to the stretches that have it, a row a stretch
         held = split.select(F.struct(F.col("g1").alias("h1"), F.col("g2").alias("h2")).alias("h"), F.struct("h1", "h2").alias("whole"), "shifts")
         moved = F.flatten(F.transform("shifts", lambda s: F.transform("ranges", lambda r: F.struct((r["a"] + s).alias("a"), (r["b"] + s).alias("b")))))
-        back = held.join(marks, "h").select(F.col("whole").alias("h"), moved.alias("ranges")).groupBy("h").agg(F.array_distinct(F.flatten(F.collect_list("ranges"))).alias("ranges"))
-        marks = saved(marks.join(split.select(F.struct(F.col("g1").alias("h1"), F.col("g2").alias("h2")).alias("h")).distinct(), "h", "left_anti").unionByName(back), "op3-marks")
+        back = held.join(marks.hint("merge"), "h").select(F.col("whole").alias("h"), moved.alias("ranges")).groupBy("h").agg(F.array_distinct(F.flatten(F.collect_list("ranges"))).alias("ranges"))
+        marks = saved(marks.join(split.select(F.struct(F.col("g1").alias("h1"), F.col("g2").alias("h2")).alias("h")).distinct().hint("merge"), "h", "left_anti").unionByName(back), "op3-marks")
     return marks
 
 
@@ -475,7 +476,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, symb
     marks = _marks(found, length, gram, shard_bytes, anchor_rows, across, budget)
     release(spark)
     places = found.select("id1", "id2", "at", F.struct("h1", "h2").alias("h")).distinct()
-    hits = salted_join(places, marks, "h", F.struct("id1", "at")).select("id1", "id2", F.transform("ranges", lambda r: F.struct((r["a"] + F.col("at")).alias("start"), (r["b"] + F.col("at") + (length - 1)).alias("stop"))).alias("spans"))
+    hits = salted_join(places, marks.hint("merge"), "h", F.struct("id1", "at")).select("id1", "id2", F.transform("ranges", lambda r: F.struct((r["a"] + F.col("at")).alias("start"), (r["b"] + F.col("at") + (length - 1)).alias("stop"))).alias("spans"))
     return hits.groupBy("id1", "id2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
@@ -501,7 +502,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, words: int = PASSAGE_WORD
     both = saved(both.groupBy("id1", "id2").agg(F.first("spans", True).alias("spans"), F.first("passages", True).alias("passages")), "op3-both")
     # only documents that have any are shuffled to them
     marked = in_map(named, key_map(both, "id1", "id2"), "_some", "id1", "id2")
-    some = marked.filter("_some").drop("_some").join(both, ["id1", "id2"], "left")
+    some = marked.filter("_some").drop("_some").join(both.hint("merge"), ["id1", "id2"], "left")
     rest = marked.filter("not _some").drop("_some").withColumns({"spans": none, "passages": none})
     kind = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))), T.StructField("kept_sha256", T.StringType()), T.StructField("n_passage_words", T.LongType())])
     rows = some.select("doc_id", "text", "spans", "passages").unionByName(rest.select("doc_id", "text", "spans", "passages"))
