@@ -146,6 +146,19 @@ def test_stream_gaps_over_shuffled_batches(spark, tmp_path, consecutive):
     assert sorted(tuple(r) for r in got if r.first_u < 10**6) == sorted(map(tuple, want)) and len(want) > 20
 
 
+@pytest.mark.parametrize("consecutive", [True, False])
+def test_stream_gaps_of_a_batch_in_any_order(spark, tmp_path, consecutive):
+    """A shuffle gives a batch's rows in any order, so far more of them than the buffer has may come before an earlier one; none is late for that."""
+    rnd = random.Random(7)
+    rows = [{"symbol": "a", "seq": k * (1 if consecutive else 3), "first_update_id": k + k // 97, "last_update_id": k + k // 97} for k in range(2000)]
+    want = [(r["seq"], r["first_update_id"] - 1, r["first_update_id"], r["first_update_id"] - 2) for r in rows if r["first_update_id"] % 98 == 0 and r["seq"]]
+    rnd.shuffle(rows)
+    rest = [] if consecutive else [[json.dumps({"symbol": "a", "seq": 10_000 + k, "first_update_id": 10**6 + k, "last_update_id": 10**6 + k}) for k in range(9)]]
+    schema = "symbol string, seq long, first_update_id long, last_update_id long"
+    got = run_in_steps(spark, tmp_path, [[json.dumps(r) for r in rows], *rest], schema, lambda s: stateful.stream_gaps(s, 8, consecutive), f"any_order_{consecutive}")
+    assert sorted(tuple(r)[1:] for r in got if r.first_u < 10**6) == want and len(want) == 20
+
+
 def test_stream_gaps_names_rows_that_come_too_late(spark, tmp_path):
     row = lambda q: json.dumps({"symbol": "a", "seq": q, "first_update_id": q, "last_update_id": q})
     steps = [[row(k) for k in (1, 2, 3, 4)], [row(0), row(5)]]
