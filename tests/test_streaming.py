@@ -249,3 +249,17 @@ def test_live_recovery_fetches_and_writes_once(spark, tmp_path):
     put([(40, 40)])
     run()  # the schedule is due, and of four admitted calls three are out of the window
     assert len(list(calls.iterdir())) == 7 and len(done()) == 5
+
+
+def test_live_recovery_of_a_batch_in_any_order(spark, tmp_path):
+    """The calls are those of the first gaps by seq, however a shuffle has mixed the batch's rows."""
+    rnd, log, folder = random.Random(3), str(tmp_path / "log"), tmp_path / "in"
+    rows = [{"symbol": s, "seq": k, "first_update_id": k + k // n, "last_update_id": k + k // n} for s, n in (("a", 50), ("b", 80)) for k in range(1000)]
+    rnd.shuffle(rows)
+    folder.mkdir()
+    (folder / "0.json").write_text("\n".join(map(json.dumps, rows)))
+    stream = spark.readStream.schema("symbol string, seq long, first_update_id long, last_update_id long").json(str(folder))
+    gaps = stateful.stream_gaps(stream, 8, True)
+    stateful.stop(stateful.recover_live(gaps, log, lambda s: s.encode(), str(tmp_path / "state"), limit=4, clock=lambda: 7000, trigger="0 seconds"))
+    got = sorted(bytes(r.payload) for r in spark.read.format("framelog").load(log).collect())
+    assert got == [b"A"] * 3 + [b"B"]  # at 50, 80, 100, 150; rows taken for late ones would be half of each
